@@ -564,5 +564,258 @@ def _stable_round(sql: str) -> str:
         i = k
 
 
+
+# ------------------------------------------------------------- texts
+from tessera.operators.describe import (  # noqa: E402  fixed template texts
+    BASED_ON,
+    INDICATOR_DESC,
+    QUALITY_OF_LIFE_DESC,
+    SUSTAINABILITY_DESC,
+)
+
+EOL_NOT = r"[^\n\r\x{85}\x{2028}\x{2029}]"
+SPACE = r"[ \t\n\x0B\f\r]"
+SEP = r"[-: \t\n\x0B\f\r]"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+cte(
+    "docs",
+    """
+SELECT doc_id, 'I' || lpad(CAST(doc_id % 25 + 1 AS VARCHAR), 2, '0') AS kpi, source AS title, text AS description
+FROM documents
+""",
+)
+cte(
+    "attr_raw",
+    f"""
+SELECT doc_id, kpi, title,
+       coalesce(CASE WHEN regexp_matches(description, 'under the:')
+                     THEN regexp_extract(description, 'under the:({EOL_NOT}*)', 1) END,
+                CASE WHEN regexp_matches(description, 'under the')
+                     THEN regexp_extract(description, 'under the({SEP}*{EOL_NOT}*)', 1) END) AS raw
+FROM docs
+""",
+)
+cte(
+    "attr_clean",
+    rf"""
+SELECT doc_id, kpi, title,
+       regexp_replace(regexp_replace(
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+           raw, '\\n', ' ', 'g'), '\n', ' ', 'g'), '\.', '', 'g'),
+           '^{SPACE}*under the{SEP}*', '', 'g'), '//n', ' ', 'g'),
+         '{SPACE}+', ' ', 'g'), '^ +| +$', '', 'g') AS s
+FROM attr_raw
+""",
+)
+cte(
+    "attr",
+    """
+SELECT doc_id, kpi, title, CASE WHEN s = 'SCB och Skolverket' THEN 'Skolverket och SCB' ELSE s END AS source
+FROM attr_clean
+""",
+)
+cte("kkeys", "SELECT DISTINCT kpi, CAST(theme AS VARCHAR) AS theme, part, area_type, sex FROM base")
+for _col, _out, _lvl, _name in (
+    ("title", "titles_text", "theme", "t_titles"),
+    ("source", "source_text", "theme", "t_sources"),
+    ("source", "source_text", "part", "p_sources"),
+):
+    cte(
+        _name,
+        f"""
+SELECT {_lvl}, area_type, sex,
+       CASE WHEN count(*) = count({_col}) THEN string_agg(DISTINCT {_col}, ', ' ORDER BY {_col}) END AS {_out}
+FROM (SELECT DISTINCT k.{_lvl}, a.{_col}, k.area_type, k.sex
+      FROM kkeys k LEFT JOIN (SELECT DISTINCT kpi, {_col} FROM attr) a ON a.kpi = k.kpi
+      WHERE k.{_lvl} IS NOT NULL)
+GROUP BY {_lvl}, area_type, sex
+""",
+    )
+
+_COMBOS = [(t, s) for t in ("K", "L") for s in ("T", "K", "M")]
+
+
+def _wide(src: str, key: str, val: str, prefix: str, alias: str = None) -> str:
+    cols = ", ".join(
+        f"max(CASE WHEN area_type = '{t}' AND sex = '{s}' THEN {val} END) AS {prefix}{t}_{s}" for t, s in _COMBOS
+    )
+    return f"SELECT {key}{' AS ' + alias if alias else ''}, {cols} FROM {src} GROUP BY {key}"
+
+
+cte("t_titles_wide", _wide("t_titles", "theme", "titles_text", "text_"))
+cte("t_sources_wide", _wide("t_sources", "theme", "source_text", "source_"))
+cte("p_wide", _wide("p_sources", "part", "source_text", "source_", "Tema"))
+_TEXT = ", ".join(f"tt.text_{t}_{s}" for t, s in _COMBOS)
+_SRC = ", ".join(f"ts.source_{t}_{s}" for t, s in _COMBOS)
+cte(
+    "t_wide",
+    f"SELECT tt.theme AS Tema, {_TEXT}, {_SRC} FROM t_titles_wide tt LEFT JOIN t_sources_wide ts ON ts.theme = tt.theme",
+)
+_MERGED = ", ".join(
+    [f"coalesce(max(text_{t}_{s}) FILTER (WHERE rk = 0), max(text_{t}_{s}) FILTER (WHERE rk = 1)) AS text_{t}_{s}"
+     for t, s in _COMBOS]
+    + [f"coalesce(max(source_{t}_{s}) FILTER (WHERE rk = 0), max(source_{t}_{s}) FILTER (WHERE rk = 1)) AS source_{t}_{s}"
+       for t, s in _COMBOS]
+)
+_NULL_TEXT = ", ".join(f"CAST(NULL AS VARCHAR) AS text_{t}_{s}" for t, s in _COMBOS)
+_P_SRC = ", ".join(f"source_{t}_{s}" for t, s in _COMBOS)
+cte(
+    "levels_merged",
+    f"""
+SELECT Tema, {_MERGED},
+       CASE WHEN Tema = 'D1' THEN '100' WHEN Tema = 'D2' THEN '200' END AS sorting
+FROM (SELECT 0 AS rk, * FROM t_wide
+      UNION ALL BY NAME
+      SELECT 1 AS rk, Tema, {_NULL_TEXT}, {_P_SRC} FROM p_wide)
+GROUP BY Tema
+""",
+)
+cte(
+    "sort_tbl",
+    """
+SELECT CAST(theme AS VARCHAR) AS Tema, min(sort_order) AS sorting FROM catalog GROUP BY theme
+UNION ALL
+SELECT part, CAST(floor(min(sort_order) / 100) * 100 AS INTEGER) FROM catalog GROUP BY part
+""",
+)
+
+
+def _paste(*parts: str) -> str:
+    return "concat_ws(' ', " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), 'NA')" for p in parts) + ")"
+
+
+def _description(geo: str, sex: str) -> str:
+    is_part = "Tema IN ('D1', 'D2')"
+    lbl = {"L": ("'Regionindex'", "'Regionindex för tema'"), "K": ("'Kommunindex'", "'Kommunindex för tema'")}[geo]
+    label = xif(is_part, lbl[0], lbl[1])
+    pre = {"T": [], "K": ["'Kvinnors'"], "M": ["'Mäns'"]}[sex]
+    pdesc = xif("Tema = 'D2'", _lit(SUSTAINABILITY_DESC), _lit(QUALITY_OF_LIFE_DESC))
+    src = f"source_{geo}_{sex}"
+    on_part = _paste(*pre, label, "Tema", pdesc, "'Källa:'", src)
+    on_theme = _paste(*pre, label, "Tema", _lit(BASED_ON), f"text_{geo}_{sex}", _lit(INDICATOR_DESC), "'Källa:'", src)
+    s = f"CASE WHEN {is_part} THEN {on_part} ELSE {on_theme} END"
+    s = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({s}, ' NA | NA|NA |^NA$', '', 'g'), '{SPACE}+', ' ', 'g'), '^ +| +$', '', 'g'), 'Källa: Källa:', 'Källa:', 'g')"
+    return f"CASE WHEN ({s}) IS NOT NULL AND ({s}) <> '' AND NOT (({s}) LIKE '%.') THEN ({s}) || '.' ELSE ({s}) END"
+
+
+_DESC_NAMES = {
+    ("L", "T"): "Information_regionindex_totalt",
+    ("L", "K"): "Information_regionindex_kvinnor",
+    ("L", "M"): "Information_regionindex_män",
+    ("K", "T"): "Information_kommunindex_totalt",
+    ("K", "K"): "Information_kommunindex_kvinnor",
+    ("K", "M"): "Information_kommunindex_män",
+}
+cte(
+    "descr",
+    "SELECT Tema, " + ", ".join(f'{_description(g, s)} AS "{n}"' for (g, s), n in _DESC_NAMES.items())
+    + " FROM levels_merged",
+)
+
+_WIDE_T = ", ".join(f"text_{t}_{s}" for t, s in _COMBOS)
+_WIDE_S = ", ".join(f"source_{t}_{s}" for t, s in _COMBOS)
+SQL.update(
+    {
+        "q_attribution": "SELECT doc_id, kpi, title, source FROM attr",
+        "q_titles": "SELECT theme, area_type, sex, titles_text FROM t_titles",
+        "q_titles_wide": f"SELECT theme, {_WIDE_T} FROM t_titles_wide",
+        "q_sources_theme": "SELECT theme, area_type, sex, source_text FROM t_sources",
+        "q_sources_part": "SELECT part, area_type, sex, source_text FROM p_sources",
+        "q_sources_wide": f"SELECT Tema, {_WIDE_S} FROM p_wide UNION ALL SELECT theme AS Tema, {_WIDE_S} FROM t_sources_wide",
+        "q_full_outer": (
+            f"SELECT coalesce(t.Tema, p.Tema) AS Tema, "
+            + ", ".join(f"t.text_{a}_{b}" for a, b in _COMBOS) + ", "
+            + ", ".join(f"t.source_{a}_{b} AS source_{a}_{b}_x" for a, b in _COMBOS) + ", "
+            + ", ".join(f"p.source_{a}_{b} AS source_{a}_{b}_y" for a, b in _COMBOS)
+            + " FROM t_wide t FULL OUTER JOIN p_wide p ON p.Tema = t.Tema"
+        ),
+        "q_coalesce_levels": f"SELECT Tema, {_WIDE_T}, {_WIDE_S}, sorting FROM levels_merged",
+        "q_descriptions": "SELECT s.sorting, d.* FROM descr d LEFT JOIN sort_tbl s ON s.Tema = d.Tema",
+    }
+)
+
+
+
+# ------------------------------------------------------------- checks
+_SUMMARY_COLS = ["area_id", "year", "value", "inverted", "selected_year", "standard_value"]
+cte(
+    "summary_long",
+    " UNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM std_total_latest" for c in _SUMMARY_COLS),
+)
+cte(
+    "flat_src",
+    f"""
+SELECT s.*, rc.Lan_Namn AS region_lan
+FROM std_total_latest s
+LEFT JOIN region_codes rc ON CAST(rc.Lan_kod AS INTEGER) = s.area_id AND rc.Kolada_lan_namn = s.area_name
+""",
+)
+cte(
+    "labels",
+    """
+SELECT DISTINCT Lan_kod_S AS code_text, Lan_Namn AS area_name FROM municipality_codes
+UNION ALL
+SELECT DISTINCT Kommun_kod_S, Kommun_namn FROM municipality_codes
+""",
+)
+cte(
+    "flat",
+    f"""
+SELECT f.*, l.code_text FROM
+  (SELECT * REPLACE ({xif("region_lan IS NOT NULL", "region_lan", "area_name")} AS area_name) FROM flat_src) f
+LEFT JOIN labels l ON l.area_name = f.area_name
+""",
+)
+SQL.update(
+    {
+        "q_check_orientation": """
+SELECT kpi, count(*) FILTER (WHERE inverted = 0) AS n_0, count(*) FILTER (WHERE inverted = 1) AS n_1
+FROM std_total_latest GROUP BY kpi
+HAVING count(*) FILTER (WHERE inverted = 0) > 0 AND count(*) FILTER (WHERE inverted = 1) > 0""",
+        "q_check_profile": """
+SELECT kpi_text, area_type, sex, year, inverted,
+       round(min(standard_value), 6) AS min_score, round(max(standard_value), 6) AS max_score,
+       round(min(value), 6) AS min_value, round(max(value), 6) AS max_value,
+       count(*) FILTER (WHERE standard_value IS NULL) AS n_null
+FROM std_total_latest GROUP BY kpi_text, area_type, sex, year, inverted""",
+        "q_check_summary": """
+SELECT col AS "column", count(v) AS n, count(*) FILTER (WHERE v IS NULL) AS n_null,
+       round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS median,
+       round(avg(v), 6) AS mean, round(quantile_cont(v, 0.75), 6) AS q75, round(max(v), 6) AS max
+FROM summary_long GROUP BY col""",
+        "q_check_catalog": """
+SELECT coalesce(c.kpi, d.kpi) AS kpi, c.catalog_text, d.data_text,
+       CASE WHEN c.catalog_text = d.data_text THEN 1 ELSE 0 END AS "check"
+FROM (SELECT kpi, kpi_text AS catalog_text FROM catalog WHERE kpi_text IS NOT NULL) c
+FULL OUTER JOIN (SELECT DISTINCT kpi, kpi_text AS data_text FROM base) d ON d.kpi = c.kpi""",
+        "q_check_catalog_tally": """
+SELECT CAST(sum(CASE WHEN c.kpi_text = d.kpi_text THEN 1 ELSE 0 END) AS BIGINT) AS n
+FROM (SELECT kpi, kpi_text FROM catalog WHERE kpi_text IS NOT NULL) c
+FULL OUTER JOIN (SELECT DISTINCT kpi, kpi_text FROM base) d ON d.kpi = c.kpi""",
+        "q_check_part_by_region": """
+SELECT DISTINCT part, area_name, area_type, sex, round(mean_region_part_final, 6) AS mean_region_part_final
+FROM fin WHERE part = 'D1' AND sex = 'T' AND (area_type = 'L' OR area_type = 'R')""",
+        "q_check_national": f"SELECT {SCORED_SEL}, {FINAL_SEL} FROM fin WHERE area_type = 'R'",
+        "q_null_split": f"SELECT {SCORED_SEL} FROM std_total_latest WHERE sex IS NULL",
+        "q_flat_export": """
+SELECT kpi_text AS Indikator_name, kpi AS "Number",
+       coalesce(CASE WHEN code_text IS NULL THEN CAST(area_id AS VARCHAR) ELSE code_text END, 'NA')
+         || ' ' || coalesce(area_name, 'NA') AS "Region",
+       CASE WHEN sex = 'T' THEN 'Totalt' WHEN sex = 'K' THEN 'Kvinnor' WHEN sex = 'M' THEN 'Män' ELSE sex END AS Kon,
+       year AS Ar, round(standard_value, 6) AS Varde, part AS Del, theme AS Tema, aspect AS Aspekt,
+       has_split AS Kon_ford, last_year AS Maxar, first_year AS Lagar, logged AS "Log",
+       inverted AS Omvand_skala, area_type AS Omrade_typ
+FROM flat""",
+        "q_area_labels": "SELECT code_text, area_name FROM labels",
+        "q_region_lan_key": "SELECT CAST(Lan_kod AS INTEGER) AS area_id, Lan_Namn AS region_lan, Kolada_lan_namn AS area_name FROM region_codes",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _stable_round(build(v)) for k, v in SQL.items()}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators import hierarchy, prepare, standardize
+from tessera.operators import checks, describe, export, hierarchy, prepare, standardize
 from tessera.plans import context as ctx
 from tessera.sources import fixture
 
@@ -279,3 +279,135 @@ query("q_total_region")(_deliver("part", "region"))
 query("q_theme_region")(_deliver("theme", "region"))
 query("q_total_municipal")(_deliver("part", "municipality"))
 query("q_theme_municipal")(_deliver("theme", "municipality"))
+
+
+# ----------------------------------------------------------- D16–D18 texts
+# Fixed values of the fixture's text side: the marker that introduces an
+# attribution in the documents, the part labels and their sort codes.
+DOC_MARKER = "under the"
+PARTS = ("D1", "D2")
+SUSTAINABILITY_PART = "D2"
+PART_SORTING = {"D1": 100, "D2": 200}
+
+
+def texts(spark, sf) -> DataFrame:
+    return describe.attribution(fixture.indicator_texts(spark, sf), marker=DOC_MARKER)
+
+
+def text_keys(spark, sf) -> DataFrame:
+    return describe.index_keys(ctx.base(spark, sf))
+
+
+@query("q_attribution")
+def q_attribution(spark, sf):
+    return texts(spark, sf).select("doc_id", "kpi", "title", "source")
+
+
+@query("q_titles")
+def q_titles(spark, sf):
+    return describe.theme_titles(text_keys(spark, sf), texts(spark, sf))
+
+
+@query("q_titles_wide")
+def q_titles_wide(spark, sf):
+    return describe.widen(describe.theme_titles(text_keys(spark, sf), texts(spark, sf)), "theme", "titles_text", "text_")
+
+
+@query("q_sources_theme")
+def q_sources_theme(spark, sf):
+    return describe.theme_sources(text_keys(spark, sf), texts(spark, sf))
+
+
+@query("q_sources_part")
+def q_sources_part(spark, sf):
+    return describe.part_sources(text_keys(spark, sf), texts(spark, sf))
+
+
+@query("q_sources_wide")
+def q_sources_wide(spark, sf):
+    return describe.part_wide(text_keys(spark, sf), texts(spark, sf)).unionByName(
+        describe.widen(describe.theme_sources(text_keys(spark, sf), texts(spark, sf)), "theme", "source_text", "source_")
+        .withColumnRenamed("theme", "Tema")
+    )
+
+
+def _levels_wide(spark, sf):
+    k, t = text_keys(spark, sf), texts(spark, sf)
+    return describe.theme_wide(k, t), describe.part_wide(k, t)
+
+
+@query("q_full_outer")
+def q_full_outer(spark, sf):
+    return describe.full_outer_levels(*_levels_wide(spark, sf))
+
+
+@query("q_coalesce_levels")
+def q_coalesce_levels(spark, sf):
+    return describe.coalesce_levels(*_levels_wide(spark, sf), PART_SORTING)
+
+
+@query("q_descriptions")
+def q_descriptions(spark, sf):
+    wide = describe.coalesce_levels(*_levels_wide(spark, sf), PART_SORTING)
+    return describe.describe(wide, PARTS, SUSTAINABILITY_PART, describe.sort_table(ctx.catalog(spark, sf)))
+
+
+# ------------------------------------------------------- D15, D19, P1/U1
+SUMMARY_COLUMNS = ["area_id", "year", "value", "inverted", "selected_year", "standard_value"]
+
+
+@query("q_check_orientation")
+def q_check_orientation(spark, sf):
+    return checks.orientation_conflicts(scored(spark, sf))
+
+
+@query("q_check_profile")
+def q_check_profile(spark, sf):
+    return rounded(checks.score_profile(scored(spark, sf)))
+
+
+@query("q_check_summary")
+def q_check_summary(spark, sf):
+    return rounded(checks.column_summary(scored(spark, sf), SUMMARY_COLUMNS))
+
+
+@query("q_check_catalog")
+def q_check_catalog(spark, sf):
+    return checks.catalog_agreement(ctx.catalog(spark, sf), ctx.base(spark, sf))
+
+
+@query("q_check_catalog_tally")
+def q_check_catalog_tally(spark, sf):
+    return checks.catalog_agreement_tally(checks.catalog_agreement(ctx.catalog(spark, sf), ctx.base(spark, sf)))
+
+
+@query("q_check_part_by_region")
+def q_check_part_by_region(spark, sf):
+    return rounded(checks.part_by_region(final(spark, sf), PARTS[0]))
+
+
+@query("q_check_national")
+def q_check_national(spark, sf):
+    return rounded(checks.national_rows(final(spark, sf)).select(*SCORED_COLS, *FINAL_COLS))
+
+
+@query("q_null_split")
+def q_null_split(spark, sf):
+    return rounded(checks.null_split(scored(spark, sf)).select(*SCORED_COLS))
+
+
+@query("q_flat_export")
+def q_flat_export(spark, sf):
+    return rounded(
+        export.flat_export(scored(spark, sf), fixture.region_codes(spark, sf), fixture.municipality_codes(spark, sf))
+    )
+
+
+@query("q_area_labels")
+def q_area_labels(spark, sf):
+    return export.area_labels(fixture.municipality_codes(spark, sf))
+
+
+@query("q_region_lan_key")
+def q_region_lan_key(spark, sf):
+    return export.region_lan_key(fixture.region_codes(spark, sf))
