@@ -130,3 +130,12 @@ def national_rows(final: DataFrame) -> DataFrame:
 def null_split(scored: DataFrame) -> DataFrame:
     """Rows without a sex."""
     return scored.where(F.col("sex").isNull())
+
+
+def category_agreement(catalog: DataFrame, categories: DataFrame) -> DataFrame:
+    """(aspect, theme, part, sort_order) tuples found in only one of the
+    catalog and the categorisation file; empty when they agree."""
+    keys = ["aspect", "theme", "part", "sort_order"]
+    a = catalog.select(*keys).distinct().withColumn("in_catalog", F.lit(1))
+    b = categories.select(*keys).distinct().withColumn("in_categories", F.lit(1))
+    return join_ns(a, b, keys, "full").where(F.col("in_catalog").isNull() | F.col("in_categories").isNull())
