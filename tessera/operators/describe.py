@@ -86,8 +86,9 @@ def extract_source(text, marker: str = MARKER, aliases: Mapping[str, str] = SOUR
     marker removed, ``//n`` to a space, whitespace squished; then aliases.
     """
     m = regex_quote(marker)
-    try1 = F.when(text.rlike(f"{m}:"), F.regexp_extract(text, f"{m}:({NOT_EOL}*)", 1))
-    try2 = F.when(text.rlike(m), F.regexp_extract(text, f"{m}([-:{WS}]*{NOT_EOL}*)", 1))
+    # literal substring tests first: the regexes only run on texts that hold the marker
+    try1 = F.when(text.contains(f"{marker}:"), F.regexp_extract(text, f"{m}:({NOT_EOL}*)", 1))
+    try2 = F.when(text.contains(marker), F.regexp_extract(text, f"{m}([-:{WS}]*{NOT_EOL}*)", 1))
     raw = F.coalesce(try1, try2)
     s = F.regexp_replace(raw, r"\\n", " ")
     s = F.regexp_replace(s, r"\n", " ")

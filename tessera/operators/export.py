@@ -33,7 +33,7 @@ def region_lan_key(region_codes: DataFrame) -> DataFrame:
     return region_codes.select(
         F.col("Lan_kod").cast("int").alias("area_id"),
         F.col("Lan_Namn").alias("region_lan"),
-        F.col("Kolada_lan_namn").alias("area_name"),
+        F.col("Data_lan_namn").alias("area_name"),
     )
 
 

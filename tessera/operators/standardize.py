@@ -71,6 +71,20 @@ def selected_rows(base: DataFrame, year_mode: str = "latest", lag: int = 5, year
     return b.where(F.col("year") == F.col("selected_year")).drop("latest_year")
 
 
+def _reference_rows(b: DataFrame, mode: str) -> tuple[DataFrame, list[str]]:
+    rows = b.where(F.col("year") == F.col("latest_year"))
+    keys = ["kpi", "area_type", "inverted"]
+    if mode == "total":
+        rows = rows.where(F.col("sex") == "T")
+    elif mode == "separate":
+        keys.append("sex")
+    return rows, keys
+
+
+def _range(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.min("value").alias("min_ref"), F.max("value").alias("max_ref"))
+
+
 def reference_range(base: DataFrame, split_mode: str = "total", year_scope: str = "kpi") -> DataFrame:
     """Min and max of the reference group in the latest year.
 
@@ -79,14 +93,7 @@ def reference_range(base: DataFrame, split_mode: str = "total", year_scope: str
     latest year, also when a lagged year is scored (G8).
     """
     mode = _mode(SPLIT_MODES, split_mode, "split mode")
-    b = _with_years(base, "latest", 0, year_scope)
-    rows = b.where(F.col("year") == F.col("latest_year"))
-    keys = ["kpi", "area_type", "inverted"]
-    if mode == "total":
-        rows = rows.where(F.col("sex") == "T")
-    elif mode == "separate":
-        keys.append("sex")
-    return rows.groupBy(*keys).agg(F.min("value").alias("min_ref"), F.max("value").alias("max_ref"))
+    return _range(*_reference_rows(_with_years(base, "latest", 0, year_scope), mode))
 
 
 def standardize(
@@ -101,11 +108,17 @@ def standardize(
     Scores leave 0..100 when the scored rows are not part of the reference
     group (men/women under ``total``, lagged years: finding 3). The nation is
     alone in its reference group and scores 0 except under ``pooled`` (G13).
+
+    Plan: one year table per indicator (latest and selected year) is joined
+    to the rows once; the scored rows and the reference rows are two filters
+    of that same join, and the reference range is a small aggregate joined
+    back by its keys.
     """
     mode = _mode(SPLIT_MODES, split_mode, "split mode")
     _mode(YEAR_MODES, year_mode, "year mode")
-    data = selected_rows(base, year_mode, lag, year_scope)
-    ref = reference_range(base, split_mode, year_scope)
+    b = _with_years(base, year_mode, lag, year_scope)
+    data = b.where(F.col("year") == F.col("selected_year")).drop("latest_year")
+    ref = _range(*_reference_rows(b, mode))
     keys = ["kpi", "area_type", "inverted"] + (["sex"] if mode == "separate" else [])
     scored = join_ns(data, ref, keys, "left").withColumn(
         "standard_value",

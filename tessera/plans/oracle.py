@@ -131,7 +131,7 @@ SELECT CAST(r_regionkey + 1 AS VARCHAR) AS Lan_kod,
        substr(r_name, 1, 2) AS Lan_bokstav,
        r_name AS Lan_Namn,
        lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') || ' ' || r_name AS SCB_lan_namn,
-       'Region ' || r_name AS Kolada_lan_namn
+       'Region ' || r_name AS Data_lan_namn
 FROM region
 """,
 )
@@ -752,7 +752,7 @@ cte(
     f"""
 SELECT s.*, rc.Lan_Namn AS region_lan
 FROM std_total_latest s
-LEFT JOIN region_codes rc ON CAST(rc.Lan_kod AS INTEGER) = s.area_id AND rc.Kolada_lan_namn = s.area_name
+LEFT JOIN region_codes rc ON CAST(rc.Lan_kod AS INTEGER) = s.area_id AND rc.Data_lan_namn = s.area_name
 """,
 )
 cte(
@@ -812,7 +812,7 @@ SELECT kpi_text AS Indikator_name, kpi AS "Number",
        inverted AS Omvand_skala, area_type AS Omrade_typ
 FROM flat""",
         "q_area_labels": "SELECT code_text, area_name FROM labels",
-        "q_region_lan_key": "SELECT CAST(Lan_kod AS INTEGER) AS area_id, Lan_Namn AS region_lan, Kolada_lan_namn AS area_name FROM region_codes",
+        "q_region_lan_key": "SELECT CAST(Lan_kod AS INTEGER) AS area_id, Lan_Namn AS region_lan, Data_lan_namn AS area_name FROM region_codes",
     }
 )
 

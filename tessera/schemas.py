@@ -71,7 +71,7 @@ REGION_CODE_FILE = T.StructType(
         T.StructField("Lan_bokstav", T.StringType()),
         T.StructField("Lan_Namn", T.StringType()),
         T.StructField("SCB_lan_namn", T.StringType()),
-        T.StructField("Kolada_lan_namn", T.StringType()),
+        T.StructField("Data_lan_namn", T.StringType()),
     ]
 )
 
