@@ -9,7 +9,7 @@ def test_extract_source_cases(spark):
     texts = [
         ("colon", "Nyckeltal. Källa: SCB.\nMer text"),
         ("nocolon", "Nyckeltal. Källa - Skolverket."),
-        ("double", "Källa: Källa: Kolada"),
+        ("double", "Källa: Källa: Statistiken"),
         ("end", "Något Källa:"),
         ("newline", "Källa\nSCB"),
         ("absent", "Ingen uppgift"),
@@ -21,7 +21,7 @@ def test_extract_source_cases(spark):
     out = dict(rows(D.attribution(df), "id", "source"))
     assert out["colon"] == "SCB"
     assert out["nocolon"] == "- Skolverket"  # the separator is part of the look-behind match
-    assert out["double"] == "Kolada"
+    assert out["double"] == "Statistiken"
     assert out["end"] == ""  # the marker with nothing after it: empty, not NULL
     assert out["newline"] == "SCB"
     assert out["absent"] is None and out["null"] is None
