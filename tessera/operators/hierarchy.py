@@ -48,11 +48,17 @@ def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
     of its aspect means over indicator rows, so an aspect weighs as much as
     it has rows (G10). ``weighting="node"`` gives every aspect (and every
     theme in a part) equal weight, as the reference documents.
+
+    Plan: the rows are hash-partitioned once by (area, sex). Every level's
+    grouping keys contain those columns, so the three aggregations reuse
+    that partitioning and add no shuffle. An area's rows are bounded by the
+    catalog (indicators × sexes), whatever the data volume.
     """
     if weighting not in ("row", "node"):
         raise ValueError(f"unknown weighting: {weighting!r}")
     by = [*AREA, "sex"]
-    aspect = scored.groupBy(*by, *LEVEL_KEYS["aspect"]).agg(
+    rows = scored.repartition("area_id", "sex")
+    aspect = rows.groupBy(*by, *LEVEL_KEYS["aspect"]).agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("standard_value").alias("mean_aspect")
     )
 
@@ -68,27 +74,45 @@ def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
 def national_means(levels: Levels) -> Levels:
     """Nation-wide means from regions and from municipalities.
 
-    One grouped table per level with both means (SURVEY 4.2 #3); a mean is
-    NULL where that area type has no row, and ``n_region``/``n_municipal``
-    count the areas behind it.
+    The three levels are stacked and averaged in one aggregation (SURVEY
+    4.2 #3) keyed by (level, part, theme, aspect, sex); a mean is NULL where
+    that area type has no row, and ``n_region``/``n_municipal`` count the
+    areas behind it.
     """
+    stacked = None
+    for level in ("aspect", "theme", "part"):
+        keys = LEVEL_KEYS[level]
+        df = levels.get(level).select(
+            F.lit(level).alias("_level"),
+            *[F.col(k) if k in keys else F.lit(None).alias(k) for k in LEVEL_KEYS["aspect"]],
+            "sex",
+            "area_type",
+            F.col(f"mean_{level}").alias("_m"),
+        )
+        stacked = df if stacked is None else stacked.unionByName(df)
+    t, m = F.col("area_type"), F.col("_m")
+    nat = (
+        stacked.where(t.isin("L", "K"))
+        .groupBy("_level", *LEVEL_KEYS["aspect"], "sex")
+        .agg(
+            F.avg(F.when(t == "L", m)).alias("_nat_region"),
+            F.count(F.when(t == "L", 1)).alias("n_region"),
+            F.avg(F.when(t == "K", m)).alias("_nat_municipal"),
+            F.count(F.when(t == "K", 1)).alias("n_municipal"),
+        )
+    )
 
-    def nat(level: str) -> DataFrame:
-        df = levels.get(level)
-        m = F.col(f"mean_{level}")
-        t = F.col("area_type")
-        return (
-            df.where(t.isin("L", "K"))
-            .groupBy(*LEVEL_KEYS[level], "sex")
-            .agg(
-                F.avg(F.when(t == "L", m)).alias(f"nat_region_{level}"),
-                F.count(F.when(t == "L", 1)).alias("n_region"),
-                F.avg(F.when(t == "K", m)).alias(f"nat_municipal_{level}"),
-                F.count(F.when(t == "K", 1)).alias("n_municipal"),
-            )
+    def level_of(level: str) -> DataFrame:
+        return nat.where(F.col("_level") == level).select(
+            *LEVEL_KEYS[level],
+            "sex",
+            F.col("_nat_region").alias(f"nat_region_{level}"),
+            "n_region",
+            F.col("_nat_municipal").alias(f"nat_municipal_{level}"),
+            "n_municipal",
         )
 
-    return Levels(nat("aspect"), nat("theme"), nat("part"))
+    return Levels(level_of("aspect"), level_of("theme"), level_of("part"))
 
 
 def final_levels(levels: Levels, national: Levels) -> Levels:
@@ -110,14 +134,20 @@ def final_levels(levels: Levels, national: Levels) -> Levels:
 
 
 def finalize(scored: DataFrame, levels: Levels, national: Levels) -> DataFrame:
-    """Row-level final table: scored rows + six final means."""
+    """Row-level final table: scored rows + six final means.
+
+    The finals are assembled at aspect grain (small tables), then joined to
+    the rows once.
+    """
     fl = final_levels(levels, national)
-    out = scored
-    for level in ("aspect", "theme", "part"):
+
+    def finals(level: str) -> DataFrame:
         keys = [*AREA, "sex", *LEVEL_KEYS[level]]
-        cols = [f"mean_region_{level}_final", f"mean_municipal_{level}_final"]
-        out = join_ns(out, fl.get(level).select(*keys, *cols), keys, "left")
-    return out
+        return fl.get(level).select(*keys, f"mean_region_{level}_final", f"mean_municipal_{level}_final")
+
+    grain = join_ns(finals("aspect"), finals("theme"), [*AREA, "sex", *LEVEL_KEYS["theme"]], "left")
+    grain = join_ns(grain, finals("part"), [*AREA, "sex", *LEVEL_KEYS["part"]], "left")
+    return join_ns(scored, grain, [*AREA, "sex", *LEVEL_KEYS["aspect"]], "left")
 
 
 GEOGRAPHIES = {
