@@ -60,10 +60,13 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.avg("v").alias("mean"),
         F.max("v").alias("max"),
     )
+    # a random tiebreaker spreads a value held by many rows over several
+    # range partitions; equal values are interchangeable for ranks
     ordered = (
         long.where(F.col("v").isNotNull())
-        .repartitionByRange("column", "v")
-        .sortWithinPartitions("column", "v")
+        .withColumn("_tie", F.rand(17))
+        .repartitionByRange("column", "v", "_tie")
+        .sortWithinPartitions("column", "v", "_tie")
         .select("column", "v", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("mid"))
     )
     ordered = materialize(ordered, "summary_sorted")

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import map_prefixed, prefixed, rename_list, select_prefixed
 from tessera.functions.expr import NOT_EOL, WS, case_when, ensure_period, if_else, paste, recode, squish
 
 # Fixed values of the reference's texts (must be equal for equal output).
@@ -56,6 +57,7 @@ INDICATOR_DESC = (
     "Viktningen är lika stor för samtliga aspekter inom temat."
 )
 NA_REMNANTS = " NA | NA|NA |^NA$"
+INFO_PREFIX = "Information"
 # Geography and sex columns of the wide tables and the description columns.
 AREA_TYPES = ("K", "L")
 SEX_ORDER = ("T", "K", "M")
@@ -163,9 +165,7 @@ def theme_wide(keys: DataFrame, attributed: DataFrame) -> DataFrame:
 
 
 def part_wide(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    return widen(part_sources(keys, attributed), "part", "source_text", "source_").withColumnsRenamed(
-        {"part": "Tema"}
-    )
+    return rename_list(widen(part_sources(keys, attributed), "part", "source_text", "source_"), ["part"], ["Tema"])
 
 
 def full_outer_levels(themes: DataFrame, parts: DataFrame) -> DataFrame:
@@ -229,16 +229,18 @@ def describe(
         on_theme = paste(
             *prefix[sex], labels[geo], tema, F.lit(BASED_ON), text, F.lit(INDICATOR_DESC), F.lit(SOURCE_LABEL), src
         )
-        s = case_when((is_part, on_part), default=on_theme)
-        s = squish(F.regexp_replace(s, NA_REMNANTS, ""))
-        s = F.regexp_replace(s, f"{SOURCE_LABEL} {SOURCE_LABEL}", SOURCE_LABEL)
-        cols.append(ensure_period(s).alias(name))
+        cols.append(case_when((is_part, on_part), default=on_theme).alias(name))
     out = wide.select(tema, *cols)
+    # the reference's three passes over every Information_* column
+    out = map_prefixed(out, INFO_PREFIX, lambda c: squish(F.regexp_replace(c, NA_REMNANTS, "")))
+    out = map_prefixed(out, INFO_PREFIX, lambda c: F.regexp_replace(c, f"{SOURCE_LABEL} {SOURCE_LABEL}", SOURCE_LABEL))
+    out = map_prefixed(out, INFO_PREFIX, ensure_period)
+    out = select_prefixed(out, INFO_PREFIX, keep=["Tema"])
     if sort_table is None:
         return out
     return (
         out.join(sort_table, "Tema", "left")
-        .select("sorting", "Tema", *DESCRIPTION_COLUMNS.values())
+        .select("sorting", "Tema", *prefixed(out, INFO_PREFIX))
         .orderBy(F.col("sorting").asc_nulls_last(), "Tema")
     )
 

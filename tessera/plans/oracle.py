@@ -811,8 +811,12 @@ SELECT kpi_text AS Indikator_name, kpi AS "Number",
        has_split AS Kon_ford, last_year AS Maxar, first_year AS Lagar, logged AS "Log",
        inverted AS Omvand_skala, area_type AS Omrade_typ
 FROM flat""",
-        "q_area_labels": "SELECT code_text, area_name FROM labels",
-        "q_region_lan_key": "SELECT CAST(Lan_kod AS INTEGER) AS area_id, Lan_Namn AS region_lan, Data_lan_namn AS area_name FROM region_codes",
+        "q_area_labels": """
+SELECT o.kpi, o.area_name, o.sex, o.year, l.code_text
+FROM obs o LEFT JOIN labels l ON l.area_name = o.area_name""",
+        "q_region_lan_key": """
+SELECT o.kpi, o.area_id, o.area_name, o.sex, o.year, r.Lan_Namn AS region_lan
+FROM obs o LEFT JOIN region_codes r ON CAST(r.Lan_kod AS INTEGER) = o.area_id AND r.Data_lan_namn = o.area_name""",
     }
 )
 

@@ -405,9 +405,15 @@ def q_flat_export(spark, sf):
 
 @query("q_area_labels")
 def q_area_labels(spark, sf):
-    return export.area_labels(fixture.municipality_codes(spark, sf))
+    """Every observation with the text code of its area (U1 key, joined by name)."""
+    labels = export.area_labels(fixture.municipality_codes(spark, sf))
+    obs = ctx.observations(spark, sf).select("kpi", "area_name", "sex", "year")
+    return obs.join(labels, "area_name", "left")
 
 
 @query("q_region_lan_key")
 def q_region_lan_key(spark, sf):
-    return export.region_lan_key(fixture.region_codes(spark, sf))
+    """Every observation with its county name where it is a region (P1 key)."""
+    key = export.region_lan_key(fixture.region_codes(spark, sf))
+    obs = ctx.observations(spark, sf).select("kpi", "area_id", "area_name", "sex", "year")
+    return obs.join(key, ["area_id", "area_name"], "left")
