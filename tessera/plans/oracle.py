@@ -512,8 +512,8 @@ FROM ix GROUP BY area_id, area_name, area_type, sex, part, theme""",
 SELECT area_id, area_name, area_type, sex, part, count(*) AS n_rows, round(any_value(m_p), 6) AS mean_part
 FROM ix GROUP BY area_id, area_name, area_type, sex, part""",
     "q_rollup_node": """
-SELECT area_id, area_name, area_type, sex, part, sum(n_rows) AS n_rows, round(avg(m_t), 6) AS mean_part
-FROM (SELECT area_id, area_name, area_type, sex, part, theme, sum(n_rows) AS n_rows, avg(m_a) AS m_t
+SELECT area_id, area_name, area_type, sex, part, CAST(sum(n_rows) AS BIGINT) AS n_rows, round(avg(m_t), 6) AS mean_part
+FROM (SELECT area_id, area_name, area_type, sex, part, theme, CAST(sum(n_rows) AS BIGINT) AS n_rows, avg(m_a) AS m_t
       FROM (SELECT area_id, area_name, area_type, sex, part, theme, aspect, count(*) AS n_rows,
                    avg(standard_value) AS m_a
             FROM std_total_latest GROUP BY ALL)

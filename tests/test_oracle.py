@@ -83,3 +83,14 @@ def test_weighting_and_golden_delivery(spark):
             regs = [g[3] for g in got if g[1] == part and g[2] == kon and g[0] != "00 Riket"]
             nat = [g[3] for g in got if g[1] == part and g[2] == kon and g[0] == "00 Riket"][0]
             assert nat == pytest.approx(sum(regs) / len(regs), abs=1e-5)
+
+
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    st = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in E.queries()[name](spark, SF).schema.fields}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert st == dt
