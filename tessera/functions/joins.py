@@ -27,15 +27,14 @@ def join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     """
     keys = list(keys)
     tmp = {k: f"__r_{k}" for k in keys}
-    r = right.select(*[F.col(k).alias(tmp[k]) for k in keys], *[c for c in right.columns if c not in keys])
+    r = right.withColumnsRenamed(tmp)
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(tmp[k]))
         cond = c if cond is None else cond & c
     out = left.join(r, cond, how)
-    if how in ("right", "right_outer", "full", "outer", "full_outer"):
-        for k in keys:
-            out = out.withColumn(k, F.coalesce(F.col(k), F.col(tmp[k])))
     if how in ("left_semi", "semi", "left_anti", "anti"):
         return out
+    if how in ("right", "right_outer", "full", "outer", "full_outer"):
+        out = out.withColumns({k: F.coalesce(F.col(k), F.col(tmp[k])) for k in keys})
     return out.drop(*tmp.values())
