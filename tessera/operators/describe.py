@@ -136,8 +136,14 @@ def widen(long: DataFrame, key: str, value: str, prefix: str, types=AREA_TYPES,
     return wide.select(key, *[F.col(v).alias(f"{prefix}{v}") for v in values])
 
 
+def text_triples(attributed: DataFrame) -> DataFrame:
+    """Distinct (kpi, title, source) of the texts: the one reduction of the
+    text table that every later step reads (one scan, partial aggregation)."""
+    return attributed.select("kpi", "title", "source").distinct()
+
+
 def _with_texts(keys: DataFrame, attributed: DataFrame, col: str) -> DataFrame:
-    per_kpi = attributed.select("kpi", col).distinct()
+    per_kpi = text_triples(attributed).select("kpi", col).distinct()
     return keys.join(per_kpi, "kpi", "left")
 
 
