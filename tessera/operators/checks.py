@@ -142,3 +142,25 @@ def category_agreement(catalog: DataFrame, categories: DataFrame) -> DataFrame:
     a = catalog.select(*keys).distinct().withColumn("in_catalog", F.lit(1))
     b = categories.select(*keys).distinct().withColumn("in_categories", F.lit(1))
     return join_ns(a, b, keys, "full").where(F.col("in_catalog").isNull() | F.col("in_categories").isNull())
+
+
+def unmatched_areas(rows: DataFrame, codes: DataFrame, code_col: str, nation_type: str = "R") -> DataFrame:
+    """Areas (other than the nation) whose id has no code in ``codes``.
+
+    The delivery labels such areas as the nation, as the reference does;
+    this check lists them instead of letting that pass silently.
+    """
+    key = codes.select(F.col(code_col).alias("_code")).distinct()
+    areas = rows.where(F.col("area_type") != nation_type).select("area_id", "area_name", "area_type").distinct()
+    return areas.join(key, areas.area_id.cast("string") == key._code, "left_anti")
+
+
+def log_losses(base_before_log: DataFrame) -> DataFrame:
+    """Per indicator, flagged values the natural log turns into NULL (G6):
+    zero or negative values (R gives -Inf / NaN there)."""
+    lost = (F.col("logged") == 1) & F.col("value").isNotNull() & (F.col("value") <= 0)
+    return (
+        base_before_log.where(lost)
+        .groupBy("kpi")
+        .agg(F.count(F.lit(1)).alias("n_lost"), F.min("value").alias("min_value"))
+    )

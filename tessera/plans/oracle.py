@@ -821,5 +821,18 @@ FROM obs o LEFT JOIN region_codes r ON CAST(r.Lan_kod AS INTEGER) = o.area_id AN
 )
 
 
+SQL.update(
+    {
+        "q_check_unmatched": """
+SELECT DISTINCT f.area_id, f.area_name, f.area_type FROM fin f
+WHERE f.area_type = 'K'
+  AND NOT EXISTS (SELECT 1 FROM municipality_codes m WHERE m.Kommun_kod = CAST(f.area_id AS VARCHAR))""",
+        "q_check_log_losses": """
+SELECT kpi, count(*) AS n_lost, round(min(value), 6) AS min_value FROM imp_cat
+WHERE logged = 1 AND value IS NOT NULL AND value <= 0 GROUP BY kpi""",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _stable_round(build(v)) for k, v in SQL.items()}

@@ -425,3 +425,19 @@ def q_region_lan_key(spark, sf):
     key = export.region_lan_key(fixture.region_codes(spark, sf))
     obs = ctx.observations(spark, sf).select("kpi", "area_id", "area_name", "sex", "year")
     return obs.join(key, ["area_id", "area_name"], "left")
+
+
+@query("q_check_unmatched")
+def q_check_unmatched(spark, sf):
+    """Delivered areas without a code label (municipality key)."""
+    rows = final(spark, sf).where(F.col("area_type").isin("K", "R"))
+    return checks.unmatched_areas(rows, fixture.municipality_codes(spark, sf), "Kommun_kod")
+
+
+@query("q_check_log_losses")
+def q_check_log_losses(spark, sf):
+    """Flagged values that the log would lose, before the log is taken."""
+    imp = prepare.attach_catalog(
+        prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "reference"), ctx.catalog(spark, sf)
+    )
+    return rounded(checks.log_losses(imp))

@@ -36,3 +36,19 @@ def test_catalog_and_category_agreement(spark):
     c1 = spark.createDataFrame([("A", "T", "P", 1)], "aspect string, theme string, part string, sort_order int")
     c2 = spark.createDataFrame([("A", "T", "P", 1), ("B", "T", "P", 1)], "aspect string, theme string, part string, sort_order int")
     assert rows(C.category_agreement(c1, c2), "aspect") == [("B",)]
+
+
+def test_unmatched_areas_and_log_losses(spark):
+    rows = spark.createDataFrame(
+        [(101, "a", "K"), (102, "b", "K"), (0, "Riket", "R")], "area_id int, area_name string, area_type string"
+    )
+    codes = spark.createDataFrame([("101",)], "Kommun_kod string")
+    assert rows_of(C.unmatched_areas(rows, codes, "Kommun_kod")) == [(102, "b", "K")]
+    base = spark.createDataFrame(
+        [("x", 1, 0.0), ("x", 1, -2.0), ("x", 1, 3.0), ("y", 0, -1.0), ("z", 1, None)], "kpi string, logged int, value double"
+    )
+    assert rows_of(C.log_losses(base)) == [("x", 2, -2.0)]
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
