@@ -834,5 +834,26 @@ WHERE logged = 1 AND value IS NOT NULL AND value <= 0 GROUP BY kpi""",
 )
 
 
+cte("yr_latest_t", "SELECT kpi, area_type, max(year) AS latest_year FROM base_r GROUP BY kpi, area_type")
+cte(
+    "std_total_by_type",
+    f"""
+SELECT d.*, {SCORE} AS standard_value
+FROM (SELECT b.*, y.latest_year AS selected_year FROM base_r b
+      JOIN yr_latest_t y ON y.kpi = b.kpi AND y.area_type = b.area_type AND b.year = y.latest_year) d
+LEFT JOIN (SELECT b.kpi, b.area_type, b.inverted, min(b.value) AS min_ref, max(b.value) AS max_ref
+           FROM base_r b JOIN yr_latest_t y ON y.kpi = b.kpi AND y.area_type = b.area_type AND b.year = y.latest_year
+           WHERE b.sex = 'T' GROUP BY b.kpi, b.area_type, b.inverted) r
+  ON d.kpi {NS} r.kpi AND d.area_type {NS} r.area_type AND d.inverted {NS} r.inverted
+""",
+)
+SQL.update(
+    {
+        "q_missing_split_lag": SQL["q_missing_split"].replace("d2_latest", "d2_lag"),
+        "q_std_total_by_type": f"SELECT {SCORED_SEL} FROM std_total_by_type",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _stable_round(build(v)) for k, v in SQL.items()}

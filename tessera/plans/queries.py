@@ -441,3 +441,15 @@ def q_check_log_losses(spark, sf):
         prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "reference"), ctx.catalog(spark, sf)
     )
     return rounded(checks.log_losses(imp))
+
+
+@query("q_missing_split_lag")
+def q_missing_split_lag(spark, sf):
+    return standardize.missing_split(ctx.marked_base(spark, sf), "lag", 5)
+
+
+@query("q_std_total_by_type")
+def q_std_total_by_type(spark, sf):
+    """Total mode with the latest year taken per area type (G7 option)."""
+    df = standardize.standardize(ctx.marked_base(spark, sf), "total", "latest", year_scope="area_type")
+    return rounded(df.select(*SCORED_COLS))
