@@ -35,10 +35,6 @@ def build(select: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select.strip()
 
 
-def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) AS {alias}"
-
-
 def xif(cond: str, yes: str, no: str) -> str:
     """Strict if/else: NULL condition gives NULL."""
     return f"CASE WHEN {cond} THEN {yes} WHEN NOT ({cond}) THEN {no} END"

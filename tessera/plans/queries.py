@@ -220,9 +220,6 @@ def levels(spark, sf, weighting="row", scored_rows: DataFrame | None = None) ->
     return hierarchy.roll_up(scored(spark, sf) if scored_rows is None else scored_rows, weighting)
 
 
-AREA_SEX = ["area_id", "area_name", "area_type", "sex"]
-
-
 @query("q_rollup_aspect")
 def q_rollup_aspect(spark, sf):
     return rounded(levels(spark, sf).aspect)
