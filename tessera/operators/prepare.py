@@ -111,13 +111,15 @@ def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
         F.count(F.col("value")).alias("_n_valued"),
         F.max(F.when(F.col("area_name") == nation_name, 1)).alias("_has_nation"),
     )
+    # one row per id carrying the nation's name (one in valid data); every
+    # created cell has that same key, so it is broadcast rather than shuffled
     nation_key = (
         o.where(F.col("area_name") == nation_name).select("area_name", "area_id", "area_group").distinct()
     )
     created = (
         g.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0))
         .withColumn("area_name", F.lit(nation_name))
-        .join(nation_key, "area_name")
+        .join(F.broadcast(nation_key), "area_name")
         .select(
             "kpi",
             "area_id",
@@ -185,7 +187,7 @@ def _impute_documented(obs: DataFrame, nation_name: str) -> DataFrame:
     areas = o.select("area_name", "area_id", "area_type", "area_group").distinct()
     local_cells = areas.where(F.col("area_name") != nation_name).join(county, "area_group")
     nation_cells = national.withColumn("area_name", F.lit(nation_name)).join(
-        areas.where(F.col("area_name") == nation_name), "area_name"
+        F.broadcast(areas.where(F.col("area_name") == nation_name)), "area_name"
     )
     cells = local_cells.unionByName(nation_cells).withColumnsRenamed(
         {"area_id": "_c_id", "area_type": "_c_type", "area_group": "_c_group"}
