@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import describe, hierarchy, prepare, standardize
+from tessera.session import materialize
 from tessera.sources import files
 
 # File names of the publication tables ({year} = stamp year).
@@ -70,7 +71,8 @@ def publish_index(
     Parquet next to them.
     """
     base = prepare.mark_national(files.read_table(spark, base_path))
-    scored = standardize.standardize(base, split_mode, year_mode, lag)
+    # five outputs read the scores: computed once, handed over as a file
+    scored = materialize(standardize.standardize(base, split_mode, year_mode, lag), "scored")
     levels = hierarchy.roll_up(scored, weighting)
     national = hierarchy.national_means(levels)
     files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=())
