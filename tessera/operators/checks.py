@@ -49,10 +49,10 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     are read back. No column is ever gathered into one task.
     """
     probs = tuple(QUANTILE_NAMES)
-    long = None
-    for c in columns:
-        part = df.select(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-        long = part if long is None else long.unionByName(part)
+    # one pass over the rows: each row becomes one (column, value) row per column
+    long = df.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
+    )
     stats = long.groupBy("column").agg(
         F.count("v").alias("n"),
         F.count(F.when(F.col("v").isNull(), 1)).alias("n_null"),
@@ -117,7 +117,11 @@ def catalog_agreement_tally(agreement: DataFrame) -> DataFrame:
 
 
 def part_by_region(final: DataFrame, part: str, sex: str = "T") -> DataFrame:
-    """Part index of regions and the nation for one part and sex."""
+    """Part index of regions and the nation for one part and sex.
+
+    ``final`` may be the row-level final table or the part-level finals
+    (``hierarchy.final_levels(...).part``); both give the same rows.
+    """
     return (
         final.where((F.col("part") == part) & (F.col("sex") == sex) & F.col("area_type").isin("L", "R"))
         .select("part", "area_name", "area_type", "sex", "mean_region_part_final")

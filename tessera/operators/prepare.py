@@ -53,7 +53,8 @@ def observation_span(obs: DataFrame, window: int = 6) -> DataFrame:
             F.max(valued_year).alias("last_year"),
             # distinct valued years: bounded by the calendar, combined map-side
             F.array_sort(F.collect_set(valued_year)).alias("_years"),
-            F.count_distinct(split_sex).alias("_n_split"),
+            # distinct split sexes: at most a few values, one aggregation
+            F.size(F.collect_set(split_sex)).alias("_n_split"),
         )
         .where(F.col("last_year").isNotNull())
     )

@@ -388,7 +388,9 @@ def q_check_catalog_tally(spark, sf):
 
 @query("q_check_part_by_region")
 def q_check_part_by_region(spark, sf):
-    return rounded(checks.part_by_region(final(spark, sf), PARTS[0]))
+    lv = levels(spark, sf)
+    parts = hierarchy.final_levels(lv, hierarchy.national_means(lv)).part
+    return rounded(checks.part_by_region(parts, PARTS[0]))
 
 
 @query("q_check_national")
