@@ -97,28 +97,25 @@ def area_groups(obs: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------- D3/D4 completion
-def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
-    """Observed rows plus the nation cells the reference's grid creates.
-
-    The reference crosses (indicator, sex) × year × area and left-joins the
-    observations back. Every created cell except the nation's has a NULL
-    area type and is dropped again by the imputation (finding 2), so only the
-    nation cells that can receive a value are built: one per
-    (indicator, year, sex) group that has a value but no nation row. No cross
-    join is needed; created rows have ``value`` NULL and no span columns.
-    """
-    o = obs.withColumn("area_group", area_group_expr())
-    g = o.groupBy("kpi", "year", "sex").agg(
+def _cell_stats(o: DataFrame, nation_name: str) -> DataFrame:
+    """Per (kpi, year, sex): number of values, whether the nation has a row,
+    and the mean of all values (the nation fill)."""
+    return o.groupBy("kpi", "year", "sex").agg(
         F.count(F.col("value")).alias("_n_valued"),
         F.max(F.when(F.col("area_name") == nation_name, 1)).alias("_has_nation"),
+        F.avg("value").alias("_mean_all"),
     )
+
+
+def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> DataFrame:
+    """The nation cells the grid creates: groups with a value but no nation row."""
     # one row per id carrying the nation's name (one in valid data); every
     # created cell has that same key, so it is broadcast rather than shuffled
     nation_key = (
         o.where(F.col("area_name") == nation_name).select("area_name", "area_id", "area_group").distinct()
     )
-    created = (
-        g.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0))
+    return (
+        stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0))
         .withColumn("area_name", F.lit(nation_name))
         .join(F.broadcast(nation_key), "area_name")
         .select(
@@ -129,9 +126,23 @@ def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
             "area_group",
             "sex",
             "year",
-            F.lit(None).cast("double").alias("value"),
+            value.alias("value"),
         )
     )
+
+
+def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
+    """Observed rows plus the nation cells the reference's grid creates.
+
+    The reference crosses (indicator, sex) × year × area and left-joins the
+    observations back. Every created cell except the nation's has a NULL
+    area type and is dropped again by the imputation (finding 2), so only the
+    nation cells that can receive a value are built: one per
+    (indicator, year, sex) group that has a value but no nation row. No cross
+    join is needed; created rows have ``value`` NULL and no span columns.
+    """
+    o = obs.withColumn("area_group", area_group_expr())
+    created = _nation_cells(o, _cell_stats(o, nation_name), nation_name, F.lit(None).cast("double"))
     return o.unionByName(created, allowMissingColumns=True)
 
 
@@ -159,13 +170,18 @@ def impute(obs: DataFrame, mode: str = "reference", nation_name: str = NATION_NA
 
 
 def _impute_reference(obs: DataFrame, nation_name: str) -> DataFrame:
-    grid = complete_grid(obs, nation_name)
+    o = obs.withColumn("area_group", area_group_expr())
     is_nation = F.col("area_name") == nation_name
-    # Nation fill from the mean over all areas of (kpi, year, sex)
-    g1 = grid.groupBy("kpi", "year", "sex").agg(F.avg("value").alias("_mean_all"))
-    step1 = join_ns(grid, g1, ["kpi", "year", "sex"], "left").withColumn(
+    # Nation fill from the mean over all areas of (kpi, year, sex). One
+    # aggregate serves the grid completion and the fill: created cells carry
+    # no value, so they do not change the mean.
+    stats = _cell_stats(o, nation_name)
+    existing = join_ns(o, stats.select("kpi", "year", "sex", "_mean_all"), ["kpi", "year", "sex"], "left")
+    existing = existing.withColumn(
         "value", if_else(is_nation & F.col("value").isNull(), F.col("_mean_all"), F.col("value"))
-    )
+    ).drop("_mean_all")
+    created = _nation_cells(o, stats, nation_name, F.col("_mean_all"))
+    step1 = existing.unionByName(created, allowMissingColumns=True)
     # County-group mean, computed before the fill, kept on municipality rows
     g2 = step1.groupBy("area_group", "kpi", "year", "sex").agg(F.avg("value").alias("_grp_mean"))
     is_k = F.col("area_type") == "K"
