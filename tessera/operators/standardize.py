@@ -9,6 +9,8 @@ handful of indicator keys ships every row to a few tasks (SURVEY 4.2 #1).
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ YEAR_MODES = {
     "latest_year_lag": "lag",
 }
 YEAR_SCOPES = {"kpi": ("kpi",), "area_type": ("kpi", "area_type")}
+_log = logging.getLogger(__name__)
 
 
 def _mode(table: dict, value: str, what: str) -> str:
@@ -102,9 +105,14 @@ def standardize(
     year_mode: str = "latest",
     lag: int = 5,
     year_scope: str = "kpi",
+    validate: bool = False,
 ) -> DataFrame:
     """Score the selected year of every indicator on 0..100.
 
+    ``validate=True`` counts the (kpi, area_type, year) groups of the
+    selected year that miss a sex and logs a warning, as the reference's
+    validation prints them; ``missing_split`` returns the groups themselves.
+
     Scores leave 0..100 when the scored rows are not part of the reference
     group (men/women under ``total``, lagged years: finding 3). The nation is
     alone in its reference group and scores 0 except under ``pooled`` (G13).
@@ -116,6 +124,12 @@ def standardize(
     """
     mode = _mode(SPLIT_MODES, split_mode, "split mode")
     _mode(YEAR_MODES, year_mode, "year mode")
+    if validate:
+        n = missing_split(base, year_mode, lag).count()
+        if n:
+            _log.warning("%d (kpi, area_type, year) groups of the selected year miss a sex", n)
+        else:
+            _log.info("every sex is present in each indicator's selected year")
     b = _with_years(base, year_mode, lag, year_scope)
     data = b.where(F.col("year") == F.col("selected_year")).drop("latest_year")
     ref = _range(*_reference_rows(b, mode))

@@ -87,3 +87,11 @@ def test_per_year_bounded(spark):
     out = S.standardize_per_year(df)
     lo, hi = out.agg(F.min("standard_value"), F.max("standard_value")).first()
     assert lo >= 0.0 and hi <= 100.0
+
+
+def test_validate_logs_missing_sexes(spark, caplog):
+    import logging
+
+    with caplog.at_level(logging.WARNING, logger="tessera.operators.standardize"):
+        S.standardize(_frame(spark), "total", validate=True)
+    assert any("miss a sex" in r.message for r in caplog.records)
