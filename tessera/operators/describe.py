@@ -118,8 +118,9 @@ def collapse_by_group(df: DataFrame, keys: Sequence[str], col: str, out: str, se
     Values are joined in sorted order (the reference's order of first
     appearance has no meaning on a distributed table).
     """
-    d = df.select(*keys, col).distinct()
-    return d.groupBy(*keys).agg(
+    # collect_set de-duplicates (map-side too); the guard only tests whether a
+    # NULL is present, which duplicates do not change, so no distinct() first
+    return df.groupBy(*keys).agg(
         F.when(F.count(F.lit(1)) == F.count(col), F.array_join(F.array_sort(F.collect_set(col)), sep)).alias(out)
     )
 
