@@ -75,7 +75,7 @@ def publish_index(
     scored = materialize(standardize.standardize(base, split_mode, year_mode, lag), "scored")
     levels = hierarchy.roll_up(scored, weighting)
     national = hierarchy.national_means(levels)
-    files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=())
+    files.write_table(hierarchy.finalize(scored, national, weighting), f"{out_dir}/final", partition_by=())
     codes = {
         "municipality": files.read_municipality_codes(spark, municipality_codes_path),
         "region": files.read_region_codes(spark, region_codes_path),

@@ -263,7 +263,7 @@ FINAL_COLS = [f"mean_{g}_{lv}_final" for g in ("region", "municipal") for lv in
 def final(spark, sf) -> DataFrame:
     rows = scored(spark, sf)
     lv = levels(spark, sf, scored_rows=rows)
-    return hierarchy.finalize(rows, lv, hierarchy.national_means(lv))
+    return hierarchy.finalize(rows, hierarchy.national_means(lv))
 
 
 @query("q_final")
