@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import cut_after_dash, if_else, paste, recode
@@ -49,16 +49,15 @@ def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
     it has rows (G10). ``weighting="node"`` gives every aspect (and every
     theme in a part) equal weight, as the reference documents.
 
-    Plan: the rows are hash-partitioned once by (area, sex). Every level's
-    grouping keys contain those columns, so the three aggregations reuse
-    that partitioning and add no shuffle. An area's rows are bounded by the
-    catalog (indicators × sexes), whatever the data volume.
+    Plan: every level is an aggregation with map-side partial aggregation,
+    so rows are combined before any shuffle (duplicated rows of one area
+    cannot pile up in one task), and each level reads the smaller table
+    below it.
     """
     if weighting not in ("row", "node"):
         raise ValueError(f"unknown weighting: {weighting!r}")
     by = [*AREA, "sex"]
-    rows = scored.repartition("area_id", "sex")
-    aspect = rows.groupBy(*by, *LEVEL_KEYS["aspect"]).agg(
+    aspect = scored.groupBy(*by, *LEVEL_KEYS["aspect"]).agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("standard_value").alias("mean_aspect")
     )
 
@@ -133,51 +132,22 @@ def final_levels(levels: Levels, national: Levels) -> Levels:
     return Levels(fin("aspect"), fin("theme"), fin("part"))
 
 
-def row_means(scored: DataFrame, weighting: str = "row") -> DataFrame:
-    """Aspect, theme and part means on every scored row (W4–W6, row form).
-
-    The reference's ``group_by() %>% mutate()`` as windows over the rows
-    hash-partitioned by (area, sex): every window's keys contain those
-    columns, so no shuffle beyond that one partitioning, and each window
-    partition is one area's node (bounded by the catalog). ``"node"``
-    averages only the first row of each child node, giving every aspect
-    (theme) equal weight exactly.
-    """
-    if weighting not in ("row", "node"):
-        raise ValueError(f"unknown weighting: {weighting!r}")
-    by = [*AREA, "sex"]
-    rows = scored.repartition("area_id", "sex")
-    w = {lv: Window.partitionBy(*by, *LEVEL_KEYS[lv]) for lv in LEVEL_KEYS}
-    out = rows.withColumn("mean_aspect", F.avg("standard_value").over(w["aspect"]))
-    if weighting == "row":
-        out = out.withColumn("mean_theme", F.avg("mean_aspect").over(w["theme"]))
-        return out.withColumn("mean_part", F.avg("mean_theme").over(w["part"]))
-    # any one row per child node: all its rows carry the same mean
-    first_aspect = F.row_number().over(w["aspect"].orderBy(F.lit(0))) == 1
-    out = out.withColumn("mean_theme", F.avg(F.when(first_aspect, F.col("mean_aspect"))).over(w["theme"]))
-    first_theme = F.row_number().over(w["theme"].orderBy(F.lit(0))) == 1
-    return out.withColumn("mean_part", F.avg(F.when(first_theme, F.col("mean_theme"))).over(w["part"]))
-
-
-def finalize(scored: DataFrame, national: Levels, weighting: str = "row") -> DataFrame:
+def finalize(scored: DataFrame, levels: Levels, national: Levels) -> DataFrame:
     """Row-level final table: scored rows + six final means.
 
-    Own means come from :func:`row_means`; the three national tables are
-    joined to each other first (small), then to the rows once.
+    The finals are assembled at aspect grain from the pre-aggregated level
+    tables (small), then joined to the rows once; a hot key on the row side
+    is split by AQE's skew join rather than sent to one task.
     """
-    r = row_means(scored, weighting)
-    na = national.aspect.select(*LEVEL_KEYS["aspect"], "sex", "nat_region_aspect", "nat_municipal_aspect")
-    nt = national.theme.select(*LEVEL_KEYS["theme"], "sex", "nat_region_theme", "nat_municipal_theme")
-    np_ = national.part.select(*LEVEL_KEYS["part"], "sex", "nat_region_part", "nat_municipal_part")
-    nat = join_ns(join_ns(na, nt, [*LEVEL_KEYS["theme"], "sex"], "left"), np_, [*LEVEL_KEYS["part"], "sex"], "left")
-    j = join_ns(r, nat, [*LEVEL_KEYS["aspect"], "sex"], "left")
-    is_r = F.col("area_type") == "R"
-    finals = [
-        if_else(is_r, F.col(f"nat_{g}_{lv}"), F.col(f"mean_{lv}")).alias(f"mean_{g}_{lv}_final")
-        for g in ("region", "municipal")
-        for lv in ("aspect", "theme", "part")
-    ]
-    return j.select(*scored.columns, *finals)
+    fl = final_levels(levels, national)
+
+    def finals(level: str) -> DataFrame:
+        keys = [*AREA, "sex", *LEVEL_KEYS[level]]
+        return fl.get(level).select(*keys, f"mean_region_{level}_final", f"mean_municipal_{level}_final")
+
+    grain = join_ns(finals("aspect"), finals("theme"), [*AREA, "sex", *LEVEL_KEYS["theme"]], "left")
+    grain = join_ns(grain, finals("part"), [*AREA, "sex", *LEVEL_KEYS["part"]], "left")
+    return join_ns(scored, grain, [*AREA, "sex", *LEVEL_KEYS["aspect"]], "left")
 
 
 GEOGRAPHIES = {

@@ -63,20 +63,10 @@ def test_deliver_labels_and_theme_cut(spark):
         H.deliver(lv, H.national_means(lv), codes, "aspect", "region")
 
 
-def test_row_means_equal_level_tables(spark):
-    for weighting in ("row", "node"):
-        lv = H.roll_up(_scored(spark), weighting)
-        theme = {(r.area_id, r.theme): r.mean_theme for r in lv.theme.collect()}
-        part = {r.area_id: r.mean_part for r in lv.part.collect()}
-        for r in H.row_means(_scored(spark), weighting).collect():
-            assert r.mean_theme == pytest.approx(theme[(r.area_id, r.theme)]) or (r.mean_theme is None and theme[(r.area_id, r.theme)] is None)
-            assert r.mean_part == pytest.approx(part[r.area_id])
-
-
 def test_finalize_rows(spark):
     s = _scored(spark)
     lv = H.roll_up(s)
-    out = {(r.area_id, r.aspect): r for r in H.finalize(s, H.national_means(lv)).collect()}
+    out = {(r.area_id, r.aspect): r for r in H.finalize(s, lv, H.national_means(lv)).collect()}
     assert out[(0, "A1")].mean_region_aspect_final == pytest.approx((90 + 50) / 2)  # nation: mean of regions
     assert out[(0, "A1")].mean_municipal_aspect_final == pytest.approx(20.0)
     assert out[(1, "A2")].mean_region_theme_final == pytest.approx((90 + 30 * 3) / 4)
