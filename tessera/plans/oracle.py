@@ -851,5 +851,47 @@ SQL.update(
 )
 
 
+cte(
+    "node_aspect",
+    """
+SELECT area_id, area_name, area_type, sex, part, theme, aspect, avg(standard_value) AS m_a
+FROM std_total_latest GROUP BY area_id, area_name, area_type, sex, part, theme, aspect
+""",
+)
+cte(
+    "node_theme",
+    """
+SELECT area_id, area_name, area_type, sex, part, theme, avg(m_a) AS m_t
+FROM node_aspect GROUP BY area_id, area_name, area_type, sex, part, theme
+""",
+)
+cte(
+    "node_part",
+    """
+SELECT area_id, area_name, area_type, sex, part, avg(m_t) AS m_p
+FROM node_theme GROUP BY area_id, area_name, area_type, sex, part
+""",
+)
+cte(
+    "node_final",
+    f"""
+SELECT p.area_id, p.area_name, p.area_type, p.sex, p.part,
+       {xif("p.area_type = 'R'", "n.nat", "p.m_p")} AS v
+FROM node_part p
+LEFT JOIN (SELECT part, sex, avg(m_p) AS nat FROM node_part WHERE area_type = 'L' GROUP BY part, sex) n
+  ON n.part {NS} p.part AND n.sex {NS} p.sex
+WHERE p.area_type IN ('L', 'R')
+""",
+)
+SQL.update(
+    {
+        "q_total_region_node": f"""
+SELECT CASE WHEN k.Lan_kod_S IS NULL THEN '00 Riket' ELSE k.Lan_kod_S || ' ' || coalesce(k.Lan_Namn, 'NA') END AS "Region",
+       x.part AS "Del", {SEX_LABEL.replace("sex", "x.sex")} AS "Kon", round(x.v, 6) AS "Varde_stand"
+FROM node_final x LEFT JOIN region_codes k ON k.Lan_kod = CAST(x.area_id AS VARCHAR)""",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _stable_round(build(v)) for k, v in SQL.items()}

@@ -452,3 +452,12 @@ def q_std_total_by_type(spark, sf):
     """Total mode with the latest year taken per area type (G7 option)."""
     df = standardize.standardize(ctx.marked_base(spark, sf), "total", "latest", year_scope="area_type")
     return rounded(df.select(*SCORED_COLS))
+
+
+@query("q_total_region_node")
+def q_total_region_node(spark, sf):
+    """The published total index by region with equal weights per aspect and
+    theme (the documented weighting, G10)."""
+    lv = levels(spark, sf, "node")
+    codes = fixture.region_codes(spark, sf)
+    return rounded(hierarchy.deliver(lv, hierarchy.national_means(lv), codes, "part", "region"))
