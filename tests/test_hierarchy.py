@@ -70,3 +70,22 @@ def test_finalize_rows(spark):
     assert out[(0, "A1")].mean_region_aspect_final == pytest.approx((90 + 50) / 2)  # nation: mean of regions
     assert out[(0, "A1")].mean_municipal_aspect_final == pytest.approx(20.0)
     assert out[(1, "A2")].mean_region_theme_final == pytest.approx((90 + 30 * 3) / 4)
+
+
+def test_null_keys_form_groups_and_match(spark):
+    # An indicator missing from the catalog has NULL part/theme/aspect;
+    # it forms its own group and its rows still get that group's means
+    d = [
+        (1, "a", "L", "T", None, None, None, 40.0),
+        (1, "a", "L", "T", None, None, None, 60.0),
+        (1, "a", "L", "T", "P", "T1", "A1", 10.0),
+        (2, "b", "L", "T", None, None, None, 20.0),
+    ]
+    s = spark.createDataFrame(d, SCORED)
+    lv = H.roll_up(s)
+    nat = H.national_means(lv)
+    out = [r for r in H.finalize(s, lv, nat).collect() if r.part is None]
+    assert len(out) == 3
+    assert {r.area_id: r.mean_region_part_final for r in out} == {1: 50.0, 2: 20.0}
+    nat_null = [r for r in nat.part.collect() if r.part is None][0]
+    assert nat_null.nat_region_part == pytest.approx(35.0)
