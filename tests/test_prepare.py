@@ -85,3 +85,16 @@ def test_mark_national_and_log(spark):
     d = [("X", 0, "Riket", "L", "T", 2020, 1.0), ("X", 1, None, "L", "T", 2020, 1.0), ("X", 2, "R2", "L", "T", 2020, 1.0)]
     out = rows(prepare.mark_national(spark.createDataFrame(d, OBS)), "area_id", "area_type")
     assert out == [(0, "R"), (1, None), (2, "L")]
+
+
+def test_impute_null_sex_is_its_own_group(spark):
+    d = [
+        ("X", 101, "Kom A", "K", None, 2020, 10.0),
+        ("X", 102, "Kom B", "K", None, 2020, 30.0),
+        ("X", 0, "Riket", "L", None, 2020, None),
+        ("X", 101, "Kom A", "K", "T", 2020, 100.0),
+        ("X", 0, "Riket", "L", "T", 2020, None),
+    ]
+    out = {(r.area_name, r.sex): r.value for r in prepare.impute(prepare.with_span(spark.createDataFrame(d, OBS))).collect()}
+    assert out[("Riket", None)] == pytest.approx(20.0)
+    assert out[("Riket", "T")] == pytest.approx(100.0)
