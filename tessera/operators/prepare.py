@@ -250,7 +250,7 @@ def build_base(
     nation_name: str = NATION_NAME,
     run_date: _dt.date | str | None = None,
 ) -> DataFrame:
-    """Script 01 end to end: span, completion and imputation, catalog, log."""
+    """Observations to base table: span, completion and imputation, catalog, log."""
     base = impute(with_span(obs), mode, nation_name)
     out = log_values(attach_catalog(base, catalog))
     return stamp(out, run_date) if run_date is not None else out

@@ -3,7 +3,7 @@
 The observation fixture is the only stage that reads the large driver
 tables; it is written to the shared folder (``spark.checkpoint.dir``) once,
 and so is the imputed base table, which is the reference's own hand-off
-between its scripts. Downstream queries start from these small tables, so a
+between its steps. Downstream queries start from these small tables, so a
 lost executor re-reads a file instead of re-running the lineitem joins.
 """
 

@@ -81,7 +81,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage (a lost executor re-reads the table instead of
     recomputing the upstream joins) and is how pipeline stages hand over,
-    like the reference's base-table file between its scripts.
+    like the base-table file the reference hands between its steps.
     """
     spark = df.sparkSession
     root = checkpoint_root(spark).rstrip("/")
