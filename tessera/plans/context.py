@@ -1,4 +1,4 @@
-"""Materialized pipeline inputs, built once per session and data folder.
+"""Materialized index inputs, built once per session and data folder.
 
 The observation fixture is the only stage that reads the large driver
 tables; it is written to the shared folder (``spark.checkpoint.dir``) once,

@@ -1,5 +1,5 @@
 """Session helpers: building a session for tests/bench, and the shared folder
-used to cut lineage between pipeline stages.
+used to cut lineage between processing steps.
 
 On a cluster the shared folder is whatever the cluster names in
 ``spark.checkpoint.dir``; it is only chosen here when that is unset and the
@@ -80,7 +80,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the table instead of
-    recomputing the upstream joins) and is how pipeline stages hand over,
+    recomputing the upstream joins) and is how processing steps hand over,
     like the base-table file the reference hands between its steps.
     """
     spark = df.sparkSession

@@ -1,4 +1,4 @@
-"""Inputs of the index pipeline derived from the driver's TPC-H-style tables.
+"""Inputs of the index computation derived from the driver's TPC-H-style tables.
 
 The reference fetches regional statistics from a web service; here the same
 long table *(indicator, area, sex, year, value)* is aggregated from
