@@ -38,3 +38,23 @@ def join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     if how in ("right", "right_outer", "full", "outer", "full_outer"):
         out = out.withColumns({k: F.coalesce(F.col(k), F.col(tmp[k])) for k in keys})
     return out.drop(*tmp.values())
+
+
+SIZE_CHECK_CONF = "spark.tessera.sizeCheckedJoins"
+
+
+def join_back(rows: DataFrame, agg: DataFrame, keys: Sequence[str], how: str = "inner", name: str = "groups") -> DataFrame:
+    """Join a per-group aggregate back to the rows it summarizes (null-safe).
+
+    By default the broadcast decision is AQE's, from runtime sizes. With
+    ``spark.tessera.sizeCheckedJoins=true`` the aggregate is first written to
+    the shared folder, so the planner sees its real size before planning:
+    a small one is broadcast and the large side is never shuffled for this
+    join; a large one still gets a shuffle join. Worth it when the rows are
+    large; each check costs one small write job.
+    """
+    if rows.sparkSession.conf.get(SIZE_CHECK_CONF, "false").lower() == "true":
+        from tessera.session import materialize
+
+        agg = materialize(agg, name)
+    return join_ns(rows, agg, keys, how)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import if_else, log_flagged
-from tessera.functions.joins import join_ns
+from tessera.functions.joins import join_back, join_ns
 from tessera.schemas import NATION_NAME, REGION_NAME_PATTERN, SPLIT_PATTERN
 
 SPAN_COLUMNS = ("first_year", "last_year", "has_split")
@@ -176,7 +176,7 @@ def _impute_reference(obs: DataFrame, nation_name: str) -> DataFrame:
     # aggregate serves the grid completion and the fill: created cells carry
     # no value, so they do not change the mean.
     stats = _cell_stats(o, nation_name)
-    existing = join_ns(o, stats.select("kpi", "year", "sex", "_mean_all"), ["kpi", "year", "sex"], "left")
+    existing = join_back(o, stats.select("kpi", "year", "sex", "_mean_all"), ["kpi", "year", "sex"], "left", "cell_means")
     existing = existing.withColumn(
         "value", if_else(is_nation & F.col("value").isNull(), F.col("_mean_all"), F.col("value"))
     ).drop("_mean_all")
@@ -187,7 +187,7 @@ def _impute_reference(obs: DataFrame, nation_name: str) -> DataFrame:
     is_k = F.col("area_type") == "K"
     is_l = F.col("area_type") == "L"
     out = (
-        join_ns(step1, g2, ["area_group", "kpi", "year", "sex"], "left")
+        join_back(step1, g2, ["area_group", "kpi", "year", "sex"], "left", "group_means")
         .withColumn("value_mean_group", if_else(is_k, F.col("_grp_mean"), F.lit(None).cast("double")))
         .withColumn("value", if_else(is_k & F.col("value").isNull(), F.col("value_mean_group"), F.col("value")))
         .withColumn("value", if_else(is_l & F.col("value").isNull(), F.col("value_mean_group"), F.col("value")))

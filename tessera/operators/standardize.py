@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import min_max_score
-from tessera.functions.joins import join_ns
+from tessera.functions.joins import join_back
 from tessera.schemas import SEXES
 
 SPLIT_MODES = {
@@ -65,7 +65,7 @@ def select_year(base: DataFrame, year_mode: str = "latest", lag: int = 5, year_s
 
 def _with_years(base: DataFrame, year_mode: str, lag: int, year_scope: str) -> DataFrame:
     keys = list(_mode(YEAR_SCOPES, year_scope, "year scope"))
-    return join_ns(base, select_year(base, year_mode, lag, year_scope), keys)
+    return join_back(base, select_year(base, year_mode, lag, year_scope), keys, name="years")
 
 
 def selected_rows(base: DataFrame, year_mode: str = "latest", lag: int = 5, year_scope: str = "kpi") -> DataFrame:
@@ -134,7 +134,7 @@ def standardize(
     data = b.where(F.col("year") == F.col("selected_year")).drop("latest_year")
     ref = _range(*_reference_rows(b, mode))
     keys = ["kpi", "area_type", "inverted"] + (["sex"] if mode == "separate" else [])
-    scored = join_ns(data, ref, keys, "left").withColumn(
+    scored = join_back(data, ref, keys, "left", name="reference_range").withColumn(
         "standard_value",
         min_max_score(F.col("value"), F.col("min_ref"), F.col("max_ref"), F.col("inverted")),
     )
@@ -162,7 +162,7 @@ def standardize_per_year(base: DataFrame) -> DataFrame:
     keys = ["kpi", "area_type", "sex", "year"]
     ref = base.groupBy(*keys).agg(F.min("value").alias("min_ref"), F.max("value").alias("max_ref"))
     return (
-        join_ns(base, ref, keys, "left")
+        join_back(base, ref, keys, "left", name="reference_range")
         .withColumn(
             "standard_value",
             min_max_score(F.col("value"), F.col("min_ref"), F.col("max_ref"), F.col("inverted")),
