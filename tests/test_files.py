@@ -98,3 +98,16 @@ def test_streaming_landing(spark, tmp_dir):
     q.awaitTermination(120)
     got = spark.read.parquet(sink)
     assert rows(got, "kpi", "value") == [("N01", 3.0), ("N02", 4.0)]
+
+
+def test_gzip_csv_exchange(spark, tmp_dir):
+    # The base table exchanged as compressed ;-CSV with decimal commas
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("kpi", T.StringType()), T.StructField("value", T.DoubleType())])
+    df = spark.createDataFrame([("N1", 1.25), ("N2", None), ("N3", -3.5)], schema)
+    out = os.path.join(tmp_dir, "base_csv")
+    files.write_semicolon_csv(df, out, compression="gzip")
+    assert glob.glob(os.path.join(out, "*.csv.gz"))
+    back = files.read_semicolon_csv(spark, out, schema, decimal_comma=["value"])
+    assert rows(back) == rows(df)
