@@ -184,9 +184,10 @@ def full_outer_levels(themes: DataFrame, parts: DataFrame) -> DataFrame:
     return t.join(p, "Tema", "full")
 
 
-def coalesce_levels(themes: DataFrame, parts: DataFrame, part_sorting: Mapping[str, int]) -> DataFrame:
+def coalesce_levels(themes: DataFrame, parts: DataFrame, part_sorting: Mapping[str, int] | DataFrame) -> DataFrame:
     """Stack themes and parts, first non-NULL value per column and ``Tema``
-    (U3, A18), plus the part sort code as text.
+    (U3, A18), plus the part sort code as text (``part_sorting``: a mapping,
+    or a DataFrame of ``Tema, sorting`` rows for the parts).
 
     "First" is made exact by a source rank (themes before parts) instead of
     relying on row arrival order.
@@ -198,6 +199,9 @@ def coalesce_levels(themes: DataFrame, parts: DataFrame, part_sorting: Mapping[s
     merged = stacked.groupBy("Tema").agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in cols]
     )
+    if isinstance(part_sorting, DataFrame):
+        codes = part_sorting.select("Tema", F.col("sorting").cast("string").alias("sorting"))
+        return merged.join(codes, "Tema", "left")
     sort = None
     for label, code in part_sorting.items():
         cond = F.col("Tema") == label
@@ -208,20 +212,26 @@ def coalesce_levels(themes: DataFrame, parts: DataFrame, part_sorting: Mapping[s
 # ------------------------------------------------------ D18 descriptions
 def describe(
     wide: DataFrame,
-    part_labels: Sequence[str],
+    part_labels: Sequence[str] | DataFrame,
     sustainability_part: str,
     sort_table: DataFrame | None = None,
 ) -> DataFrame:
     """Six published description texts per theme and part.
 
-    ``part_labels`` are the part names (the reference's two parts);
+    ``part_labels`` are the part names (the reference's two parts), as a
+    list or as a DataFrame with a ``Tema`` column;
     ``sustainability_part`` is the part described with the sustainability
     text, the others get the quality-of-life text. NULL pieces print as
     ``NA`` and are then cut out with their spaces, as in the reference (G9).
     ``sort_table`` (Tema, sorting) orders the result.
     """
     tema = F.col("Tema")
-    is_part = tema.isin(*part_labels)
+    if isinstance(part_labels, DataFrame):
+        marks = part_labels.select("Tema").distinct().withColumn("_is_part", F.lit(True))
+        wide = wide.join(marks, "Tema", "left")
+        is_part = F.coalesce(F.col("_is_part"), F.lit(False))
+    else:
+        is_part = tema.isin(*part_labels)
     part_desc = if_else(tema == sustainability_part, F.lit(SUSTAINABILITY_DESC), F.lit(QUALITY_OF_LIFE_DESC))
     labels = {
         "L": if_else(is_part, F.lit(REGION_INDEX), F.lit(REGION_THEME_INDEX)),

@@ -109,11 +109,9 @@ def publish_descriptions(
     texts = describe.attribution(files.read_texts(spark, texts_path, texts_format), marker=marker)
     keys = describe.index_keys(base)
     sorting = describe.sort_table(catalog)
-    # part labels and their sort codes: a handful of catalog rows, needed as
-    # parameters of the text templates (not data passing through the driver)
-    part_rows = sorting.join(catalog.select(F.col("part").alias("Tema")).distinct(), "Tema").collect()
-    part_sorting = {r.Tema: r.sorting for r in part_rows}
+    parts = catalog.select(F.col("part").alias("Tema")).distinct()
+    part_sorting = sorting.join(parts, "Tema")
     wide = describe.coalesce_levels(describe.theme_wide(keys, texts), describe.part_wide(keys, texts), part_sorting)
-    table = describe.describe(wide, list(part_sorting), sustainability_part, sorting)
+    table = describe.describe(wide, parts, sustainability_part, sorting)
     files.write_semicolon_csv(table, f"{out_dir}/{DESCRIPTION_FILE}", single_file=True)
     return table
