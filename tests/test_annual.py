@@ -30,7 +30,7 @@ def _write(d, name, text):
     return p
 
 
-def test_yearly_run(spark, tmp_dir):
+def _inputs(spark, tmp_dir):
     rows = []
     for k, kpi in enumerate(("N1", "N2", "N3")):
         for i, (aid, name, typ) in enumerate(AREAS):
@@ -52,6 +52,12 @@ def test_yearly_run(spark, tmp_dir):
     texts_path = os.path.join(tmp_dir, "texts")
     texts.write.parquet(texts_path)
     cat = _write(tmp_dir, "cat.csv", CATALOG)
+    kom, reg = _write(tmp_dir, "kom.csv", MUNICIPALITIES), _write(tmp_dir, "reg.csv", REGIONS)
+    return obs_path, texts_path, cat, kom, reg
+
+
+def test_yearly_run(spark, tmp_dir):
+    obs_path, texts_path, cat, kom, reg = _inputs(spark, tmp_dir)
     base_path, out_dir = os.path.join(tmp_dir, "base"), os.path.join(tmp_dir, "out")
 
     base = annual.build_base_table(spark, obs_path, cat, base_path, run_date="2026-01-01")
@@ -59,9 +65,7 @@ def test_yearly_run(spark, tmp_dir):
     assert base.where("kpi = 'N2' and area_id = 102 and year = 2020 and sex = 'T'").first().value == 16.5
     assert base.where("kpi = 'N3'").first().fetched == "2026-01-01"
 
-    tables = annual.publish_index(
-        spark, base_path, _write(tmp_dir, "kom.csv", MUNICIPALITIES), _write(tmp_dir, "reg.csv", REGIONS), out_dir, 2025
-    )
+    tables = annual.publish_index(spark, base_path, kom, reg, out_dir, 2025)
     assert sorted(tables) == ["1.totalindex_kommun2025", "2.temaindex_kommun2025", "3.totalindex_region2025",
                               "4.temaindex_region2025"]
     region_total = [tuple(r) for r in tables["3.totalindex_region2025"].collect()]
@@ -82,3 +86,17 @@ def test_yearly_run(spark, tmp_dir):
     assert got["T1 - Demokrati"].Information_kommunindex_män.startswith(
         "Mäns Kommunindex för tema T1 - Demokrati baseras på indikatorerna Valdeltagande, andel Nyckeltalen")
     assert got["Livskvalitet"].Information_kommunindex_totalt.endswith("Källa: BRÅ, Valmyndigheten.")
+
+
+def test_command_line(spark, tmp_dir):
+    from tessera.__main__ import main
+
+    obs_path, texts_path, cat, kom, reg = _inputs(spark, tmp_dir)
+    base, out = os.path.join(tmp_dir, "cli_base"), os.path.join(tmp_dir, "cli_out")
+    assert main(["base", "--observations", obs_path, "--catalog", cat, "--out", base, "--run-date", "2026-01-01"]) == 0
+    assert main(["index", "--base", base, "--municipality-codes", kom, "--region-codes", reg, "--out", out,
+                 "--stamp-year", "2025", "--weighting", "node"]) == 0
+    assert main(["describe", "--base", base, "--texts", texts_path, "--catalog", cat, "--out", out,
+                 "--sustainability-part", "Hållbarhet"]) == 0
+    for name in ("1.totalindex_kommun2025", "4.temaindex_region2025", "tema_desc"):
+        assert glob.glob(os.path.join(out, name, "part-*.csv")), name
