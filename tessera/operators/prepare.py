@@ -107,27 +107,28 @@ def _cell_stats(o: DataFrame, nation_name: str) -> DataFrame:
     )
 
 
+def _nation_key(o: DataFrame, nation_name: str, col: str):
+    """The nation's ``col`` as a scalar subquery (one value, no join)."""
+    return o.where(F.col("area_name") == nation_name).select(F.max(col)).scalar()
+
+
 def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> DataFrame:
-    """The nation cells the grid creates: groups with a value but no nation row."""
-    # one row per id carrying the nation's name (one in valid data); every
-    # created cell has that same key, so it is broadcast rather than shuffled
-    nation_key = (
-        o.where(F.col("area_name") == nation_name).select("area_name", "area_id", "area_group").distinct()
-    )
-    return (
-        stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0))
-        .withColumn("area_name", F.lit(nation_name))
-        .join(F.broadcast(nation_key), "area_name")
-        .select(
-            "kpi",
-            "area_id",
-            "area_name",
-            F.lit("L").alias("area_type"),
-            "area_group",
-            "sex",
-            "year",
-            value.alias("value"),
-        )
+    """The nation cells the grid creates: groups with a value but no nation row.
+
+    The nation's id and group come from scalar subqueries, so every created
+    cell gets them without a join on a constant key (which the optimizer
+    would turn into a cross product).
+    """
+    nation_id = _nation_key(o, nation_name, "area_id")
+    return stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0) & nation_id.isNotNull()).select(
+        "kpi",
+        nation_id.alias("area_id"),
+        F.lit(nation_name).alias("area_name"),
+        F.lit("L").alias("area_type"),
+        _nation_key(o, nation_name, "area_group").alias("area_group"),
+        "sex",
+        "year",
+        value.alias("value"),
     )
 
 
@@ -203,8 +204,16 @@ def _impute_documented(obs: DataFrame, nation_name: str) -> DataFrame:
     national = observed_k.groupBy("kpi", "year", "sex").agg(F.avg("value").alias("_fill"))
     areas = o.select("area_name", "area_id", "area_type", "area_group").distinct()
     local_cells = areas.where(F.col("area_name") != nation_name).join(county, "area_group")
-    nation_cells = national.withColumn("area_name", F.lit(nation_name)).join(
-        F.broadcast(areas.where(F.col("area_name") == nation_name)), "area_name"
+    nation_id = _nation_key(o, nation_name, "area_id")
+    nation_cells = national.where(nation_id.isNotNull()).select(
+        F.lit(nation_name).alias("area_name"),
+        nation_id.alias("area_id"),
+        _nation_key(o, nation_name, "area_type").alias("area_type"),
+        _nation_key(o, nation_name, "area_group").alias("area_group"),
+        "kpi",
+        "year",
+        "sex",
+        "_fill",
     )
     cells = local_cells.unionByName(nation_cells).withColumnsRenamed(
         {"area_id": "_c_id", "area_type": "_c_type", "area_group": "_c_group"}
