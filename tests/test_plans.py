@@ -42,3 +42,23 @@ def test_observation_build_plan_without_broadcasts(spark, no_broadcast):
 def test_no_cross_products(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+# columns each query may read from the driver tables (pruning reaches the scan)
+MAX_READ = {"lineitem": 5, "orders": 2, "customer": 2, "part": 2, "documents": 3}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_scans_read_only_needed_columns(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = _plan(E.queries()[name](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for line in plan.splitlines():
+        scan = re.search(r"FileScan parquet \[([^\]]*)\].*Location: \w+\(\d+ paths\)\[([^\]]*)\]", line)
+        if not scan:
+            continue
+        table = scan.group(2).rstrip("/").split("/")[-1].removesuffix(".parquet")
+        if table in MAX_READ:
+            assert len(scan.group(1).split(",")) <= MAX_READ[table], (table, scan.group(1))
