@@ -117,7 +117,8 @@ def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> Da
 
     The nation's id and group come from scalar subqueries, so every created
     cell gets them without a join on a constant key (which the optimizer
-    would turn into a cross product).
+    would turn into a cross product). Should the nation's name carry several
+    ids, the largest is used (the reference would create one cell per id).
     """
     nation_id = _nation_key(o, nation_name, "area_id")
     return stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0) & nation_id.isNotNull()).select(
