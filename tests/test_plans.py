@@ -38,10 +38,14 @@ def test_observation_build_plan_without_broadcasts(spark, no_broadcast):
     assert "Expand" in plan  # grouping sets over the aggregated cells only
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cross_products(spark, name):
+def test_no_cross_products_no_python(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert not any(node in plan for node in PYTHON_NODES)  # everything stays in the JVM
 
 
 # columns each query may read from the driver tables (pruning reaches the scan)
