@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tessera.session import get_session, local_scratch  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TESSERA_TEST_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
