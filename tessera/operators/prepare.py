@@ -107,9 +107,14 @@ def _cell_stats(o: DataFrame, nation_name: str) -> DataFrame:
     )
 
 
-def _nation_key(o: DataFrame, nation_name: str, col: str):
-    """The nation's ``col`` as a scalar subquery (one value, no join)."""
-    return o.where(F.col("area_name") == nation_name).select(F.max(col)).scalar()
+def _nation_key(o: DataFrame, nation_name: str):
+    """The nation's (area_id, area_type, area_group) as one struct-valued
+    scalar subquery (one value, no join)."""
+    return (
+        o.where(F.col("area_name") == nation_name)
+        .select(F.max(F.struct("area_id", "area_type", "area_group")))
+        .scalar()
+    )
 
 
 def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> DataFrame:
@@ -118,15 +123,15 @@ def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> Da
     The nation's id and group come from scalar subqueries, so every created
     cell gets them without a join on a constant key (which the optimizer
     would turn into a cross product). Should the nation's name carry several
-    ids, the largest is used (the reference would create one cell per id).
+    ids, the largest key is used (the reference would create one cell per id).
     """
-    nation_id = _nation_key(o, nation_name, "area_id")
-    return stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0) & nation_id.isNotNull()).select(
+    key = _nation_key(o, nation_name)
+    return stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0) & key.isNotNull()).select(
         "kpi",
-        nation_id.alias("area_id"),
+        key.getField("area_id").alias("area_id"),
         F.lit(nation_name).alias("area_name"),
         F.lit("L").alias("area_type"),
-        _nation_key(o, nation_name, "area_group").alias("area_group"),
+        key.getField("area_group").alias("area_group"),
         "sex",
         "year",
         value.alias("value"),
@@ -205,12 +210,12 @@ def _impute_documented(obs: DataFrame, nation_name: str) -> DataFrame:
     national = observed_k.groupBy("kpi", "year", "sex").agg(F.avg("value").alias("_fill"))
     areas = o.select("area_name", "area_id", "area_type", "area_group").distinct()
     local_cells = areas.where(F.col("area_name") != nation_name).join(county, "area_group")
-    nation_id = _nation_key(o, nation_name, "area_id")
-    nation_cells = national.where(nation_id.isNotNull()).select(
+    key = _nation_key(o, nation_name)
+    nation_cells = national.where(key.isNotNull()).select(
         F.lit(nation_name).alias("area_name"),
-        nation_id.alias("area_id"),
-        _nation_key(o, nation_name, "area_type").alias("area_type"),
-        _nation_key(o, nation_name, "area_group").alias("area_group"),
+        key.getField("area_id").alias("area_id"),
+        key.getField("area_type").alias("area_type"),
+        key.getField("area_group").alias("area_group"),
         "kpi",
         "year",
         "sex",
