@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import bpe, langid, mixing, simhash
 from tessera.llm.common import table
 
 
@@ -19,8 +19,65 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, text,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         strlen(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS solid,
+         strlen(regexp_replace(coalesce(text, ''), '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS letters,
+         ('0x' || substr(md5(concat_ws('|', '7', CAST(doc_id AS VARCHAR), text)), 1, 13))::BIGINT AS draw
+  FROM documents),
+k AS (
+  SELECT *, CASE WHEN solid > 0 THEN greatest(0.05, (letters * 1024 // solid) / 1024.0) ELSE 1.0 END::DOUBLE AS quality FROM d),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS w
+  FROM d GROUP BY source),
+r AS (  -- sources that reach their cap first come first; the scale is the first one that the next source's cap bears
+  SELECT *, 2 * source_size AS cap,
+         coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fixed,
+         sum(w) OVER (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+  FROM s),
+z AS (
+  SELECT min_by(scale, 2 * source_size / w::DOUBLE) AS scale
+  FROM (SELECT *, (1.5 * (SELECT sum(source_size) FROM s) - fixed)::DOUBLE / free AS scale FROM r)
+  WHERE scale * w <= cap),
+t AS (
+  SELECT source, source_size, least(cap::DOUBLE, coalesce(scale * w, cap)::DOUBLE) AS target FROM r, z),
+m AS (
+  SELECT k.doc_id, k.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
+         sum(k.size) OVER (PARTITION BY k.source ORDER BY -ln((draw + 0.5) / 4503599627370496.0) / quality, k.doc_id, k.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (epochs + CASE WHEN target - epochs * source_size > 0
+                                   AND upto - size / 2.0 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM m
+"""
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and decoded text."""
+    return bpe.digests(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op5_mixing": op5_mixing,
+    "op8_bpe": op8_bpe,
+    "op9_langid": op9_langid,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL}
