@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, langid, mixing, simhash
-from tessera.llm.common import table
+from tessera.llm import bpe, dac, feistel, langid, merkle, mixing, simhash
+from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    out = merkle.compare_neighbours(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256")
+    return out.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
@@ -63,6 +70,11 @@ FROM m
 """
 
 
+def op7_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    return dac.document_digests(dac.write_tokens(table(spark, sf_dir, "documents")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and decoded text."""
     return bpe.digests(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -73,11 +85,29 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(
+        "doc_id",
+        (utf8_size(F.col("text")) + 1).alias("size"),
+        crc32_text(F.col("text")).alias("text_crc32"),
+        F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("hash"),
+    )
+    dealt = feistel.deal(materialize(rows, "shard-rows"), "doc_id", "hash")
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
+    "op7_dac": op7_dac,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
+    "op10_feistel": op10_feistel,
 }
 
 ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL}
