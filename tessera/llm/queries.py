@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dac, feistel, langid, merkle, mixing, simhash
+from tessera.llm import bpe, dac, feistel, html_extract, langid, merkle, mih, mixing, simhash
 from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
@@ -19,6 +19,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = html_extract.extract_table(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op3_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     out = merkle.compare_neighbours(table(spark, sf_dir, "documents"))
@@ -102,6 +113,8 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_html": op2_html,
+    "op3_mih": op3_mih,
     "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
     "op7_dac": op7_dac,
