@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dac, feistel, html_extract, langid, merkle, mih, mixing, simhash
+from tessera.llm import bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, simhash
 from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
@@ -81,6 +81,11 @@ FROM m
 """
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of four fifths of them."""
+    return katz.scores(table(spark, sf_dir, "documents"), katz.held_out("doc_id"))
+
+
 def op7_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     return dac.document_digests(dac.write_tokens(table(spark, sf_dir, "documents")))
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mih": op3_mih,
     "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
+    "op6_katz": op6_katz,
     "op7_dac": op7_dac,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
