@@ -43,7 +43,7 @@ from tessera.llm.common import materialize
 K = 20
 CODE_BITS = 256
 SUBSTRING_BITS = 16
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 4_000
 SAMPLE_QUERIES = 400
 SAMPLE_RECALL = 0.985
 QUERY_BLOCK = 4_096
@@ -79,7 +79,7 @@ def lift(x: np.ndarray, norm: float, query: bool) -> np.ndarray:
     return np.concatenate([x, extra[:, None]], axis=1) / np.reshape(scale, (-1, 1) if query else ())
 
 
-def _rotation(x: np.ndarray, rng: np.random.Generator, rounds: int = 30) -> np.ndarray:
+def _rotation(x: np.ndarray, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
     """Iterative quantisation: the rotation from a random start whose signs
     are nearest to the rotated sample."""
     r = np.linalg.qr(rng.standard_normal((x.shape[1], x.shape[1])))[0]
