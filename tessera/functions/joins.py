@@ -5,11 +5,9 @@ plans ``<=>`` keys as ordinary equi-join keys, so null-safe joins keep the
 hash/sort-merge strategies.
 
 No helper here forces a broadcast: aggregates joined back to their source
-are sized by their keys, which the data decides. The planner's static size
-estimate and AQE's runtime statistics (``spark.sql.adaptive.
-autoBroadcastJoinThreshold``) turn a join into a broadcast only when the
-materialized side is actually small, and fall back to a shuffle join
-otherwise.
+are sized by their keys, which the data decides. They are written first, so
+that the planner's size is the real one and a join becomes a broadcast only
+when the side is small.
 """
 
 from __future__ import annotations
@@ -19,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Null-safe equi-join on same-named ``keys``; one copy of each key is kept.
@@ -40,21 +40,12 @@ def join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*tmp.values())
 
 
-SIZE_CHECK_CONF = "spark.tessera.sizeCheckedJoins"
-
-
 def join_back(rows: DataFrame, agg: DataFrame, keys: Sequence[str], how: str = "inner", name: str = "groups") -> DataFrame:
     """Join a per-group aggregate back to the rows it summarizes (null-safe).
 
-    By default the broadcast decision is AQE's, from runtime sizes. With
-    ``spark.tessera.sizeCheckedJoins=true`` the aggregate is first written to
-    the shared folder, so the planner sees its real size before planning:
-    a small one is broadcast and the large side is never shuffled for this
-    join; a large one still gets a shuffle join. Worth it when the rows are
-    large; each check costs one small write job.
+    The aggregate is first written to the shared folder, so the planner sees
+    its real size: a small one is broadcast and the rows are never shuffled
+    for this join; a large one gets a shuffle join. Either way a lost executor
+    re-reads a file.
     """
-    if rows.sparkSession.conf.get(SIZE_CHECK_CONF, "false").lower() == "true":
-        from tessera.session import materialize
-
-        agg = materialize(agg, name)
-    return join_ns(rows, agg, keys, how)
+    return join_ns(rows, materialize(agg, name), keys, how)

@@ -3,8 +3,10 @@
 Texts are reduced before they meet the (small) index keys: the source is
 extracted per text row on the map side, then only distinct
 (indicator, title) and (indicator, source) pairs travel through the
-shuffle. Joined strings are built from distinct values, so a group's string
-is as long as its distinct members, never its row count.
+shuffle. ``members`` is the long table of a group's titles or sources, which
+scales with them; the published strings join its distinct members, so they are
+as long as these, never as the row count, and are meant for a catalog's worth
+of indicators, not for unbounded sources.
 """
 
 from __future__ import annotations
@@ -143,25 +145,35 @@ def text_triples(attributed: DataFrame) -> DataFrame:
     return attributed.select("kpi", "title", "source").distinct()
 
 
-def _with_texts(keys: DataFrame, attributed: DataFrame, col: str) -> DataFrame:
-    per_kpi = text_triples(attributed).select("kpi", col).distinct()
-    return keys.join(per_kpi, "kpi", "left")
+def members(keys: DataFrame, attributed: DataFrame, level: str, col: str) -> DataFrame:
+    """``(level, area_type, sex, col)``: the distinct titles or sources of every
+    theme or part, a row each; NULL where an indicator has none. This long
+    table is the scalable form; only the published table joins its members
+    into strings.
+
+    The texts stay on the large side of the join: the index keys (indicators ×
+    area types × sexes, bounded by the catalog) are the side that a planner
+    can broadcast, and indicators without texts are added afterwards. A text
+    value is repeated for each area type and sex its indicator has."""
+    own = keys.where(F.col(level).isNotNull()).select("kpi", level, "area_type", "sex")
+    per_kpi = attributed.select("kpi", col).distinct()
+    found = per_kpi.join(own, "kpi").select(level, "area_type", "sex", col)
+    bare = own.join(per_kpi.select("kpi").distinct(), "kpi", "left_anti")
+    kind = dict(attributed.dtypes)[col]
+    return found.unionByName(bare.select(level, "area_type", "sex", F.lit(None).cast(kind).alias(col))).distinct()
 
 
 def theme_titles(keys: DataFrame, attributed: DataFrame) -> DataFrame:
     """Titles joined per (theme, area_type, sex)."""
-    rows = _with_texts(keys, attributed, "title").where(F.col("theme").isNotNull())
-    return collapse_by_group(rows, ["theme", "area_type", "sex"], "title", "titles_text")
+    return collapse_by_group(members(keys, attributed, "theme", "title"), ["theme", "area_type", "sex"], "title", "titles_text")
 
 
 def theme_sources(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    rows = _with_texts(keys, attributed, "source").where(F.col("theme").isNotNull())
-    return collapse_by_group(rows, ["theme", "area_type", "sex"], "source", "source_text")
+    return collapse_by_group(members(keys, attributed, "theme", "source"), ["theme", "area_type", "sex"], "source", "source_text")
 
 
 def part_sources(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    rows = _with_texts(keys, attributed, "source").where(F.col("part").isNotNull())
-    return collapse_by_group(rows, ["part", "area_type", "sex"], "source", "source_text")
+    return collapse_by_group(members(keys, attributed, "part", "source"), ["part", "area_type", "sex"], "source", "source_text")
 
 
 def theme_wide(keys: DataFrame, attributed: DataFrame) -> DataFrame:
@@ -264,9 +276,10 @@ def describe(
 
 def sort_table(catalog: DataFrame) -> DataFrame:
     """(Tema, sorting) from the catalog's sort codes: themes by their own
-    code, parts by the hundred of their themes' codes (G19)."""
+    code, parts by the hundred of their themes' codes (G19); a name that is
+    both takes the smaller."""
     themes = catalog.groupBy(F.col("theme").cast("string").alias("Tema")).agg(F.min("sort_order").alias("sorting"))
     parts = catalog.groupBy(F.col("part").alias("Tema")).agg(
         (F.floor(F.min("sort_order") / 100) * 100).cast("int").alias("sorting")
     )
-    return themes.unionByName(parts)
+    return themes.unionByName(parts).groupBy("Tema").agg(F.min("sorting").alias("sorting"))

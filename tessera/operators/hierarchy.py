@@ -1,20 +1,20 @@
 """Roll-up, national means, final values and delivery tables.
 
 The reference attaches group means to every row with windowed ``mutate``;
-here each level is one grouped table (one row per area × sex × node) built
-from the level below, so every step shrinks the data and partial
-aggregation absorbs hot keys. Row-level values are only rebuilt where a row
-table is the result (``finalize``).
+here rows are first aggregated to one row per area × sex × aspect, with
+partial aggregation absorbing hot keys, and the levels are windows over these
+few rows. Row-level values are only rebuilt where a row table is the result
+(``finalize``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import cut_after_dash, if_else, paste, recode
+from tessera.functions.expr import case_when, cut_after_dash, if_else, paste, recode
 from tessera.functions.joins import join_ns
 from tessera.schemas import NATION_LABEL, SEX_LABELS
 
@@ -28,17 +28,33 @@ LEVEL_KEYS = {
 
 @dataclass
 class Levels:
-    aspect: DataFrame
-    theme: DataFrame
-    part: DataFrame
+    """Means of one roll-up. ``grain`` has a row per area, sex and aspect with
+    the means of its aspect, theme and part, and marks one row of each theme
+    and part; the three level tables are selections of it."""
+
+    grain: DataFrame
+
+    @property
+    def aspect(self) -> DataFrame:
+        return self.grain.select(*AREA, "sex", *LEVEL_KEYS["aspect"], "n_rows", "mean_aspect")
+
+    @property
+    def theme(self) -> DataFrame:
+        rows = self.grain.where("first_of_theme")
+        return rows.select(*AREA, "sex", *LEVEL_KEYS["theme"], F.col("n_theme").alias("n_rows"), "mean_theme")
+
+    @property
+    def part(self) -> DataFrame:
+        rows = self.grain.where("first_of_part")
+        return rows.select(*AREA, "sex", *LEVEL_KEYS["part"], F.col("n_part").alias("n_rows"), "mean_part")
 
     def get(self, level: str) -> DataFrame:
         return {"aspect": self.aspect, "theme": self.theme, "part": self.part}[level]
 
 
-def _weighted_mean(n, m):
+def _mean_over_rows(n, m, w: Window):
     """Mean over rows when each of ``n`` rows carries mean ``m`` (NULLs skipped)."""
-    return F.sum(F.when(m.isNotNull(), n * m)) / F.sum(F.when(m.isNotNull(), n))
+    return F.sum(F.when(m.isNotNull(), n * m)).over(w) / F.sum(F.when(m.isNotNull(), n)).over(w)
 
 
 def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
@@ -49,10 +65,10 @@ def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
     it has rows (G10). ``weighting="node"`` gives every aspect (and every
     theme in a part) equal weight, as the reference documents.
 
-    Plan: every level is an aggregation with map-side partial aggregation,
-    so rows are combined before any shuffle (duplicated rows of one area
-    cannot pile up in one task), and each level reads the smaller table
-    below it.
+    Plan: rows are combined to aspect means before any shuffle, so duplicated
+    rows of one area cannot pile up in one task. What is left of an area and
+    sex has at most as many rows as the catalog has aspects; these are brought
+    together once, and the two upper levels are windows over them.
     """
     if weighting not in ("row", "node"):
         raise ValueError(f"unknown weighting: {weighting!r}")
@@ -60,94 +76,105 @@ def roll_up(scored: DataFrame, weighting: str = "row") -> Levels:
     aspect = scored.groupBy(*by, *LEVEL_KEYS["aspect"]).agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("standard_value").alias("mean_aspect")
     )
+    in_theme, in_part = Window.partitionBy(*by, *LEVEL_KEYS["theme"]), Window.partitionBy(*by, *LEVEL_KEYS["part"])
+    rows = aspect.repartition(*by)
+    n = F.col("n_rows")
+    if weighting == "row":
+        theme = _mean_over_rows(n, F.col("mean_aspect"), in_theme)
+        part = _mean_over_rows(n, F.col("mean_theme"), in_part)
+    else:
+        theme = F.avg("mean_aspect").over(in_theme)
+        part = F.avg(F.when(F.col("first_of_theme"), F.col("mean_theme"))).over(in_part)
+    rows = rows.withColumns({
+        "n_theme": F.sum(n).over(in_theme),
+        "mean_theme": theme,
+        "first_of_theme": F.row_number().over(in_theme.orderBy("aspect")) == 1,
+    })
+    rows = rows.withColumns({
+        "n_part": F.sum(n).over(in_part),
+        "mean_part": part,
+        "first_of_part": F.row_number().over(in_part.orderBy("theme", "aspect")) == 1,
+    })
+    return Levels(rows)
 
-    def up(lower: DataFrame, m: str, keys: list[str], out: str) -> DataFrame:
-        mean = _weighted_mean(F.col("n_rows"), F.col(m)) if weighting == "row" else F.avg(m)
-        return lower.groupBy(*by, *keys).agg(F.sum("n_rows").alias("n_rows"), mean.alias(out))
-
-    theme = up(aspect, "mean_aspect", LEVEL_KEYS["theme"], "mean_theme")
-    part = up(theme, "mean_theme", LEVEL_KEYS["part"], "mean_part")
-    return Levels(aspect, theme, part)
 
+@dataclass
+class National:
+    """Nation-wide means of a roll-up, from regions and from municipalities."""
 
-def national_means(levels: Levels) -> Levels:
-    """Nation-wide means from regions and from municipalities.
+    levels: Levels
 
-    The three levels are stacked and averaged in one aggregation (SURVEY
-    4.2 #3) keyed by (level, part, theme, aspect, sex); a mean is NULL where
-    that area type has no row, and ``n_region``/``n_municipal`` count the
-    areas behind it.
-    """
-    stacked = None
-    for level in ("aspect", "theme", "part"):
-        keys = LEVEL_KEYS[level]
-        df = levels.get(level).select(
-            F.lit(level).alias("_level"),
-            *[F.col(k) if k in keys else F.lit(None).alias(k) for k in LEVEL_KEYS["aspect"]],
-            "sex",
-            "area_type",
-            F.col(f"mean_{level}").alias("_m"),
-        )
-        stacked = df if stacked is None else stacked.unionByName(df)
-    t, m = F.col("area_type"), F.col("_m")
-    nat = (
-        stacked.where(t.isin("L", "K"))
-        .groupBy("_level", *LEVEL_KEYS["aspect"], "sex")
-        .agg(
-            F.avg(F.when(t == "L", m)).alias("_nat_region"),
+    def get(self, level: str) -> DataFrame:
+        """Means of one level (A10/A11): a mean is NULL where that area type
+        has no row; ``n_region``/``n_municipal`` count the areas behind it."""
+        t, m = F.col("area_type"), F.col(f"mean_{level}")
+        rows = self.levels.get(level).where(t.isin("L", "K"))
+        return rows.groupBy(*LEVEL_KEYS[level], "sex").agg(
+            F.avg(F.when(t == "L", m)).alias(f"nat_region_{level}"),
             F.count(F.when(t == "L", 1)).alias("n_region"),
-            F.avg(F.when(t == "K", m)).alias("_nat_municipal"),
+            F.avg(F.when(t == "K", m)).alias(f"nat_municipal_{level}"),
             F.count(F.when(t == "K", 1)).alias("n_municipal"),
         )
-    )
-
-    def level_of(level: str) -> DataFrame:
-        return nat.where(F.col("_level") == level).select(
-            *LEVEL_KEYS[level],
-            "sex",
-            F.col("_nat_region").alias(f"nat_region_{level}"),
-            "n_region",
-            F.col("_nat_municipal").alias(f"nat_municipal_{level}"),
-            "n_municipal",
-        )
-
-    return Levels(level_of("aspect"), level_of("theme"), level_of("part"))
 
+    def grain(self) -> DataFrame:
+        """The means of all three levels per aspect and sex, from one
+        aggregate: sums of the upper levels are taken over the rows that stand
+        for their node, and added up by windows over the (few) nodes."""
+        t = F.col("area_type")
+        marks = {"aspect": F.lit(True), "theme": F.col("first_of_theme"), "part": F.col("first_of_part")}
+        sums = []
+        for level, mark in marks.items():
+            for geo, kind in (("region", "L"), ("municipal", "K")):
+                m = F.when(mark & (t == kind), F.col(f"mean_{level}"))
+                sums += [F.sum(m).alias(f"_s_{geo}_{level}"), F.count(m).alias(f"_n_{geo}_{level}")]
+        rows = self.levels.grain.where(t.isin("L", "K")).groupBy(*LEVEL_KEYS["aspect"], "sex").agg(*sums)
+        rows = rows.repartition("part", "sex")
+        out = []
+        for level in marks:
+            w = Window.partitionBy(*LEVEL_KEYS[level], "sex")
+            for geo in ("region", "municipal"):
+                mean = F.sum(f"_s_{geo}_{level}").over(w) / F.nullif(F.sum(f"_n_{geo}_{level}").over(w), F.lit(0))
+                out.append(mean.alias(f"nat_{geo}_{level}"))
+        return rows.select(*LEVEL_KEYS["aspect"], "sex", *out)
+
+
+def national_means(levels: Levels) -> National:
+    """Nation-wide means from regions and from municipalities."""
+    return National(levels)
+
+
+def _finals(rows: DataFrame, nat: DataFrame, keys: list[str], level_names: list[str]) -> DataFrame:
+    """``rows`` with own means, or the national ones on the nation's rows."""
+    is_r = F.col("area_type") == "R"
+    joined = join_ns(rows, nat, keys, "left")
+    return joined.select(
+        *rows.columns,
+        *[
+            if_else(is_r, F.col(f"nat_{g}_{lv}"), F.col(f"mean_{lv}")).alias(f"mean_{g}_{lv}_final")
+            for lv in level_names
+            for g in ("region", "municipal")
+        ],
+    )
 
-def final_levels(levels: Levels, national: Levels) -> Levels:
-    """Per level: own mean, or the national mean on the nation's rows."""
 
-    def fin(level: str) -> DataFrame:
-        keys = [*LEVEL_KEYS[level], "sex"]
-        nat = national.get(level).select(*keys, f"nat_region_{level}", f"nat_municipal_{level}")
-        df = join_ns(levels.get(level), nat, keys, "left")
-        is_r = F.col("area_type") == "R"
-        own = F.col(f"mean_{level}")
-        return df.select(
-            *[c for c in levels.get(level).columns],
-            if_else(is_r, F.col(f"nat_region_{level}"), own).alias(f"mean_region_{level}_final"),
-            if_else(is_r, F.col(f"nat_municipal_{level}"), own).alias(f"mean_municipal_{level}_final"),
-        )
+def final_level(levels: Levels, national: National, level: str) -> DataFrame:
+    """One level: own mean, or the national mean on the nation's rows."""
+    keys = [*LEVEL_KEYS[level], "sex"]
+    nat = national.get(level).select(*keys, f"nat_region_{level}", f"nat_municipal_{level}")
+    return _finals(levels.get(level), nat, keys, [level])
 
-    return Levels(fin("aspect"), fin("theme"), fin("part"))
 
-
-def finalize(scored: DataFrame, levels: Levels, national: Levels) -> DataFrame:
+def finalize(scored: DataFrame, levels: Levels, national: National) -> DataFrame:
     """Row-level final table: scored rows + six final means.
 
-    The finals are assembled at aspect grain from the pre-aggregated level
-    tables (small), then joined to the rows once; a hot key on the row side
-    is split by AQE's skew join rather than sent to one task.
+    The finals are assembled at aspect grain (a row per area, sex and aspect),
+    then joined to the rows once; a hot key on the row side is split by AQE's
+    skew join rather than sent to one task.
     """
-    fl = final_levels(levels, national)
-
-    def finals(level: str) -> DataFrame:
-        keys = [*AREA, "sex", *LEVEL_KEYS[level]]
-        return fl.get(level).select(*keys, f"mean_region_{level}_final", f"mean_municipal_{level}_final")
-
-    grain = join_ns(finals("aspect"), finals("theme"), [*AREA, "sex", *LEVEL_KEYS["theme"]], "left")
-    grain = join_ns(grain, finals("part"), [*AREA, "sex", *LEVEL_KEYS["part"]], "left")
-    return join_ns(scored, grain, [*AREA, "sex", *LEVEL_KEYS["aspect"]], "left")
+    keys = [*LEVEL_KEYS["aspect"], "sex"]
+    grain = _finals(levels.grain, national.grain(), keys, ["aspect", "theme", "part"])
+    finals = [c for c in grain.columns if c.endswith("_final")]
+    return join_ns(scored, grain.select(*AREA, *keys, *finals), [*AREA, *keys], "left")
 
 
 GEOGRAPHIES = {
@@ -159,7 +186,7 @@ GEOGRAPHIES = {
 
 def deliver(
     levels: Levels,
-    national: Levels,
+    national: National,
     codes: DataFrame,
     level: str = "part",
     geography: str = "region",
@@ -168,8 +195,9 @@ def deliver(
     """Publication table (D14): ``Region, Del, Kon, [Tema,] Varde_stand``.
 
     ``codes`` is the code key of the geography (municipality or region
-    layout). An area whose id has no code is labelled as the nation, as in
-    the reference (G12). Themes are sorted by full text, then cut at
+    layout). Only the nation (area type R) is labelled as the nation; another
+    area whose id has no code is published under its own name, and listed by
+    ``checks.unmatched_areas`` (G12). Themes are sorted by full text, then cut at
     ``" - "`` (G21).
     """
     if level not in ("part", "theme"):
@@ -177,15 +205,18 @@ def deliver(
     if geography not in GEOGRAPHIES:
         raise ValueError(f"unknown geography: {geography!r}")
     types, prefix, code, code_s, name = GEOGRAPHIES[geography]
-    fl = final_levels(levels, national).get(level)
     keys = LEVEL_KEYS[level]
     # one row per (area, node, sex) already: the reference's distinct() is implied
-    rows = fl.where(F.col("area_type").isin(*types)).select(
-        "area_id", "area_name", *keys, "sex", F.col(f"mean_{prefix}_{level}_final").alias("Varde_stand")
+    rows = final_level(levels, national, level).where(F.col("area_type").isin(*types)).select(
+        "area_id", "area_name", "area_type", *keys, "sex", F.col(f"mean_{prefix}_{level}_final").alias("Varde_stand")
     )
     key = codes.select(F.col(code).alias("_code"), F.col(code_s).alias("_code_s"), F.col(name).alias("_name"))
     joined = rows.withColumn("_code", F.col("area_id").cast("string")).join(key, "_code", "left")
-    label = if_else(F.col("_code_s").isNull(), F.lit(NATION_LABEL), paste(F.col("_code_s"), F.col("_name"), sep=" "))
+    label = case_when(
+        (F.col("area_type") == "R", F.lit(NATION_LABEL)),
+        (F.col("_code_s").isNull(), F.col("area_name")),
+        default=paste(F.col("_code_s"), F.col("_name"), sep=" "),
+    )
     out = joined.select(
         label.alias("Region"),
         F.col("part").alias("Del"),

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.expr import if_else, log_flagged
 from tessera.functions.joins import join_back, join_ns
-from tessera.schemas import NATION_NAME, REGION_NAME_PATTERN, SPLIT_PATTERN
+from tessera.schemas import COUNTY_DIVISOR, NATION_NAME, REGION_NAME_PATTERN, SPLIT_PATTERN
+from tessera.session import materialize
 
 SPAN_COLUMNS = ("first_year", "last_year", "has_split")
 BASE_COLUMNS = (
@@ -83,77 +84,100 @@ def complete_indicators(obs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ D2 area group
-def area_group_expr(area_id=None, area_name=None):
-    """County number: ``id // 100``, regions by their own id, 0 for the nation."""
+def area_group_expr(area_id=None, area_name=None, divisor: int = COUNTY_DIVISOR):
+    """County number: ``id // divisor``, regions by their own id, 0 for the
+    nation. ``divisor`` bounds the municipalities of a county."""
     area_id = F.col("area_id") if area_id is None else area_id
     area_name = F.col("area_name") if area_name is None else area_name
-    scaled = if_else(area_name.rlike(REGION_NAME_PATTERN), area_id * 100, area_id)
-    return F.floor(scaled / 100).cast("int")
+    return if_else(area_name.rlike(REGION_NAME_PATTERN), area_id, F.floor(area_id / divisor)).cast("int")
 
 
-def area_groups(obs: DataFrame) -> DataFrame:
+def area_groups(obs: DataFrame, divisor: int = COUNTY_DIVISOR) -> DataFrame:
     """Distinct (area_name, area_id, area_group) key."""
-    return obs.select("area_name", "area_id", area_group_expr().alias("area_group")).distinct()
+    return obs.select("area_name", "area_id", area_group_expr(divisor=divisor).alias("area_group")).distinct()
 
 
 # -------------------------------------------------------- D3/D4 completion
-def _cell_stats(o: DataFrame, nation_name: str) -> DataFrame:
-    """Per (kpi, year, sex): number of values, whether the nation has a row,
-    and the mean of all values (the nation fill)."""
-    return o.groupBy("kpi", "year", "sex").agg(
-        F.count(F.col("value")).alias("_n_valued"),
-        F.max(F.when(F.col("area_name") == nation_name, 1)).alias("_has_nation"),
-        F.avg("value").alias("_mean_all"),
+CELL = ["area_group", "kpi", "year", "sex"]
+
+
+def _cells(o: DataFrame, nation_name: str) -> DataFrame:
+    """Per (area group, kpi, year, sex): sums and counts, of all values and of
+    the municipalities' values, and the number of the nation's own rows.
+
+    This is the one pass over the rows; spans, cell means and county means are
+    all aggregates of this table. It is handed over as a written table."""
+    k = F.when(F.col("area_type") == "K", F.col("value"))
+    cells = o.groupBy(*CELL).agg(
+        F.sum("value").alias("_sum"),
+        F.count("value").alias("_n"),
+        F.sum(k).alias("_sum_k"),
+        F.count(k).alias("_n_k"),
+        F.count(F.when(F.col("area_name") == nation_name, 1)).alias("_n_nation"),
     )
+    return materialize(cells, "impute_cells")
 
 
-def _nation_key(o: DataFrame, nation_name: str):
-    """The nation's (area_id, area_type, area_group) as one struct-valued
-    scalar subquery (one value, no join)."""
-    return (
-        o.where(F.col("area_name") == nation_name)
-        .select(F.max(F.struct("area_id", "area_type", "area_group")))
-        .scalar()
+def _national(cells: DataFrame) -> DataFrame:
+    """Per (kpi, year, sex), from the cells."""
+    return cells.groupBy("kpi", "year", "sex").agg(
+        (F.sum("_sum") / F.sum("_n")).alias("_mean_all"),
+        F.sum("_n").alias("_n_all"),
+        (F.sum("_sum_k") / F.sum("_n_k")).alias("_mean_all_k"),
+        F.sum("_n_k").alias("_n_all_k"),
+        F.sum("_n_nation").alias("_n_nation"),
     )
 
 
-def _nation_cells(o: DataFrame, stats: DataFrame, nation_name: str, value) -> DataFrame:
-    """The nation cells the grid creates: groups with a value but no nation row.
+def _span_of_cells(cells: DataFrame, window: int = 6) -> DataFrame:
+    """``observation_span`` from the cells."""
+    years = cells.select("kpi", "sex", "year", F.when(F.col("_n") > 0, F.lit(1.0)).alias("value"))
+    return observation_span(years.withColumn("area_type", F.lit("L")), window)
 
-    The nation's id and group come from scalar subqueries, so every created
-    cell gets them without a join on a constant key (which the optimizer
-    would turn into a cross product). Should the nation's name carry several
-    ids, the largest key is used (the reference would create one cell per id).
-    """
-    key = _nation_key(o, nation_name)
-    return stats.where(F.col("_has_nation").isNull() & (F.col("_n_valued") > 0) & key.isNotNull()).select(
+
+def _nation_keys(o: DataFrame, nation_name: str):
+    """The nation's (area_id, area_group) pairs, as one array-valued scalar
+    subquery: as many as the nation's name has ids, no join."""
+    return o.where(F.col("area_name") == nation_name).select(F.collect_set(F.struct("area_id", "area_group"))).scalar()
+
+
+def _nation_rows(o: DataFrame, groups: DataFrame, nation_name: str, value) -> DataFrame:
+    """A nation row for each of ``groups`` (kpi, year, sex) and nation id."""
+    made = groups.withColumn("_value", value).withColumn("_key", F.explode(_nation_keys(o, nation_name)))
+    return made.select(
         "kpi",
-        key.getField("area_id").alias("area_id"),
+        F.col("_key.area_id").alias("area_id"),
         F.lit(nation_name).alias("area_name"),
         F.lit("L").alias("area_type"),
-        key.getField("area_group").alias("area_group"),
+        F.col("_key.area_group").alias("area_group"),
         "sex",
         "year",
-        value.alias("value"),
+        F.col("_value").alias("value"),
     )
 
 
-def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
+def _grouped(obs: DataFrame, divisor: int) -> DataFrame:
+    o = obs.where(F.col("area_type").isin("L", "K"))
+    return o.withColumn("area_group", area_group_expr(divisor=divisor))
+
+
+def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME, divisor: int = COUNTY_DIVISOR) -> DataFrame:
     """Observed rows plus the nation cells the reference's grid creates.
 
     The reference crosses (indicator, sex) × year × area and left-joins the
     observations back. Every created cell except the nation's has a NULL
     area type and is dropped again by the imputation (finding 2), so only the
-    nation cells that can receive a value are built: one per
+    nation cells that can receive a value are built: one per nation id and
     (indicator, year, sex) group that has a value but no nation row. No cross
     join is needed; created rows have ``value`` NULL and no span columns.
     """
-    o = obs.withColumn("area_group", area_group_expr())
-    created = _nation_cells(o, _cell_stats(o, nation_name), nation_name, F.lit(None).cast("double"))
+    o = _grouped(obs, divisor)
+    groups = _national(_cells(o, nation_name)).where((F.col("_n_nation") == 0) & (F.col("_n_all") > 0))
+    created = _nation_rows(o, groups, nation_name, F.lit(None).cast("double"))
     return o.unionByName(created, allowMissingColumns=True)
 
 
-def impute(obs: DataFrame, mode: str = "reference", nation_name: str = NATION_NAME) -> DataFrame:
+def impute(obs: DataFrame, mode: str = "reference", nation_name: str = NATION_NAME, divisor: int = COUNTY_DIVISOR) -> DataFrame:
     """Fill missing values.
 
     ``mode="reference"`` does what the reference runs: a missing nation value
@@ -166,66 +190,47 @@ def impute(obs: DataFrame, mode: str = "reference", nation_name: str = NATION_NA
     area × (indicator, sex, year) cell with observed municipality values in
     its county is present; municipalities and regions take the county mean
     of observed municipality values, the nation the national mean of them.
+    Its result is a grid: all areas of a county times all cells of it.
 
-    ``obs`` should carry the span columns (``with_span``).
+    The span columns (``with_span``) are attached; indicators without any
+    value are dropped.
     """
-    if mode == "reference":
-        return _impute_reference(obs, nation_name)
-    if mode == "documented":
-        return _impute_documented(obs, nation_name)
-    raise ValueError(f"unknown imputation mode: {mode!r}")
-
-
-def _impute_reference(obs: DataFrame, nation_name: str) -> DataFrame:
-    o = obs.withColumn("area_group", area_group_expr())
-    is_nation = F.col("area_name") == nation_name
-    # Nation fill from the mean over all areas of (kpi, year, sex). One
-    # aggregate serves the grid completion and the fill: created cells carry
-    # no value, so they do not change the mean.
-    stats = _cell_stats(o, nation_name)
-    existing = join_back(o, stats.select("kpi", "year", "sex", "_mean_all"), ["kpi", "year", "sex"], "left", "cell_means")
-    existing = existing.withColumn(
-        "value", if_else(is_nation & F.col("value").isNull(), F.col("_mean_all"), F.col("value"))
-    ).drop("_mean_all")
-    created = _nation_cells(o, stats, nation_name, F.col("_mean_all"))
-    step1 = existing.unionByName(created, allowMissingColumns=True)
-    # County-group mean, computed before the fill, kept on municipality rows
-    g2 = step1.groupBy("area_group", "kpi", "year", "sex").agg(F.avg("value").alias("_grp_mean"))
-    is_k = F.col("area_type") == "K"
-    is_l = F.col("area_type") == "L"
-    out = (
-        join_back(step1, g2, ["area_group", "kpi", "year", "sex"], "left", "group_means")
-        .withColumn("value_mean_group", if_else(is_k, F.col("_grp_mean"), F.lit(None).cast("double")))
+    if mode not in ("reference", "documented"):
+        raise ValueError(f"unknown imputation mode: {mode!r}")
+    o = _grouped(obs.drop(*SPAN_COLUMNS), divisor)
+    cells = _cells(o, nation_name)
+    means = cells.join(_span_of_cells(cells), "kpi")
+    means = join_ns(means, _national(cells).drop("_n_nation"), ["kpi", "year", "sex"], "left")
+    return (_impute_reference if mode == "reference" else _impute_documented)(o, cells, means, nation_name)
+
+
+def _impute_reference(o: DataFrame, cells: DataFrame, means: DataFrame, nation_name: str) -> DataFrame:
+    is_nation, is_k = F.col("area_name") == nation_name, F.col("area_type") == "K"
+    existing = join_back(o, means, CELL, name="impute_means")
+    county = F.col("_sum") / F.col("_n")
+    existing = (
+        existing.withColumn("value_mean_group", if_else(is_k, county, F.lit(None).cast("double")))
+        # W1, then W2; regions have no group mean and stay as they are
+        .withColumn("value", if_else(is_nation & F.col("value").isNull(), F.col("_mean_all"), F.col("value")))
         .withColumn("value", if_else(is_k & F.col("value").isNull(), F.col("value_mean_group"), F.col("value")))
-        .withColumn("value", if_else(is_l & F.col("value").isNull(), F.col("value_mean_group"), F.col("value")))
         .where(F.col("value").isNotNull())
     )
-    return out.select(*BASE_COLUMNS)
+    groups = _national(cells).where((F.col("_n_nation") == 0) & (F.col("_n_all") > 0))
+    created = _nation_rows(o, groups, nation_name, F.col("_mean_all"))
+    return existing.select(*BASE_COLUMNS).unionByName(created, allowMissingColumns=True)
 
 
-def _impute_documented(obs: DataFrame, nation_name: str) -> DataFrame:
-    o = obs.withColumn("area_group", area_group_expr())
-    observed_k = o.where((F.col("area_type") == "K") & F.col("value").isNotNull())
-    county = observed_k.groupBy("area_group", "kpi", "year", "sex").agg(F.avg("value").alias("_fill"))
-    national = observed_k.groupBy("kpi", "year", "sex").agg(F.avg("value").alias("_fill"))
+def _impute_documented(o: DataFrame, cells: DataFrame, means: DataFrame, nation_name: str) -> DataFrame:
+    local = cells.where(F.col("_n_k") > 0).withColumn("_fill", F.col("_sum_k") / F.col("_n_k")).select(*CELL, "_fill")
     areas = o.select("area_name", "area_id", "area_type", "area_group").distinct()
-    local_cells = areas.where(F.col("area_name") != nation_name).join(county, "area_group")
-    key = _nation_key(o, nation_name)
-    nation_cells = national.where(key.isNotNull()).select(
-        F.lit(nation_name).alias("area_name"),
-        key.getField("area_id").alias("area_id"),
-        key.getField("area_type").alias("area_type"),
-        key.getField("area_group").alias("area_group"),
-        "kpi",
-        "year",
-        "sex",
-        "_fill",
-    )
-    cells = local_cells.unionByName(nation_cells).withColumnsRenamed(
+    local_cells = areas.where(F.col("area_name") != nation_name).join(local, "area_group")
+    groups = _national(cells).where(F.col("_n_all_k") > 0)
+    nation_cells = _nation_rows(o, groups, nation_name, F.col("_mean_all_k")).withColumnRenamed("value", "_fill")
+    made = local_cells.unionByName(nation_cells).withColumnsRenamed(
         {"area_id": "_c_id", "area_type": "_c_type", "area_group": "_c_group"}
     )
-    keys = ["area_name", "kpi", "year", "sex"]
-    joined = join_ns(o, cells, keys, "full")
+    spans = means.select("kpi", *SPAN_COLUMNS).distinct()
+    joined = join_ns(o.join(spans, "kpi"), made, ["area_name", "kpi", "year", "sex"], "full")
     out = joined.select(
         "kpi",
         F.coalesce("area_id", "_c_id").alias("area_id"),
@@ -264,9 +269,10 @@ def build_base(
     mode: str = "reference",
     nation_name: str = NATION_NAME,
     run_date: _dt.date | str | None = None,
+    divisor: int = COUNTY_DIVISOR,
 ) -> DataFrame:
     """Observations to base table: span, completion and imputation, catalog, log."""
-    base = impute(with_span(obs), mode, nation_name)
+    base = impute(obs, mode, nation_name, divisor)
     out = log_values(attach_catalog(base, catalog))
     return stamp(out, run_date) if run_date is not None else out
 

@@ -73,7 +73,7 @@ def publish_index(
     base = prepare.mark_national(files.read_table(spark, base_path))
     # five outputs read the scores: computed once, handed over as a file
     scored = materialize(standardize.standardize(base, split_mode, year_mode, lag), "scored")
-    levels = hierarchy.roll_up(scored, weighting)
+    levels = hierarchy.Levels(materialize(hierarchy.roll_up(scored, weighting).grain, "levels"))
     national = hierarchy.national_means(levels)
     files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=())
     codes = {

@@ -13,7 +13,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators import prepare
+from tessera.operators import describe, hierarchy, prepare, standardize
 from tessera.session import materialize
 from tessera.sources import fixture
 
@@ -50,16 +50,43 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.catalog(spark, sf_dir)
 
 
+def imputed(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:
+    """Imputed observations, before catalog and logs (not materialized)."""
+    return prepare.impute(observations(spark, sf_dir), mode, divisor=fixture.COUNTY_DIVISOR)
+
+
 def base(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:
     """Imputed base with catalog and logs; the nation still has type L."""
     return _cached(
         spark,
         sf_dir,
         f"base_{mode}",
-        lambda: prepare.build_base(observations(spark, sf_dir), catalog(spark, sf_dir), mode),
+        lambda: prepare.build_base(
+            observations(spark, sf_dir), catalog(spark, sf_dir), mode, divisor=fixture.COUNTY_DIVISOR
+        ),
     )
 
 
 def marked_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base with the nation marked ``R`` (input of scoring)."""
     return prepare.mark_national(base(spark, sf_dir))
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored against the total sex in the latest year (materialized)."""
+    return _cached(spark, sf_dir, "scored", lambda: standardize.standardize(marked_base(spark, sf_dir)))
+
+
+def grain(spark: SparkSession, sf_dir: str, weighting: str = "row") -> DataFrame:
+    """The roll-up of the scored rows, a row per area, sex and aspect (materialized)."""
+    return _cached(spark, sf_dir, f"grain_{weighting}", lambda: hierarchy.roll_up(scored(spark, sf_dir), weighting).grain)
+
+
+def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator texts with their source."""
+    return describe.attribution(fixture.indicator_texts(spark, sf_dir), marker=fixture.SOURCE_MARKER)
+
+
+def text_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (kpi, title, source) of the texts (materialized)."""
+    return _cached(spark, sf_dir, "text_triples", lambda: describe.text_triples(attributed(spark, sf_dir)))

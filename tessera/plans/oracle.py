@@ -42,66 +42,40 @@ def xif(cond: str, yes: str, no: str) -> str:
 
 # ---------------------------------------------------------------- fixture
 cte(
-    "fx_fine",
+    "fx_lines",
     """
 SELECT CAST(split_part(p.p_brand, '#', 2) AS INTEGER) AS b,
        CAST(year(l.l_shipdate) AS INTEGER) AS yr,
-       c.c_nationkey AS nk,
-       l.l_linestatus AS ls,
-       SUM(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS cents,
-       COUNT(*) AS n
+       s.s_suppkey AS sk, s.s_name, n.n_nationkey AS nk, n.n_name,
+       CASE WHEN l.l_linenumber <> 7 AND CAST(split_part(p.p_brand, '#', 2) AS INTEGER) % 6 <> 0 THEN CASE l.l_linestatus WHEN 'F' THEN 'K' WHEN 'O' THEN 'M' END END AS sx,
+       CASE WHEN l.l_returnflag = 'R' THEN
+            CASE WHEN CAST(split_part(p.p_brand, '#', 2) AS INTEGER) % 10 = 0
+                 THEN (CAST(round(l.l_discount * 100) AS BIGINT) - 5) * 100
+                 ELSE CAST(round(l.l_extendedprice * 100) AS BIGINT) END END AS cents
 FROM lineitem l
 JOIN part p ON p.p_partkey = l.l_partkey
-JOIN orders o ON o.o_orderkey = l.l_orderkey
-JOIN customer c ON c.c_custkey = o.o_custkey
-GROUP BY 1, 2, 3, 4
+JOIN supplier s ON s.s_suppkey = l.l_suppkey
+JOIN nation n ON n.n_nationkey = s.s_nationkey
 """,
 )
 cte(
-    "fx_cells",
+    "fx_areas",
     """
-SELECT f.b, f.yr, f.nk, f.ls, f.cents, f.n, na.n_name, na.n_regionkey AS rk, r.r_name
-FROM fx_fine f
-JOIN nation na ON na.n_nationkey = f.nk
-JOIN region r ON r.r_regionkey = na.n_regionkey
-""",
-)
-cte(
-    "fx_levels",
-    """
-SELECT b, yr, 'K' AS area_type, (rk + 1) * 100 + nk AS area_id, n_name AS area_name, ls,
-       SUM(cents) AS cents, SUM(n) AS n
-FROM fx_cells GROUP BY b, yr, rk, nk, n_name, ls
-UNION ALL
-SELECT b, yr, 'K', (rk + 1) * 100 + nk, n_name, NULL, SUM(cents), SUM(n)
-FROM fx_cells GROUP BY b, yr, rk, nk, n_name
-UNION ALL
-SELECT b, yr, 'L', rk + 1, 'Region ' || r_name, ls, SUM(cents), SUM(n)
-FROM fx_cells GROUP BY b, yr, rk, r_name, ls
-UNION ALL
-SELECT b, yr, 'L', rk + 1, 'Region ' || r_name, NULL, SUM(cents), SUM(n)
-FROM fx_cells GROUP BY b, yr, rk, r_name
+SELECT b, yr, 'K' AS area_type, CAST(nk + 1 AS BIGINT) * 1000000000 + sk AS area_id, s_name AS area_name, sx, cents FROM fx_lines
 UNION ALL
-SELECT b, yr, 'L', 0, 'Riket', ls, SUM(cents), SUM(n) FROM fx_cells GROUP BY b, yr, ls
+SELECT b, yr, 'L', CAST(nk + 1 AS BIGINT), 'Region ' || n_name, sx, cents FROM fx_lines
 UNION ALL
-SELECT b, yr, 'L', 0, 'Riket', NULL, SUM(cents), SUM(n) FROM fx_cells GROUP BY b, yr
+SELECT b, yr, 'L', CAST(0 AS BIGINT), 'Riket', sx, cents FROM fx_lines
 """,
 )
 cte(
     "obs",
     """
-SELECT 'I' || lpad(CAST(b AS VARCHAR), 2, '0') AS kpi,
-       CAST(area_id AS INTEGER) AS area_id,
-       area_name,
-       area_type,
-       CASE WHEN ls IS NULL THEN 'T' WHEN ls = 'F' THEN 'K' WHEN ls = 'O' THEN 'M' END AS sex,
-       yr AS year,
-       CASE WHEN n >= 3 THEN CAST(cents AS DOUBLE) / (100.0 * CAST(n AS DOUBLE)) END AS value
-FROM fx_levels
-WHERE NOT ((b % 4 = 1 AND yr > 1999)
-        OR (b % 7 = 0 AND yr < 1998)
-        OR (b % 6 = 0 AND ls IS NOT NULL)
-        OR (b % 11 = 0 AND area_id = 0))
+SELECT 'I' || lpad(CAST(b AS VARCHAR), 2, '0') AS kpi, area_id, area_name, area_type, sex, yr AS year,
+       CAST(sum(cents) AS DOUBLE) / (100.0 * CAST(count(cents) AS DOUBLE)) AS value
+FROM (SELECT b, yr, area_type, area_id, area_name, sx AS sex, cents FROM fx_areas
+      UNION ALL SELECT b, yr, area_type, area_id, area_name, 'T', cents FROM fx_areas)
+GROUP BY ALL
 """,
 )
 cte(
@@ -111,35 +85,38 @@ SELECT DISTINCT
        'I' || lpad(CAST(b AS VARCHAR), 2, '0') AS kpi,
        p_brand AS kpi_text,
        CAST((b - 1) % 10 AS INTEGER) AS aspect,
-       CAST(((b - 1) % 10) % 5 AS INTEGER) AS theme,
-       CASE WHEN ((b - 1) % 10) % 5 < 3 THEN 'D1' ELSE 'D2' END AS part,
+       CASE WHEN (b - 1) % 5 = 4 THEN 'D2' ELSE 'T' || CAST((b - 1) % 5 AS VARCHAR) || ' - theme ' || CAST((b - 1) % 5 AS VARCHAR) END AS theme,
+       CASE WHEN (b - 1) % 5 < 3 THEN 'D1' ELSE 'D2' END AS part,
        CAST(b % 2 AS INTEGER) AS inverted,
        CASE WHEN b % 5 = 0 THEN 1 ELSE 0 END AS logged,
-       CAST(CASE WHEN ((b - 1) % 10) % 5 < 3 THEN 100 ELSE 200 END + ((b - 1) % 10) % 5 + 1 AS INTEGER) AS sort_order
+       CAST(CASE WHEN (b - 1) % 5 < 3 THEN 100 ELSE 200 END + (b - 1) % 5 + 1 AS INTEGER) AS sort_order
 FROM (SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS b, p_brand FROM part)
+UNION ALL
+SELECT DISTINCT 'E' || substr(md5(p_type), 1, 8), p_type, 10, 'T5 - theme 5', 'D2', 0, CAST(NULL AS INTEGER), 206 FROM part
 """,
 )
 cte(
     "region_codes",
     """
-SELECT CAST(r_regionkey + 1 AS VARCHAR) AS Lan_kod,
-       lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') AS Lan_kod_S,
-       substr(r_name, 1, 2) AS Lan_bokstav,
-       r_name AS Lan_Namn,
-       lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0') || ' ' || r_name AS SCB_lan_namn,
-       'Region ' || r_name AS Data_lan_namn
-FROM region
+SELECT CAST(n_nationkey + 1 AS VARCHAR) AS Lan_kod,
+       lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS Lan_kod_S,
+       substr(n_name, 1, 2) AS Lan_bokstav,
+       n_name AS Lan_Namn,
+       lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') || ' ' || n_name AS SCB_lan_namn,
+       'Region ' || n_name AS Data_lan_namn
+FROM nation
 """,
 )
 cte(
     "municipality_codes",
     """
-SELECT CAST((na.n_regionkey + 1) * 100 + na.n_nationkey AS VARCHAR) AS Kommun_kod,
-       lpad(CAST((na.n_regionkey + 1) * 100 + na.n_nationkey AS VARCHAR), 4, '0') AS Kommun_kod_S,
-       na.n_name AS Kommun_namn,
-       lpad(CAST(na.n_regionkey + 1 AS VARCHAR), 2, '0') AS Lan_kod_S,
-       r.r_name AS Lan_Namn
-FROM nation na JOIN region r ON r.r_regionkey = na.n_regionkey
+SELECT CAST(CAST(na.n_nationkey + 1 AS BIGINT) * 1000000000 + s.s_suppkey AS VARCHAR) AS Kommun_kod,
+       lpad(CAST(CAST(na.n_nationkey + 1 AS BIGINT) * 1000000000 + s.s_suppkey AS VARCHAR), 12, '0') AS Kommun_kod_S,
+       s.s_name AS Kommun_namn,
+       lpad(CAST(na.n_nationkey + 1 AS VARCHAR), 2, '0') AS Lan_kod_S,
+       na.n_name AS Lan_Namn
+FROM supplier s JOIN nation na ON na.n_nationkey = s.s_nationkey
+WHERE s.s_acctbal >= 0
 """,
 )
 
@@ -175,36 +152,38 @@ WHERE o.area_type IN ('L', 'K')
 
 # ------------------------------------------------------- area group
 AREA_GROUP = (
-    "CAST(floor(CASE WHEN regexp_matches(area_name, '[rR]egion') THEN area_id * 100 "
-    "WHEN NOT regexp_matches(area_name, '[rR]egion') THEN area_id END / 100) AS INTEGER)"
+    "CAST(CASE WHEN regexp_matches(area_name, '[rR]egion') THEN area_id * 1000000000 "
+    "WHEN NOT regexp_matches(area_name, '[rR]egion') THEN area_id END // 1000000000 AS INTEGER)"
 )
 cte("area_key", f"SELECT DISTINCT area_name, area_id, {AREA_GROUP} AS area_group FROM obs")
 
 # ------------------------------------------ grid and imputation
 cte("im_obs", f"SELECT *, {AREA_GROUP} AS area_group FROM obs_span")
+GRID_COLS = "kpi, area_id, area_name, area_type, area_group, sex, year, value, first_year, last_year, has_split"
+# the whole grid, as the reference forms it: (indicator, sex) x year x area, observations joined
 cte(
-    "im_made",
+    "im_full",
     """
-SELECT g.kpi, k.area_id, k.area_name, 'L' AS area_type, k.area_group, g.sex, g.year,
-       CAST(NULL AS DOUBLE) AS value,
-       CAST(NULL AS INTEGER) AS first_year, CAST(NULL AS INTEGER) AS last_year, CAST(NULL AS INTEGER) AS has_split
-FROM (SELECT kpi, year, sex FROM im_obs GROUP BY kpi, year, sex
-      HAVING count(value) > 0 AND count(*) FILTER (WHERE area_name = 'Riket') = 0) g
-CROSS JOIN (SELECT DISTINCT area_name, area_id, area_group FROM im_obs WHERE area_name = 'Riket') k
+SELECT ks.kpi, a.area_id, a.area_name,
+       CASE WHEN a.area_name = 'Riket' THEN 'L' ELSE o.area_type END AS area_type,
+       a.area_group, ks.sex, y.year, o.value, o.first_year, o.last_year, o.has_split,
+       o.kpi IS NOT NULL AS observed
+FROM (SELECT DISTINCT kpi, sex FROM im_obs) ks
+CROSS JOIN (SELECT DISTINCT year FROM im_obs) y
+CROSS JOIN (SELECT DISTINCT area_name, area_id, area_group FROM im_obs) a
+LEFT JOIN im_obs o ON o.kpi = ks.kpi AND o.sex IS NOT DISTINCT FROM ks.sex AND o.year = y.year
+                  AND o.area_id = a.area_id AND o.area_name = a.area_name
 """,
 )
-GRID_COLS = "kpi, area_id, area_name, area_type, area_group, sex, year, value, first_year, last_year, has_split"
-cte(
-    "im_grid",
-    f"SELECT {GRID_COLS} FROM im_obs UNION ALL SELECT {GRID_COLS} FROM im_made",
-)
+cte("im_counted", "SELECT *, count(value) OVER (PARTITION BY kpi, year, sex) AS n_valued FROM im_full")
+cte("im_grid", f"SELECT {GRID_COLS} FROM im_counted WHERE observed OR (area_name = 'Riket' AND n_valued > 0)")
 cte(
     "im_s1",
     f"""
 SELECT kpi, area_id, area_name, area_type, area_group, sex, year,
        {xif("area_name = 'Riket' AND value IS NULL", "avg(value) OVER (PARTITION BY kpi, year, sex)", "value")} AS value,
        first_year, last_year, has_split
-FROM im_grid
+FROM im_full
 """,
 )
 cte(
@@ -427,11 +406,11 @@ def _delivery(level: str, geo: str) -> str:
     theme_sel = ", CAST(theme AS VARCHAR) AS tema_full" if level == "theme" else ""
     theme_out = ', regexp_replace(x.tema_full, \' - .*\', \'\') AS "Tema"' if level == "theme" else ""
     return f"""
-SELECT CASE WHEN k.{code_s} IS NULL THEN '00 Riket' ELSE k.{code_s} || ' ' || coalesce(k.{name}, 'NA') END AS "Region",
+SELECT CASE WHEN x.area_type = 'R' THEN '00 Riket' WHEN k.{code_s} IS NULL THEN x.area_name ELSE k.{code_s} || ' ' || coalesce(k.{name}, 'NA') END AS "Region",
        x.part AS "Del",
        {SEX_LABEL.replace("sex", "x.sex")} AS "Kon"{theme_out},
        round(x.v, 6) AS "Varde_stand"
-FROM (SELECT DISTINCT area_id, area_name, part, sex{theme_sel}, mean_{col}_{level}_final AS v
+FROM (SELECT DISTINCT area_id, area_name, area_type, part, sex{theme_sel}, mean_{col}_{level}_final AS v
       FROM fin WHERE area_type IN ({types})) x
 LEFT JOIN {key} k ON k.{code} = CAST(x.area_id AS VARCHAR)
 """
@@ -536,7 +515,8 @@ D = "CAST({} AS DOUBLE)"
 def stable_round_sql(e: str) -> str:
     """Same IEEE operations as ``tessera.plans.queries.stable_round``."""
     k9, k6, h = D.format("1e9"), D.format("1e6"), D.format("0.5")
-    return f"(floor(floor(({e}) * {k9} + {h}) / {k9} * {k6} + {h}) / {k6})"
+    r = f"floor(floor(({e}) * {k9} + {h}) / {k9} * {k6} + {h}) / {k6}"
+    return f"(CASE WHEN abs({e}) < {D.format('9e9')} THEN {r} ELSE {e} END)"
 
 
 def _stable_round(sql: str) -> str:
@@ -581,18 +561,22 @@ def _lit(s: str) -> str:
 cte(
     "docs",
     """
-SELECT doc_id, 'I' || lpad(CAST(doc_id % 25 + 1 AS VARCHAR), 2, '0') AS kpi, source AS title, text AS description
-FROM documents
+SELECT doc_id, 'I' || lpad(CAST(b AS VARCHAR), 2, '0') AS kpi, source AS title,
+       text || CASE WHEN b % 5 = 0 THEN ''
+                    WHEN (doc_id // n) % 3 = 0 THEN chr(10) || 'Källa: ' || source || '.'
+                    WHEN (doc_id // n) % 3 = 1 THEN chr(10) || 'Källa ' || source
+                    ELSE chr(10) || 'Källa: Källa: ' || lang || '.' END AS description
+FROM (SELECT *, doc_id % n + 1 AS b FROM documents, (SELECT count(DISTINCT p_brand) AS n FROM part))
 """,
 )
 cte(
     "attr_raw",
     f"""
 SELECT doc_id, kpi, title,
-       coalesce(CASE WHEN regexp_matches(description, 'under the:')
-                     THEN regexp_extract(description, 'under the:({EOL_NOT}*)', 1) END,
-                CASE WHEN regexp_matches(description, 'under the')
-                     THEN regexp_extract(description, 'under the({SEP}*{EOL_NOT}*)', 1) END) AS raw
+       coalesce(CASE WHEN regexp_matches(description, 'Källa:')
+                     THEN regexp_extract(description, 'Källa:({EOL_NOT}*)', 1) END,
+                CASE WHEN regexp_matches(description, 'Källa')
+                     THEN regexp_extract(description, 'Källa({SEP}*{EOL_NOT}*)', 1) END) AS raw
 FROM docs
 """,
 )
@@ -603,7 +587,7 @@ SELECT doc_id, kpi, title,
        regexp_replace(regexp_replace(
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
            raw, '\\n', ' ', 'g'), '\n', ' ', 'g'), '\.', '', 'g'),
-           '^{SPACE}*under the{SEP}*', '', 'g'), '//n', ' ', 'g'),
+           '^{SPACE}*Källa{SEP}*', '', 'g'), '//n', ' ', 'g'),
          '{SPACE}+', ' ', 'g'), '^ +| +$', '', 'g') AS s
 FROM attr_raw
 """,
@@ -674,9 +658,11 @@ GROUP BY Tema
 cte(
     "sort_tbl",
     """
-SELECT CAST(theme AS VARCHAR) AS Tema, min(sort_order) AS sorting FROM catalog GROUP BY theme
-UNION ALL
-SELECT part, CAST(floor(min(sort_order) / 100) * 100 AS INTEGER) FROM catalog GROUP BY part
+SELECT Tema, min(sorting) AS sorting FROM (
+  SELECT CAST(theme AS VARCHAR) AS Tema, min(sort_order) AS sorting FROM catalog GROUP BY theme
+  UNION ALL
+  SELECT part, CAST(floor(min(sort_order) / 100) * 100 AS INTEGER) FROM catalog GROUP BY part)
+GROUP BY Tema
 """,
 )
 
@@ -718,6 +704,9 @@ _WIDE_S = ", ".join(f"source_{t}_{s}" for t, s in _COMBOS)
 SQL.update(
     {
         "q_attribution": "SELECT doc_id, kpi, title, source FROM attr",
+        "q_title_members": """
+SELECT DISTINCT k.theme, k.area_type, k.sex, a.title
+FROM kkeys k LEFT JOIN attr a ON a.kpi = k.kpi WHERE k.theme IS NOT NULL""",
         "q_titles": "SELECT theme, area_type, sex, titles_text FROM t_titles",
         "q_titles_wide": f"SELECT theme, {_WIDE_T} FROM t_titles_wide",
         "q_sources_theme": "SELECT theme, area_type, sex, source_text FROM t_sources",
@@ -771,7 +760,10 @@ SQL.update(
     {
         "q_check_orientation": """
 SELECT kpi, count(*) FILTER (WHERE inverted = 0) AS n_0, count(*) FILTER (WHERE inverted = 1) AS n_1
-FROM std_total_latest GROUP BY kpi
+FROM (SELECT kpi, inverted FROM std_total_latest
+      UNION ALL
+      SELECT kpi, CASE WHEN CAST(substr(kpi, 2) AS INTEGER) % 3 = 0 THEN 1 - inverted ELSE inverted END FROM std_total_latest)
+GROUP BY kpi
 HAVING count(*) FILTER (WHERE inverted = 0) > 0 AND count(*) FILTER (WHERE inverted = 1) > 0""",
         "q_check_profile": """
 SELECT kpi_text, area_type, sex, year, inverted,
@@ -820,7 +812,7 @@ FROM obs o LEFT JOIN region_codes r ON CAST(r.Lan_kod AS INTEGER) = o.area_id AN
 SQL.update(
     {
         "q_check_unmatched": """
-SELECT DISTINCT f.area_id, f.area_name, f.area_type FROM fin f
+SELECT DISTINCT f.area_id, f.area_name, f.area_type FROM base_r f
 WHERE f.area_type = 'K'
   AND NOT EXISTS (SELECT 1 FROM municipality_codes m WHERE m.Kommun_kod = CAST(f.area_id AS VARCHAR))""",
         "q_check_log_losses": """
@@ -886,7 +878,7 @@ WHERE p.area_type IN ('L', 'R')
 SQL.update(
     {
         "q_total_region_node": f"""
-SELECT CASE WHEN k.Lan_kod_S IS NULL THEN '00 Riket' ELSE k.Lan_kod_S || ' ' || coalesce(k.Lan_Namn, 'NA') END AS "Region",
+SELECT CASE WHEN x.area_type = 'R' THEN '00 Riket' WHEN k.Lan_kod_S IS NULL THEN x.area_name ELSE k.Lan_kod_S || ' ' || coalesce(k.Lan_Namn, 'NA') END AS "Region",
        x.part AS "Del", {SEX_LABEL.replace("sex", "x.sex")} AS "Kon", round(x.v, 6) AS "Varde_stand"
 FROM node_final x LEFT JOIN region_codes k ON k.Lan_kod = CAST(x.area_id AS VARCHAR)""",
     }

@@ -29,23 +29,29 @@ def query(name: str):
     return deco
 
 
+ROUNDED_BELOW = 9e9
+
+
 def stable_round(c):
     """Round to 6 places as ``floor(floor(x*1e9+0.5)/1e9*1e6+0.5)/1e6``.
 
     Output rounding only, for comparing engines: the same IEEE operations
     give the same bits everywhere (built-in ``round`` breaks ties
     differently per engine), and the 9-place step makes values that differ
-    only in the last bits of a sum, near a decimal tie, round alike.
+    only in the last bits of a sum, near a decimal tie, round alike. Values
+    from ``ROUNDED_BELOW`` on, where ``floor`` would leave the range of a
+    BIGINT, and NaN stay as they are.
     """
     k9, k6, h = F.lit(1e9), F.lit(1e6), F.lit(0.5)
-    return F.floor(F.floor(c * k9 + h) / k9 * k6 + h) / k6
+    return F.when(F.abs(c) < ROUNDED_BELOW, F.floor(F.floor(c * k9 + h) / k9 * k6 + h) / k6).otherwise(c)
 
 
 def _stable_round_sql(name: str) -> str:
     """:func:`stable_round` as one SQL expression (one parse instead of a
     dozen driver-to-JVM calls per column)."""
     c = f"`{name}`"
-    return f"floor(floor({c} * 1e9D + 0.5D) / 1e9D * 1e6D + 0.5D) / 1e6D AS `{name}`"
+    r = f"floor(floor({c} * 1e9D + 0.5D) / 1e9D * 1e6D + 0.5D) / 1e6D"
+    return f"CASE WHEN abs({c}) < {ROUNDED_BELOW:.0f}D THEN {r} ELSE {c} END AS `{name}`"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -100,8 +106,7 @@ def q_obs(spark, sf):
 @query("q_catalog")
 def q_catalog(spark, sf):
     """Imputed rows with the catalog attached (before logs)."""
-    obs = ctx.observations(spark, sf)
-    imp = prepare.impute(prepare.with_span(obs), "reference")
+    imp = ctx.imputed(spark, sf)
     return rounded(prepare.attach_catalog(imp, ctx.catalog(spark, sf)).select(*BASE_COLS, *CAT_COLS))
 
 
@@ -117,32 +122,32 @@ def q_split_flag(spark, sf):
 
 @query("q_area_group")
 def q_area_group(spark, sf):
-    return prepare.area_groups(ctx.observations(spark, sf))
+    return prepare.area_groups(ctx.observations(spark, sf), fixture.COUNTY_DIVISOR)
 
 
 @query("q_grid")
 def q_grid(spark, sf):
-    g = prepare.complete_grid(prepare.with_span(ctx.observations(spark, sf)))
+    g = prepare.complete_grid(prepare.with_span(ctx.observations(spark, sf)), divisor=fixture.COUNTY_DIVISOR)
     return rounded(g.select(*BASE_COLS[:8], *BASE_COLS[9:]))
 
 
 @query("q_impute_national")
 def q_impute_national(spark, sf):
     """Nation rows after the reference imputation."""
-    imp = prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "reference")
+    imp = ctx.imputed(spark, sf)
     return rounded(imp.where(F.col("area_group") == 0).select(*BASE_COLS))
 
 
 @query("q_impute_group")
 def q_impute_group(spark, sf):
     """All rows after the reference imputation."""
-    return rounded(prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "reference").select(*BASE_COLS))
+    return rounded(ctx.imputed(spark, sf).select(*BASE_COLS))
 
 
 @query("q_impute_documented")
 def q_impute_documented(spark, sf):
     return rounded(
-        prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "documented").select(*BASE_COLS)
+        ctx.imputed(spark, sf, "documented").select(*BASE_COLS)
     )
 
 
@@ -188,13 +193,14 @@ for _m in ("total", "separate", "pooled"):
     query(f"q_ref_{_m}")(_ref(_m))
 
 
-def scored(spark, sf, split_mode="total", year_mode="latest", lag=5) -> DataFrame:
-    return standardize.standardize(ctx.marked_base(spark, sf), split_mode, year_mode, lag)
+def scored(spark, sf) -> DataFrame:
+    """Rows scored against the total sex in the latest year, handed over once."""
+    return ctx.scored(spark, sf)
 
 
 def _std(mode: str, year_mode: str) -> Query:
     def q(spark, sf):
-        return rounded(scored(spark, sf, mode, year_mode).select(*SCORED_COLS))
+        return rounded(standardize.standardize(ctx.marked_base(spark, sf), mode, year_mode, 5).select(*SCORED_COLS))
 
     return q
 
@@ -216,29 +222,28 @@ def q_std_per_year(spark, sf):
 
 
 # ----------------------------------------------------------------- D11–D14
-def levels(spark, sf, weighting="row", scored_rows: DataFrame | None = None) -> hierarchy.Levels:
-    return hierarchy.roll_up(scored(spark, sf) if scored_rows is None else scored_rows, weighting)
+def levels(spark, sf, weighting="row") -> hierarchy.Levels:
+    return hierarchy.Levels(ctx.grain(spark, sf, weighting))
 
 
 @query("q_rollup_aspect")
 def q_rollup_aspect(spark, sf):
-    return rounded(levels(spark, sf).aspect)
+    return rounded(hierarchy.roll_up(scored(spark, sf)).aspect)
 
 
 @query("q_rollup_theme")
 def q_rollup_theme(spark, sf):
-    return rounded(levels(spark, sf).theme)
+    return rounded(hierarchy.roll_up(scored(spark, sf)).theme)
 
 
 @query("q_rollup_part")
 def q_rollup_part(spark, sf):
-    return rounded(levels(spark, sf).part)
+    return rounded(hierarchy.roll_up(scored(spark, sf)).part)
 
 
 @query("q_rollup_node")
 def q_rollup_node(spark, sf):
-    lv = levels(spark, sf, "node")
-    return rounded(lv.part)
+    return rounded(hierarchy.roll_up(scored(spark, sf), "node").part)
 
 
 def _nat(geo: str, level: str) -> Query:
@@ -261,9 +266,8 @@ FINAL_COLS = [f"mean_{g}_{lv}_final" for g in ("region", "municipal") for lv in
 
 
 def final(spark, sf) -> DataFrame:
-    rows = scored(spark, sf)
-    lv = levels(spark, sf, scored_rows=rows)
-    return hierarchy.finalize(rows, lv, hierarchy.national_means(lv))
+    lv = levels(spark, sf)
+    return hierarchy.finalize(scored(spark, sf), lv, hierarchy.national_means(lv))
 
 
 @query("q_final")
@@ -287,16 +291,15 @@ query("q_theme_municipal")(_deliver("theme", "municipality"))
 
 
 # ----------------------------------------------------------- D16–D18 texts
-# Fixed values of the fixture's text side: the marker that introduces an
-# attribution in the documents, the part labels and their sort codes.
-DOC_MARKER = "under the"
+# Fixed values of the fixture's text side: the part labels and their sort codes.
 PARTS = ("D1", "D2")
 SUSTAINABILITY_PART = "D2"
 PART_SORTING = {"D1": 100, "D2": 200}
 
 
 def texts(spark, sf) -> DataFrame:
-    return describe.attribution(fixture.indicator_texts(spark, sf), marker=DOC_MARKER)
+    """Distinct (kpi, title, source), handed over once: one scan of the texts."""
+    return ctx.text_triples(spark, sf)
 
 
 def text_keys(spark, sf) -> DataFrame:
@@ -305,7 +308,13 @@ def text_keys(spark, sf) -> DataFrame:
 
 @query("q_attribution")
 def q_attribution(spark, sf):
-    return texts(spark, sf).select("doc_id", "kpi", "title", "source")
+    return ctx.attributed(spark, sf).select("doc_id", "kpi", "title", "source")
+
+
+@query("q_title_members")
+def q_title_members(spark, sf):
+    """The titles of every theme, area type and sex, one row each."""
+    return describe.members(text_keys(spark, sf), texts(spark, sf), "theme", "title")
 
 
 @query("q_titles")
@@ -363,7 +372,10 @@ SUMMARY_COLUMNS = ["area_id", "year", "value", "inverted", "selected_year", "sta
 
 @query("q_check_orientation")
 def q_check_orientation(spark, sf):
-    return checks.orientation_conflicts(scored(spark, sf))
+    """Rows scored with the catalog, and again with some orientations turned."""
+    turned = fixture.other_orientation(ctx.catalog(spark, sf)).select("kpi", "inverted")
+    again = standardize.standardize(ctx.marked_base(spark, sf).drop("inverted").join(turned, "kpi", "left"))
+    return checks.orientation_conflicts(scored(spark, sf).select("kpi", "inverted").unionByName(again.select("kpi", "inverted")))
 
 
 @query("q_check_profile")
@@ -389,13 +401,16 @@ def q_check_catalog_tally(spark, sf):
 @query("q_check_part_by_region")
 def q_check_part_by_region(spark, sf):
     lv = levels(spark, sf)
-    parts = hierarchy.final_levels(lv, hierarchy.national_means(lv)).part
+    parts = hierarchy.final_level(lv, hierarchy.national_means(lv), "part")
     return rounded(checks.part_by_region(parts, PARTS[0]))
 
 
 @query("q_check_national")
 def q_check_national(spark, sf):
-    return rounded(checks.national_rows(final(spark, sf)).select(*SCORED_COLS, *FINAL_COLS))
+    lv = levels(spark, sf)
+    nation = hierarchy.Levels(checks.national_rows(lv.grain))  # filtered before the join
+    rows = hierarchy.finalize(checks.national_rows(scored(spark, sf)), nation, hierarchy.national_means(lv))
+    return rounded(rows.select(*SCORED_COLS, *FINAL_COLS))
 
 
 @query("q_null_split")
@@ -429,7 +444,7 @@ def q_region_lan_key(spark, sf):
 @query("q_check_unmatched")
 def q_check_unmatched(spark, sf):
     """Delivered areas without a code label (municipality key)."""
-    rows = final(spark, sf).where(F.col("area_type").isin("K", "R"))
+    rows = ctx.marked_base(spark, sf).where(F.col("area_type").isin("K", "R"))
     return checks.unmatched_areas(rows, fixture.municipality_codes(spark, sf), "Kommun_kod")
 
 
@@ -437,7 +452,7 @@ def q_check_unmatched(spark, sf):
 def q_check_log_losses(spark, sf):
     """Flagged values that the log would lose, before the log is taken."""
     imp = prepare.attach_catalog(
-        prepare.impute(prepare.with_span(ctx.observations(spark, sf)), "reference"), ctx.catalog(spark, sf)
+        ctx.imputed(spark, sf), ctx.catalog(spark, sf)
     )
     return rounded(checks.log_losses(imp))
 

@@ -11,12 +11,13 @@ SEXES = ("T", "K", "M")  # total, women, men
 SPLIT_PATTERN = "M|K"  # sexes counted for the split flag
 REGION_NAME_PATTERN = "[rR]egion"  # area names treated as regions in the group key
 SEX_LABELS = {"K": "Kvinnor", "M": "Män", "T": "Totalt"}
+COUNTY_DIVISOR = 100  # municipality id // this = county number
 AREA_TYPES = ("K", "L", "R")  # municipality, region, nation
 
 OBSERVATIONS = T.StructType(
     [
         T.StructField("kpi", T.StringType()),
-        T.StructField("area_id", T.IntegerType()),
+        T.StructField("area_id", T.LongType()),
         T.StructField("area_name", T.StringType()),
         T.StructField("area_type", T.StringType()),
         T.StructField("sex", T.StringType()),

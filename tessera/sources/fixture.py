@@ -2,21 +2,26 @@
 
 The reference fetches regional statistics from a web service; here the same
 long table *(indicator, area, sex, year, value)* is aggregated from
-``lineitem ⋈ orders ⋈ customer ⋈ part`` (see FIXTURES.md):
+``lineitem ⋈ part ⋈ supplier ⋈ nation`` (see FIXTURES.md). Every lineitem row
+is used:
 
 * indicator ``b`` = number of ``p_brand``; code ``I`` + two digits
-* municipality (K) = nation, region (L) = region, nation-wide total (L, id 0)
-* sex = ``l_linestatus`` (F→K, O→M) plus the total T
-* year = ``year(l_shipdate)``; value = mean price in integer cents / 100,
-  NULL when fewer than 3 lines back it.
-
-Plan shape, chosen for large inputs: the three big joins run once, the
-lineitem side is aggregated to the finest grain (brand, year, nation,
-status) with map-side partial aggregation, and the coarser area levels are
-rolled up from that tiny table with grouping sets, instead of expanding
-every lineitem row six ways. Only ``nation``/``region`` (25/5 rows by
-definition of the schema) are broadcast explicitly; all other join strategies
-are left to the planner and AQE's runtime size checks.
+* municipality (K) = supplier, region (L) = the supplier's nation, nation-wide
+  total (L, id 0); a municipality's id is its region's id times
+  ``COUNTY_DIVISOR`` plus the supplier key, so areas grow with the data
+* sex = ``l_linestatus`` (F→K, O→M), not recorded (NULL) for the seventh line of
+  an order and for every sixth indicator, plus the total T
+* year = ``year(l_shipdate)``; value = mean amount of the cell's *returned*
+  lines, so a cell without a returned line is a row without a value, as often
+  at every scale (lines per supplier do not depend on it). The amount is the
+  price; for every tenth indicator the discount in percent less 5, which can be
+  zero or negative.
+
+Plan shape: the lineitem side is joined to ``part`` once and aggregated to the
+finest grain (brand, year, supplier, sex) with map-side partial aggregation;
+names are joined to the cells, and the coarser levels come from one
+grouping-sets aggregate of the cells. Join strategies are left to the planner
+and AQE's runtime sizes.
 """
 
 from __future__ import annotations
@@ -27,9 +32,9 @@ from pyspark.sql import functions as F
 from tessera.schemas import NATION_NAME
 
 # Fixed values of the fixture (FIXTURES.md).
-N_INDICATORS = 25  # number of p_brand values; documents are spread over them
 REGION_PREFIX = "Region "
-MIN_LINES = 3
+COUNTY_DIVISOR = 1_000_000_000
+SOURCE_MARKER = "Källa"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,71 +50,58 @@ def kpi_code(b):
 
 
 def _fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum of integer cents and line count per (brand, year, nation, status)."""
+    """Sum of amounts in cents and number of returned lines per (brand, year,
+    supplier, sex); cells without a returned line are kept."""
     li = _t(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_extendedprice", "l_linestatus", "l_shipdate"
+        "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     part = _t(spark, sf_dir, "part").select("p_partkey", brand_number(F.col("p_brand")).alias("b"))
-    # orders ⋈ customer first (orders-sized), so that when no side is small
-    # enough to broadcast, the lineitem side is shuffled twice (by part key,
-    # then by order key), not three times.
-    order_nation = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "c_nationkey")
-    lines = li.join(part, li.l_partkey == part.p_partkey).join(
-        order_nation, li.l_orderkey == order_nation.o_orderkey
-    )
-    return lines.groupBy(
-        "b",
-        F.year("l_shipdate").alias("year"),
-        F.col("c_nationkey").alias("nationkey"),
-        F.col("l_linestatus").alias("status"),
-    ).agg(
-        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
-        F.count(F.lit(1)).alias("n"),
+    returned = F.col("l_returnflag") == "R"
+    percent = F.round(F.col("l_discount") * 100).cast("bigint") - 5
+    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    amount = F.when(F.col("b") % 10 == 0, percent * 100).otherwise(price)
+    status = F.when((F.col("l_linenumber") != 7) & (F.col("b") % 6 != 0), F.col("l_linestatus"))
+    return (
+        li.join(part, li.l_partkey == part.p_partkey)
+        .groupBy("b", F.year("l_shipdate").alias("year"), "l_suppkey", status.alias("status"))
+        .agg(F.sum(F.when(returned, amount)).alias("cents"), F.count(F.when(returned, 1)).alias("n"))
     )
 
 
+def municipality_id(nationkey, suppkey):
+    return (nationkey + 1).cast("bigint") * COUNTY_DIVISOR + suppkey
+
+
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long observation table (S3 re-aimed), before any cleaning.
 
     Columns: kpi, area_id, area_name, area_type, sex, year, value.
     """
     fine = _fine_cells(spark, sf_dir)
-    nation = F.broadcast(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(_t(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    cells = fine.join(nation, fine.nationkey == nation.n_nationkey).join(
-        region, nation.n_regionkey == region.r_regionkey
-    )
-    nat = ["nationkey", "n_name", "n_regionkey", "r_name"]
-    reg = ["n_regionkey", "r_name"]
-    sets = [
-        ["b", "year", *nat, "status"],
-        ["b", "year", *nat],
-        ["b", "year", *reg, "status"],
-        ["b", "year", *reg],
-        ["b", "year", "status"],
-        ["b", "year"],
-    ]
-    agg = cells.groupingSets(sets, "b", "year", *nat, "status").agg(
+    supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    places = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    cells = fine.join(places, fine.l_suppkey == places.s_suppkey)
+    sup = ["s_suppkey", "s_name", "n_nationkey", "n_name"]
+    nat = ["n_nationkey", "n_name"]
+    sets = [["b", "year", *keys, *sex] for keys in (sup, nat, []) for sex in (["status"], [])]
+    agg = cells.groupingSets(sets, "b", "year", *sup, "status").agg(
         F.sum("cents").alias("cents"),
         F.sum("n").alias("n"),
-        F.grouping("nationkey").alias("g_nation"),
-        F.grouping("n_regionkey").alias("g_region"),
+        F.grouping("s_suppkey").alias("g_supplier"),
+        F.grouping("n_nationkey").alias("g_nation"),
         F.grouping("status").alias("g_status"),
     )
-    is_k = F.col("g_nation") == 0
-    is_l = (F.col("g_nation") == 1) & (F.col("g_region") == 0)
-    b = F.col("b")
-    out = agg.select(
-        kpi_code(b).alias("kpi"),
-        F.when(is_k, (F.col("n_regionkey") + 1) * 100 + F.col("nationkey"))
-        .when(is_l, F.col("n_regionkey") + 1)
-        .otherwise(F.lit(0))
-        .cast("int")
+    is_k = F.col("g_supplier") == 0
+    is_l = (F.col("g_supplier") == 1) & (F.col("g_nation") == 0)
+    return agg.select(
+        kpi_code(F.col("b")).alias("kpi"),
+        F.when(is_k, municipality_id(F.col("n_nationkey"), F.col("s_suppkey")))
+        .when(is_l, (F.col("n_nationkey") + 1).cast("bigint"))
+        .otherwise(F.lit(0).cast("bigint"))
         .alias("area_id"),
-        F.when(is_k, F.col("n_name"))
-        .when(is_l, F.concat(F.lit(REGION_PREFIX), F.col("r_name")))
+        F.when(is_k, F.col("s_name"))
+        .when(is_l, F.concat(F.lit(REGION_PREFIX), F.col("n_name")))
         .otherwise(F.lit(NATION_NAME))
         .alias("area_name"),
         F.when(is_k, F.lit("K")).otherwise(F.lit("L")).alias("area_type"),
@@ -118,82 +110,97 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("status") == "O", F.lit("M"))
         .alias("sex"),
         F.col("year").cast("int").alias("year"),
-        F.when(F.col("n") >= MIN_LINES, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n")))
-        .alias("value"),
-        b,
-    )
-    # Holes put in on purpose (FIXTURES.md): late and early gaps, missing
-    # sex split, missing nation rows.
-    hole = (
-        (((b % 4) == 1) & (F.col("year") > 1999))
-        | (((b % 7) == 0) & (F.col("year") < 1998))
-        | (((b % 6) == 0) & (F.col("sex") != "T"))
-        | (((b % 11) == 0) & (F.col("area_id") == 0))
+        F.when(F.col("n") > 0, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("value"),
     )
-    return out.where(~hole).drop("b")
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Indicator catalog: kpi, kpi_text, aspect, theme, part, inverted, logged, sort_order."""
+    """Indicator catalog: kpi, kpi_text, aspect, theme, part, inverted, logged,
+    sort_order.
+
+    One indicator for each brand, and one without observations for each part
+    type (``E`` + a hash). Theme 4 has the name of the second part, the others
+    a number and, after ``" - "``, a name. Types have no logged flag."""
     b = F.col("b")
     aspect = (b - 1) % 10
     theme = aspect % 5
-    part = F.when(theme < 3, F.lit("D1")).otherwise(F.lit("D2"))
-    return (
-        _t(spark, sf_dir, "part")
-        .select(brand_number(F.col("p_brand")).alias("b"), F.col("p_brand"))
-        .distinct()
-        .select(
-            kpi_code(b).alias("kpi"),
-            F.col("p_brand").alias("kpi_text"),
-            aspect.cast("int").alias("aspect"),
-            theme.cast("int").alias("theme"),
-            part.alias("part"),
-            (b % 2).cast("int").alias("inverted"),
-            F.when((b % 5) == 0, 1).otherwise(0).cast("int").alias("logged"),
-            (F.when(theme < 3, 100).otherwise(200) + theme + 1).cast("int").alias("sort_order"),
+    theme_name = F.when(theme == 4, F.lit("D2")).otherwise(F.concat(F.lit("T"), theme.cast("string"), F.lit(" - theme "), theme.cast("string")))
+    brands = _t(spark, sf_dir, "part").select(brand_number(F.col("p_brand")).alias("b"), F.col("p_brand")).distinct()
+    types = _t(spark, sf_dir, "part").select("p_type").distinct()
+    return brands.select(
+        kpi_code(b).alias("kpi"),
+        F.col("p_brand").alias("kpi_text"),
+        aspect.cast("int").alias("aspect"),
+        theme_name.alias("theme"),
+        F.when(theme < 3, F.lit("D1")).otherwise(F.lit("D2")).alias("part"),
+        (b % 2).cast("int").alias("inverted"),
+        F.when((b % 5) == 0, 1).otherwise(0).cast("int").alias("logged"),
+        (F.when(theme < 3, 100).otherwise(200) + theme + 1).cast("int").alias("sort_order"),
+    ).unionByName(
+        types.select(
+            F.concat(F.lit("E"), F.substring(F.md5(F.col("p_type")), 1, 8)).alias("kpi"),
+            F.col("p_type").alias("kpi_text"),
+            F.lit(10).alias("aspect"),
+            F.lit("T5 - theme 5").alias("theme"),
+            F.lit("D2").alias("part"),
+            F.lit(0).alias("inverted"),
+            F.lit(None).cast("int").alias("logged"),
+            F.lit(206).alias("sort_order"),
         )
     )
 
 
+def other_orientation(catalog: DataFrame) -> DataFrame:
+    """The catalog with the orientation of every third brand turned round."""
+    turned = F.col("kpi").startswith("I") & (F.substring("kpi", 2, 8).try_cast("int") % 3 == 0)
+    return catalog.withColumn("inverted", F.when(turned, 1 - F.col("inverted")).otherwise(F.col("inverted")))
+
+
 def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region code key (S2 layout): code, padded code, letter, names."""
-    rk = F.col("r_regionkey") + 1
-    return _t(spark, sf_dir, "region").select(
+    rk = F.col("n_nationkey") + 1
+    return _t(spark, sf_dir, "nation").select(
         rk.cast("string").alias("Lan_kod"),
         F.lpad(rk.cast("string"), 2, "0").alias("Lan_kod_S"),
-        F.substring("r_name", 1, 2).alias("Lan_bokstav"),
-        F.col("r_name").alias("Lan_Namn"),
-        F.concat(F.lpad(rk.cast("string"), 2, "0"), F.lit(" "), F.col("r_name")).alias("SCB_lan_namn"),
-        F.concat(F.lit(REGION_PREFIX), F.col("r_name")).alias("Data_lan_namn"),
+        F.substring("n_name", 1, 2).alias("Lan_bokstav"),
+        F.col("n_name").alias("Lan_Namn"),
+        F.concat(F.lpad(rk.cast("string"), 2, "0"), F.lit(" "), F.col("n_name")).alias("SCB_lan_namn"),
+        F.concat(F.lit(REGION_PREFIX), F.col("n_name")).alias("Data_lan_namn"),
     )
 
 
 def municipality_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Municipality code key (absent from the reference; built from ``nation``)."""
+    """Municipality code key (absent from the reference), of the suppliers
+    whose balance is not negative; the others have no code."""
+    s = _t(spark, sf_dir, "supplier").where("s_acctbal >= 0")
     n = _t(spark, sf_dir, "nation")
-    r = F.broadcast(_t(spark, sf_dir, "region"))
-    mid = (F.col("n_regionkey") + 1) * 100 + F.col("n_nationkey")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
-        mid.cast("string").alias("Kommun_kod"),
-        F.lpad(mid.cast("string"), 4, "0").alias("Kommun_kod_S"),
-        F.col("n_name").alias("Kommun_namn"),
-        F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0").alias("Lan_kod_S"),
-        F.col("r_name").alias("Lan_Namn"),
+    mid = municipality_id(F.col("n_nationkey"), F.col("s_suppkey")).cast("string")
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+        mid.alias("Kommun_kod"),
+        F.lpad(mid, 12, "0").alias("Kommun_kod_S"),
+        F.col("s_name").alias("Kommun_namn"),
+        F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0").alias("Lan_kod_S"),
+        F.col("n_name").alias("Lan_Namn"),
     )
 
 
 def indicator_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title and description per indicator (S10 re-aimed).
 
-    Every document is a text record of one indicator:
-    ``kpi = I<doc_id % 25 + 1>``, ``title = source``, ``description = text``
-    (the whole text).
-    """
+    Every document is a text record of one brand's indicator, dealt by its id;
+    ``title = source``, ``description`` = the whole text and, on a line of its
+    own, an attribution: with a colon, without one, or doubled, and none for
+    every fifth indicator."""
     d = _t(spark, sf_dir, "documents")
+    n = _t(spark, sf_dir, "part").select(F.count_distinct("p_brand").alias("n")).scalar()
+    b = (F.col("doc_id") % n + 1).cast("int")
+    kind = F.floor(F.col("doc_id") / n) % 3
+    line = (
+        F.when(b % 5 == 0, F.lit(""))
+        .when(kind == 0, F.concat(F.lit(f"\n{SOURCE_MARKER}: "), F.col("source"), F.lit(".")))
+        .when(kind == 1, F.concat(F.lit(f"\n{SOURCE_MARKER} "), F.col("source")))
+        .otherwise(F.concat(F.lit(f"\n{SOURCE_MARKER}: {SOURCE_MARKER}: "), F.col("lang"), F.lit(".")))
+    )
     return d.select(
-        F.col("doc_id"),
-        kpi_code((F.col("doc_id") % N_INDICATORS + 1).cast("int")).alias("kpi"),
-        F.col("source").alias("title"),
-        F.col("text").alias("description"),
+        F.col("doc_id"), kpi_code(b).alias("kpi"), F.col("source").alias("title"), F.concat(F.col("text"), line).alias("description")
     )

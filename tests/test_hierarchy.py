@@ -55,8 +55,9 @@ def test_deliver_labels_and_theme_cut(spark):
     out = H.deliver(lv, H.national_means(lv), codes, "theme", "region")
     assert out.columns == ["Region", "Del", "Kon", "Tema", "Varde_stand"]
     got = [tuple(r) for r in out.collect()]
-    # Every area without a code is labelled as the nation (id 7 included)
-    assert got[0][:4] == ("00 Riket", "P", "Kvinnor", "T2")
+    # Only the nation is labelled as the nation; id 7 has no code and keeps its name
+    assert got[0][:4] == ("00 Riket", "P", "Män", "T2")
+    assert ("b", "P", "Kvinnor", "T2", 40.0) in got
     assert ("01 Län ett", "P", "Totalt", "T10", 50.0) in got
     assert {g[2] for g in got} == {"Kvinnor", "Män", "Totalt"}
     with pytest.raises(ValueError):

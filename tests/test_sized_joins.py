@@ -1,27 +1,48 @@
-from tessera.functions.joins import SIZE_CHECK_CONF
+import re
+
+import pytest
+
 from tessera.plans import context as ctx
 from tessera.plans import queries as Q
 from tests.conftest import SF
 
 
-def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+@pytest.fixture()
+def static(spark):
+    """Plans as they stand before any runtime re-planning."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("mode", ["total", "separate", "pooled"])
+def test_scoring_joins_do_not_shuffle_the_rows(spark, static, mode):
+    ctx.marked_base(spark, SF)
+    p = plan(Q.REGISTRY[f"q_std_{mode}_lag"](spark, SF))
+    assert "SortMergeJoin" not in p and "Exchange hashpartitioning" not in p
+
+
+def test_imputation_reads_the_observations_three_times_at_most(spark, static):
+    ctx.observations(spark, SF)
+    p = plan(Q.REGISTRY["q_impute_group"](spark, SF))
+    assert len(re.findall(r"FileScan parquet .*tessera/obs-", p)) <= 3
+
+
+PLANNED = {"q_final": (10, 3), "q_total_region": (6, 2), "q_theme_region": (6, 2), "q_total_municipal": (8, 2)}  # its code key is a join of its own
 
 
-def test_size_checked_joins_same_result_no_sort_merge(spark):
-    base = ctx.marked_base(spark, SF)
-    plain = Q.standardize.standardize(base, "separate", "lag", 5)
-    want = _rows(Q.rounded(plain.select(*Q.SCORED_COLS)))
-    spark.conf.set(SIZE_CHECK_CONF, "true")
+@pytest.mark.parametrize("name", sorted(PLANNED))
+def test_exchanges_without_broadcasts(spark, static, name):
+    ctx.grain(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        sized = Q.standardize.standardize(base, "separate", "lag", 5)
-        got_df = Q.rounded(sized.select(*Q.SCORED_COLS))
-        assert _rows(got_df) == want
-        got_df.collect()
-        plan = got_df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" not in plan
-        imp = Q.REGISTRY["q_impute_group"](spark, SF)
-        spark.conf.set(SIZE_CHECK_CONF, "false")
-        assert _rows(imp) == _rows(Q.REGISTRY["q_impute_group"](spark, SF))
+        p = plan(Q.REGISTRY[name](spark, SF))
     finally:
-        spark.conf.set(SIZE_CHECK_CONF, "false")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges, scans = PLANNED[name]
+    assert len(re.findall(r"\bExchange (?:hash|range|Single)", p)) <= exchanges
+    assert len(re.findall(r"FileScan parquet .*tessera/", p)) <= scans
