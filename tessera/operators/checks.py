@@ -46,12 +46,15 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     sorted table is written to the shared folder, each row's global rank is
     its position in its partition plus the sizes of earlier partitions (a
     table of partitions × columns), and only the rows at the needed ranks
-    are read back. No column is ever gathered into one task.
+    are read back. No column is ever gathered into one task. The sorted table
+    is written when the summary is asked for, because its partitions must be
+    the same for both of its readers.
     """
     probs = tuple(QUANTILE_NAMES)
     # one pass over the rows: each row becomes one (column, value) row per column
+    tie = F.xxhash64(*df.columns)
     long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"), tie.alias("_tie")) for c in columns]))
     )
     stats = long.groupBy("column").agg(
         F.count("v").alias("n"),
@@ -60,11 +63,10 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.avg("v").alias("mean"),
         F.max("v").alias("max"),
     )
-    # a random tiebreaker spreads a value held by many rows over several
-    # range partitions; equal values are interchangeable for ranks
+    # a hash of the row spreads a value held by many rows over several range
+    # partitions, alike in every attempt; equal values are interchangeable
     ordered = (
         long.where(F.col("v").isNotNull())
-        .withColumn("_tie", F.rand(17))
         .repartitionByRange("column", "v", "_tie")
         .sortWithinPartitions("column", "v", "_tie")
         .select("column", "v", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("mid"))
@@ -74,7 +76,7 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     blocks = ordered.groupBy("column", "pid").agg(F.count(F.lit(1)).alias("cnt"), F.min("mid").alias("mid0"))
     w = Window.partitionBy("column").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    ranked = ordered.join(F.broadcast(blocks.select("column", "pid", "mid0", "offset")), ["column", "pid"]).select(
+    ranked = ordered.join(blocks.select("column", "pid", "mid0", "offset"), ["column", "pid"]).select(
         "column", "v", (F.col("offset") + F.col("mid") - F.col("mid0")).alias("rank")
     )
     wanted = (

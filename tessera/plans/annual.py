@@ -16,21 +16,25 @@ from files, not from the start.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import describe, hierarchy, prepare, standardize
+from tessera.operators import checks, describe, hierarchy, prepare, standardize
+from tessera.schemas import COUNTY_DIVISOR, REGION_DATA_NAME
 from tessera.session import materialize
 from tessera.sources import files
 
-# File names of the publication tables ({year} = stamp year).
+# File names of the publication tables ({year} = stamp year,
+# {prefix} = whatever the receiver of the files wants in front of the name).
 PUBLICATION_FILES = {
-    ("part", "municipality"): "1.totalindex_kommun{year}",
-    ("theme", "municipality"): "2.temaindex_kommun{year}",
-    ("part", "region"): "3.totalindex_region{year}",
-    ("theme", "region"): "4.temaindex_region{year}",
+    ("part", "municipality"): "1.{prefix}totalindex_kommun{year}",
+    ("theme", "municipality"): "2.{prefix}temaindex_kommun{year}",
+    ("part", "region"): "3.{prefix}totalindex_region{year}",
+    ("theme", "region"): "4.{prefix}temaindex_region{year}",
 }
+_log = logging.getLogger(__name__)
 DESCRIPTION_FILE = "tema_desc"
 
 
@@ -42,17 +46,31 @@ def build_base_table(
     mode: str = "reference",
     run_date: _dt.date | str | None = None,
     observations_format: str = "parquet",
+    county_divisor: int = COUNTY_DIVISOR,
 ) -> DataFrame:
-    """Step 1: observations → base table at ``out_path`` (Parquet by ``kpi``)."""
-    obs = files.read_observations(spark, observations_path, observations_format)
-    if "_corrupt_record" in obs.columns:
-        obs = obs.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    """Step 1: observations → base table at ``out_path`` (Parquet by ``kpi``).
+
+    Beside it stand ``<out_path>_empty``, the catalog's indicators without any
+    value, and, for JSON, ``<out_path>_rejected``, the records that did not
+    parse; both are counted in the log.
+    """
+    obs, rejected = files.split_rejected(files.read_observations(spark, observations_path, observations_format))
     catalog = files.read_catalog(spark, catalog_path)
-    base = prepare.build_base(obs, catalog, mode, run_date=run_date or _dt.date.today())
+    base = prepare.build_base(obs, catalog, mode, run_date=run_date or _dt.date.today(), divisor=county_divisor)
     files.write_table(base, out_path)
+    _report(spark, prepare.empty_indicators(catalog, obs), f"{out_path}_empty", "indicators without a value")
+    if rejected is not None:
+        _report(spark, rejected, f"{out_path}_rejected", "records that did not parse")
     return files.read_table(spark, out_path)
 
 
+def _report(spark: SparkSession, rows: DataFrame, path: str, what: str) -> None:
+    """Write ``rows`` and log how many there are."""
+    files.write_table(rows, path, partition_by=())
+    n = files.read_table(spark, path).count()
+    (_log.warning if n else _log.info)("%d %s, in %s", n, what, path)
+
+
 def publish_index(
     spark: SparkSession,
     base_path: str,
@@ -64,26 +82,41 @@ def publish_index(
     year_mode: str = "latest",
     lag: int = 5,
     weighting: str = "row",
+    year_scope: str = "kpi",
+    validate: bool = False,
+    file_prefix: str = "",
+    region_data_name: str = REGION_DATA_NAME,
 ) -> dict[str, DataFrame]:
     """Step 2: base table → four publication tables under ``out_dir``.
 
     Returns the tables by file name; ``final`` (row level) is written as
-    Parquet next to them.
+    Parquet next to them, and the run's checks under ``checks/``: indicators
+    scored with both orientations, the score profile, missing sexes, and the
+    areas of each geography without a code.
     """
     base = prepare.mark_national(files.read_table(spark, base_path))
-    # five outputs read the scores: computed once, handed over as a file
-    scored = materialize(standardize.standardize(base, split_mode, year_mode, lag), "scored")
+    # all outputs read the scores: computed once, handed over as a file
+    scored = materialize(standardize.standardize(base, split_mode, year_mode, lag, year_scope, validate), "scored")
     levels = hierarchy.Levels(materialize(hierarchy.roll_up(scored, weighting).grain, "levels"))
     national = hierarchy.national_means(levels)
     files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=())
     codes = {
         "municipality": files.read_municipality_codes(spark, municipality_codes_path),
-        "region": files.read_region_codes(spark, region_codes_path),
+        "region": files.read_region_codes(spark, region_codes_path, region_data_name),
+    }
+    found = {
+        "orientation": checks.orientation_conflicts(scored),
+        "missing_split": standardize.missing_split(base, year_mode, lag),
+        "unmatched_municipality": checks.unmatched_areas(base.where("area_type = 'K'"), codes["municipality"], "Kommun_kod"),
+        "unmatched_region": checks.unmatched_areas(base.where("area_type = 'L'"), codes["region"], "Lan_kod"),
     }
+    for name, rows in found.items():
+        _report(spark, rows, f"{out_dir}/checks/{name}", f"rows of the check {name}")
+    files.write_table(checks.score_profile(scored), f"{out_dir}/checks/profile", partition_by=())
     out = {}
     for (level, geo), name in PUBLICATION_FILES.items():
         table = hierarchy.deliver(levels, national, codes[geo], level, geo)
-        fname = name.format(year=stamp_year)
+        fname = name.format(year=stamp_year, prefix=file_prefix)
         files.write_semicolon_csv(table, f"{out_dir}/{fname}", single_file=True)
         out[fname] = table
     return out

@@ -885,5 +885,31 @@ FROM node_final x LEFT JOIN region_codes k ON k.Lan_kod = CAST(x.area_id AS VARC
 )
 
 
+SQL.update(
+    {
+        "q_file_catalog": """
+SELECT sort_order, kpi, kpi_text, CAST(aspect AS VARCHAR) AS aspect, theme, part, inverted, logged, CAST(2026 AS INTEGER) AS added_year
+FROM catalog""",
+        # the file's mark for a missing value is NA, so these two letters read as NULL
+        "q_file_region_codes": "SELECT * REPLACE (nullif(Lan_bokstav, 'NA') AS Lan_bokstav) FROM region_codes",
+        "q_file_municipality_codes": "SELECT * FROM municipality_codes",
+        "q_file_observations": SQL["q_obs"],
+        "q_file_base": SQL["q_log"],
+        "q_file_exchange": SQL["q_log"],
+        "q_file_final": SQL["q_final"],
+        "q_file_delivery": SQL["q_theme_municipal"],
+        "q_file_descriptions": SQL["q_descriptions"],
+        "q_file_texts": "SELECT kpi, title, source, count(*) AS n FROM attr GROUP BY kpi, title, source",
+        "q_stamp": "SELECT kpi, area_id, sex, year, '2026-01-09' AS fetched FROM base",
+        "q_check_categories": """
+SELECT a.aspect, a.theme, a.part, a.sort_order, a.in_catalog, b.in_categories
+FROM (SELECT DISTINCT aspect, theme, part, sort_order, 1 AS in_catalog FROM catalog) a
+LEFT JOIN (SELECT DISTINCT aspect, theme, part, sort_order, 1 AS in_categories FROM catalog WHERE kpi LIKE 'I%') b
+  ON a.aspect = b.aspect AND a.theme = b.theme AND a.part = b.part AND a.sort_order = b.sort_order
+WHERE b.in_categories IS NULL""",
+    }
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: _stable_round(build(v)) for k, v in SQL.items()}

@@ -7,6 +7,7 @@ are rounded to 6 places at the very end, on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from tessera.operators import checks, describe, export, hierarchy, prepare, standardize
 from tessera.plans import context as ctx
-from tessera.sources import fixture
+from tessera.session import checkpoint_root
+from tessera.sources import files, fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -476,3 +478,109 @@ def q_total_region_node(spark, sf):
     lv = levels(spark, sf, "node")
     codes = fixture.region_codes(spark, sf)
     return rounded(hierarchy.deliver(lv, hierarchy.national_means(lv), codes, "part", "region"))
+
+
+# ------------------------------------------------ files: written and read back
+def _file(spark, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/tessera/files/{name}-{uuid.uuid4().hex}"
+
+
+CATALOG_FILE = {
+    "Sortering": "sort_order", "Indikator_ID": "kpi", "Indikator_namn": "kpi_text", "Aspekt": "aspect", "Tema": "theme", "Del": "part",
+    "Omvand_skala": "inverted", "Log": "logged",
+}
+
+
+@query("q_file_catalog")
+def q_file_catalog(spark, sf):
+    """The catalog as ``;``-CSV, its columns in another order than the schema's."""
+    cat = ctx.catalog(spark, sf).select(*[F.col(c).alias(n) for n, c in CATALOG_FILE.items()], F.lit("2026-03-25T00:00:00Z").alias("Tillagd_datum"))
+    files.write_semicolon_csv(cat, path := _file(spark, "catalog"))
+    return files.read_catalog(spark, path).select(*CATALOG_FILE.values(), F.year("added").alias("added_year"))
+
+
+@query("q_file_region_codes")
+def q_file_region_codes(spark, sf):
+    """Codes stay text; the column with the name in the data has a name of its own."""
+    codes = fixture.region_codes(spark, sf)
+    out = codes.select(*reversed(codes.columns)).withColumnRenamed("Data_lan_namn", "Other_lan_namn")
+    files.write_semicolon_csv(out, path := _file(spark, "regions"))
+    return files.read_region_codes(spark, path, "Other_lan_namn")
+
+
+@query("q_file_municipality_codes")
+def q_file_municipality_codes(spark, sf):
+    files.write_semicolon_csv(fixture.municipality_codes(spark, sf), path := _file(spark, "municipalities"))
+    return files.read_municipality_codes(spark, path)
+
+
+@query("q_file_observations")
+def q_file_observations(spark, sf):
+    """S3: landed observations, JSON by indicator."""
+    ctx.observations(spark, sf).write.option("ignoreNullFields", "false").json(path := _file(spark, "landed"))
+    good, _ = files.split_rejected(files.read_observations(spark, path, "json"))
+    return rounded(good.select(*OBS_COLS))
+
+
+@query("q_file_base")
+def q_file_base(spark, sf):
+    """The base table by indicator."""
+    files.write_table(ctx.base(spark, sf), path := _file(spark, "base"))
+    return rounded(files.read_table(spark, path).select(*BASE_COLS, *CAT_COLS))
+
+
+@query("q_file_exchange")
+def q_file_exchange(spark, sf):
+    """The base table as compressed ``;``-CSV with decimal commas."""
+    base = ctx.base(spark, sf).select(*BASE_COLS, *CAT_COLS)
+    files.write_semicolon_csv(base, path := _file(spark, "exchange"), compression="gzip")
+    return rounded(files.read_semicolon_csv(spark, path, base.schema, ["value", "value_mean_group"]))
+
+
+@query("q_file_final")
+def q_file_final(spark, sf):
+    """The final table."""
+    files.write_table(final(spark, sf).select(*SCORED_COLS, *FINAL_COLS), path := _file(spark, "final"), partition_by=())
+    return rounded(files.read_table(spark, path))
+
+
+def _published(spark, table: DataFrame, name: str) -> DataFrame:
+    files.write_semicolon_csv(table, path := _file(spark, name), single_file=True)
+    doubles = [f.name for f in table.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return rounded(files.read_semicolon_csv(spark, path, table.schema, doubles))
+
+
+@query("q_file_delivery")
+def q_file_delivery(spark, sf):
+    """A publication table as one ``;``-CSV file."""
+    lv = levels(spark, sf)
+    codes = fixture.municipality_codes(spark, sf)
+    return _published(spark, hierarchy.deliver(lv, hierarchy.national_means(lv), codes, "theme", "municipality"), "delivery")
+
+
+@query("q_file_descriptions")
+def q_file_descriptions(spark, sf):
+    """The descriptions as one ``;``-CSV file."""
+    return _published(spark, q_descriptions(spark, sf), "descriptions")
+
+
+@query("q_file_texts")
+def q_file_texts(spark, sf):
+    """Landed texts, read and attributed."""
+    fixture.indicator_texts(spark, sf).select("kpi", "title", "description").write.parquet(path := _file(spark, "texts"))
+    return describe.attribution(files.read_texts(spark, path), marker=fixture.SOURCE_MARKER).groupBy("kpi", "title", "source").agg(
+        F.count("*").alias("n")
+    )
+
+
+@query("q_stamp")
+def q_stamp(spark, sf):
+    """The date of the run as text."""
+    return prepare.stamp(ctx.base(spark, sf), "2026-01-09").select("kpi", "area_id", "sex", "year", "fetched")
+
+
+@query("q_check_categories")
+def q_check_categories(spark, sf):
+    """The catalog's categories against a list that lacks those of the indicators without data."""
+    cat = ctx.catalog(spark, sf)
+    return checks.category_agreement(cat, cat.where(F.col("kpi").startswith("I")))

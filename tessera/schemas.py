@@ -12,6 +12,7 @@ SPLIT_PATTERN = "M|K"  # sexes counted for the split flag
 REGION_NAME_PATTERN = "[rR]egion"  # area names treated as regions in the group key
 SEX_LABELS = {"K": "Kvinnor", "M": "Män", "T": "Totalt"}
 COUNTY_DIVISOR = 100  # municipality id // this = county number
+REGION_DATA_NAME = "Data_lan_namn"  # the region's name in the observations
 AREA_TYPES = ("K", "L", "R")  # municipality, region, nation
 
 OBSERVATIONS = T.StructType(
@@ -72,7 +73,7 @@ REGION_CODE_FILE = T.StructType(
         T.StructField("Lan_bokstav", T.StringType()),
         T.StructField("Lan_Namn", T.StringType()),
         T.StructField("SCB_lan_namn", T.StringType()),
-        T.StructField("Data_lan_namn", T.StringType()),
+        T.StructField(REGION_DATA_NAME, T.StringType()),
     ]
 )
 

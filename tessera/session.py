@@ -9,6 +9,7 @@ master is local (tests, bench).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,8 @@ def get_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM for driver and tasks (``local``, ``local[n]``, ``local[n, f]``)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:

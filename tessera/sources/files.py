@@ -31,6 +31,10 @@ CSV_OPTIONS = {
 }
 
 
+CORRUPT = "_corrupt_record"
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
 def _nan_to_null(df: DataFrame) -> DataFrame:
     """NaN counts as missing in the reference (G3); Spark keeps NaN apart."""
     return df.select(
@@ -46,16 +50,25 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
 def read_semicolon_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, decimal_comma: Iterable[str] = ()
 ) -> DataFrame:
-    """Read ``;``-CSV with ``schema``; ``decimal_comma`` columns use ``,``."""
+    """Read the columns of ``schema`` from ``;``-CSV, by the names in the
+    header (S1/S2/S5): the order of the columns is free, further ones are left
+    out, a missing one is an error, and so is a file whose header differs from
+    the others'. ``decimal_comma`` columns use ``,``."""
     dec = set(decimal_comma)
-    raw_schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name in dec else f.dataType, True) for f in schema.fields]
-    )
-    df = spark.read.schema(raw_schema).options(**CSV_OPTIONS).csv(path)
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {', '.join(names)}")
+    # every column as text, by the header's own names; files with another header are refused
+    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    df = spark.read.schema(text).options(**CSV_OPTIONS).option("enforceSchema", "false").csv(path)
+    cols = []
     for f in schema.fields:
+        c = F.col(f"`{f.name}`")
         if f.name in dec:
-            df = df.withColumn(f.name, F.regexp_replace(F.col(f.name), ",", ".").try_cast(f.dataType))
-    return _nan_to_null(df)
+            c = F.regexp_replace(c, ",", ".")
+        cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
+    return _nan_to_null(df.select(*cols))
 
 
 def write_semicolon_csv(
@@ -105,8 +118,11 @@ def read_categories(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_region_codes(spark: SparkSession, path: str) -> DataFrame:
-    return read_semicolon_csv(spark, path, schemas.REGION_CODE_FILE)
+def read_region_codes(spark: SparkSession, path: str, data_name: str = schemas.REGION_DATA_NAME) -> DataFrame:
+    """Region code key. ``data_name`` is the header of the column with the
+    region's name in the observations; it is read as ``Data_lan_namn``."""
+    fields = [T.StructField(data_name, f.dataType) if f.name == schemas.REGION_DATA_NAME else f for f in schemas.REGION_CODE_FILE]
+    return read_semicolon_csv(spark, path, T.StructType(fields)).withColumnRenamed(data_name, schemas.REGION_DATA_NAME)
 
 
 def read_municipality_codes(spark: SparkSession, path: str) -> DataFrame:
@@ -122,18 +138,31 @@ def read_observations(spark: SparkSession, path: str | Sequence[str], fmt: str =
     ``kpi`` partition column is then discovered. For JSON, malformed records
     land in ``_corrupt_record`` instead of failing the run (S4).
     """
-    schema = schemas.OBSERVATIONS
-    reader = spark.read.schema(schema)
-    if fmt == "json":
-        schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-        reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option(
-            "columnNameOfCorruptRecord", "_corrupt_record"
-        )
-    df = _nan_to_null(reader.format(fmt).load(path))
+    reader = spark.read.schema(observation_schema(fmt)).format(fmt)
+    return clean_observations(reader.options(**JSON_OPTIONS if fmt == "json" else {}).load(path))
+
+
+def observation_schema(fmt: str = "parquet") -> T.StructType:
+    """Observations as landed; JSON has a column for records that do not parse."""
+    extra = [T.StructField(CORRUPT, T.StringType())] if fmt == "json" else []
+    return T.StructType([*schemas.OBSERVATIONS.fields, *extra])
+
+
+def clean_observations(df: DataFrame) -> DataFrame:
+    """NaN to NULL; municipalities and regions only, and records that did not
+    parse. Batch or stream."""
     keep = F.col("area_type").isin("L", "K")
-    if fmt == "json":
-        keep = keep | F.col("_corrupt_record").isNotNull()
-    return df.where(keep)
+    if CORRUPT in df.columns:
+        keep = keep | F.col(CORRUPT).isNotNull()
+    return _nan_to_null(df).where(keep)
+
+
+def split_rejected(obs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Good observations, and the records that did not parse (None if the
+    format has none)."""
+    if CORRUPT not in obs.columns:
+        return obs, None
+    return obs.where(F.col(CORRUPT).isNull()).drop(CORRUPT), obs.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, "kpi")
 
 
 def read_texts(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
@@ -149,13 +178,20 @@ def read_texts(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
 
 
 # --------------------------------------------------------- hand-off
+#: Files that the rows of one partition value are spread over when written.
+FILES_PER_VALUE = 8
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("kpi",)) -> None:
     """Parquet hand-off partitioned by indicator (S6/S7), so a reader of a
-    few indicators prunes the rest."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    few indicators prunes the rest. Rows are brought together by indicator and
+    a salt first: at most ``FILES_PER_VALUE`` files an indicator, and a large
+    indicator is written by as many tasks."""
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(FILES_PER_VALUE))
+    df.repartition(*partition_by, salt).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

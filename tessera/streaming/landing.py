@@ -10,11 +10,9 @@ exactly once (file source + checkpoint), then processed in batch.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera import schemas
-from tessera.session import checkpoint_root
+from tessera.sources import files
 
 
 def land_observations(
@@ -28,21 +26,22 @@ def land_observations(
     """Append landed observation files under ``source`` to Parquet at
     ``sink``, partitioned by ``kpi``.
 
-    The stream reads with the explicit observation schema, turns NaN into
-    NULL and keeps only municipalities and regions, like the batch reader.
-    ``checkpoint`` defaults to a folder under the session's shared
-    checkpoint dir. With ``available_now`` the query processes what has
-    landed and stops.
+    The stream reads and cleans as the batch reader does: explicit schema, NaN
+    as NULL, municipalities and regions only, JSON records that do not parse
+    kept in ``_corrupt_record`` (``files.split_rejected`` takes them out).
+
+    ``checkpoint`` defaults to a folder inside ``sink`` that readers skip: the
+    record of what has landed lives and dies with the table, so a later
+    application goes on where this one stopped. With ``available_now`` the
+    query processes what has landed and stops.
     """
-    stream = spark.readStream.schema(schemas.OBSERVATIONS).format(fmt).load(source)
-    clean = stream.withColumn("value", F.when(~F.isnan("value"), F.col("value"))).where(
-        F.col("area_type").isin("L", "K")
-    )
-    ckpt = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tessera/landing"
+    reader = spark.readStream.schema(files.observation_schema(fmt)).format(fmt)
+    stream = reader.options(**files.JSON_OPTIONS if fmt == "json" else {}).load(source)
     writer = (
-        clean.writeStream.format("parquet")
+        files.clean_observations(stream)
+        .writeStream.format("parquet")
         .option("path", sink)
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}/_landed")
         .partitionBy("kpi")
         .outputMode("append")
     )

@@ -71,6 +71,10 @@ def test_yearly_run(spark, tmp_dir):
     region_total = [tuple(r) for r in tables["3.totalindex_region2025"].collect()]
     assert len(region_total) == 3 * 2 * 3  # two regions + nation, two parts, three sexes
     assert {r[0] for r in region_total} == {"00 Riket", "01 Län A", "02 Län B"}
+    for check, n in (("orientation", 0), ("unmatched_municipality", 0), ("unmatched_region", 0), ("missing_split", 0)):
+        assert spark.read.parquet(os.path.join(out_dir, "checks", check)).count() == n
+    assert spark.read.parquet(os.path.join(out_dir, "checks", "profile")).count() > 0
+    assert spark.read.parquet(base_path + "_empty").count() == 0
     csv = glob.glob(os.path.join(out_dir, "3.totalindex_region2025", "part-*.csv"))
     text = open(csv[0], encoding="utf-8").read()
     assert text.startswith("Region;Del;Kon;Varde_stand\n") and "00 Riket;Hållbarhet;Kvinnor;" in text
@@ -95,8 +99,23 @@ def test_command_line(spark, tmp_dir):
     base, out = os.path.join(tmp_dir, "cli_base"), os.path.join(tmp_dir, "cli_out")
     assert main(["base", "--observations", obs_path, "--catalog", cat, "--out", base, "--run-date", "2026-01-01"]) == 0
     assert main(["index", "--base", base, "--municipality-codes", kom, "--region-codes", reg, "--out", out,
-                 "--stamp-year", "2025", "--weighting", "node"]) == 0
+                 "--stamp-year", "2025", "--weighting", "node", "--validate", "--year-scope", "area_type",
+                 "--file-prefix", "x_"]) == 0
     assert main(["describe", "--base", base, "--texts", texts_path, "--catalog", cat, "--out", out,
-                 "--sustainability-part", "Hållbarhet"]) == 0
-    for name in ("1.totalindex_kommun2025", "4.temaindex_region2025", "tema_desc"):
+                 "--sustainability-part", "Hållbarhet", "--marker", "Källa"]) == 0
+    for name in ("1.x_totalindex_kommun2025", "4.x_temaindex_region2025", "tema_desc"):
         assert glob.glob(os.path.join(out, name, "part-*.csv")), name
+
+
+def test_rejected_records_and_empty_indicators_are_kept(spark, tmp_dir):
+    import json
+
+    _, _, cat, _, _ = _inputs(spark, tmp_dir)
+    src = os.path.join(tmp_dir, "json")
+    os.makedirs(src)
+    rec = {"kpi": "N1", "area_id": 101, "area_name": "Kommun Ett", "area_type": "K", "sex": "T", "year": 2020, "value": 1.0}
+    _write(src, "a.json", json.dumps(rec) + "\n{not json\n")
+    base = os.path.join(tmp_dir, "base_json")
+    assert annual.build_base_table(spark, src, cat, base, observations_format="json").count() == 1
+    assert [r[0] for r in spark.read.parquet(base + "_rejected").collect()] == ["{not json"]
+    assert sorted(r[0] for r in spark.read.parquet(base + "_empty").collect()) == ["N2", "N3"]

@@ -65,3 +65,26 @@ def test_text_helpers(spark):
     assert r.p == "x NA y"
     assert r.dot == "x." and r.dot_null is None
     assert r.rc == "X" and r.rc_keep == "T10 - Utbildning"
+
+
+def test_output_rounding_keeps_large_values_and_nan(spark):
+    import math
+
+    from tessera.plans.queries import rounded
+
+    df = spark.createDataFrame([(1, 2.5e10), (2, float("nan")), (3, 1.23456789), (4, None), (5, -2.5e10)], "k int, v double")
+    got = {r.k: r.v for r in rounded(df).collect()}
+    assert got[1] == 2.5e10 and got[5] == -2.5e10 and math.isnan(got[2]) and got[3] == 1.234568 and got[4] is None
+
+
+DIGESTS = {"QUALITY_OF_LIFE_DESC": "982986251fcb", "SUSTAINABILITY_DESC": "4feae0125f9b", "INDICATOR_DESC": "f228758f62bc"}
+
+
+def test_fixed_texts():
+    """The long texts, held against digests of their values."""
+    import hashlib
+
+    from tessera.operators import describe as D
+
+    digest = {n: hashlib.sha256(getattr(D, n).encode()).hexdigest()[:12] for n in ("QUALITY_OF_LIFE_DESC", "SUSTAINABILITY_DESC", "INDICATOR_DESC")}
+    assert digest == DIGESTS
