@@ -25,10 +25,12 @@ from __future__ import annotations
 import functools
 import struct
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ from tessera.llm.common import Buckets, buckets_by, materialize
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20
-CACHED_PIECES = 250_000
+CACHED_PIECES = 200_000
 #: Pieces longer than this are encoded each time.
 SHORT = 64
 WORDS_PER_BLOCK = 8
@@ -147,6 +149,35 @@ class Segment:
 
 # ---- tokenizing --------------------------------------------------------------
 
+# The split of byte-level vocabularies, and the characters that
+# stand for bytes in them (printable Latin-1 for themselves, the others in order
+# from U+0100).
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_OWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SYMBOLS = dict(zip([b for b in range(256) if b not in _OWN], map(chr, range(256, 512)), strict=False))
+_LAST_LATIN = "\u024f"
+
+
+class _Pieces(dict):
+    """Ids, as bytes, of ``lead`` + key for each piece of text seen lately: of
+    two generations of ``CACHED_PIECES``, what is used again stays."""
+
+    def __init__(self, lead: str, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.lead, self.encode, self.old = lead, encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.old.get(piece)
+        if got is None:
+            got = self.encode(self.lead + piece)
+            if len(piece) > SHORT:
+                return got
+        if len(self) >= CACHED_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = got
+        return got
+
 
 class Encoder:
     """The library's encoding of whole texts, piece by piece.
@@ -154,7 +185,9 @@ class Encoder:
     The split of this vocabulary never joins what a single space separates: a
     space before a character that is none begins a new piece. Texts without
     two spaces in a row are therefore cut there, and each distinct piece is
-    given to the library once. Other texts go to the library whole."""
+    encoded once, and in it each distinct pre-token, by the library's model.
+    Other texts, pieces with a special token, and pieces with characters
+    beyond Latin go to the library whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -163,29 +196,45 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.tokenize = self.library.model.tokenize
+        self.by_words = self.library.normalizer is None
+        self.first, self.later = _Pieces("", self._piece), _Pieces(" ", self._piece)
+        self.words = _Pieces("", self._word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """A pre-token of Latin characters, by the library's model."""
+        if word.isascii() and word.isprintable():
+            symbols = word.replace(" ", _SYMBOLS[32])
+        else:
+            symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
+        return array(self.code, [t.id for t in self.tokenize(symbols)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        # the library splits what is not plain Latin text, so that its tables of letters hold
+        if not piece.isascii() and max(piece) > _LAST_LATIN or "<" in piece and any(s in piece for s in self.special):
+            return self._whole(piece)
+        if piece[1:].isalpha() and piece[0] == " ":
+            return self._word(piece)
+        later, words = self.later, self.words
+        return b"".join([later[w[1:]] if w[0] == " " and w[1:].isalpha() else words[w] for w in _SPLIT.findall(piece)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as bytes of ``kind``; NULL is the empty text."""
-        cut: list[list[str] | None] = []
+        out = []
         for t in texts:
             parts = (t or "").split(" ")
-            if "" in parts:
-                cut.append(None if t else [])
+            if not t:
+                out.append(b"")
+            elif "" in parts or not self.by_words:
+                out.append(self._whole(t))
             else:
-                cut.append([parts[0], *[f" {p}" for p in parts[1:]]])
-        cache = self.cache
-        new = {p for parts in cut if parts for p in parts if p not in cache}
-        if len(cache) + len(new) > CACHED_PIECES:
-            cache.clear()
-            new = {p for parts in cut if parts for p in parts}
-        asked = list(new)
-        cache.update(zip(asked, self._ask(asked), strict=True))
-        whole = iter(self._ask([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
-        return [next(whole) if parts is None else b"".join([cache[p] for p in parts]) for parts in cut]
+                out.append(self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:])))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
