@@ -38,11 +38,11 @@ def test_row_vs_node_weighting(spark):
 def test_national_and_final(spark):
     lv = H.roll_up(_scored(spark))
     nat = H.national_means(lv)
-    p = {r.sex: (r.nat_region_part, r.nat_municipal_part) for r in nat.part.collect()}
+    p = {r.sex: (r.nat_region_part, r.nat_municipal_part) for r in nat.get("part").collect()}
     region_means = [r.mean_part for r in lv.part.collect() if r.area_type == "L"]
     assert p["T"][0] == pytest.approx(sum(region_means) / len(region_means))  # nation = mean of regions
     assert p["T"][1] == pytest.approx(20.0)
-    fl = {(r.area_id): (r.mean_region_part_final, r.mean_municipal_part_final) for r in H.final_levels(lv, nat).part.collect()}
+    fl = {(r.area_id): (r.mean_region_part_final, r.mean_municipal_part_final) for r in H.final_level(lv, nat, "part").collect()}
     assert fl[0] == (pytest.approx(p["T"][0]), pytest.approx(20.0))  # the nation takes the national means
     assert fl[1][0] == fl[1][1]  # other areas keep their own mean in both
 
@@ -88,5 +88,5 @@ def test_null_keys_form_groups_and_match(spark):
     out = [r for r in H.finalize(s, lv, nat).collect() if r.part is None]
     assert len(out) == 3
     assert {r.area_id: r.mean_region_part_final for r in out} == {1: 50.0, 2: 20.0}
-    nat_null = [r for r in nat.part.collect() if r.part is None][0]
+    nat_null = [r for r in nat.get("part").collect() if r.part is None][0]
     assert nat_null.nat_region_part == pytest.approx(35.0)
