@@ -21,8 +21,23 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple, DataFrame] = {}
 
 
+SOURCES = ("lineitem", "part", "supplier", "nation", "documents")
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of change of each source table, so that a changed folder
+    is built anew."""
+    out = []
+    for t in SOURCES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            out.append((t, fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
+
+
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, _stamp(spark, sf_dir))
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
