@@ -3,7 +3,8 @@
 The vocabulary is a file of the ``tokenizers`` library (byte-level symbols,
 word ends marked by a suffix, lower case, white space dropped); its path is a
 parameter and must be readable on the executors. No tokenizer is trained
-here, and the library itself does no encoding.
+here, and the library does no encoding: it only normalises and splits words with
+characters beyond Latin, where its own tables of characters decide.
 
 A word is held as a list of its parts and a list of the ranks of each two
 adjacent parts. The smallest rank is looked for by a scan; its left part takes
@@ -15,7 +16,8 @@ result (lowest rank first, leftmost among equals).
 
 White space never lies inside a token, and neither normalisation nor the
 split into words looks across it, so a text is encoded word by word, each
-distinct word once (up to ``CACHED_WORDS`` remembered in a task).
+distinct word once while it is remembered (two generations of ``CACHED_WORDS``;
+what is used again stays).
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import functools
 import hashlib
 import heapq
 import json
+import os
 import unicodedata
 from collections.abc import Callable, Iterator
 from operator import itemgetter
@@ -34,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 SHORT = 96
 NO_RANK = 1 << 30
 #: Texts are split at Unicode white space; Python's split also takes these, which are none.
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
+_LAST_LATIN = "\u024f"
 _SPACES = regex.compile(r"[\p{White_Space}]+")
 
 
@@ -60,8 +64,12 @@ class Bpe:
     """One vocabulary file, ready to encode and decode."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        library = Tokenizer.from_file(path)
+        self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         model = spec["model"]
         ids: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
@@ -70,10 +78,12 @@ class Bpe:
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")")
         self.added_ids = added
+        self.lead = os.path.commonprefix([*added])[:1]  # what every special token begins with
         self.tokens = [""] * (max([*ids.values(), *added.values()]) + 1)
         for t, i in [*ids.items(), *added.items()]:
             self.tokens[i] = t
         symbols = byte_symbols()
+        self.byte = {c: i for i, c in enumerate(symbols)}
         self.first = [ids[s] for s in symbols]
         self.last = [ids[s + self.suffix] for s in symbols]
         self.base = 1 << 17
@@ -84,6 +94,7 @@ class Bpe:
             self.merged.append(ids[a + b])
         self.digits = [str(i) for i in range(len(self.tokens))]
         self.cache: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def merge(self, parts: list[int]) -> list[int]:
         """Merge the symbols of one word, lowest rank first."""
@@ -125,11 +136,17 @@ class Bpe:
     def _word(self, raw: str) -> list[int]:
         """Ids of a run of characters without white space."""
         out: list[int] = []
-        for k, piece in enumerate(self.added.split(raw)):
+        for k, piece in enumerate(self.added.split(raw) if self.lead in raw else (raw,)):
             if k % 2:
                 out.append(self.added_ids[piece])
                 continue
             if not piece.isascii():
+                if max(piece) > _LAST_LATIN:
+                    for symbols, _ in self.split(self.normalize(piece)):
+                        parts = [self.first[self.byte[c]] for c in symbols]
+                        parts[-1] = self.last[self.byte[symbols[-1]]]
+                        out += self.merge(parts)
+                    continue
                 piece = unicodedata.normalize("NFC", piece)
             # the final form of sigma depends on its neighbours only in Python
             piece = "".join(c.lower() for c in piece) if "Σ" in piece else piece.lower()
@@ -149,10 +166,13 @@ class Bpe:
         for w in raw:
             got = cache.get(w)
             if got is None:
-                got = self._word(w)
+                got = self.older.get(w)
+                if got is None:
+                    got = self._word(w)
                 if len(w) <= SHORT:
                     if len(cache) >= CACHED_WORDS:
-                        cache.clear()
+                        self.older = cache
+                        cache = self.cache = {}
                     cache[w] = got
             out += got
         return out
