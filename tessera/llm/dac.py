@@ -159,17 +159,17 @@ _LAST_LATIN = "\u024f"
 
 
 class _Pieces(dict):
-    """Ids, as bytes, of ``lead`` + key for each piece of text seen lately: of
-    two generations of ``CACHED_PIECES``, what is used again stays."""
+    """Ids, as bytes, of the keys, found by ``encode`` when first asked for:
+    of two generations of ``CACHED_PIECES``, what is used again stays."""
 
-    def __init__(self, lead: str, encode: Callable[[str], bytes]):
+    def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.lead, self.encode, self.old = lead, encode, {}
+        self.encode, self.old = encode, {}
 
     def __missing__(self, piece: str) -> bytes:
         got = self.old.get(piece)
         if got is None:
-            got = self.encode(self.lead + piece)
+            got = self.encode(piece)
             if len(piece) > SHORT:
                 return got
         if len(self) >= CACHED_PIECES:
@@ -200,8 +200,8 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.tokenize = self.library.model.tokenize
         self.by_words = self.library.normalizer is None
-        self.first, self.later = _Pieces("", self._piece), _Pieces(" ", self._piece)
-        self.words = _Pieces("", self._word)
+        self.first, self.later = _Pieces(self._piece), _Pieces(self._later())
+        self.words = _Pieces(self._word)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -214,6 +214,17 @@ class Encoder:
             symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
         return array(self.code, [t.id for t in self.tokenize(symbols)]).tobytes()
 
+    def _later(self) -> Callable[[str], bytes]:
+        """Ids of a piece that follows a space; plain words take the short way."""
+        tokenize, code, space, piece = self.tokenize, self.code, _SYMBOLS[32], self._piece
+
+        def encode(word: str) -> bytes:
+            if word.isascii() and word.isalpha():
+                return array(code, [t.id for t in tokenize(space + word)]).tobytes()
+            return piece(" " + word)
+
+        return encode
+
     def _piece(self, piece: str) -> bytes:
         # the library splits what is not plain Latin text, so that its tables of letters hold
         if not piece.isascii() and max(piece) > _LAST_LATIN or "<" in piece and any(s in piece for s in self.special):

@@ -10,7 +10,7 @@ from tessera.llm import dac
 
 PATH = dac.vocabulary_path()
 LIBRARY = Tokenizer.from_file(PATH)
-PARTS = ["the", " the", " ", "  ", "\n", "\n\n", "\t", "\xa0", "'s", " 're", "12", "...", "<|endoftext|>", "é", "日本", "😀", "A", "x" * 70, "　"]
+PARTS = ["the", " the", " ", "  ", "\n", "\n\n", "\t", "\xa0", "'s", " 're", "12", "...", "<|endoftext|>", "é", "日本", "😀", "A", "ÿß", " ñandú,", "\U0003d000", "\u0558", "\x85", "x" * 70, "　"]
 
 
 @settings(max_examples=300, deadline=None)
