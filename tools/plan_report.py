@@ -19,7 +19,10 @@ from tessera.plans.queries import REGISTRY  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
 
-TABLES = ("lineitem", "orders", "customer", "part", "nation", "region", "documents", "obs", "base_", "summary_sorted")
+TABLES = (
+    "lineitem", "supplier", "part", "nation", "documents", "obs", "base_", "scored", "grain_", "text_triples", "summary_sorted",
+    "impute_cells", "impute_means", "years", "reference_range", "files/",
+)
 
 
 def scans(plan: str) -> list[str]:
@@ -40,11 +43,13 @@ def scans(plan: str) -> list[str]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "2000"})
-    ctx.base(spark, sf)
+    for f in (ctx.base, ctx.scored, ctx.grain, ctx.text_triples):
+        f(spark, sf)
     print(f"# Executed plans ({sf.rstrip('/').split('/')[-1]}, local[8], AQE on)\n")
     print("Generated by `tools/plan_report.py`. Shuffle = shuffle query stages actually run;")
     print("SMJ/BHJ = sort-merge / broadcast hash joins in the final plan; scans list the")
-    print("file read, the number of columns read and the filters pushed into the scan.\n")
+    print("file read, the number of columns read and the filters pushed into the scan.")
+    print("Small aggregates and files that a query writes before its last plan are read there.\n")
     print("| query | shuffles | broadcasts | SMJ | BHJ | window | expand | scans |")
     print("|---|---|---|---|---|---|---|---|")
     for name, fn in REGISTRY.items():
