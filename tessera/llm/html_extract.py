@@ -6,7 +6,7 @@ comments ...) are worth what they were worth in labelled pages; the
 contiguous run with the largest sum, found by one linear scan, is the content.
 
 **Weights** are learned from labelled pages: pages that mark their content
-themselves, with exactly one ``article`` or ``main`` element. A feature (a kind
+themselves, with exactly one ``article`` or ``main`` element outside furniture. A feature (a kind
 of word, or the name of a tag) weighs the logarithm of how often it occurs
 inside over how often outside, with prior counts, limited to ``LIMIT``; tags
 weigh ``TAG_MOST`` at most. Learning uses at most about ``LABELLED_PAGES``
@@ -15,8 +15,10 @@ marked or not. With no labelled page the prior counts decide.
 
 **Furniture** is what stands between the tags of an element that holds no
 article by its name (``nav``, ``form``, ...) or by a word of its class, id or
-role (fixed lists below). ``html``, ``body``, an element that is never closed,
-and one that contains an ``article`` or ``main``, are none. Furniture inside the region is left out.
+role (fixed lists below; what follows a ``has``, ``no`` or ``with`` tells of the
+page and does not count). ``html``, ``body``, an element that is never closed,
+and one around the page's main text (``Page._wrappers``), are none. An article
+in furniture is a teaser. Furniture inside the region is left out.
 
 **Text**: character references are decoded, white space within a block becomes
 one space, blocks are trimmed and joined by a line feed, empty ones left out.
@@ -62,6 +64,12 @@ FURNITURE_NAMES = frozenset(
     notice notices notification pager pagination popup promo promotion related replies reply respond share sharing sidebar
     signup skip social sponsor sponsored subscribe subscription toolbar widget""".split()
 )
+#: Words after which a name tells what the page has or lacks, and furniture that is never laid around a main text.
+NEGATORS = frozenset("has no not with without".split())
+INERT = frozenset("head title button select option input textarea label noscript template iframe object svg canvas audio video".split())
+#: An element of a furniture name is laid around the main text if its words outnumber those outside by this factor, or
+#: without a first-level heading by the second, and are this many at least.
+WRAPS, WRAPS_UNTITLED, LEAST_WORDS = 1, 4, 10
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
 BLOCKS = frozenset(
@@ -82,7 +90,7 @@ class Page:
         self.kind: list[str] = []
         self.raw: list[str] = []
         spans: list[tuple[str, int, int]] = []  # element, first and last token
-        bad: list[tuple[int, int]] = []
+        bad: list[tuple[int, int, bool]] = []  # first and last token, inert
         stack: list[tuple[str, int, bool]] = []
         open_names: Counter[str] = Counter()
         at, n = 0, len(source)
@@ -114,20 +122,82 @@ class Page:
                         if own == name:
                             spans.append((name, begin, here))
                             if odd:
-                                bad.append((begin, here))
+                                bad.append((begin, here, name in INERT))
                             break
             elif name not in VOID and not token.endswith("/>"):
                 stack.append((name, here, name in FURNITURE_ELEMENTS or name not in ("html", "body") and _odd_name(token)))
                 open_names[name] += 1
         size = len(self.kind)
-        marked = [(b, e) for s, b, e in spans if s in CONTENT]
+        self.link = _fill(size, [(b, e) for s, b, e in spans if s == "a"])
+        bad.sort()
+        wrappers = self._wrappers(bad, [x for x in spans if x[0] in CONTENT])
+        self.furniture = _fill(size, [x[:2] for x in bad if x[:2] not in wrappers])
+        marked = [(s, b, e) for s, b, e in spans if s in CONTENT and not self.furniture[b]]
         # an article inside a main is the content; nested articles are parts of the outer
-        articles = [(b, e) for s, b, e in spans if s == "article"]
-        outer = [x for x in (articles or marked) if not any(y[0] < x[0] and x[1] < y[1] for y in (articles or marked))]
+        parts = [(b, e) for s, b, e in marked if s == "article"] or [(b, e) for _, b, e in marked]
+        outer = [x for x in parts if not any(y[0] < x[0] and x[1] < y[1] for y in parts)]
         self.marked = len(outer) == 1
         self.content = _fill(size, outer)
-        self.link = _fill(size, [(b, e) for s, b, e in spans if s == "a"])
-        self.furniture = _fill(size, [x for x in bad if not any(x[0] < b and e < x[1] for b, e in marked)])
+
+    def _wrappers(self, bad: list[tuple[int, int, bool]], marks: list[tuple[str, int, int]]) -> set[tuple[int, int]]:
+        """Elements of ``bad`` that are laid around the main text and so are no
+        furniture. From the page down, the one that holds the main text is
+        looked for among the elements at hand: one with a ``main``; one with an
+        article, and else any, if more words stand together in it than outside.
+        The search ends where an article or ``main`` stands in none of them."""
+        if not bad:
+            return set()
+        nodes = [(-1, len(self.kind), False), *bad]
+        heads = [("h1", i, i) for i, k in enumerate(self.kind) if k == "h1"]
+        # innermost node around each node, and around each article, main and h1 (a node that is one holds it)
+        inner: list[list[int]] = [[] for _ in nodes]
+        up = [0] * len(nodes)
+        homes: list[tuple[str, int]] = []
+        path = [0]
+        order = [(x[0], 0, v) for v, x in enumerate(bad, 1)] + [(x[1], 1, x[0]) for x in (*marks, *heads)]
+        for begin, is_mark, what in sorted(order, key=lambda x: x[:2]):
+            while nodes[path[-1]][1] < begin:
+                path.pop()
+            if is_mark:
+                homes.append((what, path[-1]))
+            else:
+                up[what] = path[-1]
+                inner[path[-1]].append(what)
+                path.append(what)
+        direct = {v for name, v in homes if name != "h1"}
+        if 0 in direct:
+            return set()
+        holds: list[set[str]] = [set() for _ in nodes]
+        for name, v in homes:
+            while name not in holds[v]:
+                holds[v].add(name)
+                v = up[v]
+        # words outside links: total; own: outside the inner nodes too; best: most that stand together
+        upto = [0]
+        for kind, raw, link in zip(self.kind, self.raw, self.link, strict=True):
+            upto.append(upto[-1] + (len(raw.split()) if kind == "text" and not link else 0))
+        total = [upto[-1], *(upto[e + 1] - upto[b] for b, e, _ in bad)]
+        own = [n - sum(total[c] for c in kids) for n, kids in zip(total, inner, strict=True)]
+        best = list(own)
+        for v in reversed(range(len(nodes))):
+            best[v] = -1 if nodes[v][2] else max(own[v], *(best[c] for c in inner[v]), 0)
+        out: set[tuple[int, int]] = set()
+        at, outside, marked = 0, own[0], bool(marks)
+        while not (marked and at in direct):
+            kids = [c for c in inner[at] if not nodes[c][2]]
+            with_main = [c for c in kids if marked and "main" in holds[c]]
+            with_article = [c for c in kids if marked and "article" in holds[c]]
+            take = max(with_main or with_article, key=best.__getitem__, default=None)
+            if take is None or not with_main and best[take] < outside:
+                marked = False  # teasers
+                take = max(kids, key=best.__getitem__, default=None)
+                if take is None or best[take] < LEAST_WORDS:
+                    break
+                if best[take] <= outside * (WRAPS if "h1" in holds[take] else WRAPS_UNTITLED):
+                    break
+            out.add(nodes[take][:2])
+            at, outside = take, outside + own[take]
+        return out
 
     def features(self) -> Iterator[tuple[str, int]]:
         """Feature of each token and how often it counts: a text as often as
@@ -145,9 +215,14 @@ class Page:
 
 def _odd_name(tag: str) -> bool:
     for a in _ATTRIBUTE.findall(tag):
-        for word in _WORD.findall("".join(a)):
-            if word.lower() in FURNITURE_NAMES or any(p.lower() in FURNITURE_NAMES for p in _PART.findall(word)):
-                return True
+        for name in "".join(a).split():
+            for word in _WORD.findall(name):
+                parts = [p.lower() for p in _PART.findall(word)]
+                told = next((i for i, p in enumerate(parts) if p in NEGATORS), None)
+                if told is None and word.lower() in FURNITURE_NAMES or any(p in FURNITURE_NAMES for p in parts[:told]):
+                    return True
+                if told is not None:
+                    break
     return False
 
 

@@ -71,3 +71,37 @@ def test_odd_pages(spark):
     got = H.extract_table(spark.createDataFrame(rows, SCHEMA), ["page_id", "url"]).collect()
     assert sorted((r.page_id or 0, r.text) for r in got) == sorted((p or 0, H.extract(h, w)) for p, _, h, *_ in rows)
     assert H.extract_table(spark.createDataFrame([], SCHEMA), ["page_id"]).count() == 0
+
+
+MAIN = "<h2>Title here</h2><p>The main text of this page has quite a few words, and all of them are wanted.</p><p>So has its second paragraph.</p>"
+TEXT = "Title here\nThe main text of this page has quite a few words, and all of them are wanted.\nSo has its second paragraph."
+ROUND = '<div class="menu"><a href="/a">Home</a></div>{}<div class="comments"><p>I beg to differ, at some length.</p></div><footer>&copy; them</footer>'
+
+
+def test_wrappers_are_no_furniture():
+    w = H.Weights()
+    for begin in (
+        '<div class="page has-sidebar">', '<div class="no-header wrapper">', '<div class="layoutWithSidebar">', '<form id="aspnetForm">',
+        '<div class="sidebar-left">', '<div id="page-header-footer">', '<section class="widget">', "<header>",
+    ):
+        end = f"</{re.match('<([a-z]+)', begin).group(1)}>"
+        for main in (MAIN, f"<article>{MAIN}</article>", f"<main>{MAIN}</main>", f"<article class='post no-comments'>{MAIN}</article>"):
+            assert H.extract(f"<body>{begin}{ROUND.format(main)}{end}</body>", w) == TEXT, begin
+            assert H.extract(f"<body>{ROUND.format(begin + main + end)}</body>", w) == TEXT, begin
+            assert H.extract(f"<body><div>{begin}<form>{begin}{main}{end}</form>{end}</div></body>", w) == TEXT, begin
+    assert H.extract('<div class="sidebar"><p>Three words only</p></div>', w) == ""
+    assert H.extract('<div class="menu">' * 3000 + "deep down there" + "</div>" * 3000, w) == ""
+
+
+def test_teasers_are_furniture():
+    w = H.Weights()
+    teaser = '<aside class="related"><article><h3>Other</h3><p>A teaser of another page</p></article></aside>'
+    for main in (MAIN, f"<article>{MAIN}</article>", f"<main>{MAIN}</main>"):
+        for page in (main + teaser, teaser + main, main.replace("</p><p>", f"</p>{teaser}<p>"), f'<form id="f">{teaser}{main}</form>'):
+            assert H.extract(f"<body>{page}</body>", w) == TEXT
+    assert not H.Page(f"<body>{MAIN}{teaser}</body>").marked
+    page = H.Page(f"<body><article>{MAIN}</article>{teaser}</body>")
+    assert page.marked and sum(page.content) == page.kind.index("aside") - page.kind.index("article")
+    # comments of an article, longer than it
+    comments = '<div class="comments">' + 9 * f'<article class="comment"><p>{20 * "No and "}</p></article>' + "</div>"
+    assert H.extract(f'<body><div class="sidebar-page"><article>{MAIN}</article>{comments}</div></body>', w) == TEXT
