@@ -4,7 +4,8 @@
 the angle to a query (with 0 there) then orders vectors as the inner product
 does. A code has the signs of the vector under learned rotations: iterative
 quantisation turns the axes of a bounded sample so that signs lose least, from
-as many random starts as ``CODE_BITS`` asks for.
+as many random starts as ``CODE_BITS`` asks for, less what would fill no
+substring: all substrings have the same number of bits, none is padded.
 
 **Index.** A code is split into substrings of 16 bits, and each substring is
 an index of its own: its values, and the rows that have each. A code within
@@ -14,6 +15,11 @@ value within these shares retrieves every code within the radius. What the
 probes retrieve is checked on the whole code, and what is left is ranked by
 the inner product of the original vectors in double precision.
 
+How much the probes leave out depends on the radius. Vectors whose neighbours
+are near have a small one; for nearly isotropic vectors the radius that keeps
+the recall is two fifths of the bits, and then the substrings together
+retrieve nearly every row: the search is a scan (figures in the README).
+
 **Radius.** The radius is the one within which ``SAMPLE_RECALL`` of the true
 neighbours of sample queries lie, among the sample. Neighbours among all rows
 are nearer than those in a sample, so the recall over the table is higher. A
@@ -66,9 +72,7 @@ class Codes:
         """Codes of the rows of ``x``, as rows of 16-bit substrings."""
         lifted = lift(x, self.norm, query)
         bits = np.concatenate([lifted @ r > 0 for r in self.rotations], axis=1)
-        pad = -bits.shape[1] % SUBSTRING_BITS
-        packed = np.packbits(np.pad(bits, ((0, 0), (0, pad))), axis=1, bitorder="little")
-        return packed.view("<u2")
+        return np.packbits(bits, axis=1, bitorder="little").view("<u2")
 
 
 def lift(x: np.ndarray, norm: float, query: bool) -> np.ndarray:
@@ -93,7 +97,12 @@ def fit(sample: np.ndarray, norm: float, k: int = K, code_bits: int = CODE_BITS,
     """Rotations and radius from the rows of ``sample``."""
     rng = np.random.default_rng(_SEED)
     x = lift(sample, norm, False)
-    codes = Codes(norm, [_rotation(x, rng) for _ in range(max(1, math.ceil(code_bits / x.shape[1])))])
+    whole = math.ceil(code_bits / SUBSTRING_BITS) * SUBSTRING_BITS
+    rotations = [_rotation(x, rng) for _ in range(max(1, math.ceil(whole / x.shape[1])))]
+    # equal substrings of real bits: directions that would begin one they cannot fill are left out
+    over = sum(r.shape[1] for r in rotations) % SUBSTRING_BITS
+    rotations[-1] = rotations[-1][:, : rotations[-1].shape[1] - over]
+    codes = Codes(norm, rotations)
     q = sample[: min(SAMPLE_QUERIES, len(sample))]
     score = q @ sample.T
     np.fill_diagonal(score, -np.inf)

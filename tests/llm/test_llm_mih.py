@@ -78,3 +78,14 @@ def test_probing_finds_every_code_within_the_radius():
         assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*(a.tolist() for a in np.nonzero(true <= radius)), strict=True))
         parts = mih.shares(radius, 4)
         assert sum(p + 1 for p in parts) == radius + 1
+
+
+def test_substrings_are_equal_and_of_real_bits():
+    rng = np.random.default_rng(9)
+    for d in (24, 64, 300):
+        x = rng.standard_normal((400, d))
+        codes = mih.fit(x, float(np.sqrt((x * x).sum(axis=1).max())) + 1e-9)
+        got = codes.encode(x)
+        assert codes.bits == 16 * got.shape[1] >= mih.CODE_BITS
+        bits = np.unpackbits(got.view(np.uint8), axis=1)
+        assert all(0 < n < 400 for n in bits.sum(axis=0))  # no bit is the same in all codes
