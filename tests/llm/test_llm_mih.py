@@ -42,6 +42,14 @@ def test_recall_of_the_query(spark):
         assert rows == sorted(rows, key=lambda r: (-r[1], r[0]))
 
 
+def test_recall_outside_the_sample(spark):
+    t = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    p = t.toPandas()
+    want = brute(p["vec_id"].to_numpy(), np.array(p["embedding"].tolist(), dtype=np.float64))
+    got = by_query(mih.nearest(t, F.col("vec_id") % 20 == 0, sample_rows=500).collect())  # a quarter of the rows
+    assert set(got) == set(want) and recall(got, want) >= 0.95
+
+
 def test_many_blocks_and_different_norms(spark, monkeypatch):
     monkeypatch.setattr(mih, "ROW_BLOCK", 300)
     monkeypatch.setattr(mih, "QUERY_BLOCK", 10)
