@@ -9,8 +9,8 @@ key -ln(u) / quality from a digest of its id and text, the documents of a source
 are sorted by key, and those whose words fit the remaining budget are taken.
 
 A source may hold most of the rows, so it is never sorted in one task: keys
-fall into ranges (more for sources with more documents), the words of each
-range are summed, a window over ranges gives the words before each of them,
+fall into ranges (more for sources with more documents; none holds many,
+whatever the qualities), the words of each range are summed, a window over ranges gives the words before each of them,
 and only the documents of one range are sorted together.
 """
 
@@ -99,6 +99,13 @@ def _row_key(id_col: str, text_col: str, source_col: str, seed: int) -> Column:
     return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(source_col).cast("string"), F.lit(seed))
 
 
+def key_cell(key: Column, ranges: int) -> Column:
+    """The key's range, ascending with the key. Of keys -ln(u) / quality with
+    qualities up to 1, whatever they are, a range is expected to hold at most
+    1 / ``ranges``: keys are dense by 1 at most, their logarithms by 1/e."""
+    return F.floor(F.when(key < 1, key).otherwise(1 + F.log(key) / math.e) * ranges).cast("long")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -139,8 +146,7 @@ def mix(
     # u in (0, 1), drawn by 52 bits of the digest, gives the exponential key, divided by the quality
     u = (F.col("draw") + F.lit(0.5)) / F.lit(float(1 << 52))
     keyed = rows.withColumn("key", -F.log(u) / F.col("quality"))
-    # the key's range: its place in the distribution of keys of quality 1
-    keyed = keyed.withColumn("cell", F.floor((1 - F.exp(-F.col("key"))) * ranges).cast("int"))
+    keyed = keyed.withColumn("cell", key_cell(F.col("key"), ranges))
     before = Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = keyed.groupBy("src", "cell").agg(F.sum("size").alias("cell_size"))
     cells = cells.select("src", "cell", F.coalesce(F.sum("cell_size").over(before), F.lit(0)).alias("before")).join(targets, "src")

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tessera.llm import mixing
 
 SCHEMA = "doc_id long, text string, source string, size string, target string"
@@ -76,3 +78,12 @@ def test_empty_tables(spark):
     blank = spark.createDataFrame([(1, " ", None, "", ""), (2, None, None, "", "")], SCHEMA)
     assert [r.taken for r in mixing.mix(blank).collect()] == [0, 0]
     assert mixing.mixed(blank).count() == 0
+
+
+def test_no_range_holds_many_whatever_the_quality(spark):
+    for quality in (0.05, 0.3, 1.0):
+        keys = spark.range(20_000).select((-F.log((F.col("id") + 0.5) / 20_000) / quality).alias("key"))
+        cells = keys.groupBy(mixing.key_cell(F.col("key"), 100).alias("cell")).agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("b"))
+        cells = cells.orderBy("cell").collect()
+        assert max(c.n for c in cells) <= 210 and len(cells) <= 350
+        assert all(x.b < y.a for x, y in zip(cells, cells[1:], strict=False))  # cells ascend with the key
