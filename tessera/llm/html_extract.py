@@ -44,12 +44,15 @@ PRIOR = {"word": (8.0, 1.0), "link": (1.0, 2.0), "furniture": (1.0, 20.0), "tag"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|</?[a-zA-Z](?:[^<>\"']++|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+>"  # a quoted value may hold < and >
-    r"|</?[a-zA-Z][^<>]*(?:>|\Z)",
+    # a tag whose quoted values hold no < and >, or the beginning of one
+    r"|</?[a-zA-Z](?:(?:[^<>=]++|=\s*+(?:\"[^\"<>]*+\"|'[^'<>]*+'|(?![\"'])[^\s<>]*+))*+>)?",
     re.S,
 )
+#: What stands in a tag before the quote that opens a value (a quote opens one only after =), or before its end.
+_UNQUOTED = re.compile(r"(?:[^<>=]++|=\s*+(?![\"'\s])[^\s<>]*+)*+(?:>|=\s*+([\"']))")
+_BROKEN = re.compile(r"[^<>]*(?:>|\Z)")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=<>/]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))")
 _WORD = re.compile(r"[A-Za-z0-9]+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -94,22 +97,34 @@ class Page:
         stack: list[tuple[str, int, bool]] = []
         open_names: Counter[str] = Counter()
         at, n = 0, len(source)
+        seek = 0  # at, or behind a < in text that begins no tag
+        unclosed: set[int] = set()
         while at < n:
-            m = _TOKEN.search(source, at)
+            m = _TOKEN.search(source, seek)
+            stop = m.end() if m else n
+            if m and source[stop - 1] != ">" and source[m.start() + 1] not in "!?":
+                stop = _tag_end(source, stop, unclosed)
+                if stop < 0:  # no tag with whole values: up to the first >
+                    broken = _BROKEN.match(source, m.end())
+                    if not broken:
+                        seek = m.end()
+                        continue
+                    stop = broken.end()
             end = m.start() if m else n
             if end > at:
                 self.kind.append("text")
                 self.raw.append(source[at:end])
             if not m:
                 break
-            token, at = m.group(), m.end()
+            token, at = source[m.start() : stop], stop
+            seek = at
             name_at = _NAME.match(token)
             if not name_at:  # comment, doctype
                 continue
             name = name_at.group(1).lower()
             if name in RAW and token[1] != "/":
                 close = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, at)
-                at = close.end() if close else n
+                seek = at = close.end() if close else n
                 continue
             here = len(self.kind)
             self.kind.append(name)
@@ -213,8 +228,28 @@ class Page:
             before = odd
 
 
+def _tag_end(source: str, at: int, unclosed: set[int]) -> int:
+    """End of the tag that goes on at ``at``, or -1 if a < or the page's end
+    comes first. Values whose tag does not end go to ``unclosed`` and are not
+    read again for another tag, which keeps a page linear."""
+    opened = []
+    while m := _UNQUOTED.match(source, at):
+        if not m.group(1):
+            return m.end()
+        if m.end() in unclosed:
+            break
+        opened.append(m.end())
+        at = source.find(m.group(1), m.end()) + 1
+        if not at:
+            break
+    unclosed.update(opened)
+    return -1
+
+
 def _odd_name(tag: str) -> bool:
-    for a in _ATTRIBUTE.findall(tag):
+    for attribute, *a in _ATTRIBUTE.findall(tag):
+        if attribute.lower() not in ("class", "id", "role"):
+            continue
         for name in "".join(a).split():
             for word in _WORD.findall(name):
                 parts = [p.lower() for p in _PART.findall(word)]

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 
 from tessera.llm import html_extract as H
@@ -105,3 +106,21 @@ def test_teasers_are_furniture():
     # comments of an article, longer than it
     comments = '<div class="comments">' + 9 * f'<article class="comment"><p>{20 * "No and "}</p></article>' + "</div>"
     assert H.extract(f'<body><div class="sidebar-page"><article>{MAIN}</article>{comments}</div></body>', w) == TEXT
+
+
+def test_quoted_values_of_any_length():
+    w = H.Weights()
+    data = '<div class="menu">'.replace('"', "&quot;") + "<p>words in a value</p> " * 500 + "a > b"
+    for value in (f'"{data}"', f"'{data}'", f" = '{data}'"[3:], f"'{{\"class\": \"menu\", \"id\"=\"nav\"}}{data}'"):
+        assert len(value) > 11_000
+        assert H.extract(f"<p>The text <b data-x={value} title='x'>goes</b> on here.</p>", w) == "The text goes on here."
+        assert H.extract(f"<div data-x = {value}><p>The text goes on here.</p></div>", w) == "The text goes on here."
+    # quotes open a value only after =; a value that is not closed ends with its tag
+    assert H.extract("<p class=a don't>It is</p><p>so, isn't it</p>", w) == "It is\nso, isn't it"
+    assert H.extract('<p title="open>It is so</p>', w) == "It is so"
+    assert H.extract('<p title=a="b>It is so</p><p class="x">and so on</p>', w) == "It is so\nand so on"
+    for piece in ('<a "="', "<a b='", '<a ="" "="', "<a =\"'='", '<a b="<"'):
+        begin = time.process_time()
+        assert H.extract(piece * 100_000, w) is not None
+        assert H.extract(piece * 100_000 + '"<', w) is not None
+        assert time.process_time() - begin < 20
