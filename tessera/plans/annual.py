@@ -117,7 +117,8 @@ def publish_index(
     for (level, geo), name in PUBLICATION_FILES.items():
         table = hierarchy.deliver(levels, national, codes[geo], level, geo)
         fname = name.format(year=stamp_year, prefix=file_prefix)
-        files.write_semicolon_csv(table, f"{out_dir}/{fname}", single_file=True)
+        # municipalities grow with the data: their sorted table is written in parts, each with the header
+        files.write_semicolon_csv(table, f"{out_dir}/{fname}", single_file=geo != "municipality")
         out[fname] = table
     return out
 

@@ -544,24 +544,24 @@ def q_file_final(spark, sf):
     return rounded(files.read_table(spark, path))
 
 
-def _published(spark, table: DataFrame, name: str) -> DataFrame:
-    files.write_semicolon_csv(table, path := _file(spark, name), single_file=True)
+def _published(spark, table: DataFrame, name: str, single_file: bool) -> DataFrame:
+    files.write_semicolon_csv(table, path := _file(spark, name), single_file=single_file)
     doubles = [f.name for f in table.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return rounded(files.read_semicolon_csv(spark, path, table.schema, doubles))
 
 
 @query("q_file_delivery")
 def q_file_delivery(spark, sf):
-    """A publication table as one ``;``-CSV file."""
+    """A publication table as sorted ``;``-CSV files, as municipalities grow."""
     lv = levels(spark, sf)
     codes = fixture.municipality_codes(spark, sf)
-    return _published(spark, hierarchy.deliver(lv, hierarchy.national_means(lv), codes, "theme", "municipality"), "delivery")
+    return _published(spark, hierarchy.deliver(lv, hierarchy.national_means(lv), codes, "theme", "municipality"), "delivery", False)
 
 
 @query("q_file_descriptions")
 def q_file_descriptions(spark, sf):
     """The descriptions as one ``;``-CSV file."""
-    return _published(spark, q_descriptions(spark, sf), "descriptions")
+    return _published(spark, q_descriptions(spark, sf), "descriptions", True)
 
 
 @query("q_file_texts")

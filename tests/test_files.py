@@ -131,3 +131,19 @@ def test_gzip_csv_exchange(spark, tmp_dir):
     assert glob.glob(os.path.join(out, "*.csv.gz"))
     back = files.read_semicolon_csv(spark, out, schema, decimal_comma=["value"])
     assert rows(back) == rows(df)
+
+
+def test_municipalities_are_published_in_sorted_parts(spark, tmp_dir, monkeypatch):
+    from tessera.plans import queries
+
+    out = os.path.join(tmp_dir, "delivery")
+    monkeypatch.setattr(queries, "_file", lambda spark, name: out)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = queries.q_file_delivery(spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = [open(p, encoding="utf-8").read().splitlines() for p in sorted(glob.glob(os.path.join(out, "part-*.csv")))]
+    assert len(parts) > 1 and len({p[0] for p in parts}) == 1  # the header in each
+    assert sum(len(p) - 1 for p in parts) == rows > 0
