@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, simhash
+from tessera.llm import bpe, byte_bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, simhash
 from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
@@ -116,6 +116,11 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's byte-level ids and decoded bytes."""
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_html": op2_html,
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
     "op10_feistel": op10_feistel,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL}
