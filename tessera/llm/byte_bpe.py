@@ -34,7 +34,7 @@ PART = 1 << 16
 LONG_RUN = 1 << 12
 
 # The characters with the Unicode property White_Space.
-_WHITE = "\t-\r \x85\xa0  -     　"
+_WHITE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _CUT = re.compile(f"(?<=[^{_WHITE}])(?=[{_WHITE}])")
 _RUN = re.compile(f"[{_WHITE}]{{{LONG_RUN},}}")
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, byte_bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, simhash
+from tessera.llm import bpe, byte_bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, phrases, simhash
 from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
@@ -116,6 +116,46 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS size FROM starts),
+f AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size, count(*) AS a
+  FROM grams GROUP BY ALL HAVING count(*) >= 100),
+inner_parts AS (  -- every shorter phrase of two words and more inside a longer one
+  SELECT lang, a, phrase AS longer, string_split(phrase, ' ') AS w, size,
+         unnest(range(2, size)) AS part FROM f WHERE size > 2),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - part + 2)) AS i FROM inner_parts) GROUP BY ALL),
+kept AS (
+  SELECT f.* FROM f LEFT JOIN inside USING (lang, phrase)
+  WHERE f.size > 1 AND (inside.longer IS NULL OR 100 * inside.longer < 100 * f.a)),
+cuts AS (
+  SELECT lang, phrase, a, size, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, k,
+         CAST((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+              JOIN total ON total.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's byte-level ids and decoded bytes."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -132,7 +172,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
     "op10_feistel": op10_feistel,
+    "op11_phrases": op11_phrases,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL}
+ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL, "op11_phrases": OP11_SQL}
