@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, byte_bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, phrases, simhash
+from tessera.llm import bpe, byte_bpe, dac, feistel, html_extract, katz, langid, merkle, mih, mixing, phrases, simhash, variants
 from tessera.llm.common import crc32_text, materialize, table, utf8_size
 
 
@@ -156,6 +156,50 @@ FROM best QUALIFY rank <= 2000
 """
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some of which have
+    lost a letter."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), misspell_every=199)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents),
+each AS (
+  SELECT run, count(*) AS times, hex(encode(concat(doc_id, ':', run))) AS bytes
+  FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+nibbles AS (  -- the low half of each byte first
+  SELECT run, times, list_transform(range(0, len(bytes)), lambda k: (position(substr(bytes, CAST(k + 2 - 2 * (k % 2) AS BIGINT), 1) IN '0123456789ABCDEF') - 1)::BIGINT) AS x
+  FROM each),
+steps AS (  -- what four steps of the reversed CRC-32 polynomial make of a half byte
+  SELECT list(list_reduce([0, 0, 0, 0]::BIGINT[], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) ORDER BY i) AS t
+  FROM range(16) r(i)),
+hashed AS (
+  SELECT run, times, xor(list_reduce(x, lambda c, v: xor(c >> 4, t[1 + (xor(c, v) & 15)]), 4294967295::BIGINT), 4294967295) AS h
+  FROM nibbles, steps),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+places AS (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM v),
+skipped AS (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM places WHERE i < length(word)),
+met AS (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 1) AS b FROM places),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM skipped x JOIN skipped y USING (a, b) WHERE x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM skipped x JOIN met y USING (a, b)
+  UNION SELECT y.word, x.word, x.n FROM skipped x JOIN met y USING (a, b)),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS form_n FROM near GROUP BY word),
+forms AS (SELECT v.word, best.other AS form, form_n FROM v JOIN best USING (word) WHERE form_n >= 5 * v.n),
+lead AS (
+  SELECT word, form AS root FROM forms
+  UNION ALL SELECT lead.word, forms.form FROM lead JOIN forms ON forms.word = lead.root),
+last AS (SELECT word, root FROM lead WHERE root NOT IN (SELECT word FROM forms))
+SELECT v.word, forms.form, coalesce(last.root, v.word) AS root, v.n, coalesce(best.n_near, 0)::BIGINT AS n_near, forms.form_n
+FROM v LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN last USING (word)
+"""
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's byte-level ids and decoded bytes."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -173,7 +217,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_langid": op9_langid,
     "op10_feistel": op10_feistel,
     "op11_phrases": op11_phrases,
+    "op12_variants": op12_variants,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL, "op11_phrases": OP11_SQL}
+ORACLE: dict[str, str] = {"op5_mixing": OP5_SQL, "op11_phrases": OP11_SQL, "op12_variants": OP12_SQL}
