@@ -36,6 +36,7 @@ table. The table is never collected; the sample is bounded by ``SAMPLE_ROWS``.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -150,7 +151,8 @@ def probe(queries: np.ndarray, rows: np.ndarray, radius: int) -> tuple[np.ndarra
 
 
 def best(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, r: np.ndarray, i: np.ndarray, j: np.ndarray, k: int):
-    """The ``k`` best rows of each query among the pairs (i, j)."""
+    """The ``k`` best rows of each query among the pairs (i, j), as places of
+    queries, ids and scores; rows with the query's id are left out."""
     own = qid[i] != rid[j]
     i, j = i[own], j[own]
     score = np.empty(len(i))
@@ -160,25 +162,22 @@ def best(qid: np.ndarray, q: np.ndarray, rid: np.ndarray, r: np.ndarray, i: np.n
     i, j, score = i[order], j[order], score[order]
     first = np.searchsorted(i, i, side="left")
     top = np.arange(len(i)) - first < k
-    return qid[i[top]], rid[j[top]], score[top]
+    return i[top], rid[j[top]], score[top]
 
 
 def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(vec_id, vector)`` of the rows that take part: id not NULL, vector
-    neither NULL, empty nor zero, all components finite, and of the commonest
-    length (the longest of equally common ones). Of rows with one id the one
-    with the smallest vector counts."""
+    """``(row, vec_id, vector)`` of the rows that take part: id not NULL, vector
+    neither NULL, empty nor zero, all components finite. ``row`` is a number of
+    its own for each row, as ids may repeat."""
     v = F.col("vector")
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where("vec_id is not null and size(vector) > 0")
     rows = rows.where(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    rows = materialize(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    common = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    return rows.where(F.size("vector") == (common["d"] if common else 0))
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector"), "vectors")
 
 
-_FOUND = "query_id long, vec_id long, score double"
-_EMPTY = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+_FOUND = "query_row long, query_id long, vec_id long, score double"
+_EMPTY = pa.table({"query_row": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
 
 def _vectors(column: pa.ChunkedArray) -> np.ndarray:
@@ -193,13 +192,13 @@ def _search(queries: DataFrame, rows: DataFrame, codes: Codes, n_queries: int, n
     norm, rotations = codes.norm, codes.rotations
 
     def block(n: int, salt: int) -> Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
 
     def all_of(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    sides = queries.select("vec_id", "vector", F.lit(True).alias("is_query"), block(qb, 1).alias("q"), all_of(rb).alias("r")).unionByName(
-        rows.select("vec_id", "vector", F.lit(False).alias("is_query"), block(rb, 2).alias("r"), all_of(qb).alias("q"))
+    sides = queries.select("row", "vec_id", "vector", F.lit(True).alias("is_query"), block(qb, 1).alias("q"), all_of(rb).alias("r")).unionByName(
+        rows.select("row", "vec_id", "vector", F.lit(False).alias("is_query"), block(rb, 2).alias("r"), all_of(qb).alias("q"))
     )
 
     def run(t: pa.Table) -> pa.Table:
@@ -211,7 +210,7 @@ def _search(queries: DataFrame, rows: DataFrame, codes: Codes, n_queries: int, n
         qv, rv = _vectors(q.column("vector")), _vectors(r.column("vector"))
         i, j = probe(own.encode(qv, True), own.encode(rv), radius)
         a, b, s = best(q.column("vec_id").to_numpy(), qv, r.column("vec_id").to_numpy(), rv, i, j, k)
-        return pa.table({"query_id": a, "vec_id": b, "score": s})
+        return pa.table({"query_row": q.column("row").to_numpy()[a], "query_id": q.column("vec_id").to_numpy()[a], "vec_id": b, "score": s})
 
     return sides.groupBy("q", "r").applyInArrow(run, _FOUND)
 
@@ -224,29 +223,39 @@ def nearest(
     k: int = K,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for each row that satisfies
-    ``is_query`` (a condition on ``vec_id``), the ``k`` rows found with the
-    largest inner product, ties to the smaller id. Rows with the query's own
-    id are no candidates; fewer than ``k`` candidates are all returned. See
-    ``valid_vectors`` for the rows that take part; an empty table, or a query
-    without candidates, gives no rows."""
+    """``(query_id, rank, vec_id, score, query_row)``: for each row that
+    satisfies ``is_query`` (a condition on ``vec_id``), the ``k`` rows found
+    with the largest inner product, ties to the smaller id.
+
+    Every row is a candidate, also rows of one id; those with the query's own id
+    are none. Fewer than ``k`` candidates are all returned. Rows of one id that
+    are queries are asked each (``query_row`` tells them apart). The inner
+    product is that of vectors of one length: the rows of each length are
+    searched by themselves. See ``valid_vectors`` for the rows that take part;
+    an empty table, or a query without candidates, gives no rows."""
     rows = valid_vectors(table, id_col, vector_col)
-    size = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    spark = table.sparkSession
-    if not size["n"] or not size["q"]:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    length = F.size("vector")
+    sizes = rows.groupBy(length.alias("d")).agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).where("q > 0").orderBy("d").collect()
+    found = [_nearest_of_length(rows.where(length == s["d"]), is_query, s["n"], s["q"], k, sample_rows) for s in sizes]
+    if not found:
+        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double, query_row long")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
+    ranked = functools.reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", "query_row")
+
+
+def _nearest_of_length(rows: DataFrame, is_query: Column, n_rows: int, n_queries: int, k: int, sample_rows: int) -> DataFrame:
+    """``_FOUND`` rows, among them the ``k`` best of each query, of vectors of one length."""
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     norm = math.sqrt(rows.agg(F.max(square)).first()[0]) * (1 + 1e-9)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).collect()  # bounded by sample_rows
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample_rows).collect()  # bounded by sample_rows
     codes = fit(np.array([r["vector"] for r in sample]), norm, k)
     queries = rows.where(is_query)
-    found = materialize(_search(queries, rows, codes, size["q"], size["n"], k, codes.radius), "neighbours")
+    found = materialize(_search(queries, rows, codes, n_queries, n_rows, k, codes.radius), "neighbours")
     # queries with fewer than k rows within the radius are asked again, of all rows
-    enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
-    again = materialize(queries.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "neighbours-few")
+    enough = found.groupBy("query_row").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    again = materialize(queries.join(enough, F.col("row") == F.col("query_row"), "left_anti"), "neighbours-few")
     if left := again.count():
-        more = _search(again, rows, codes, left, size["n"], k, codes.bits)
-        found = found.join(again.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(more)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        more = _search(again, rows, codes, left, n_rows, k, codes.bits)
+        found = found.join(again.select(F.col("row").alias("query_row")), "query_row", "left_anti").unionByName(more)
+    return found

@@ -18,6 +18,7 @@ def brute(ids, x, k=20, every=20):
 
 
 def by_query(rows):
+    """The lists by query id, which no two query rows share."""
     out = {}
     for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
         out.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -66,16 +67,36 @@ def test_many_blocks_and_different_norms(spark, monkeypatch):
 def test_odd_vectors(spark):
     good = [(i, [float(i % 3), 1.0, 0.5], "", "") for i in range(1, 30)] + [(0, [1.0, 0.0, 0.0], "", "")]
     bad = [(40, None, "", ""), (60, [], "", ""), (80, [0.0, 0.0, 0.0], "", ""), (100, [1.0, None, 2.0], "", ""), (120, [float("nan"), 1.0, 1.0], "", ""), (140, [float("inf"), 1.0, 1.0], "", ""), (160, [1.0, 2.0], "", ""), (None, [9.0, 9.0, 9.0], "", ""), (20, [2.0, 1.0, 0.5], "", "")]
-    got = by_query(mih.nearest(spark.createDataFrame(good + bad, SCHEMA), F.col("vec_id") % 20 == 0).collect())
-    ids = np.arange(30)
-    x = np.array([v for _, v, *_ in sorted(good)])
-    assert got == brute(ids, x)
+    rows = mih.nearest(spark.createDataFrame(good + bad, SCHEMA), F.col("vec_id") % 20 == 0).collect()
+    got = by_query(r for r in rows if r.query_id != 20)
+    same = [r for r in bad if r[0] == 20]  # an id of two rows: both are candidates
+    ids = np.array([i for i, *_ in sorted(good) + same])
+    x = np.array([v for _, v, *_ in sorted(good) + same])
+    assert got[0] == brute(ids, x)[0]
+    assert 160 not in got  # no other vector has its length
     few = mih.nearest(spark.createDataFrame(good[:3] + good[-1:], SCHEMA), F.col("vec_id") % 20 == 0).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3]
     assert mih.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
     assert mih.nearest(spark.createDataFrame(good[:5], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_every_row_counts(spark):
+    """Rows of one id, equal rows, and vectors of different lengths."""
+    rng = np.random.default_rng(8)
+    rows = [(int(i), rng.standard_normal(d).tolist()) for d in (5, 8) for i in rng.integers(0, 60, 150)]
+    rows += rows[:40]
+    df = spark.createDataFrame([(i, v, "", "") for i, v in rows], SCHEMA.replace("float", "double"))
+    got = {}
+    for r in mih.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault((r.query_id, r.query_row), []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    want = []
+    for i, v in rows:
+        if i % 20 == 0:
+            near = sorted((-sum(a * b for a, b in zip(v, u, strict=True)), j) for j, u in rows if j != i and len(u) == len(v))[:20]
+            want.append((i, [(k + 1, j, round(-s, 9)) for k, (s, j) in enumerate(near)]))
+    assert sorted((q, sorted(x)) for (q, _), x in got.items()) == sorted(want)
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(5)
     rows, queries = (rng.integers(0, 2**16, (n, 4), dtype=np.uint16) for n in (700, 90))
