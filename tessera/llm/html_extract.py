@@ -318,13 +318,18 @@ def extract(source: str | None, weights: Weights) -> str:
     return "\n".join(t for t in texts if t)
 
 
+def hash_limit(n: int, labelled_pages: int) -> int:
+    """Below it lie the 62-bit hashes of about ``labelled_pages`` of ``n`` pages,
+    whatever their number."""
+    return min(1 << 62, -(-(labelled_pages << 62) // max(1, n)))
+
+
 def fit(pages: DataFrame, id_col: str, html_col: str, labelled_pages: int = LABELLED_PAGES) -> Weights:
     """Weights from labelled pages: about ``labelled_pages`` at most. What
     reaches the driver is a count for each feature of these pages."""
     marked = pages.where(F.lower(F.col(html_col)).rlike("<(article|main)[\\s>]"))
     n = marked.count()
-    share = min(1.0, labelled_pages / n) if n else 0.0
-    picked = marked.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    picked = marked.where(F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 2) < F.lit(hash_limit(n, labelled_pages)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside: Counter[str] = Counter()

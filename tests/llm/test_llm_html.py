@@ -124,3 +124,10 @@ def test_quoted_values_of_any_length():
         assert H.extract(piece * 100_000, w) is not None
         assert H.extract(piece * 100_000 + '"<', w) is not None
         assert time.process_time() - begin < 20
+
+
+def test_share_of_labelled_pages_is_never_nothing():
+    for n in (1, 3999, 4000, 4001, 10**6, 5 * 10**9, 10**13):
+        limit = H.hash_limit(n, 4000)
+        assert 0 < limit <= 1 << 62
+        assert abs(limit / (1 << 62) - min(1, 4000 / n)) < 1e-15
