@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, langid, mixing, simhash
-from tessera.llm.common import materialize, table
+from tessera.llm.common import fresh_names, materialize, table
 
 #: Least probability of the predicted language that a document needs.
 MIN_LANGUAGE_SCORE = 0.5
@@ -30,9 +30,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, F.col("lang"), F.col("text"))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(docs.withColumns({"__text": F.col("text")}), model, F.col("__text"))
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    language, score = fresh_names(docs, "language", "score")
+    found = langid.predict(docs, model, F.col("text"), names=(language, score))
+    kept = found.where((F.col(language) != langid.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE))
+    return kept.drop(language, score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

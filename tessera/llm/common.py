@@ -16,9 +16,12 @@ from tessera.session import materialize
 __all__ = [
     "Buckets",
     "buckets_by",
+    "column",
     "crc32_text",
+    "fresh_names",
     "materialize",
     "null_batch",
+    "sort_key",
     "table",
     "text_bytes",
     "utf8_size",
@@ -46,6 +49,29 @@ def utf8_size(c: Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
 
 
+def column(name: str) -> Column:
+    """The column of this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh_names(df: DataFrame, *bases: str) -> list[str]:
+    """A name for each of ``bases`` that no column of ``df`` has, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for base in bases:
+        while base.lower() in taken:
+            base += "_"
+        taken.add(base.lower())
+        out.append(base)
+    return out
+
+
+def sort_key(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """A text that orders rows by all columns but ``without``, also by those
+    of a type without an order, such as maps; rows that are equal there are tied."""
+    others = [column(c) for c in df.columns if c not in without]
+    return F.to_json(F.struct(*others)) if others else F.lit("")
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes; NULL is the empty text."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import buckets_by
+from tessera.llm.common import buckets_by, fresh_names
 
 SHARDS = 8
 KEY = 0x5EED
@@ -83,15 +83,17 @@ def number_rows(rows: DataFrame, id_col: str, hash_col: str, out: str = "row_num
     """``rows`` with the column ``out`` (replaced if it exists): 0 to N-1 by
     ``id_col`` (integer, NULL last), then ``hash_col`` (long, not NULL). Rows
     equal in both are numbered in any order."""
+    cut = rows.drop(out)
+    bucket, n, start = fresh_names(cut.withColumn(out, F.lit(0)), "bucket", "n", "start")
     buckets = buckets_by(rows, id_col)
-    cut = rows.drop(out).withColumn("__bucket", buckets.column(id_col, hash_col))
+    cut = cut.withColumn(bucket, buckets.column(id_col, hash_col))
     # one row for each bucket: thousands, whatever the table
-    counts = cut.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy(id_col, hash_col))
-    numbered = cut.join(starts, "__bucket").withColumn(out, F.col("__start") + rank - 1)
-    return numbered.drop("__bucket", "__start")
+    counts = cut.groupBy(bucket).agg(F.count("*").alias(n))
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(bucket, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    rank = F.row_number().over(Window.partitionBy(bucket).orderBy(id_col, hash_col))
+    numbered = cut.join(starts, bucket).withColumn(out, F.col(start) + rank - 1)
+    return numbered.drop(bucket, start)
 
 
 def deal(rows: DataFrame, id_col: str, hash_col: str, shards: int = SHARDS, key: int = KEY) -> DataFrame:
@@ -100,17 +102,20 @@ def deal(rows: DataFrame, id_col: str, hash_col: str, shards: int = SHARDS, key:
     with a NULL id too; an empty table stays empty."""
     size = rows.count()
     numbered = number_rows(rows.drop("row_number", "shard", "slot"), id_col, hash_col)
-    p = numbered.withColumn("__p", permuted(F.col("row_number"), size, key))
-    return p.withColumns({"shard": (F.col("__p") % shards).cast("int"), "slot": F.floor(F.col("__p") / shards).cast("long")}).drop("__p")
+    at = fresh_names(numbered, "permuted")[0]
+    p = numbered.withColumn(at, permuted(F.col("row_number"), size, key))
+    return p.withColumns({"shard": (F.col(at) % shards).cast("int"), "slot": F.floor(F.col(at) / shards).cast("long")}).drop(at)
 
 
 def write_shards(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, key: int = KEY, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Write ``docs`` as Parquet under ``path``, one folder ``shard=k`` each,
-    rows in slot order, at most ``rows_per_file`` rows in a file."""
-    hashed = docs.withColumn("__hash", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
-    dealt = deal(hashed, id_col, "__hash", shards, key).drop("__hash")
-    part = F.floor(F.col("slot") / rows_per_file)
-    dealt = dealt.withColumn("__part", part).repartition("shard", "__part").sortWithinPartitions("shard", "slot")
-    dealt.drop("__part").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)
+    rows in slot order, at most ``rows_per_file`` rows in a file. Rows with a
+    NULL id or text and repeated rows are written each; an empty table writes no
+    file. Further columns may have any names but those of ``deal``."""
+    hash_, part = fresh_names(docs, "hash", "part")
+    hashed = docs.withColumn(hash_, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    dealt = deal(hashed, id_col, hash_, shards, key).drop(hash_)
+    dealt = dealt.withColumn(part, F.floor(F.col("slot") / rows_per_file)).repartition("shard", part).sortWithinPartitions("shard", "slot")
+    dealt.drop(part).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)

@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import column, fresh_names
+
 FEATURES = 1 << 15
 MAX_N = 3
 SMOOTHING = 0.5
@@ -150,12 +152,13 @@ def predict_one(text: str | None, model: Model, max_n: int = MAX_N) -> tuple[str
     return model.languages[k], float(p[k] / p.sum())
 
 
-def predict(docs: DataFrame, model: Model, text: Column, max_n: int = MAX_N) -> DataFrame:
-    """``docs`` with the columns ``lang_pred`` and ``score`` (both replaced if
-    they exist). A NULL text, one without a letter, or a model without
-    languages gives ``und`` with score 0."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((model.languages, model.log_prior, model.log_prob))
+def predict(
+    docs: DataFrame, model: Model, text: Column, max_n: int = MAX_N, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` with the columns ``names``, language and score (replaced if they
+    exist). A NULL text, one without a letter, or a model without languages
+    gives ``und`` with score 0."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_prior, model.log_prob))
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -163,9 +166,10 @@ def predict(docs: DataFrame, model: Model, text: Column, max_n: int = MAX_N) ->
         for b in batches:
             yield pd.DataFrame([predict_one(t, own, max_n) for t in b], columns=["lang_pred", "score"])
 
-    cols = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*cols, run(text).alias("__found"))
-    return found.select(*cols, F.col("__found.lang_pred").alias("lang_pred"), F.col("__found.score").alias("score"))
+    kept = [column(c) for c in docs.columns if c not in names]
+    found = fresh_names(docs, "found")[0]
+    made = docs.select(*kept, run(text).alias(found))
+    return made.select(*kept, *(F.col(found)[x].alias(n) for x, n in zip(("lang_pred", "score"), names, strict=True)))
 
 
 def identify(
@@ -182,8 +186,8 @@ def identify(
     are learned from and predicted one by one."""
     held = held_out(id_col, folds, held_out_fold)
     model = fit(docs.where(~held), F.col(label_col), F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("__text"))
-    return predict(rows, model, F.col("__text")).drop("__text")
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), held.alias("held_out"), column(text_col).alias("text"))
+    return predict(rows, model, F.col("text")).drop("text")
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

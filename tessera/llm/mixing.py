@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import column, fresh_names, materialize, sort_key
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -96,7 +96,7 @@ def source_targets(
 
 
 def _row_key(id_col: str, text_col: str, source_col: str, seed: int) -> Column:
-    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")), F.col(source_col).cast("string"), F.lit(seed))
+    return F.xxhash64(column(id_col).cast("long"), F.coalesce(column(text_col), F.lit("")), column(source_col).cast("string"), F.lit(seed))
 
 
 def key_cell(key: Column, ranges: int) -> Column:
@@ -126,13 +126,13 @@ def mix(
     NULL sources are one source; NULL and empty texts have size 0 and are
     taken 0 words; repeated rows count one by one, with one key; sources without a word have target 0. Reruns give the same mix, as
     keys are digests of id, text and ``seed``."""
-    drawn = F.concat_ws("|", F.lit(seed), F.col(id_col).cast("long").cast("string"), F.col(text_col))
+    drawn = F.concat_ws("|", F.lit(seed), column(id_col).cast("long").cast("string"), column(text_col))
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        column(id_col).cast("long").alias("doc_id"),
         F.conv(F.substring(F.md5(F.encode(drawn, "UTF-8")), 1, 13), 16, 10).cast("long").alias("draw"),
         _row_key(id_col, text_col, source_col, seed).alias("row_key"),
-        F.col(source_col).cast("string").alias("source"),
-        word_stats(F.col(text_col)).alias("s"),
+        column(source_col).cast("string").alias("source"),
+        word_stats(column(text_col)).alias("s"),
     ).select("doc_id", "row_key", "draw", "source", "s.size", "s.quality")
     # a source's name as a key that is never NULL
     rows = materialize(rows.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))), "mix-rows")
@@ -166,18 +166,18 @@ def mix(
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it was taken, all its
-    columns kept. Rows that the mix leaves out, and rows without a word, are
-    not in it."""
-    taken = mix(docs, id_col, text_col, source_col, **how).where("taken > 0")
+    columns kept, of any names and types. Rows that the mix leaves out, and rows
+    without a word, are not in it."""
+    each = mix(docs, id_col, text_col, source_col, **how)
     seed = how.get("seed", SEED)
+    key, own, sum_, n, turn, copy = fresh_names(docs, "key", "own", "epochs", "n", "turn", "copy")
     # repeated rows share a key; what was taken of them is dealt to them in turn
-    taken = taken.groupBy(F.col("row_key").alias("__key")).agg(F.sum("epochs").alias("__epochs"), F.count("*").alias("__n"))
-    keyed = docs.withColumn("__own", _row_key(id_col, text_col, source_col, seed))
-    joined = keyed.join(taken, F.col("__own") == F.col("__key"))
-    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col, source_col)] or [F.lit(0)]
-    turn = F.row_number().over(Window.partitionBy("__own").orderBy(*others)) - 1
-    joined = joined.withColumn("__turn", turn)
-    times = F.floor(F.col("__epochs") / F.col("__n")) + (F.col("__turn") < F.col("__epochs") % F.col("__n")).cast("long")
-    copies = joined.withColumn("__times", times.cast("int")).where("__times > 0")
-    copies = copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times")))
-    return copies.select(*docs.columns)
+    taken = each.groupBy(F.col("row_key").alias(key)).agg(F.sum(F.when(F.col("taken") > 0, F.col("epochs"))).alias(sum_), F.count("*").alias(n))
+    keyed = docs.withColumn(own, _row_key(id_col, text_col, source_col, seed))
+    joined = keyed.join(taken.where(F.col(sum_) > 0), F.col(own) == F.col(key))
+    order = Window.partitionBy(own).orderBy(sort_key(docs, (id_col, text_col, source_col)))
+    joined = joined.withColumn(turn, F.row_number().over(order) - 1)
+    times = F.floor(F.col(sum_) / F.col(n)) + (F.col(turn) < F.col(sum_) % F.col(n)).cast("long")
+    copies = joined.withColumn(turn, times.cast("int")).where(F.col(turn) > 0)
+    copies = copies.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(turn))))
+    return copies.select(*map(column, docs.columns))

@@ -37,10 +37,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, text_bytes
+from tessera.llm.common import column, fresh_names, materialize, sort_key, text_bytes
 from tessera.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -96,7 +96,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def _row_key(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+    return F.xxhash64(column(id_col).cast("long"), F.coalesce(column(text_col), F.lit("")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.fromiter((fingerprint(t, shingle) for t in text_bytes(b.column(2))), dtype=np.uint64, count=b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "row_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), _row_key(id_col, text_col).alias("row_key"), column(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, row_key long, fp long")
 
 
@@ -310,12 +310,14 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` with one row of each near-duplicate class, all
     columns kept: the row of the smallest id (NULL last); among repeated rows
-    of that id, the one whose other columns sort first."""
+    of that id and text, the one whose other columns sort first as JSON. The
+    columns may have any names and types."""
     classes = near_duplicates(docs, id_col, text_col, **how)
     best = classes.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("k"))
-    best = best.select(F.col("k.row_key").alias("__key"), F.col("k.doc_id").alias("__id"))
-    keyed = docs.withColumn("__own", _row_key(id_col, text_col))
-    kept = keyed.join(best, (F.col("__own") == F.col("__key")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id")))
-    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)] or [F.lit(0)]
-    first = F.row_number().over(Window.partitionBy("__own", id_col).orderBy(*others))
-    return kept.withColumn("__first", first).where("__first = 1").select(*docs.columns)
+    key, low, own = fresh_names(docs, "key", "low", "own")
+    best = best.select(F.col("k.row_key").alias(key), F.col("k.doc_id").alias(low))
+    keyed = docs.withColumn(own, _row_key(id_col, text_col))
+    kept = keyed.join(best, (F.col(own) == F.col(key)) & column(id_col).cast("long").eqNullSafe(F.col(low)))
+    # one row of each key, map-side first, so that a row repeated often is one
+    rows = kept.groupBy(key, low).agg(F.min_by(F.struct(*map(column, docs.columns)), sort_key(docs, (id_col, text_col))).alias("row"))
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
