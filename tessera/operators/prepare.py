@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.expr import if_else, log_flagged
 from tessera.functions.joins import join_back, join_ns
+from tessera.functions.numbering import numbered
 from tessera.schemas import COUNTY_DIVISOR, NATION_NAME, REGION_NAME_PATTERN, SPLIT_PATTERN
 from tessera.session import materialize
 
@@ -74,7 +75,7 @@ def with_span(obs: DataFrame) -> DataFrame:
 
 def empty_indicators(catalog: DataFrame, obs: DataFrame) -> DataFrame:
     """Catalog indicators with no value at all (S4/F7): anti join."""
-    have = obs.where(F.col("value").isNotNull()).select("kpi")
+    have = obs.where(F.col("value").isNotNull()).select("kpi").distinct()  # combined map-side: one row an indicator
     return catalog.select("kpi").distinct().join(have, "kpi", "left_anti")
 
 
@@ -99,6 +100,9 @@ def area_groups(obs: DataFrame, divisor: int = COUNTY_DIVISOR) -> DataFrame:
 
 # -------------------------------------------------------- D3/D4 completion
 CELL = ["area_group", "kpi", "year", "sex"]
+GRID_KEYS = ["kpi", "sex", "year", "area_name", "area_id"]
+#: Areas of a county that one slice of the documented grid holds on average.
+AREAS_PER_SLICE = 1_000
 
 
 def _cells(o: DataFrame, nation_name: str) -> DataFrame:
@@ -161,17 +165,49 @@ def _grouped(obs: DataFrame, divisor: int) -> DataFrame:
     return o.withColumn("area_group", area_group_expr(divisor=divisor))
 
 
-def complete_grid(obs: DataFrame, nation_name: str = NATION_NAME, divisor: int = COUNTY_DIVISOR) -> DataFrame:
-    """Observed rows plus the nation cells the reference's grid creates.
+def grid_cells(obs: DataFrame, nation_name: str = NATION_NAME) -> DataFrame:
+    """Every cell (indicator, sex) × year × area of ``obs``, generated instead
+    of joined: the distinct keys of the three sides are numbered, a range over
+    the product of their sizes is dealt to the tasks, and each number is read
+    as digits of mixed radix, which name the three keys. Only the nation's
+    cells have an area type.
+
+    ``obs`` holds ``area_group``. NULL sexes are a key like any other."""
+    keys, n_keys = numbered(obs.select("kpi", "sex").distinct(), "_key", "grid_keys")
+    years, n_years = numbered(obs.select("year").distinct(), "_year", "grid_years")
+    areas, n_areas = numbered(obs.select("area_name", "area_id", "area_group").distinct(), "_area", "grid_areas")
+    cells = obs.sparkSession.range(n_keys * n_years * n_areas).selectExpr(
+        f"id % {max(1, n_keys)} AS _key",
+        f"id div {max(1, n_keys)} % {max(1, n_years)} AS _year",
+        f"id div {max(1, n_keys * n_years)} AS _area",
+    )
+    cells = cells.join(keys, "_key").join(years, "_year").join(areas, "_area").drop("_key", "_year", "_area")
+    return cells.withColumn("area_type", F.when(F.col("area_name") == nation_name, F.lit("L")))
+
 
-    The reference crosses (indicator, sex) × year × area and left-joins the
-    observations back. Every created cell except the nation's has a NULL
-    area type and is dropped again by the imputation (finding 2), so only the
-    nation cells that can receive a value are built: one per nation id and
-    (indicator, year, sex) group that has a value but no nation row. No cross
-    join is needed; created rows have ``value`` NULL and no span columns.
+def complete_grid(
+    obs: DataFrame, nation_name: str = NATION_NAME, divisor: int = COUNTY_DIVISOR, areas: str = "nation"
+) -> DataFrame:
+    """Observed rows plus cells without an observation (U2, J1); created rows
+    have ``value`` NULL and no span columns.
+
+    ``areas="all"`` is the reference's grid: (indicator, sex) × year × area, with
+    the observations joined back. The cells come from ``grid_cells``; those that
+    are observed leave by an anti join, so observed rows are kept as they are,
+    repeated ones too.
+
+    ``areas="nation"`` is what the reference keeps of it. Every created cell
+    except the nation's has a NULL area type and is dropped again by the
+    imputation (finding 2), so only the nation cells that can receive a value
+    are built: one per nation id and (indicator, year, sex) group that has a
+    value but no nation row.
     """
+    if areas not in ("nation", "all"):
+        raise ValueError(f"unknown areas of the grid: {areas!r}")
     o = _grouped(obs, divisor)
+    if areas == "all":
+        created = join_ns(grid_cells(o, nation_name), o.select(*GRID_KEYS), GRID_KEYS, "left_anti")
+        return o.unionByName(created, allowMissingColumns=True)
     groups = _national(_cells(o, nation_name)).where((F.col("_n_nation") == 0) & (F.col("_n_all") > 0))
     created = _nation_rows(o, groups, nation_name, F.lit(None).cast("double"))
     return o.unionByName(created, allowMissingColumns=True)
@@ -220,10 +256,24 @@ def _impute_reference(o: DataFrame, cells: DataFrame, means: DataFrame, nation_n
     return existing.select(*BASE_COLUMNS).unionByName(created, allowMissingColumns=True)
 
 
+def _in_slices(areas: DataFrame, cells: DataFrame, areas_per_slice: int | None = None) -> DataFrame:
+    """All areas of a county times all cells of it, by fragment and replicate:
+    a county's areas are dealt into slices by a hash, its cells are copied to
+    every slice. A task then makes about ``areas_per_slice`` areas' cells, how
+    many areas a county may have. The number of slices is that of the largest
+    county."""
+    areas = materialize(areas, "grid_areas")
+    largest = areas.groupBy("area_group").count().agg(F.max("count")).first()[0] or 0
+    slices = max(1, -(-largest // (areas_per_slice or AREAS_PER_SLICE)))
+    dealt = areas.withColumn("_slice", F.pmod(F.xxhash64("area_id", "area_name"), F.lit(slices)))
+    copies = cells.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint"))))
+    return dealt.join(copies, ["area_group", "_slice"]).drop("_slice")
+
+
 def _impute_documented(o: DataFrame, cells: DataFrame, means: DataFrame, nation_name: str) -> DataFrame:
     local = cells.where(F.col("_n_k") > 0).withColumn("_fill", F.col("_sum_k") / F.col("_n_k")).select(*CELL, "_fill")
     areas = o.select("area_name", "area_id", "area_type", "area_group").distinct()
-    local_cells = areas.where(F.col("area_name") != nation_name).join(local, "area_group")
+    local_cells = _in_slices(areas.where(F.col("area_name") != nation_name), local)
     groups = _national(cells).where(F.col("_n_all_k") > 0)
     nation_cells = _nation_rows(o, groups, nation_name, F.col("_mean_all_k")).withColumnRenamed("value", "_fill")
     made = local_cells.unionByName(nation_cells).withColumnsRenamed(

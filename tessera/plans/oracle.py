@@ -65,7 +65,7 @@ SELECT b, yr, 'K' AS area_type, CAST(nk + 1 AS BIGINT) * 1000000000 + sk AS area
 UNION ALL
 SELECT b, yr, 'L', CAST(nk + 1 AS BIGINT), 'Region ' || n_name, sx, cents FROM fx_lines
 UNION ALL
-SELECT b, yr, 'L', CAST(0 AS BIGINT), 'Riket', sx, cents FROM fx_lines
+SELECT b, yr, 'L', CAST(0 AS BIGINT), 'Riket', sx, cents FROM fx_lines WHERE b // 10 <> 1
 """,
 )
 cte(
@@ -73,7 +73,7 @@ cte(
     """
 SELECT 'I' || lpad(CAST(b AS VARCHAR), 2, '0') AS kpi, area_id, area_name, area_type, sex, yr AS year,
        CAST(sum(cents) AS DOUBLE) / (100.0 * CAST(count(cents) AS DOUBLE)) AS value
-FROM (SELECT b, yr, area_type, area_id, area_name, sx AS sex, cents FROM fx_areas
+FROM (SELECT b, yr, area_type, area_id, area_name, sx AS sex, CASE WHEN area_id = 0 AND b // 10 = 2 THEN NULL ELSE cents END AS cents FROM fx_areas
       UNION ALL SELECT b, yr, area_type, area_id, area_name, 'T', cents FROM fx_areas)
 GROUP BY ALL
 """,
@@ -439,6 +439,10 @@ SQL: dict[str, str] = {
     "q_split_flag": "SELECT kpi, has_split FROM span",
     "q_area_group": "SELECT area_name, area_id, area_group FROM area_key",
     "q_grid": (
+        "SELECT kpi, area_id, area_name, area_type, area_group, sex, year, round(value, 6) AS value, "
+        "first_year, last_year, has_split FROM im_full"
+    ),
+    "q_grid_nation": (
         "SELECT kpi, area_id, area_name, area_type, area_group, sex, year, round(value, 6) AS value, "
         "first_year, last_year, has_split FROM im_grid"
     ),

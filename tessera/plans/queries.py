@@ -127,10 +127,17 @@ def q_area_group(spark, sf):
     return prepare.area_groups(ctx.observations(spark, sf), fixture.COUNTY_DIVISOR)
 
 
-@query("q_grid")
-def q_grid(spark, sf):
-    g = prepare.complete_grid(prepare.with_span(ctx.observations(spark, sf)), divisor=fixture.COUNTY_DIVISOR)
-    return rounded(g.select(*BASE_COLS[:8], *BASE_COLS[9:]))
+def _grid(areas: str) -> Query:
+    def q(spark, sf):
+        g = prepare.complete_grid(prepare.with_span(ctx.observations(spark, sf)), divisor=fixture.COUNTY_DIVISOR, areas=areas)
+        return rounded(g.select(*BASE_COLS[:8], *BASE_COLS[9:]))
+
+    return q
+
+
+# All cells of (indicator, sex) x year x area, and those that the reference keeps
+query("q_grid")(_grid("all"))
+query("q_grid_nation")(_grid("nation"))
 
 
 @query("q_impute_national")

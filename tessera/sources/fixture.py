@@ -15,7 +15,10 @@ is used:
   lines, so a cell without a returned line is a row without a value, as often
   at every scale (lines per supplier do not depend on it). The amount is the
   price; for every tenth indicator the discount in percent less 5, which can be
-  zero or negative.
+  zero or negative
+* gaps of the nation: the indicators (brands) of manufacturer ``NO_NATION`` have
+  no row for the nation, those of ``NO_NATION_BY_SEX`` rows without a value but
+  for the total sex; both are filled from the areas (W1).
 
 Plan shape: the lineitem side is joined to ``part`` once and aggregated to the
 finest grain (brand, year, supplier, sex) with map-side partial aggregation;
@@ -35,6 +38,7 @@ from tessera.schemas import NATION_NAME
 REGION_PREFIX = "Region "
 COUNTY_DIVISOR = 1_000_000_000
 SOURCE_MARKER = "Källa"
+NO_NATION, NO_NATION_BY_SEX = 1, 2
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +98,9 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     is_k = F.col("g_supplier") == 0
     is_l = (F.col("g_supplier") == 1) & (F.col("g_nation") == 0)
+    maker = F.floor(F.col("b") / 10)  # a brand's first digit is its manufacturer's number
+    agg = agg.where((F.col("g_nation") == 0) | (maker != NO_NATION))
+    unknown = (F.col("g_nation") == 1) & (F.col("g_status") == 0) & (maker == NO_NATION_BY_SEX)
     return agg.select(
         kpi_code(F.col("b")).alias("kpi"),
         F.when(is_k, municipality_id(F.col("n_nationkey"), F.col("s_suppkey")))
@@ -110,7 +117,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("status") == "O", F.lit("M"))
         .alias("sex"),
         F.col("year").cast("int").alias("year"),
-        F.when(F.col("n") > 0, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("value"),
+        F.when((F.col("n") > 0) & ~unknown, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("value"),
     )
 
 

@@ -1,7 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tessera.functions.numbering import numbered
 from tessera.operators import prepare
-from tests.conftest import rows
+from tessera.plans import context as ctx
+from tessera.plans import queries as Q
+from tests.conftest import SF, rows
 
 OBS = "kpi string, area_id int, area_name string, area_type string, sex string, year int, value double"
 
@@ -98,3 +102,60 @@ def test_impute_null_sex_is_its_own_group(spark):
     out = {(r.area_name, r.sex): r.value for r in prepare.impute(prepare.with_span(spark.createDataFrame(d, OBS))).collect()}
     assert out[("Riket", None)] == pytest.approx(20.0)
     assert out[("Riket", "T")] == pytest.approx(100.0)
+
+
+def test_numbers_are_dense(spark):
+    df = spark.range(1000).repartition(7).select("id").where("id % 3 = 0")
+    out, n = numbered(df, "no")
+    got = out.collect()
+    assert n == 334 and sorted(r.no for r in got) == list(range(334)) and len({r.id for r in got}) == 334
+    assert numbered(df.limit(0), "no")[1] == 0
+
+
+def test_whole_grid_is_every_cell(spark):
+    d = [("X", 101, "Kom A", "K", "T", 2020, 1.0), ("X", 101, "Kom A", "K", "T", 2020, 2.0), ("Y", 1, "Region One", "L", None, 2018, None),
+         ("X", 0, "Riket", "L", "T", 2018, 8.0), ("X", 202, None, "K", "K", 2019, 7.0)]
+    obs = prepare.with_span(spark.createDataFrame(d, OBS))
+    got = prepare.complete_grid(obs, divisor=100, areas="all")
+    keys = {("X", "T"), ("X", "K")}  # Y has no value and no span
+    areas = {("Kom A", 101), ("Riket", 0), (None, 202)}
+    want = {(k, s, y, a, i) for k, s in keys for y in (2018, 2019, 2020) for a, i in areas}
+    assert len(want) == 18 and {tuple(r[c] for c in prepare.GRID_KEYS) for r in got.collect()} == want
+    assert got.count() == 19  # the observation that is there twice stays
+    made = got.where("value is null")
+    assert {r.area_type for r in made.where("area_name = 'Riket'").collect()} == {"L"}
+    assert made.where("area_name <> 'Riket' and area_type is not null").count() == 0
+    empty = prepare.complete_grid(obs.limit(0), areas="all")
+    assert empty.count() == 0 and empty.columns == got.columns
+    with pytest.raises(ValueError):
+        prepare.complete_grid(obs, areas="some")
+
+
+def test_slices_of_a_county_give_the_whole_grid(spark, monkeypatch):
+    areas = spark.createDataFrame([(f"a{i}", i, "K", 1 if i < 50 else i) for i in range(60)], "area_name string, area_id int, area_type string, area_group int")
+    cells = spark.createDataFrame([(g, f"k{k}", 1.0) for g in (1, 55, 99) for k in range(4)], "area_group int, kpi string, _fill double")
+    want = rows(areas.join(cells, "area_group"), "area_name", "kpi")
+    for size in (1, 7, 50, 1000):
+        out = prepare._in_slices(areas, cells, size)
+        assert rows(out, "area_name", "kpi") == want
+    monkeypatch.setattr(prepare, "AREAS_PER_SLICE", 5)
+    out = prepare._in_slices(areas, cells)
+    # the areas of the hot county meet its cells in slices of about the size asked for
+    sizes = [r["count"] for r in out.where("area_group = 1 and kpi = 'k0'").groupBy(F.pmod(F.xxhash64("area_id", "area_name"), F.lit(10))).count().collect()]
+    assert sum(sizes) == 50 and max(sizes) <= 15
+    assert prepare._in_slices(areas.limit(0), cells).count() == 0
+
+
+def test_fixture_has_cells_to_create_and_to_fill(spark):
+    """The queries of the grid and the nation exercise what they name."""
+    obs = ctx.observations(spark, SF)
+    grid, nation = Q.REGISTRY["q_grid"](spark, SF), Q.REGISTRY["q_grid_nation"](spark, SF)
+    assert grid.count() > nation.count() > obs.count()
+    before = obs.where("area_name = 'Riket'")
+    filled = Q.REGISTRY["q_impute_national"](spark, SF)
+    keys = ["kpi", "sex", "year"]
+    there = before.where("value is not null").select(keys)
+    new = filled.where("value is not null").select(keys)
+    created = new.exceptAll(before.select(keys))
+    assert created.count() > 0  # rows that were not there
+    assert new.exceptAll(there).count() > created.count()  # and rows without a value
