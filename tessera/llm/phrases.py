@@ -6,12 +6,13 @@ Only these longest windows are counted. A phrase's occurrences are the windows
 that begin with it, so Spark's ROLLUP over the columns, which drops the last
 one after the other, sums the counts of all shorter phrases from them.
 
-**What needs no window.** A phrase is at most as frequent as any two
-neighbouring words in it, and these as either word. Before the windows, words
-and then pairs are counted as 64-bit keys; keys that reach the least count are
-marked in a bitmap of at most ``MAX_BITS`` bits, and a window ends before the
-first pair without a mark. Keys that collide, and marks that many keys share,
-only leave windows longer than they need be: all counts rest on whole words.
+**What needs no window.** A phrase is at most as frequent as any phrase in it.
+Before the windows, words, then runs of two, up to ``MARKED`` words, are counted
+as keys of ``KEY_BITS`` bits; keys that reach the least count are marked in a
+bitmap of at most ``MAX_BITS`` bits. Only runs whose words, pairs and so on are
+marked count as the next longer key, and a window ends before the first run
+without a mark. Keys that collide, and marks that many keys share, only leave
+windows longer than they need be: all counts come from the windows' whole words.
 
 **Text.** A-Z are lower-cased. Pieces are split at ``[.,;:!?\\x0A-\\x0D]``, words
 at spaces and tabs. Texts are read as bytes, some MB at a time; a long text is
@@ -21,7 +22,7 @@ cut between words, with the following words at hand.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,12 @@ MIN_COUNT = 100
 CONTAINED_SHARE = 100
 TOP = 2000
 NO_LANGUAGE = "und"
+#: Words of the longest runs that are marked.
+MARKED = 3
+#: Bits of a key. With far more than 10^13 words, more would mark less.
+KEY_BITS = 40
 #: Bytes of text that are worked on at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: Distinct keys that a task adds up before it hands them on.
 HELD_KEYS = 1 << 21
 #: Bits of a bitmap: 32 for each key, up to this many (16 MB).
@@ -105,9 +110,10 @@ class Words:
         return self.piece[1:] == self.piece[:-1]
 
 
-def pair_keys(keys: np.ndarray) -> np.ndarray:
-    """A key of each word with the next."""
-    return _mix(keys[:-1] * np.uint64(0x9FB21C651E98DF25) + keys[1:])
+def longer_keys(keys: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the runs of ``size`` words: those of one word less, at ``keys``,
+    with the keys of the next ``words``."""
+    return _mix(keys[:-1] * np.uint64(0x9FB21C651E98DF25) + words[size - 1 :])
 
 
 def _parts(text: bytes, size: int, ahead: int) -> Iterator[tuple[bytes, int]]:
@@ -153,7 +159,7 @@ class _Tally:
 
     def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(keys):
-            self.held.append(np.unique(keys, return_counts=True))
+            self.held.append(np.unique(keys >> np.uint64(64 - KEY_BITS), return_counts=True))
             self.size += len(self.held[-1][0])
         if self.size > 2 * HELD_KEYS:
             self._join()
@@ -186,7 +192,7 @@ class Marks:
         spark = keys.sparkSession
         n = keys.count()
         self.log = min(MAX_BITS, max(1 << 15, 32 * n)).bit_length() - 1
-        place = F.shiftrightunsigned(F.col("key"), 64 - self.log) + 1
+        place = F.shiftrightunsigned(F.col("key"), KEY_BITS - self.log) + 1
         rows = keys.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
         bits = np.zeros(1 << (self.log - 3), np.uint8)
         block = (1 << 15) >> 3
@@ -218,20 +224,42 @@ def _word_keys(texts: DataFrame, longest: int) -> DataFrame:
     return texts.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def _pair_keys(texts: DataFrame, longest: int, words: Marks) -> DataFrame:
-    """``(lang, key, n)`` of the pairs of neighbours that are marked words."""
-    has = words.has
+def _marked_runs(w: Words, marks: list[Callable[[np.ndarray], np.ndarray]], sizes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For runs of 1, 2, ... ``sizes`` words: their keys, and whether all runs
+    of the sizes that ``marks`` knows are marked in each; longer runs need no
+    key. A run is named by its first word and lies in one piece."""
+    words = w.keys()
+    keys, good = words, marks[0](words) if marks else np.ones(len(words), bool)
+    yield keys, good
+    for size in range(2, sizes + 1):
+        if len(good) < 2:
+            return
+        good = good[:-1] & good[1:]
+        if size == 2:
+            good &= w.next_in_piece()
+        if size <= len(marks) + 1:
+            keys = longer_keys(keys, words, size)
+        if size <= len(marks):
+            good &= marks[size - 1](keys)
+        yield keys, good
+
+
+def _run_keys(texts: DataFrame, longest: int, marks: list[Marks]) -> DataFrame:
+    """``(key, n)`` of the runs of one word more than ``marks`` knows."""
+    known = [m.has for m in marks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
         for w in read_words(batches, longest):
-            if len(w) > 1:
-                keys = w.keys()
-                known = has(keys)
-                yield from tally.add(pair_keys(keys)[known[:-1] & known[1:] & w.next_in_piece() & w.own[:-1]])
+            if len(w) > len(known):
+                runs = list(_marked_runs(w, known, len(known) + 1))
+                if len(runs) > len(known):
+                    keys, good = runs[-1]
+                    yield from tally.add(keys[good & w.own[: len(good)]])
         yield from tally.out()
 
-    return texts.mapInArrow(run, "lang string, key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(run, "lang string, key long, n long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
 # ---- windows ----------------------------------------------------------------------
@@ -253,27 +281,25 @@ def _distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order[first], np.diff(np.append(first, len(order)))
 
 
-def _windows(texts: DataFrame, longest: int, words: Marks, pairs: Marks) -> DataFrame:
+def _windows(texts: DataFrame, longest: int, marks: list[Marks]) -> DataFrame:
     """``(lang, w1, ..., n)``: padded windows, counted within a chunk of text."""
     columns = [f"w{k + 1}" for k in range(longest)]
-    has_word, has_pair = words.has, pairs.has
+    known = [m.has for m in marks]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in read_words(batches, longest):
             if not len(w):
                 continue
-            keys = w.keys()
-            known = has_word(keys)
-            linked = np.zeros(len(w) + longest, bool)
-            linked[: len(w) - 1] = known[:-1] & known[1:] & w.next_in_piece() & has_pair(pair_keys(keys))
-            at = np.flatnonzero(known & w.own)
+            at, lead = None, []
+            for size, (_, good) in enumerate(_marked_runs(w, known, longest), 1):
+                if at is None:
+                    at = np.flatnonzero(good & w.own)
+                whole = np.zeros(len(w), bool)
+                whole[: len(good)] = good
+                lead.append(np.where(whole[at], w.code[np.minimum(at + size - 1, len(w) - 1)], -1))
+            lead += [np.full(len(at), -1, w.code.dtype)] * (longest - len(lead))
             if not len(at):
                 continue
-            code = np.append(w.code, np.full(longest, -1, w.code.dtype))
-            lead, goes_on = [code[at]], np.ones(len(at), bool)
-            for k in range(1, longest):
-                goes_on = goes_on & linked[at + k - 1]
-                lead.append(np.where(goes_on, code[at + k], -1))
             first, n = _distinct_rows([w.lang[at], *lead])
             names, langs = w.names.cast(pa.binary()).cast(pa.string()), pa.array(w.langs)
             for s in range(0, len(first), 1 << 16):
@@ -313,9 +339,10 @@ def phrase_counts(
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANGUAGE))
     texts = docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")).where("text <> ''")
     single = materialize(_word_keys(texts, longest).where(F.col("key").isNull() | (F.col("n") >= min_count)), "phrase-words")
-    words = Marks(single.where("key is not null"))
-    pairs = Marks(materialize(_pair_keys(texts, longest, words).where(F.col("n") >= min_count), "phrase-pairs"))
-    counts = materialize(prefix_counts(_windows(texts, longest, words, pairs), longest, min_count), "phrase-counts")
+    marks = [Marks(single.where("key is not null"))]
+    while len(marks) < min(MARKED, longest):
+        marks.append(Marks(materialize(_run_keys(texts, longest, marks).where(F.col("n") >= min_count), "phrase-runs")))
+    counts = materialize(prefix_counts(_windows(texts, longest, marks), longest, min_count), "phrase-counts")
     return counts, single.where("key is null").select("lang", "n")
 
 

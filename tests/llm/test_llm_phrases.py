@@ -95,10 +95,17 @@ def test_full_marks_and_small_tallies_change_nothing(spark, monkeypatch):
     want = plain(rows, min_count=3)
     monkeypatch.setattr(phrases, "MAX_BITS", 1 << 15)
     monkeypatch.setattr(phrases, "HELD_KEYS", 2)
-    monkeypatch.setattr(phrases, "pair_keys", lambda k: np.zeros(len(k) - 1, np.uint64))  # all collide
+    monkeypatch.setattr(phrases, "longer_keys", lambda k, *_: np.zeros(len(k) - 1, np.uint64))  # all collide
     assert {tuple(r) for r in phrases.collocations(table(spark, rows), min_count=3).collect()} == want
 
 
+@pytest.mark.parametrize("marked", [1, 2, 5])
+def test_what_is_marked_changes_nothing(spark, monkeypatch, marked):
+    monkeypatch.setattr(phrases, "MARKED", marked)
+    rows = texts(7)
+    assert {tuple(r) for r in phrases.collocations(table(spark, rows), min_count=4).collect()} == plain(rows, min_count=4)
+
+
 def test_products_beyond_64_bits(spark):
     """Counts of a very large corpus, put in as counted."""
     n = 10**14
