@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.joins import join_ns
@@ -34,6 +34,28 @@ def score_profile(scored: DataFrame) -> DataFrame:
     )
 
 
+def base_metrics() -> dict[str, Column]:
+    """Aggregates of a base table that its write observes (D19): rows, rows
+    without a sex, and values lost to the log (imputed rows all have a value)."""
+    lost = (F.col("logged") == 1) & F.col("value").isNull()
+    return {
+        "rows": F.count(F.lit(1)),
+        "rows_without_sex": F.count(F.when(F.col("sex").isNull(), 1)),
+        "log_losses": F.count(F.when(lost, 1)),
+    }
+
+
+def score_metrics() -> dict[str, Column]:
+    """Aggregates of scored rows that their write observes."""
+    score = F.col("standard_value")
+    return {
+        "scores": F.count(F.lit(1)),
+        "null_scores": F.count(F.when(score.isNull(), 1)),
+        "zero_scores": F.count(F.when(score == 0, 1)),
+        "scores_outside": F.count(F.when((score < 0) | (score > 100), 1)),
+    }
+
+
 QUANTILE_NAMES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import checks, describe, hierarchy, prepare, standardize
-from tessera.schemas import COUNTY_DIVISOR, REGION_DATA_NAME
+from tessera.schemas import COUNTY_DIVISOR, INDICATOR_FILE, MUNICIPALITY_CODE_FILE, REGION_DATA_NAME
 from tessera.session import materialize
 from tessera.sources import files
 
@@ -50,25 +50,34 @@ def build_base_table(
 ) -> DataFrame:
     """Step 1: observations → base table at ``out_path`` (Parquet by ``kpi``).
 
-    Beside it stand ``<out_path>_empty``, the catalog's indicators without any
-    value, and, for JSON, ``<out_path>_rejected``, the records that did not
-    parse; both are counted in the log.
+    Of an observation that landed more than once the newest version counts.
+    Beside the table stand ``<out_path>_empty``, the catalog's indicators without
+    any value, and ``<out_path>_rejected``: observation records that did not
+    parse, and lines and cells of the catalog that are not taken over. Both are
+    counted in the log.
     """
-    obs, rejected = files.split_rejected(files.read_observations(spark, observations_path, observations_format))
+    landed = files.newest(files.read_observations(spark, observations_path, observations_format, landed=True))
+    # one version of each, handed over once: the base table and the two reports read it
+    landed = materialize(landed.drop(files.LANDED), "landed")
+    obs, broken = files.split_rejected(landed)
     catalog = files.read_catalog(spark, catalog_path)
     base = prepare.build_base(obs, catalog, mode, run_date=run_date or _dt.date.today(), divisor=county_divisor)
-    files.write_table(base, out_path)
-    _report(spark, prepare.empty_indicators(catalog, obs), f"{out_path}_empty", "indicators without a value")
-    if rejected is not None:
-        _report(spark, rejected, f"{out_path}_rejected", "records that did not parse")
+    seen = files.write_table(base, out_path, metrics=checks.base_metrics())
+    _log.info("base table: %s", seen)
+    _report(prepare.empty_indicators(catalog, obs), f"{out_path}_empty", "indicators without a value")
+    rejected = files.csv_rejects(spark, catalog_path, INDICATOR_FILE)
+    if broken is not None:
+        lines = broken.select(F.lit(observations_path).alias("file"), F.col(files.CORRUPT).alias("line"))
+        rejected = rejected.unionByName(lines.withColumn("reason", F.lit(files.NOT_A_RECORD)), allowMissingColumns=True)
+    _report(rejected, f"{out_path}_rejected", "records that were not taken over")
     return files.read_table(spark, out_path)
 
 
-def _report(spark: SparkSession, rows: DataFrame, path: str, what: str) -> None:
-    """Write ``rows`` and log how many there are."""
-    files.write_table(rows, path, partition_by=())
-    n = files.read_table(spark, path).count()
+def _report(rows: DataFrame, path: str, what: str) -> int:
+    """Write ``rows``; how many there are, the write itself counts and logs."""
+    n = files.write_table(rows, path, partition_by=(), metrics={"rows": F.count("*")})["rows"]
     (_log.warning if n else _log.info)("%d %s, in %s", n, what, path)
+    return n
 
 
 def publish_index(
@@ -91,15 +100,17 @@ def publish_index(
 
     Returns the tables by file name; ``final`` (row level) is written as
     Parquet next to them, and the run's checks under ``checks/``: indicators
-    scored with both orientations, the score profile, missing sexes, and the
-    areas of each geography without a code.
+    scored with both orientations, the score profile, missing sexes, the
+    areas of each geography without a code, lines and cells of the code keys that
+    are not taken over, and ``observed``: what the writes themselves counted.
     """
     base = prepare.mark_national(files.read_table(spark, base_path))
     # all outputs read the scores: computed once, handed over as a file
     scored = materialize(standardize.standardize(base, split_mode, year_mode, lag, year_scope, validate), "scored")
     levels = hierarchy.Levels(materialize(hierarchy.roll_up(scored, weighting).grain, "levels"))
     national = hierarchy.national_means(levels)
-    files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=())
+    seen = files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=(), metrics=checks.score_metrics())
+    _log.info("final table: %s", seen)
     codes = {
         "municipality": files.read_municipality_codes(spark, municipality_codes_path),
         "region": files.read_region_codes(spark, region_codes_path, region_data_name),
@@ -108,10 +119,15 @@ def publish_index(
         "orientation": checks.orientation_conflicts(scored),
         "missing_split": standardize.missing_split(base, year_mode, lag),
         "unmatched_municipality": checks.unmatched_areas(base.where("area_type = 'K'"), codes["municipality"], "Kommun_kod"),
+        "rejected": files.csv_rejects(spark, municipality_codes_path, MUNICIPALITY_CODE_FILE).unionByName(
+            files.csv_rejects(spark, region_codes_path, files.region_code_file(region_data_name))
+        ),
         "unmatched_region": checks.unmatched_areas(base.where("area_type = 'L'"), codes["region"], "Lan_kod"),
     }
-    for name, rows in found.items():
-        _report(spark, rows, f"{out_dir}/checks/{name}", f"rows of the check {name}")
+    counts = {f"check_{name}": _report(rows, f"{out_dir}/checks/{name}", f"rows of the check {name}") for name, rows in found.items()}
+    # the run's numbers, all taken from the writes above
+    numbers = [(name, float(n)) for name, n in {**seen, **counts}.items()]
+    files.write_table(spark.createDataFrame(numbers, "metric string, value double"), f"{out_dir}/checks/observed", partition_by=())
     files.write_table(checks.score_profile(scored), f"{out_dir}/checks/profile", partition_by=())
     out = {}
     for (level, geo), name in PUBLICATION_FILES.items():

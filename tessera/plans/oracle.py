@@ -889,6 +889,16 @@ FROM node_final x LEFT JOIN region_codes k ON k.Lan_kod = CAST(x.area_id AS VARC
 )
 
 
+cte(
+    "fault_lines",
+    """
+SELECT kpi, sort_order, kpi LIKE 'E%' AS empty, inverted = 1 AS more, logged IS NOT DISTINCT FROM 1 AND inverted <> 1 AS quoted,
+       concat_ws(';', kpi, CASE WHEN logged IS NOT DISTINCT FROM 1 AND inverted <> 1 THEN '"' ELSE '' END || kpi_text, aspect, theme, part, inverted,
+                 coalesce(CAST(logged AS VARCHAR), 'NA'), CAST(sort_order AS VARCHAR) || CASE WHEN kpi LIKE 'E%' THEN 'o' ELSE '' END, 'NA',
+                 CASE WHEN inverted = 1 THEN 'more' END) AS line
+FROM catalog
+""",
+)
 SQL.update(
     {
         "q_file_catalog": """
@@ -898,6 +908,22 @@ FROM catalog""",
         "q_file_region_codes": "SELECT * REPLACE (nullif(Lan_bokstav, 'NA') AS Lan_bokstav) FROM region_codes",
         "q_file_municipality_codes": "SELECT * FROM municipality_codes",
         "q_file_observations": SQL["q_obs"],
+        "q_file_relanded": SQL["q_obs"],
+        "q_file_rejects": """
+SELECT line, CASE WHEN NOT (more OR quoted) THEN 'Sortering' END AS "column",
+       CASE WHEN more OR quoted THEN 'other fields than the header' ELSE 'not int' END AS reason
+FROM fault_lines WHERE empty OR more OR quoted
+UNION ALL
+SELECT kpi, 'taken', CASE WHEN NOT empty THEN CAST(sort_order AS VARCHAR) END FROM fault_lines WHERE NOT (more OR quoted)""",
+        "q_observed": f"""
+SELECT 'rows' AS metric, count(*) AS n FROM base
+UNION ALL SELECT 'rows_without_sex', count(*) FROM base WHERE sex IS NULL
+UNION ALL SELECT 'log_losses', count(*) FROM imp_cat WHERE logged = 1 AND value <= 0
+UNION ALL SELECT 'scores', count(*) FROM std_total_latest
+UNION ALL SELECT 'null_scores', count(*) FROM std_total_latest WHERE standard_value IS NULL
+UNION ALL SELECT 'zero_scores', count(*) FROM std_total_latest WHERE standard_value = 0
+UNION ALL SELECT 'scores_outside', count(*) FROM std_total_latest WHERE standard_value < 0 OR standard_value > 100
+UNION ALL SELECT 'missing_sexes', count(*) FROM ({SQL["q_missing_split"]})""",
         "q_file_base": SQL["q_log"],
         "q_file_exchange": SQL["q_log"],
         "q_file_final": SQL["q_final"],

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera import schemas
 from tessera.operators import checks, describe, export, hierarchy, prepare, standardize
 from tessera.plans import context as ctx
 from tessera.session import checkpoint_root
 from tessera.sources import files, fixture
+from tessera.streaming.landing import land_observations, refresh_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -529,6 +531,50 @@ def q_file_observations(spark, sf):
     return rounded(good.select(*OBS_COLS))
 
 
+@query("q_file_relanded")
+def q_file_relanded(spark, sf):
+    """S3: observations that landed twice, first with other values. The first
+    table holds those; the second landing replaces them."""
+    obs, folder = ctx.observations(spark, sf), _file(spark, "relanded")
+    source, log, table = f"{folder}/in", f"{folder}/log", f"{folder}/table"
+    for landing in (obs.withColumn("value", F.col("value") * 2 + 1), obs):
+        landing.write.mode("append").option("ignoreNullFields", "false").json(source)
+        land_observations(spark, source, log).awaitTermination()
+        refresh_table(spark, log, table)
+    return rounded(files.read_observations(spark, table).select(*OBS_COLS))
+
+
+@query("q_file_rejects")
+def q_file_rejects(spark, sf):
+    """A catalog file with faults. Indicators without observations
+    have a letter in their sort code, inverted ones a field too many, and logged
+    ones a quote that is not closed."""
+    cat = ctx.catalog(spark, sf)
+    empty, inverted, logged = F.col("kpi").startswith("E"), F.col("inverted") == 1, F.col("logged") == 1
+    name = F.when(logged & ~inverted, F.concat(F.lit('"'), "kpi_text")).otherwise(F.col("kpi_text"))
+    sort = F.concat("sort_order", F.when(empty, F.lit("o")).otherwise(F.lit("")))
+    log = F.coalesce(F.col("logged").cast("string"), F.lit("NA"))
+    line = F.concat_ws(";", "kpi", name, "aspect", "theme", "part", "inverted", log, sort, F.lit("NA"), F.when(inverted, F.lit("more")))
+    header = spark.createDataFrame([(";".join(f.name for f in schemas.INDICATOR_FILE),)], "value string")
+    # a start file is one small file: the header, then a line for each indicator
+    lines = header.withColumn("at", F.lit(0)).unionByName(cat.select(line.alias("value"), F.lit(1).alias("at")))
+    lines.coalesce(1).sortWithinPartitions("at").select("value").write.text(path := _file(spark, "faults"))
+    found = files.csv_rejects(spark, path, schemas.INDICATOR_FILE)
+    return found.select("line", "column", "reason").unionByName(
+        files.read_catalog(spark, path).select(F.col("kpi").alias("line"), F.lit("taken").alias("column"), F.col("sort_order").cast("string").alias("reason"))
+    )
+
+
+@query("q_observed")
+def q_observed(spark, sf):
+    """What the writes of the base table and the scores count themselves."""
+    seen = files.write_table(ctx.base(spark, sf), _file(spark, "base"), metrics=checks.base_metrics())
+    seen |= files.write_table(scored(spark, sf), _file(spark, "scores"), partition_by=(), metrics=checks.score_metrics())
+    missing = standardize.missing_split(ctx.marked_base(spark, sf))
+    seen |= files.write_table(missing, _file(spark, "missing"), partition_by=(), metrics={"missing_sexes": F.count(F.lit(1))})
+    return spark.createDataFrame([(name, int(n)) for name, n in seen.items()], "metric string, n long")
+
+
 @query("q_file_base")
 def q_file_base(spark, sf):
     """The base table by indicator."""

@@ -117,5 +117,5 @@ def test_rejected_records_and_empty_indicators_are_kept(spark, tmp_dir):
     _write(src, "a.json", json.dumps(rec) + "\n{not json\n")
     base = os.path.join(tmp_dir, "base_json")
     assert annual.build_base_table(spark, src, cat, base, observations_format="json").count() == 1
-    assert [r[0] for r in spark.read.parquet(base + "_rejected").collect()] == ["{not json"]
+    assert [r.line for r in spark.read.parquet(base + "_rejected").collect()] == ["{not json"]
     assert sorted(r[0] for r in spark.read.parquet(base + "_empty").collect()) == ["N2", "N3"]
