@@ -70,12 +70,15 @@ def min_max_score(value: Column, lo: Column, hi: Column, inverted: Column) -> Co
 # Whitespace and line-end classes written out so that the JVM regex engine
 # and other engines (the SQL oracle) agree on them.
 WS = r" \t\n\x0B\f\r"
+# what str_squish collapses beside these: the separators (no-break space, line separator, ideographic space, ...)
+SEPARATORS = r"\x{85}\p{Z}"
 NOT_EOL = r"[^\n\r\x{85}\x{2028}\x{2029}]"
 
 
 def squish(c: Column) -> Column:
-    """Trim and collapse internal whitespace runs to one space."""
-    return F.regexp_replace(F.regexp_replace(c, f"[{WS}]+", " "), "^ +| +$", "")
+    """Trim and collapse internal whitespace runs, Unicode's separators
+    included, to one space (X14)."""
+    return F.regexp_replace(F.regexp_replace(c, f"[{WS}{SEPARATORS}]+", " "), "^ +| +$", "")
 
 
 def cut_after_dash(c: Column) -> Column:

@@ -1,23 +1,25 @@
 """Indicator texts to published descriptions.
 
 Texts are reduced before they meet the (small) index keys: the source is
-extracted per text row on the map side, then only distinct
-(indicator, title) and (indicator, source) pairs travel through the
-shuffle. ``members`` is the long table of a group's titles or sources, which
-scales with them; the published strings join its distinct members, so they are
-as long as these, never as the row count, and are meant for a catalog's worth
-of indicators, not for unbounded sources.
+extracted per text row on the map side, then only distinct (indicator, title,
+source) travel through the shuffle. One reduction then gives the titles and
+sources of every theme and part (``level_members``), whatever their number:
+their order comes from range partitions, so no task holds the members of a
+group, and they are joined in segments of a bounded number (``segments``). The
+published strings join a group's segments, and are as long as these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import map_prefixed, prefixed, rename_list, select_prefixed
+from tessera.functions.columns import map_prefixed, prefixed, select_prefixed
 from tessera.functions.expr import NOT_EOL, WS, case_when, ensure_period, if_else, paste, recode, squish
+from tessera.functions.joins import join_ns
+from tessera.session import materialize
 
 # Fixed values of the reference's texts (must be equal for equal output).
 MARKER = "Källa"
@@ -145,46 +147,125 @@ def text_triples(attributed: DataFrame) -> DataFrame:
     return attributed.select("kpi", "title", "source").distinct()
 
 
-def members(keys: DataFrame, attributed: DataFrame, level: str, col: str) -> DataFrame:
-    """``(level, area_type, sex, col)``: the distinct titles or sources of every
-    theme or part, a row each; NULL where an indicator has none. This long
-    table is the scalable form; only the published table joins its members
-    into strings.
+#: What the members of a level are: (level, column, kind of text).
+MEMBERS = (("theme", "title", "text"), ("theme", "source", "source"), ("part", "source", "source"))
+GROUP = ("level", "Tema", "kind", "area_type", "sex")
+#: Members that are joined into one segment.
+SEGMENT = 1_000
+
+
+def level_members(keys: DataFrame, attributed: DataFrame, wanted: Sequence[tuple[str, str, str]] = MEMBERS) -> DataFrame:
+    """``(level, Tema, kind, area_type, sex, member)``: the distinct titles and
+    sources of every theme and part, a row each; NULL where an indicator has
+    none. One join and one shuffle for all of them.
 
     The texts stay on the large side of the join: the index keys (indicators ×
     area types × sexes, bounded by the catalog) are the side that a planner
-    can broadcast, and indicators without texts are added afterwards. A text
-    value is repeated for each area type and sex its indicator has."""
-    own = keys.where(F.col(level).isNotNull()).select("kpi", level, "area_type", "sex")
-    per_kpi = attributed.select("kpi", col).distinct()
-    found = per_kpi.join(own, "kpi").select(level, "area_type", "sex", col)
-    bare = own.join(per_kpi.select("kpi").distinct(), "kpi", "left_anti")
-    kind = dict(attributed.dtypes)[col]
-    return found.unionByName(bare.select(level, "area_type", "sex", F.lit(None).cast(kind).alias(col))).distinct()
+    can broadcast. Indicators without texts join them as a row of NULLs."""
+    cols = sorted({col for _, col, _ in wanted})
+    own = keys.select("kpi", "theme", "part", "area_type", "sex")
+    texts = attributed.select("kpi", *cols).distinct()
+    bare = own.select("kpi").distinct().join(texts.select("kpi").distinct(), "kpi", "left_anti")
+    texts = texts.unionByName(bare, allowMissingColumns=True)
+    kinds = [
+        F.struct(F.lit(level).alias("level"), F.col(level).alias("Tema"), F.lit(kind).alias("kind"), F.col(col).alias("member"))
+        for level, col, kind in wanted
+    ]
+    each = texts.join(own, "kpi").select("area_type", "sex", F.inline(F.array(*kinds)))
+    return each.where(F.col("Tema").isNotNull()).select(*GROUP, "member").distinct()
+
+
+def members(keys: DataFrame, attributed: DataFrame, level: str, col: str) -> DataFrame:
+    """``(level, area_type, sex, col)``: ``level_members`` of one level and column."""
+    found = level_members(keys, attributed, [(level, col, "")])
+    return found.select(F.col("Tema").alias(level), "area_type", "sex", F.col("member").alias(col))
+
+
+def segments(found: DataFrame, size: int | None = None, sep: str = ", ") -> DataFrame:
+    """``(level, Tema, kind, area_type, sex, segment, n, text)``: the members of
+    each group in order, joined in segments of ``size`` (the last one shorter).
+    A group with a NULL member has one more row, all NULL from ``segment`` on.
+
+    The members are range-partitioned and sorted, and written so; a member's
+    position is its place in its partition and the sizes of the group's earlier
+    ones. What a task gathers is a segment."""
+    ordered = found.where(F.col("member").isNotNull()).repartitionByRange(*GROUP, "member").sortWithinPartitions(*GROUP, "member")
+    at = F.monotonically_increasing_id()
+    ordered = materialize(ordered.select(*GROUP, "member", F.spark_partition_id().alias("_part"), at.alias("_at")), "members")
+    blocks = ordered.groupBy(*GROUP, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*GROUP).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("_before", F.coalesce(before, F.lit(0)) - F.col("_first")).select(*GROUP, "_part", "_before")
+    place = F.col("_before") + F.col("_at")
+    dealt = join_ns(ordered, blocks, [*GROUP, "_part"]).withColumn("segment", F.floor(place / (size or SEGMENT)).cast("int"))
+    text = F.array_join(F.array_sort(F.collect_list("member")), sep)  # at most ``size`` of them
+    made = dealt.groupBy(*GROUP, "segment").agg(F.count("*").alias("n"), text.alias("text"))
+    nulls = found.where(F.col("member").isNull()).select(*GROUP)
+    return made.unionByName(nulls, allowMissingColumns=True)
+
+
+def joined_members(found: DataFrame, sep: str = ", ", size: int | None = None) -> DataFrame:
+    """``(level, Tema, kind, area_type, sex, text)``: the published strings, a
+    group's segments in order; NULL for a group with a NULL member (G16)."""
+    whole = F.count(F.lit(1)) == F.count("text")
+    parts = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("segment", "text"))))
+    return segments(found, size, sep).groupBy(*GROUP).agg(F.when(whole, F.array_join(F.transform(parts, lambda p: p["text"]), sep)).alias("text"))
+
+
+def _strings(keys: DataFrame, attributed: DataFrame, level: str, col: str, out: str) -> DataFrame:
+    joined = joined_members(level_members(keys, attributed, [(level, col, "")]))
+    return joined.select(F.col("Tema").alias(level), "area_type", "sex", F.col("text").alias(out))
 
 
 def theme_titles(keys: DataFrame, attributed: DataFrame) -> DataFrame:
     """Titles joined per (theme, area_type, sex)."""
-    return collapse_by_group(members(keys, attributed, "theme", "title"), ["theme", "area_type", "sex"], "title", "titles_text")
+    return _strings(keys, attributed, "theme", "title", "titles_text")
 
 
 def theme_sources(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    return collapse_by_group(members(keys, attributed, "theme", "source"), ["theme", "area_type", "sex"], "source", "source_text")
+    return _strings(keys, attributed, "theme", "source", "source_text")
 
 
 def part_sources(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    return collapse_by_group(members(keys, attributed, "part", "source"), ["part", "area_type", "sex"], "source", "source_text")
+    return _strings(keys, attributed, "part", "source", "source_text")
+
 
+def level_texts(keys: DataFrame, attributed: DataFrame) -> DataFrame:
+    """The published strings of all levels, ``(level, Tema, kind, area_type,
+    sex, text)``: what the wide tables are made of."""
+    return joined_members(level_members(keys, attributed))
 
-def theme_wide(keys: DataFrame, attributed: DataFrame) -> DataFrame:
+
+def _text_columns(level: str | None, kinds: Sequence[str] = ("text", "source")) -> dict[str, Column]:
+    """The wide columns ``{kind}_{type}_{sex}`` as aggregates of level texts."""
+    of = F.lit(True) if level is None else F.col("level") == level
+    return {
+        f"{kind}_{t}_{s}": F.max(F.when(of & (F.col("kind") == kind) & (F.col("area_type") == t) & (F.col("sex") == s), F.col("text")))
+        for kind in kinds
+        for t in AREA_TYPES
+        for s in SEX_ORDER
+    }
+
+
+def _one_level(texts: DataFrame, level: str, kinds: Sequence[str]) -> DataFrame:
+    columns = _text_columns(None, kinds)
+    return texts.where(F.col("level") == level).groupBy("Tema").agg(*[c.alias(n) for n, c in columns.items()])
+
+
+def theme_wide(texts: DataFrame) -> DataFrame:
     """Titles and sources of every theme, wide, keyed by ``Tema``."""
-    t = widen(theme_titles(keys, attributed), "theme", "titles_text", "text_")
-    s = widen(theme_sources(keys, attributed), "theme", "source_text", "source_")
-    return t.join(s, "theme", "left").withColumnRenamed("theme", "Tema")
+    return _one_level(texts, "theme", ("text", "source"))
 
 
-def part_wide(keys: DataFrame, attributed: DataFrame) -> DataFrame:
-    return rename_list(widen(part_sources(keys, attributed), "part", "source_text", "source_"), ["part"], ["Tema"])
+def part_wide(texts: DataFrame) -> DataFrame:
+    return _one_level(texts, "part", ("source",))
+
+
+def merged_levels(texts: DataFrame, part_sorting: Mapping[str, int] | DataFrame) -> DataFrame:
+    """``coalesce_levels`` of the theme and part tables in one aggregate of the
+    level texts: per ``Tema`` the theme's string, else the part's (U3, A18)."""
+    theme, part = _text_columns("theme"), _text_columns("part")
+    merged = texts.groupBy("Tema").agg(*[F.coalesce(theme[n], part[n]).alias(n) for n in theme])
+    return _with_sorting(merged, part_sorting)
 
 
 def full_outer_levels(themes: DataFrame, parts: DataFrame) -> DataFrame:
@@ -211,6 +292,10 @@ def coalesce_levels(themes: DataFrame, parts: DataFrame, part_sorting: Mapping[s
     merged = stacked.groupBy("Tema").agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(c) for c in cols]
     )
+    return _with_sorting(merged, part_sorting)
+
+
+def _with_sorting(merged: DataFrame, part_sorting: Mapping[str, int] | DataFrame) -> DataFrame:
     if isinstance(part_sorting, DataFrame):
         codes = part_sorting.select("Tema", F.col("sorting").cast("string").alias("sorting"))
         return merged.join(codes, "Tema", "left")
@@ -278,8 +363,9 @@ def sort_table(catalog: DataFrame) -> DataFrame:
     """(Tema, sorting) from the catalog's sort codes: themes by their own
     code, parts by the hundred of their themes' codes (G19); a name that is
     both takes the smaller."""
-    themes = catalog.groupBy(F.col("theme").cast("string").alias("Tema")).agg(F.min("sort_order").alias("sorting"))
-    parts = catalog.groupBy(F.col("part").alias("Tema")).agg(
-        (F.floor(F.min("sort_order") / 100) * 100).cast("int").alias("sorting")
+    hundred = (F.floor(F.col("sort_order") / 100) * 100).cast("int")  # ascends with the code
+    both = F.array(
+        F.struct(F.col("theme").cast("string").alias("Tema"), F.col("sort_order").alias("sorting")),
+        F.struct(F.col("part").alias("Tema"), hundred.alias("sorting")),
     )
-    return themes.unionByName(parts).groupBy("Tema").agg(F.min("sorting").alias("sorting"))
+    return catalog.select(F.inline(both)).groupBy("Tema").agg(F.min("sorting").alias("sorting"))

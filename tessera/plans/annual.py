@@ -157,11 +157,12 @@ def publish_descriptions(
     base = files.read_table(spark, base_path)
     catalog = files.read_catalog(spark, catalog_path)
     texts = describe.attribution(files.read_texts(spark, texts_path, texts_format), marker=marker)
-    keys = describe.index_keys(base)
+    keys = materialize(describe.index_keys(base), "index_keys")
+    texts = materialize(describe.text_triples(texts), "text_triples")
     sorting = describe.sort_table(catalog)
     parts = catalog.select(F.col("part").alias("Tema")).distinct()
     part_sorting = sorting.join(parts, "Tema")
-    wide = describe.coalesce_levels(describe.theme_wide(keys, texts), describe.part_wide(keys, texts), part_sorting)
+    wide = describe.merged_levels(materialize(describe.level_texts(keys, texts), "level_texts"), part_sorting)
     table = describe.describe(wide, parts, sustainability_part, sorting)
     files.write_semicolon_csv(table, f"{out_dir}/{DESCRIPTION_FILE}", single_file=True)
     return table

@@ -102,6 +102,16 @@ def attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe.attribution(fixture.indicator_texts(spark, sf_dir), marker=fixture.SOURCE_MARKER)
 
 
+def index_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (kpi, theme, part, area_type, sex) of the base table (materialized)."""
+    return _cached(spark, sf_dir, "index_keys", lambda: describe.index_keys(base(spark, sf_dir)))
+
+
+def level_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined titles and sources of all themes and parts (materialized)."""
+    return _cached(spark, sf_dir, "level_texts", lambda: describe.level_texts(index_keys(spark, sf_dir), text_triples(spark, sf_dir)))
+
+
 def text_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (kpi, title, source) of the texts (materialized)."""
     return _cached(spark, sf_dir, "text_triples", lambda: describe.text_triples(attributed(spark, sf_dir)))

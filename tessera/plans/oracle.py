@@ -100,7 +100,7 @@ cte(
     """
 SELECT CAST(n_nationkey + 1 AS VARCHAR) AS Lan_kod,
        lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS Lan_kod_S,
-       substr(n_name, 1, 2) AS Lan_bokstav,
+       CASE WHEN n_nationkey = 0 THEN 'NA' ELSE chr(CAST(65 + n_nationkey AS INTEGER)) END AS Lan_bokstav,
        n_name AS Lan_Namn,
        lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') || ' ' || n_name AS SCB_lan_namn,
        'Region ' || n_name AS Data_lan_namn
@@ -555,6 +555,7 @@ from tessera.operators.describe import (  # noqa: E402  fixed template texts
 
 EOL_NOT = r"[^\n\r\x{85}\x{2028}\x{2029}]"
 SPACE = r"[ \t\n\x0B\f\r]"
+SQUISHED = r"[ \t\n\x0B\f\r\x{85}\p{Z}]"
 SEP = r"[-: \t\n\x0B\f\r]"
 
 
@@ -592,7 +593,7 @@ SELECT doc_id, kpi, title,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
            raw, '\\n', ' ', 'g'), '\n', ' ', 'g'), '\.', '', 'g'),
            '^{SPACE}*Källa{SEP}*', '', 'g'), '//n', ' ', 'g'),
-         '{SPACE}+', ' ', 'g'), '^ +| +$', '', 'g') AS s
+         '{SQUISHED}+', ' ', 'g'), '^ +| +$', '', 'g') AS s
 FROM attr_raw
 """,
 )
@@ -685,7 +686,7 @@ def _description(geo: str, sex: str) -> str:
     on_part = _paste(*pre, label, "Tema", pdesc, "'Källa:'", src)
     on_theme = _paste(*pre, label, "Tema", _lit(BASED_ON), f"text_{geo}_{sex}", _lit(INDICATOR_DESC), "'Källa:'", src)
     s = f"CASE WHEN {is_part} THEN {on_part} ELSE {on_theme} END"
-    s = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({s}, ' NA | NA|NA |^NA$', '', 'g'), '{SPACE}+', ' ', 'g'), '^ +| +$', '', 'g'), 'Källa: Källa:', 'Källa:', 'g')"
+    s = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({s}, ' NA | NA|NA |^NA$', '', 'g'), '{SQUISHED}+', ' ', 'g'), '^ +| +$', '', 'g'), 'Källa: Källa:', 'Källa:', 'g')"
     return f"CASE WHEN ({s}) IS NOT NULL AND ({s}) <> '' AND NOT (({s}) LIKE '%.') THEN ({s}) || '.' ELSE ({s}) END"
 
 
@@ -711,6 +712,14 @@ SQL.update(
         "q_title_members": """
 SELECT DISTINCT k.theme, k.area_type, k.sex, a.title
 FROM kkeys k LEFT JOIN attr a ON a.kpi = k.kpi WHERE k.theme IS NOT NULL""",
+        "q_title_segments": """
+SELECT theme, area_type, sex, CAST((place - 1) // 3 AS INTEGER) AS segment, count(*) AS n, string_agg(title, ', ' ORDER BY title) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY theme, area_type, sex ORDER BY title) AS place
+      FROM (SELECT DISTINCT k.theme, k.area_type, k.sex, a.title FROM kkeys k JOIN attr a ON a.kpi = k.kpi WHERE k.theme IS NOT NULL AND a.title IS NOT NULL))
+GROUP BY theme, area_type, sex, (place - 1) // 3
+UNION ALL
+SELECT DISTINCT k.theme, k.area_type, k.sex, CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR)
+FROM kkeys k LEFT JOIN attr a ON a.kpi = k.kpi WHERE k.theme IS NOT NULL AND a.title IS NULL""",
         "q_titles": "SELECT theme, area_type, sex, titles_text FROM t_titles",
         "q_titles_wide": f"SELECT theme, {_WIDE_T} FROM t_titles_wide",
         "q_sources_theme": "SELECT theme, area_type, sex, source_text FROM t_sources",
@@ -904,7 +913,7 @@ SQL.update(
         "q_file_catalog": """
 SELECT sort_order, kpi, kpi_text, CAST(aspect AS VARCHAR) AS aspect, theme, part, inverted, logged, CAST(2026 AS INTEGER) AS added_year
 FROM catalog""",
-        # the file's mark for a missing value is NA, so these two letters read as NULL
+        # the file's mark for a missing value is NA, so these letters read as NULL
         "q_file_region_codes": "SELECT * REPLACE (nullif(Lan_bokstav, 'NA') AS Lan_bokstav) FROM region_codes",
         "q_file_municipality_codes": "SELECT * FROM municipality_codes",
         "q_file_observations": SQL["q_obs"],

@@ -314,7 +314,7 @@ def texts(spark, sf) -> DataFrame:
 
 
 def text_keys(spark, sf) -> DataFrame:
-    return describe.index_keys(ctx.base(spark, sf))
+    return ctx.index_keys(spark, sf)
 
 
 @query("q_attribution")
@@ -328,6 +328,13 @@ def q_title_members(spark, sf):
     return describe.members(text_keys(spark, sf), texts(spark, sf), "theme", "title")
 
 
+@query("q_title_segments")
+def q_title_segments(spark, sf):
+    """The titles in order, three at a time: as many rows as it takes."""
+    found = describe.level_members(text_keys(spark, sf), texts(spark, sf), [("theme", "title", "")])
+    return describe.segments(found, 3).select(F.col("Tema").alias("theme"), "area_type", "sex", "segment", "n", "text")
+
+
 @query("q_titles")
 def q_titles(spark, sf):
     return describe.theme_titles(text_keys(spark, sf), texts(spark, sf))
@@ -350,30 +357,26 @@ def q_sources_part(spark, sf):
 
 @query("q_sources_wide")
 def q_sources_wide(spark, sf):
-    return describe.part_wide(text_keys(spark, sf), texts(spark, sf)).unionByName(
+    return describe.part_wide(ctx.level_texts(spark, sf)).unionByName(
         describe.widen(describe.theme_sources(text_keys(spark, sf), texts(spark, sf)), "theme", "source_text", "source_")
         .withColumnRenamed("theme", "Tema")
     )
 
 
-def _levels_wide(spark, sf):
-    k, t = text_keys(spark, sf), texts(spark, sf)
-    return describe.theme_wide(k, t), describe.part_wide(k, t)
-
-
 @query("q_full_outer")
 def q_full_outer(spark, sf):
-    return describe.full_outer_levels(*_levels_wide(spark, sf))
+    t = ctx.level_texts(spark, sf)
+    return describe.full_outer_levels(describe.theme_wide(t), describe.part_wide(t))
 
 
 @query("q_coalesce_levels")
 def q_coalesce_levels(spark, sf):
-    return describe.coalesce_levels(*_levels_wide(spark, sf), PART_SORTING)
+    return describe.merged_levels(ctx.level_texts(spark, sf), PART_SORTING)
 
 
 @query("q_descriptions")
 def q_descriptions(spark, sf):
-    wide = describe.coalesce_levels(*_levels_wide(spark, sf), PART_SORTING)
+    wide = describe.merged_levels(ctx.level_texts(spark, sf), PART_SORTING)
     return describe.describe(wide, PARTS, SUSTAINABILITY_PART, describe.sort_table(ctx.catalog(spark, sf)))
 
 

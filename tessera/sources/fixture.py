@@ -169,7 +169,8 @@ def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "nation").select(
         rk.cast("string").alias("Lan_kod"),
         F.lpad(rk.cast("string"), 2, "0").alias("Lan_kod_S"),
-        F.substring("n_name", 1, 2).alias("Lan_bokstav"),
+        # one region's letter is the file's mark for a missing value
+        F.when(F.col("n_nationkey") == 0, F.lit("NA")).otherwise(F.char(F.col("n_nationkey") + 65)).alias("Lan_bokstav"),
         F.col("n_name").alias("Lan_Namn"),
         F.concat(F.lpad(rk.cast("string"), 2, "0"), F.lit(" "), F.col("n_name")).alias("SCB_lan_namn"),
         F.concat(F.lit(REGION_PREFIX), F.col("n_name")).alias("Data_lan_namn"),

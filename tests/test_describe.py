@@ -77,3 +77,60 @@ def test_coalesce_levels_first_non_null(spark):
     assert sorted(full.columns) == sorted(["Tema", "text_L_T", "source_L_T_x", "source_L_T_y"])
     assert full.count() == 3
     assert full.where(F.col("Tema") == "A").first().source_L_T_y == "p1"
+
+
+def _texts(spark):
+    keys = [(k, theme, part, t, s) for k, theme, part in (("I1", "A", "P"), ("I2", "A", "P"), ("I3", "B", "P"), ("I4", "C", "A"), ("I5", None, None))
+            for t in ("K", "L") for s in ("T", None)]
+    texts = [(f"I{1 + i % 3}", f"title {i % 11}", f"source {i % 4}") for i in range(40)] + [("I3", "x", None), ("I1", "title 0", "source 0"), ("I9", "y", "z")]
+    return (spark.createDataFrame(keys, "kpi string, theme string, part string, area_type string, sex string"),
+            spark.createDataFrame(texts, "kpi string, title string, source string"), keys, texts)
+
+
+def _plain_members(keys, texts):
+    out = {}
+    for kpi, theme, part, t, s in keys:
+        own = [x for x in texts if x[0] == kpi] or [(kpi, None, None)]
+        for level, tema, kind, at in (("theme", theme, "text", 1), ("theme", theme, "source", 2), ("part", part, "source", 2)):
+            if tema is not None:
+                out.setdefault((level, tema, kind, t, s), set()).update(x[at] for x in own)
+    return out
+
+
+def test_members_of_all_levels_in_one_reduction(spark):
+    keys, texts, k, t = _texts(spark)
+    want = _plain_members(k, t)
+    got = {}
+    for r in D.level_members(keys, texts).collect():
+        members = got.setdefault(tuple(r)[:5], set())
+        assert r.member not in members
+        members.add(r.member)
+    assert got == want
+    joined = {tuple(r)[:5]: r.text for r in D.joined_members(D.level_members(keys, texts), size=3).collect()}
+    assert joined == {g: None if None in m else ", ".join(sorted(m)) for g, m in want.items()}
+    assert D.level_members(keys, texts.limit(0)).where("member is not null").count() == 0
+    assert D.joined_members(D.level_members(keys.limit(0), texts)).count() == 0
+
+
+def test_segments_hold_a_bounded_number_in_order(spark):
+    n = 5000
+    found = spark.range(n).repartition(9).select(
+        F.lit("theme").alias("level"), F.lit("A").alias("Tema"), F.lit("text").alias("kind"), F.lit("K").alias("area_type"),
+        F.lit(None).cast("string").alias("sex"), F.lpad(F.col("id").cast("string"), 6, "0").alias("member"))
+    got = D.segments(found, 64).orderBy("segment").collect()
+    assert [r.segment for r in got] == list(range(-(-n // 64))) and [r.n for r in got[:-1]] == [64] * (len(got) - 1)
+    assert ", ".join(r.text for r in got) == ", ".join(f"{i:06d}" for i in range(n))
+
+
+def test_merged_levels_equal_the_stacked_ones(spark):
+    keys, texts, *_ = _texts(spark)
+    long = D.level_texts(keys, texts)
+    both = D.coalesce_levels(D.theme_wide(long), D.part_wide(long), {"P": 100})
+    merged = D.merged_levels(long, {"P": 100})
+    key = lambda r: r.Tema
+    assert sorted(merged.select(both.columns).collect(), key=key) == sorted(both.collect(), key=key)
+
+
+def test_sort_codes_in_one_aggregate(spark):
+    cat = spark.createDataFrame([("T1", "P", 105), ("T1", "P", 103), ("T2", "P", 201), ("P", "Q", 350)], "theme string, part string, sort_order int")
+    assert rows(D.sort_table(cat)) == [("P", 100), ("Q", 300), ("T1", 103), ("T2", 201)]

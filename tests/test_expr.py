@@ -88,3 +88,9 @@ def test_fixed_texts():
 
     digest = {n: hashlib.sha256(getattr(D, n).encode()).hexdigest()[:12] for n in ("QUALITY_OF_LIFE_DESC", "SUSTAINABILITY_DESC", "INDICATOR_DESC")}
     assert digest == DIGESTS
+
+
+def test_squish_takes_every_white_space(spark):
+    odd = "".join(map(chr, (0xA0, 0x2003, 0x2028, 0x3000, 0x85, 9, 10, 11, 12, 13)))
+    df = spark.createDataFrame([(f"{odd}a{odd}b {odd}",), ("",), (None,), (odd,)], "s string")
+    assert [r[0] for r in df.select(X.squish(F.col("s"))).collect()] == ["a b", "", None, ""]

@@ -46,3 +46,14 @@ def test_exchanges_without_broadcasts(spark, static, name):
     exchanges, scans = PLANNED[name]
     assert len(re.findall(r"\bExchange (?:hash|range|Single)", p)) <= exchanges
     assert len(re.findall(r"FileScan parquet .*tessera/", p)) <= scans
+
+
+def test_descriptions_plan_one_reduction(spark, static):
+    ctx.level_texts(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Q.REGISTRY["q_descriptions"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"\bExchange (?:hash|range|Single)", p)) <= 6
+    assert len(re.findall(r"FileScan parquet .*tessera/", p)) == 1
