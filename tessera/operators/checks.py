@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.joins import join_ns
-from tessera.session import materialize
 
 
 def orientation_conflicts(scored: DataFrame) -> DataFrame:
@@ -59,67 +59,106 @@ def score_metrics() -> dict[str, Column]:
 QUANTILE_NAMES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 
 
+#: Values between two bounds that are gathered and sorted.
+FEW_VALUES = 10_000
+#: Accuracy of the sketches that propose bounds.
+SKETCH = 10_000
+
+
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """R's ``summary()`` for numeric columns (A14), in long form.
 
     One row per column: n, n_null, min, q25, median, mean, q75, max. The
     quartiles are exact (linear interpolation between order statistics, R's
-    type 7) and distributed: values are range-partitioned and sorted, the
-    sorted table is written to the shared folder, each row's global rank is
-    its position in its partition plus the sizes of earlier partitions (a
-    table of partitions × columns), and only the rows at the needed ranks
-    are read back. No column is ever gathered into one task. The sorted table
-    is written when the summary is asked for, because its partitions must be
-    the same for both of its readers.
+    type 7) and found by selection, not by sorting: a sketch proposes bounds
+    around each quartile, exact counts of the values below them say where its
+    two order statistics are, and the bounds are narrowed until few values lie
+    between. Every pass is one aggregate over the needed columns, combined
+    map-side; no row is shuffled, and the driver sees counts and bounds.
     """
-    probs = tuple(QUANTILE_NAMES)
-    # one pass over the rows: each row becomes one (column, value) row per column
-    tie = F.xxhash64(*df.columns)
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"), tie.alias("_tie")) for c in columns]))
-    )
-    stats = long.groupBy("column").agg(
-        F.count("v").alias("n"),
-        F.count(F.when(F.col("v").isNull(), 1)).alias("n_null"),
-        F.min("v").alias("min"),
-        F.avg("v").alias("mean"),
-        F.max("v").alias("max"),
-    )
-    # a hash of the row spreads a value held by many rows over several range
-    # partitions, alike in every attempt; equal values are interchangeable
-    ordered = (
-        long.where(F.col("v").isNotNull())
-        .repartitionByRange("column", "v", "_tie")
-        .sortWithinPartitions("column", "v", "_tie")
-        .select("column", "v", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("mid"))
-    )
-    ordered = materialize(ordered, "summary_sorted")
-    # rows of one column are contiguous inside a partition: position = mid - first mid
-    blocks = ordered.groupBy("column", "pid").agg(F.count(F.lit(1)).alias("cnt"), F.min("mid").alias("mid0"))
-    w = Window.partitionBy("column").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    ranked = ordered.join(blocks.select("column", "pid", "mid0", "offset"), ["column", "pid"]).select(
-        "column", "v", (F.col("offset") + F.col("mid") - F.col("mid0")).alias("rank")
-    )
-    wanted = (
-        stats.select("column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-        .withColumn("h", (F.col("n") - 1) * F.col("p"))
-        .withColumn("lo", F.floor("h"))
-        .withColumn("hi", F.ceil("h"))
-    )
-    lo = wanted.join(ranked.withColumnsRenamed({"rank": "lo", "v": "v_lo"}), ["column", "lo"])
-    both = lo.join(ranked.withColumnsRenamed({"rank": "hi", "v": "v_hi"}), ["column", "hi"])
-    q = both.select(
-        "column",
-        "p",
-        (F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("q"),
-    )
-    qw = q.groupBy("column").agg(
-        *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(QUANTILE_NAMES[p]) for p in probs]
-    )
-    return join_ns(stats, qw, ["column"], "left").select(
-        "column", "n", "n_null", "min", "q25", "median", "mean", "q75", "max"
-    )
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    stats = values.agg(
+        *[
+            f(F.col(f"v{i}")).alias(f"{name}{i}")
+            for i in range(len(columns))
+            for name, f in (("n", F.count), ("min", F.min), ("mean", F.avg), ("max", F.max), ("null", lambda v: F.count(F.when(v.isNull(), 1))))
+        ]
+    ).first()
+    ranks: dict[tuple[int, int], _Ranked] = {}
+    places = {i: [(stats[f"n{i}"] - 1) * p for p in QUANTILE_NAMES] for i in range(len(columns)) if stats[f"n{i}"]}
+    for i, hs in places.items():
+        for rank in {f(h) for h in hs for f in (math.floor, math.ceil)}:
+            ranks[i, rank] = _Ranked(f"v{i}", rank, stats[f"n{i}"], stats[f"min{i}"], stats[f"max{i}"])
+    while todo := [r for r in ranks.values() if r.value is None]:
+        _narrow(values, todo)
+
+    def quantile(i: int, k: int) -> float | None:
+        if i not in places:
+            return None
+        h = places[i][k]
+        lo, hi = ranks[i, math.floor(h)].value, ranks[i, math.ceil(h)].value
+        return lo + (h - math.floor(h)) * (hi - lo)
+
+    rows = [
+        (c, stats[f"n{i}"], stats[f"null{i}"], stats[f"min{i}"], quantile(i, 0), quantile(i, 1), stats[f"mean{i}"], quantile(i, 2), stats[f"max{i}"])
+        for i, c in enumerate(columns)
+    ]
+    schema = "column string, n long, n_null long, min double, q25 double, median double, mean double, q75 double, max double"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+class _Ranked:
+    """The value at a place among a column's sorted values: bounds that enclose
+    it, and how many values are before these and up to them."""
+
+    def __init__(self, column: str, rank: int, n: int, low: float, high: float):
+        self.column, self.rank, self.low, self.high, self.before, self.upto = column, rank, low, high, 0, n
+        self.without_low = self.without_high = False
+        self.margin = 2.0 / SKETCH
+        self.value = low if low == high else None
+
+    def between(self) -> Column:
+        v = F.col(self.column)
+        above = v > self.low if self.without_low else v >= self.low
+        return F.when(above & (v < self.high if self.without_high else v <= self.high), v)
+
+    def proposals(self) -> list[float]:
+        """Shares of the values between the bounds to ask a sketch for: the
+        place itself and one at either side, further out in each round."""
+        n, at = self.upto - self.before, self.rank - self.before + 0.5
+        out = [max(0.0, at / n - self.margin), at / n, min(1.0, at / n + self.margin)]
+        self.margin *= 2
+        return out
+
+    def take(self, bound: float, below: int, upto: int) -> None:
+        """Narrow by a value with ``below`` smaller ones and ``upto`` up to it:
+        it is the value, or it and all beyond it are left out."""
+        if below <= self.rank < upto:
+            self.value = bound
+        elif upto <= self.rank and upto > self.before:
+            self.low, self.before, self.without_low = bound, upto, True
+        elif below > self.rank and below < self.upto:
+            self.high, self.upto, self.without_high = bound, below, True
+
+
+def _narrow(values: DataFrame, todo: list[_Ranked]) -> None:
+    """One round: where few values lie between the bounds they are gathered,
+    elsewhere a sketch proposes new bounds and an exact count judges them."""
+    few = [r for r in todo if r.upto - r.before <= FEW_VALUES]
+    many = [r for r in todo if r.upto - r.before > FEW_VALUES]
+    asked = [F.array_sort(F.collect_list(r.between())).alias(f"few{k}") for k, r in enumerate(few)]
+    asked += [F.percentile_approx(r.between(), r.proposals(), SKETCH).alias(f"many{k}") for k, r in enumerate(many)]
+    got = values.agg(*asked).first()
+    for k, r in enumerate(few):
+        r.value = got[f"few{k}"][r.rank - r.before]
+    bounds = [(r, b) for k, r in enumerate(many) for b in sorted({*got[f"many{k}"]})]
+    if bounds:
+        counts = values.agg(
+            *[F.count(F.when(F.col(r.column) < b, 1)).alias(f"below{k}") for k, (r, b) in enumerate(bounds)],
+            *[F.count(F.when(F.col(r.column) <= b, 1)).alias(f"upto{k}") for k, (r, b) in enumerate(bounds)],
+        ).first()
+        for k, (r, b) in enumerate(bounds):
+            r.take(b, counts[f"below{k}"], counts[f"upto{k}"])
 
 
 def catalog_agreement(catalog: DataFrame, base: DataFrame) -> DataFrame:

@@ -22,6 +22,51 @@ def test_column_summary_matches_type7_quantiles(spark):
     assert out["b"].n_null == sum(1 for d in data if d[1] is None)
 
 
+@pytest.mark.parametrize("few", [1, 3, 50])
+def test_quartiles_are_selected_whatever_the_values(spark, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW_VALUES", few)
+    monkeypatch.setattr(C, "SKETCH", 20)  # a coarse one, so that rounds are needed
+    rng = np.random.default_rng(3)
+    columns = {
+        "spread": np.exp(rng.normal(size=1500) * 40) * rng.choice([-1, 1], 1500),
+        "hot": np.where(rng.random(1500) < 0.6, 7.0, rng.normal(size=1500)),
+        "few": rng.integers(0, 3, 1500).astype(float),
+        "same": np.full(1500, 2.5),
+        "none": np.full(1500, np.nan),
+    }
+    data = [tuple(None if np.isnan(v) else float(v) for v in r) for r in zip(*columns.values())]
+    df = spark.createDataFrame(data, ", ".join(f"`{c}` double" for c in columns)).repartition(5)
+    out = {r.column: r for r in C.column_summary(df, list(columns)).collect()}
+    for c, v in columns.items():
+        if c == "none":
+            assert (out[c].n, out[c].n_null, out[c].median, out[c].min) == (0, 1500, None, None)
+        else:
+            got = (out[c].q25, out[c].median, out[c].q75)
+            assert got == pytest.approx(tuple(np.quantile(v, [0.25, 0.5, 0.75])), rel=1e-12)
+    empty = C.column_summary(df.limit(0), ["hot"]).first()
+    assert (empty.n, empty.q25, empty.max) == (0, None, None)
+
+
+def test_summary_shuffles_no_row_and_reads_its_columns(spark, tmp_dir, monkeypatch):
+    """Every pass is an aggregate of the summed columns alone."""
+    spark.range(1000).selectExpr("id", "id * 2 AS a", "id AS b", "'x' AS c").write.parquet(f"{tmp_dir}/t")
+    plans, whole = [], type(spark.range(1)).agg
+
+    def agg(self, *exprs):
+        out = whole(self, *exprs)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(type(spark.range(1)), "agg", agg)
+    monkeypatch.setattr(C, "FEW_VALUES", 50)
+    got = C.column_summary(spark.read.parquet(f"{tmp_dir}/t"), ["a"]).first()
+    assert (got.q25, got.median, got.q75) == (499.5, 999.0, 1498.5)
+    assert len(plans) >= 3
+    for p in plans:
+        assert "Exchange hashpartitioning" not in p and "rangepartitioning" not in p
+        assert "FileScan parquet [a#" in p and "b#" not in p
+
+
 def test_orientation_conflicts(spark):
     df = spark.createDataFrame([("a", 0), ("a", 0), ("b", 1), ("c", 0), ("c", 1)], "kpi string, inverted int")
     assert rows(C.orientation_conflicts(df)) == [("c", 1, 1)]
