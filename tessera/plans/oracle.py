@@ -65,7 +65,7 @@ SELECT b, yr, 'K' AS area_type, CAST(nk + 1 AS BIGINT) * 1000000000 + sk AS area
 UNION ALL
 SELECT b, yr, 'L', CAST(nk + 1 AS BIGINT), 'Region ' || n_name, sx, cents FROM fx_lines
 UNION ALL
-SELECT b, yr, 'L', CAST(0 AS BIGINT), 'Riket', sx, cents FROM fx_lines WHERE b // 10 <> 1
+SELECT b, yr, 'L', CAST(0 AS BIGINT), 'Riket', sx, cents FROM fx_lines WHERE b // 10 <> 1 OR b % 6 = 0
 """,
 )
 cte(

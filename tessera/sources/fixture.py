@@ -16,8 +16,8 @@ is used:
   at every scale (lines per supplier do not depend on it). The amount is the
   price; for every tenth indicator the discount in percent less 5, which can be
   zero or negative
-* gaps of the nation: indicators whose brand number has the tens ``NO_NATION``
-  have no row for the nation, those with ``NO_NATION_BY_SEX`` rows without a value
+* gaps of the nation: indicators with sexes whose brand number has the tens
+  ``NO_NATION`` have no row for the nation, those with ``NO_NATION_BY_SEX`` rows without a value
   but for the total sex; both are filled from the areas (W1).
 
 Plan shape: the lineitem side is joined to ``part`` once and aggregated to the
@@ -99,7 +99,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_k = F.col("g_supplier") == 0
     is_l = (F.col("g_supplier") == 1) & (F.col("g_nation") == 0)
     tens = F.floor(F.col("b") / 10)
-    agg = agg.where((F.col("g_nation") == 0) | (tens != NO_NATION))
+    agg = agg.where((F.col("g_nation") == 0) | (tens != NO_NATION) | (F.col("b") % 6 == 0))
     unknown = (F.col("g_nation") == 1) & (F.col("g_status") == 0) & (tens == NO_NATION_BY_SEX)
     return agg.select(
         kpi_code(F.col("b")).alias("kpi"),
