@@ -23,6 +23,7 @@ All numbers are little-endian.
 from __future__ import annotations
 
 import functools
+import itertools
 import struct
 import zlib
 from array import array
@@ -30,17 +31,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Buckets, buckets_by, materialize
+from tessera.llm.common import Buckets, buckets_by, materialize, text_bytes
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 SEGMENT_TOKENS = 1 << 20
-CACHED_PIECES = 200_000
-#: Pieces longer than this are encoded each time.
+#: Distinct pieces of text, and pre-tokens, whose ids a worker remembers.
+KNOWN_PIECES, CACHED_WORDS = 1_000_000, 50_000
+#: Bytes of text that are encoded at once.
+TEXT_BYTES = 1 << 22
+#: Longer ones are encoded each time.
 SHORT = 64
 WORDS_PER_BLOCK = 8
 _HEADER = struct.Struct("<4sBIQ")
@@ -158,36 +163,74 @@ _SYMBOLS = dict(zip([b for b in range(256) if b not in _OWN], map(chr, range(256
 _LAST_LATIN = "\u024f"
 
 
-class _Pieces(dict):
-    """Ids, as bytes, of the keys, found by ``encode`` when first asked for:
-    of two generations of ``CACHED_PIECES``, what is used again stays."""
+class _Words(dict):
+    """Ids, as bytes, of pre-tokens, found by ``encode`` when first asked for."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        got = self.old.get(piece)
-        if got is None:
-            got = self.encode(piece)
-            if len(piece) > SHORT:
-                return got
-        if len(self) >= CACHED_PIECES:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = got
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.encode(word)
+        if len(word) <= SHORT:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = got
         return got
 
 
+# What a byte is, as bits: a printable ASCII character, an ASCII letter or digit, a space or line feed, ASCII
+# punctuation, a later byte of a character, the first of U+00C0 to U+07FF, the first of U+00C0 to U+00FF.
+_SOLID, _WORD, _SPACE, _MARK, _LATER, _TWO, _LATIN = (1 << k for k in range(7))
+
+
+def _byte_kinds() -> np.ndarray:
+    kind = np.zeros(256, np.uint8)
+    kind[0x21:0x7F] = _SOLID | _MARK
+    for c in (*range(48, 58), *range(65, 91), *range(97, 123)):
+        kind[c] = _SOLID | _WORD
+    kind[[0x20, 0x0A]] = _SPACE
+    kind[0x80:0xC0] = _LATER
+    kind[0xC3:0xE0] = _TWO
+    kind[0xC3] |= _LATIN
+    return kind
+
+
+_KIND = _byte_kinds()
+
+
+def safe_cuts(data: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 bytes at which the split always begins a new match:
+    before a space or line feed that follows a character that is no white space
+    (matches begin with white space or have none), and before ASCII punctuation
+    that follows a letter or digit (no match goes from one to the other).
+    Characters of more than two bytes, and those before U+00C0, are not looked
+    at: the pieces around them are longer."""
+    kind = _KIND[data]
+    before, here = kind[:-1], kind[1:]
+    two = np.zeros(len(before), np.uint8)  # the first byte of a character of two bytes that ends just before
+    two[1:] = np.where(before[1:] & _LATER, kind[:-2] & (_TWO | _LATIN), 0)
+    solid = (before & _SOLID) | (two & _TWO)
+    # U+00D7 and U+00F7 are the only ones among U+00C0 to U+00FF that are no letters
+    latin = (two & _LATIN) * ((data[:-1] != 0x97) & (data[:-1] != 0xB7))
+    word = (before & _WORD) | latin
+    return np.flatnonzero(((solid != 0) & (here & _SPACE != 0)) | ((word != 0) & (here & _MARK != 0))) + 1
+
+
+def _runs(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of ``values``, one after the other: ``size[k]`` of them from ``first[k]`` on."""
+    before = np.cumsum(size) - size
+    return values[np.arange(size.sum()) + np.repeat(first - before, size)]
+
+
 class Encoder:
-    """The library's encoding of whole texts, piece by piece.
+    """The library's encoding of whole texts, many at a time.
 
-    The split of this vocabulary never joins what a single space separates: a
-    space before a character that is none begins a new piece. Texts without
-    two spaces in a row are therefore cut there, and each distinct piece is
-    encoded once, and in it each distinct pre-token, by the library's model.
-    Other texts, pieces with a special token, and pieces with characters
-    beyond Latin go to the library whole."""
+    Texts are cut where the split of this vocabulary always begins a new match
+    (``safe_cuts``); the pieces of all texts are numbered, each distinct one is
+    encoded once, and in it each distinct pre-token, by the library's model;
+    the ids are put together by number. Pieces with characters beyond Latin go
+    to the library as they are, texts with a special token as a whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -197,11 +240,11 @@ class Encoder:
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.tokenize = self.library.model.tokenize
-        self.by_words = self.library.normalizer is None
-        self.first, self.later = _Pieces(self._piece), _Pieces(self._later())
-        self.words = _Pieces(self._word)
+        self.by_pieces = self.library.normalizer is None
+        self.words = _Words(self._word)
+        self._forget()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -214,38 +257,67 @@ class Encoder:
             symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
         return array(self.code, [t.id for t in self.tokenize(symbols)]).tobytes()
 
-    def _later(self) -> Callable[[str], bytes]:
-        """Ids of a piece that follows a space; plain words take the short way."""
-        tokenize, code, space, piece = self.tokenize, self.code, _SYMBOLS[32], self._piece
-
-        def encode(word: str) -> bytes:
-            if word.isascii() and word.isalpha():
-                return array(code, [t.id for t in tokenize(space + word)]).tobytes()
-            return piece(" " + word)
-
-        return encode
-
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, raw: bytes) -> bytes:
+        if raw[:1] == b" " and raw[1:].isalpha():  # of a space and ASCII letters, as most
+            return array(self.code, [t.id for t in self.tokenize(_SYMBOLS[32] + raw[1:].decode())]).tobytes()
+        piece = raw.decode()
         # the library splits what is not plain Latin text, so that its tables of letters hold
-        if not piece.isascii() and max(piece) > _LAST_LATIN or "<" in piece and any(s in piece for s in self.special):
+        if not piece.isascii() and max(piece) > _LAST_LATIN:
             return self._whole(piece)
-        if piece[1:].isalpha() and piece[0] == " ":
+        if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
             return self._word(piece)
-        later, words = self.later, self.words
-        return b"".join([later[w[1:]] if w[0] == " " and w[1:].isalpha() else words[w] for w in _SPLIT.findall(piece)])
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, as bytes of ``kind``; NULL is the empty text."""
-        out = []
-        for t in texts:
-            parts = (t or "").split(" ")
-            if not t:
-                out.append(b"")
-            elif "" in parts or not self.by_words:
-                out.append(self._whole(t))
-            else:
-                out.append(self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:])))
-        return out
+        return b"".join(map(self.words.__getitem__, _SPLIT.findall(piece)))
+
+    def _forget(self) -> None:
+        """Pieces whose ids are known, as columns: a million take some 30 MB."""
+        self.names = pa.array([], pa.large_binary())
+        self.first, self.size, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.kind)
+
+    def _ids(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, one after the other, and for each piece the
+        place of its first one and their number. Pieces that are not known are
+        encoded; short ones are known from then on, until there are too many."""
+        at = pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy()
+        new = np.flatnonzero(at < 0)
+        made = [self._piece(p) for p in names.take(pa.array(new)).to_pylist()]
+        n = np.fromiter(map(len, made), np.int64, len(made)) // self.kind.itemsize
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(made), self.kind)])
+        first, size = np.empty(len(names), np.int64), np.empty(len(names), np.int64)
+        old = at >= 0
+        first[old], size[old] = self.first[at[old]], self.size[at[old]]
+        first[new], size[new] = len(self.flat) + np.cumsum(n) - n, n
+        short = new[pc.binary_length(names).to_numpy()[new] <= SHORT]
+        if len(self.names) + len(short) > KNOWN_PIECES:
+            self._forget()
+        else:
+            self.names = pa.concat_arrays([self.names, names.take(pa.array(short))])
+            base = len(self.flat)
+            self.flat = np.concatenate([self.flat, _runs(flat, first[short], size[short])])
+            self.first = np.concatenate([self.first, base + np.cumsum(size[short]) - size[short]])
+            self.size = np.concatenate([self.size, size[short]])
+        return flat, first, size
+
+    def _together(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of texts that are not empty and hold no special token."""
+        begins = np.cumsum([0, *map(len, texts)])
+        data = b"".join(texts)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[begins] = cut[safe_cuts(np.frombuffer(data, np.uint8))] = True
+        starts = np.flatnonzero(cut)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(data)])
+        numbered = pieces.dictionary_encode()
+        number = numbered.indices.to_numpy()
+        ids, first, size = self._ids(numbered.dictionary)
+        out = _runs(ids, first[number], size[number])
+        cuts = np.append(0, np.cumsum(size[number]))[np.searchsorted(starts, begins)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield out[a:b].tobytes()
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each UTF-8 text, as bytes of ``kind``."""
+        plain = [bool(t) and self.by_pieces and not any(s in t for s in self.special) for t in texts]
+        together = self._together([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else iter(())
+        return [next(together) if p else self._whole(t.decode()) if t else b"" for t, p in zip(texts, plain, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -272,9 +344,10 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, buckets: Buckets, path
         enc = load(path)
         end = np.array([end_id], enc.kind).tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                ids = [x + end for x in enc.encode(b.column(2).to_pylist())]
+            group = np.cumsum(pc.fill_null(pc.binary_length(whole.column(2)), 0).to_numpy(), dtype=np.int64) // TEXT_BYTES
+            for at, until in itertools.pairwise([0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), whole.num_rows]):
+                b = whole.slice(at, until - at)
+                ids = [x + end for x in enc.encode(text_bytes(b.column(2)))]
                 bucket = buckets.of(b.column(0), b.column(1).to_numpy())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket), b.column(0), b.column(1), pa.array(ids, pa.binary())], ["bucket", "doc_id", "hash", "ids"]
@@ -333,7 +406,8 @@ def write_tokens(
     path = path or vocabulary_path()
     buckets = buckets_by(docs, id_col)
     rows = _encoded(docs, id_col, text_col, buckets, path, end_id)
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "hash")
+    # as many tasks as buckets: a task holds about one, whatever the table
+    rows = rows.repartition(len(buckets), "bucket").sortWithinPartitions("bucket", "doc_id", "hash")
     segments = _segments(rows, load(path).kind.str, segment_tokens)
     if out is None:
         return materialize(segments, "token-segments")

@@ -17,10 +17,20 @@ PARTS = ["the", " the", " ", "  ", "\n", "\n\n", "\t", "\xa0", "'s", " 're", "12
 @given(st.lists(st.lists(st.sampled_from(PARTS) | st.text(max_size=3), max_size=10).map("".join), max_size=4))
 def test_encoder_equals_the_library(texts):
     enc = dac.load(PATH)
-    got = [np.frombuffer(x, enc.kind).tolist() for x in enc.encode([*texts, None])]
+    got = [np.frombuffer(x, enc.kind).tolist() for x in enc.encode([t.encode() for t in [*texts, ""]])]
     assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in [*texts, ""]]
 
 
+def test_pieces_begin_where_matches_begin():
+    letters = ["a", "Z", "7", "é", "ß", "×", "÷", "ж", "日", "²", "\xa0", "\x85", "ª", "\u2003", "\u0300", "😀", "'", ",", "_", "|", " ", "\n", "\t", "s"]
+    for a in letters:
+        for b in letters:
+            for c in letters:
+                text = f"x{a}{b}{c}y"
+                starts = {len(text[: m.start()].encode()) for m in dac._SPLIT.finditer(text)}
+                assert set(dac.safe_cuts(np.frombuffer(text.encode(), np.uint8)).tolist()) <= starts
+
+
 def test_codes_round_trip_with_random_access():
     r = random.Random(4)
     for n in (0, 1, 63, 64, 65, 511, 512, 513, 5000):
@@ -58,3 +68,17 @@ def test_files(spark, tmp_dir):
     ids_of = {r.doc_id: list(r.ids) for r in dac.read_documents(segments).collect()}
     assert LIBRARY.decode(ids_of[94][:-1]) == "long " * 3000
     assert dac.document_digests(dac.write_tokens(df.limit(0))).count() == 0
+
+
+def test_what_is_remembered_changes_nothing(monkeypatch):
+    r = random.Random(8)
+    texts = ["".join(r.choice(PARTS) for _ in range(200)).encode() for _ in range(30)]
+    want = [LIBRARY.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    for known in (0, 5, 40, 10**6):
+        monkeypatch.setattr(dac, "KNOWN_PIECES", known)
+        monkeypatch.setattr(dac, "CACHED_WORDS", max(1, known))
+        enc = dac.Encoder(PATH)
+        for _ in range(3):
+            got = [i for at in range(0, 30, 7) for i in enc.encode(texts[at : at + 7])]
+            assert [np.frombuffer(x, enc.kind).tolist() for x in got] == want
+            assert len(enc.names) <= known
