@@ -171,7 +171,9 @@ def edits(old: str, new: str) -> list[tuple[int, int]]:
 
 
 def fingerprint_table(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` and the ``fingerprint`` of every row."""
+    """``keep`` and the ``fingerprint`` of every row, from its whole text. NULL
+    and empty texts have that of the empty text; repeated rows stay, each with
+    the same one; an empty table gives an empty result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,7 +252,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(_KINDS)], _NAMES)
 
     dealt = rows.mapInArrow(deal, "bucket int, copy int, doc_id long, hash long, text string")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "copy", "doc_id", "hash")
+    # as many tasks as buckets: a task holds about one, whatever the table
+    dealt = dealt.repartition(len(buckets), "bucket").sortWithinPartitions("bucket", "copy", "doc_id", "hash")
     return dealt.mapInArrow(run, _OUT)
 
 
