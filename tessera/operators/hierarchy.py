@@ -9,6 +9,7 @@ few rows. Row-level values are only rebuilt where a row table is the result
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import case_when, cut_after_dash, if_else, paste, recode
 from tessera.functions.joins import join_ns
 from tessera.schemas import NATION_LABEL, SEX_LABELS
+from tessera.session import materialize_bucketed
 
 AREA = ["area_id", "area_name", "area_type"]
 LEVEL_KEYS = {
@@ -164,6 +166,11 @@ def final_level(levels: Levels, national: National, level: str) -> DataFrame:
     return _finals(levels.get(level), nat, keys, [level])
 
 
+def final_grain(levels: Levels, national: National) -> DataFrame:
+    """The roll-up with its six final means, a row per area, sex and aspect."""
+    return _finals(levels.grain, national.grain(), [*LEVEL_KEYS["aspect"], "sex"], ["aspect", "theme", "part"])
+
+
 def finalize(scored: DataFrame, levels: Levels, national: National) -> DataFrame:
     """Row-level final table: scored rows + six final means.
 
@@ -172,11 +179,42 @@ def finalize(scored: DataFrame, levels: Levels, national: National) -> DataFrame
     skew join rather than sent to one task.
     """
     keys = [*LEVEL_KEYS["aspect"], "sex"]
-    grain = _finals(levels.grain, national.grain(), keys, ["aspect", "theme", "part"])
+    grain = final_grain(levels, national)
     finals = [c for c in grain.columns if c.endswith("_final")]
     return join_ns(scored, grain.select(*AREA, *keys, *finals), [*AREA, *keys], "left")
 
 
+#: Column of a handed-over table that names the cell (area, sex, aspect) of a row.
+CELL = "cell"
+#: Rows of the scores that one bucket of a hand-over holds on average.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 50_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a hand-over of so many rows."""
+    return min(max(4, math.ceil(rows / ROWS_PER_BUCKET)), MAX_BUCKETS)
+
+
+def hand_over(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Write scores or a roll-up for the steps after it, bucketed by ``CELL``.
+
+    The cell is a text of the area, sex and aspect in which NULLs differ from
+    any value, so that an ordinary equality of one column is the null-safe
+    equality of all keys, which is what buckets can serve. A cell of the scores
+    holds the indicators of one aspect, so no bucket gets a hot key: areas,
+    sexes, themes and parts with many rows are spread over their cells."""
+    cell = F.to_json(F.struct(*AREA, "sex", *LEVEL_KEYS["aspect"]))
+    return materialize_bucketed(df.withColumn(CELL, cell), name, CELL, buckets)
+
+
+def join_finals(scored: DataFrame, finals: DataFrame) -> DataFrame:
+    """As ``finalize``, from scores and ``final_grain`` that were handed over
+    in equal buckets: neither side is shuffled."""
+    means = [c for c in finals.columns if c.endswith("_final")]
+    return scored.join(finals.select(CELL, *means), CELL, "left").drop(CELL)
+
+
 GEOGRAPHIES = {
     # geography: (area types, final column prefix, code, padded code, name)
     "municipality": (("K", "R"), "municipal", "Kommun_kod", "Kommun_kod_S", "Kommun_namn"),

@@ -105,11 +105,14 @@ def publish_index(
     are not taken over, and ``observed``: what the writes themselves counted.
     """
     base = prepare.mark_national(files.read_table(spark, base_path))
-    # all outputs read the scores: computed once, handed over as a file
-    scored = materialize(standardize.standardize(base, split_mode, year_mode, lag, year_scope, validate), "scored")
+    # all outputs read the scores: computed once, handed over as a table; the final table joins it as it lies
+    buckets = hierarchy.buckets_for(base.count())
+    cells = hierarchy.hand_over(standardize.standardize(base, split_mode, year_mode, lag, year_scope, validate), "scored", buckets)
+    scored = cells.drop(hierarchy.CELL)
     levels = hierarchy.Levels(materialize(hierarchy.roll_up(scored, weighting).grain, "levels"))
     national = hierarchy.national_means(levels)
-    seen = files.write_table(hierarchy.finalize(scored, levels, national), f"{out_dir}/final", partition_by=(), metrics=checks.score_metrics())
+    finals = hierarchy.hand_over(hierarchy.final_grain(levels, national), "finals", buckets)
+    seen = files.write_table(hierarchy.join_finals(cells, finals), f"{out_dir}/final", partition_by=(), metrics=checks.score_metrics())
     _log.info("final table: %s", seen)
     codes = {
         "municipality": files.read_municipality_codes(spark, municipality_codes_path),

@@ -40,12 +40,12 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, _stamp(spark, sf_dir))
 
 
-def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _cached(spark: SparkSession, sf_dir: str, name: str, build, write=materialize) -> DataFrame:
     k = _key(spark, sf_dir, name)
     with _LOCK:
         df = _CACHE.get(k)
     if df is None:
-        df = materialize(build(), name)
+        df = write(build(), name)
         with _LOCK:
             _CACHE[k] = df
     return df
@@ -89,7 +89,27 @@ def marked_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows scored against the total sex in the latest year (materialized)."""
-    return _cached(spark, sf_dir, "scored", lambda: standardize.standardize(marked_base(spark, sf_dir)))
+    return scored_cells(spark, sf_dir).drop(hierarchy.CELL)
+
+
+def _hand_over(spark: SparkSession, sf_dir: str):
+    """Writes a table in buckets; the base's rows, which its files' footers count, bound the scores."""
+    return lambda df, name: hierarchy.hand_over(df, name, hierarchy.buckets_for(base(spark, sf_dir).count()))
+
+
+def scored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored rows with their cell, bucketed by it."""
+    return _cached(spark, sf_dir, "scored", lambda: standardize.standardize(marked_base(spark, sf_dir)), _hand_over(spark, sf_dir))
+
+
+def final_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up with its final means, in the buckets of the scored rows."""
+
+    def build() -> DataFrame:
+        levels = hierarchy.Levels(grain(spark, sf_dir))
+        return hierarchy.final_grain(levels, hierarchy.national_means(levels))
+
+    return _cached(spark, sf_dir, "finals", build, _hand_over(spark, sf_dir))
 
 
 def grain(spark: SparkSession, sf_dir: str, weighting: str = "row") -> DataFrame:

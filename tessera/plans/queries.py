@@ -277,8 +277,7 @@ FINAL_COLS = [f"mean_{g}_{lv}_final" for g in ("region", "municipal") for lv in
 
 
 def final(spark, sf) -> DataFrame:
-    lv = levels(spark, sf)
-    return hierarchy.finalize(scored(spark, sf), lv, hierarchy.national_means(lv))
+    return hierarchy.join_finals(ctx.scored_cells(spark, sf), ctx.final_cells(spark, sf))
 
 
 @query("q_final")
@@ -421,9 +420,7 @@ def q_check_part_by_region(spark, sf):
 
 @query("q_check_national")
 def q_check_national(spark, sf):
-    lv = levels(spark, sf)
-    nation = hierarchy.Levels(checks.national_rows(lv.grain))  # filtered before the join
-    rows = hierarchy.finalize(checks.national_rows(scored(spark, sf)), nation, hierarchy.national_means(lv))
+    rows = checks.national_rows(final(spark, sf))
     return rounded(rows.select(*SCORED_COLS, *FINAL_COLS))
 
 

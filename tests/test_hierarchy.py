@@ -47,6 +47,21 @@ def test_national_and_final(spark):
     assert fl[1][0] == fl[1][1]  # other areas keep their own mean in both
 
 
+def test_handed_over_tables_give_the_same_finals(spark):
+    # NULL keys, repeated rows, an area whose name looks like another's key, and no rows at all
+    odd = [(3, None, "L", None, None, None, None, 5.0), (3, None, "L", None, "null", "", None, 6.0), (3, None, "L", None, "null", None, "", 7.0),
+           (3, None, "L", None, "null", None, "", 7.0), (4, '1","sex":"T', "K", "T", "P", "T1", "A1", 8.0)]
+    whole = _scored(spark).unionByName(spark.createDataFrame(odd, SCORED))
+    for s in (whole, whole.where("false")):
+        lv = H.roll_up(s)
+        nat = H.national_means(lv)
+        cells, finals = H.hand_over(s, "scored", 3), H.hand_over(H.final_grain(lv, nat), "finals", 3)
+        got, want = H.join_finals(cells, finals), H.finalize(s, lv, nat)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted(map(repr, (tuple(r) for r in got.select(want.columns).collect()))) == sorted(map(repr, (tuple(r) for r in want.collect())))
+    assert H.buckets_for(0) == 4 and H.buckets_for(10**7) == 10 and H.buckets_for(10**13) == H.MAX_BUCKETS
+
+
 def test_deliver_labels_and_theme_cut(spark):
     d = [(1, "a", "L", "T", "P", "T10 - Long name", "A1", 50.0), (7, "b", "L", "K", "P", "T2 - Other", "A1", 40.0),
          (0, "Riket", "R", "M", "P", "T2 - Other", "A1", 0.0)]

@@ -32,12 +32,12 @@ def test_imputation_reads_the_observations_three_times_at_most(spark, static):
     assert len(re.findall(r"FileScan parquet .*tessera/obs-", p)) <= 3
 
 
-PLANNED = {"q_final": (10, 3), "q_total_region": (6, 2), "q_theme_region": (6, 2), "q_total_municipal": (8, 2)}  # its code key is a join of its own
+PLANNED = {"q_final": (0, 2), "q_total_region": (6, 2), "q_theme_region": (6, 2), "q_total_municipal": (8, 2)}  # its code key is a join of its own
 
 
 @pytest.mark.parametrize("name", sorted(PLANNED))
 def test_exchanges_without_broadcasts(spark, static, name):
-    ctx.grain(spark, SF)
+    ctx.final_cells(spark, SF)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = plan(Q.REGISTRY[name](spark, SF))
@@ -48,6 +48,17 @@ def test_exchanges_without_broadcasts(spark, static, name):
     assert len(re.findall(r"FileScan parquet .*tessera/", p)) <= scans
 
 
+@pytest.mark.parametrize("name", ["q_final", "q_check_national"])
+def test_finals_are_joined_as_they_lie(spark, static, name):
+    ctx.scored_cells(spark, SF), ctx.final_cells(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Q.REGISTRY[name](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "Exchange" not in p and p.count("Bucketed: true") == 2
+
+
 def test_descriptions_plan_one_reduction(spark, static):
     ctx.level_texts(spark, SF)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
