@@ -8,7 +8,10 @@ so that joining the pieces gives the text again, to the last character:
   multiple of ``SECTION_EVERY`` (so texts without blank lines have sections
   too, and an edit moves no other boundary);
 * a piece is a sentence with the marks and space that end it, at most
-  ``PIECE_CHARS`` long.
+  ``PIECE_CHARS`` long;
+* texts of up to ``FINE_CHARS`` code points have one more level, as half of
+  them may hold no whole piece: units of one to four words, which end after
+  the first word of a piece and after words whose hash says so.
 
 Leaves are hashes of pieces, the node of a paragraph hashes its leaves, that
 of a section its paragraphs, the root its sections. Equal roots mean equal
@@ -17,7 +20,8 @@ locates the edit.
 
 The fingerprint is the tree written out: the root, then the sections between
 ``/``, each with its node and, after ``:``, its paragraphs between ``,``, each
-a node of 12 hex digits followed by its leaves of 8.
+a node of 12 hex digits followed by its leaves of 8; in short texts then ``=``
+and the units of each leaf, of 6 hex digits, between ``.``.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import pyarrow as pa
 import regex
@@ -36,9 +41,12 @@ from tessera.llm.common import buckets_by
 
 PIECE_CHARS = 160
 SECTION_EVERY = 8
-ROOT, NODE, LEAF = 32, 12, 8
+FINE_CHARS = 1000
+UNIT_WORDS = 4
+ROOT, NODE, LEAF, UNIT = 32, 12, 8, 6
 _PARAGRAPH = regex.compile(r"[^\n]*\n+|[^\n]+")
 _PIECE = regex.compile(r"[^.!?]{1,%d}(?:[.!?]+\s*)?|[.!?]+\s*" % PIECE_CHARS)
+_WORD = regex.compile(r"\S{1,16}\s{0,16}|\s{1,16}")
 
 
 class Paragraph(NamedTuple):
@@ -46,6 +54,7 @@ class Paragraph(NamedTuple):
     leaves: list[str]
     begin: int
     ends: list[int]
+    units: list[list[str]]  # of each leaf; empty in texts that are not short
 
 
 class Section(NamedTuple):
@@ -62,8 +71,23 @@ def _hash(parts: list[str]) -> str:
     return xxhash.xxh3_128_hexdigest("".join(parts).encode("ascii"))
 
 
+def _units(piece: str) -> list[str]:
+    """Hashes of the units of a piece."""
+    out, unit, n = [], b"", UNIT_WORDS - 1
+    for w in _WORD.findall(piece):
+        word = w.encode("utf-8", "surrogatepass")
+        unit, n = unit + word, n + 1
+        if n == UNIT_WORDS or crc32(word) % 3 == 0:
+            out.append(xxhash.xxh3_64_hexdigest(unit)[:UNIT])
+            unit, n = b"", 0
+    if unit:
+        out.append(xxhash.xxh3_64_hexdigest(unit)[:UNIT])
+    return out
+
+
 def tree(text: str) -> Tree:
     """The tree of a whole text, with the spans of its pieces."""
+    fine = len(text) <= FINE_CHARS
     digest, sections, own, at = xxhash.xxh3_128_hexdigest, [], [], 0
     full_nodes: list[str] = []
     section_nodes: list[str] = []
@@ -83,7 +107,7 @@ def tree(text: str) -> Tree:
         for x in pieces:
             end += len(x)
             ends.append(end)
-        own.append(Paragraph(node[:NODE], [x[:LEAF] for x in full], at, ends))
+        own.append(Paragraph(node[:NODE], [x[:LEAF] for x in full], at, ends, [_units(x) for x in pieces] if fine else []))
         full_nodes.append(node)
         at = end
         if p.endswith("\n\n") or int(node[-8:], 16) % SECTION_EVERY == 0:
@@ -95,7 +119,11 @@ def tree(text: str) -> Tree:
 
 def write(t: Tree) -> str:
     """The fingerprint: the tree as text."""
-    return "/".join([t.root, *[f"{s.node}:" + ",".join([p.node + "".join(p.leaves) for p in s.paragraphs]) for s in t.sections]])
+    return "/".join([t.root, *[f"{s.node}:" + ",".join([_written(p) for p in s.paragraphs]) for s in t.sections]])
+
+
+def _written(p: Paragraph) -> str:
+    return p.node + "".join(p.leaves) + ("=" + ".".join(["".join(u) for u in p.units]) if p.units else "")
 
 
 def fingerprint(text: str | None) -> str:
@@ -109,28 +137,50 @@ def read(fp: str) -> Tree:
     made = []
     for s in sections:
         node, _, rest = s.partition(":")
-        made.append(Section(node, [Paragraph(p[:NODE], [p[i : i + LEAF] for i in range(NODE, len(p), LEAF)], 0, []) for p in rest.split(",")]))
+        made.append(Section(node, [_read(p) for p in rest.split(",")]))
     return Tree(root, made)
 
 
+def _read(p: str) -> Paragraph:
+    upper, _, units = p.partition("=")
+    leaves = [upper[i : i + LEAF] for i in range(NODE, len(upper), LEAF)]
+    return Paragraph(upper[:NODE], leaves, 0, [], [[u[i : i + UNIT] for i in range(0, len(u), UNIT)] for u in units.split(".")] if units else [])
+
+
 def likeness(a: Tree, b: Tree) -> float:
-    """1 for equal roots; else twice the leaves in common over all leaves.
-    Sections and paragraphs with equal nodes are not opened."""
+    """1 for equal roots; else twice the leaves in common over all leaves, or
+    the units instead if both texts have them. Branches with equal nodes are
+    not opened."""
     if a.root == b.root:
         return 1.0
-    n = [sum(len(p.leaves) for s in t.sections for p in s.paragraphs) for t in (a, b)]
-    if not all(n):
+    pa_, pb = ([p for s in t.sections for p in s.paragraphs] for t in (a, b))
+    if not pa_ or not pb:
         return 0.0
-    common, left, right = 0, a.sections, b.sections
-    same = Counter(s.node for s in left) & Counter(s.node for s in right)
-    open_a, open_b = _unmatched(left, same), _unmatched(right, same)
-    common += sum(len(p.leaves) for s in left for p in s.paragraphs) - sum(len(p.leaves) for s in open_a for p in s.paragraphs)
-    pa_, pb = [p for s in open_a for p in s.paragraphs], [p for s in open_b for p in s.paragraphs]
+    fine = bool(pa_[0].units and pb[0].units)
+    total = _size(pa_, fine) + _size(pb, fine)
+    common = _size(pa_, fine)  # less what is in no equal branch
+    same = Counter(s.node for s in a.sections) & Counter(s.node for s in b.sections)
+    pa_, pb = ([p for s in _unmatched(t.sections, same) for p in s.paragraphs] for t in (a, b))
     same = Counter(p.node for p in pa_) & Counter(p.node for p in pb)
-    la, lb = _unmatched(pa_, same), _unmatched(pb, same)
-    common += sum(len(p.leaves) for p in pa_) - sum(len(p.leaves) for p in la)
-    common += (Counter(x for p in la for x in p.leaves) & Counter(x for p in lb for x in p.leaves)).total()
-    return 2 * common / sum(n)
+    pa_, pb = _unmatched(pa_, same), _unmatched(pb, same)
+    common -= _size(pa_, fine)
+    same = Counter(x for p in pa_ for x in p.leaves) & Counter(x for p in pb for x in p.leaves)
+    if not fine:
+        return 2 * (common + same.total()) / total
+    ua, ub = (_unmatched([Leaf(x, u) for p in ps for x, u in zip(p.leaves, p.units, strict=True)], same) for ps in (pa_, pb))
+    common += _size(pa_, fine) - sum(len(x.units) for x in ua)
+    common += (Counter(u for x in ua for u in x.units) & Counter(u for x in ub for u in x.units)).total()
+    return 2 * common / total
+
+
+class Leaf(NamedTuple):
+    node: str
+    units: list[str]
+
+
+def _size(paragraphs: list[Paragraph], fine: bool) -> int:
+    """Leaves of the paragraphs, or their units."""
+    return sum(sum(map(len, p.units)) if fine else len(p.leaves) for p in paragraphs)
 
 
 def _unmatched(nodes: list, same: Counter) -> list:

@@ -61,6 +61,30 @@ def test_pieces_join_to_the_text_and_trees_read_back():
         assert [p.leaves for s in back.sections for p in s.paragraphs] == [p.leaves for s in t.sections for p in s.paragraphs]
 
 
+def test_an_unchanged_half_of_a_short_text_is_seen(spark):
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghij", k=r.randrange(2, 9))) for _ in range(3000)]
+    texts = [" ".join(r.choices(words, k=k)) + r.choice(["", ".", ". Ja!"]) for k in (*range(4, 60), 150, 400, 900)] + ["x" * 40, "ein wort", "été " * 30]
+    for t, other in zip(texts, texts[1:], strict=False):
+        own, changed, nxt = (merkle.tree(x) for x in (t, merkle.edited(t, other), other))
+        assert merkle.likeness(own, changed) > 0, t
+        assert merkle.likeness(own, changed) == merkle.likeness(changed, own) == merkle.likeness(merkle.read(merkle.write(own)), merkle.read(merkle.write(changed)))
+        assert len(t) < 100 or len(other) < 100 or merkle.likeness(own, nxt) < 0.1
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    none = docs.join(merkle.compare_neighbours(docs).where("near_edited = 0").select("doc_id"), "doc_id").collect()
+    # nothing is in common only where the kept half holds no whole word
+    assert all(len(d.text[: len(d.text) - len(d.text) // 2].split()) <= 1 for d in none)
+
+
+def test_units_join_to_nothing_lost_and_short_texts_meet_long_ones():
+    short = "One two three four. Five six."
+    long = short + " " + "Seven eight nine ten. " * 100
+    a, b = merkle.tree(short), merkle.tree(long)
+    assert all(len(p.units) == len(p.leaves) for s in a.sections for p in s.paragraphs) and not b.sections[0].paragraphs[0].units
+    assert 0 < merkle.likeness(a, b) == merkle.likeness(b, a) < 0.2  # by pieces, which both have
+    assert merkle.likeness(a, a) == 1.0 and merkle.likeness(merkle.tree(""), a) == 0.0
+
+
 def test_roots_tell_equality_and_branches_locate_edits():
     text = "".join(f"Paragraph {i} says this. And that, too.\n" + ("\n" if i % 4 == 3 else "") for i in range(40))
     at = text.index("Paragraph 22")
