@@ -12,13 +12,13 @@ smoothing) and the log-priors. Its size is bounded by the number of languages
 times ``FEATURES``, whatever the corpus, so it is broadcast; ``fit`` refuses
 more than ``MAX_LANGUAGES`` languages, as that many mean a wrong column.
 
-Scoring counts a text's bins, and multiplies the sparse counts by the matrix
-in numpy, text after text.
+Scoring counts the bins of a batch of texts as sparse rows, and multiplies
+them by the matrix at once in numpy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +35,8 @@ MAX_N = 3
 SMOOTHING = 0.5
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
+#: Products of a count and a log-probability held at once (one text's at least).
+PRODUCTS = 1 << 21
 #: Code points handled at once of a long text.
 PIECE = 1 << 20
 
@@ -135,21 +137,58 @@ def fit(
     return Model(rows["lang"].tolist(), np.log(prior / prior.sum()), log_prob)
 
 
+def predict_batch(texts: Iterable[str | None], model: Model, max_n: int = MAX_N) -> Iterator[tuple[str, float]]:
+    """Most likely language of each text and its posterior probability, with
+    the mean log-likelihood of a character weighed as ``min(length, 100)`` of
+    them, so that the probability of a long text says more than 1.0. Ties go to
+    the first language by code point.
+
+    Texts are gathered as sparse rows (bins, counts) until ``PRODUCTS`` are
+    reached, then scored together."""
+    rows: list[tuple[np.ndarray, np.ndarray] | None] = []
+    held = 0
+    for t in texts:
+        c = counts(t, max_n, len(model.log_prob)) if model.languages else None
+        if c is None:
+            rows.append(None)
+            continue
+        at = np.flatnonzero(c)
+        if held and (held + len(at)) * len(model.languages) > PRODUCTS:
+            yield from _scored(rows, model)
+            rows, held = [], 0
+        rows.append((at, c[at]))
+        held += len(at)
+    yield from _scored(rows, model)
+
+
+def _scored(rows: list[tuple[np.ndarray, np.ndarray] | None], model: Model) -> Iterator[tuple[str, float]]:
+    """Language and score of sparse rows, by one product for all; None has no letter."""
+    known = [r for r in rows if r is not None]
+    if not known:
+        yield from [(UNKNOWN, 0.0)] * len(rows)
+        return
+    bins, n = (np.concatenate(x) for x in zip(*known, strict=True))
+    starts = np.cumsum([0] + [len(at) for at, _ in known[:-1]])
+    width = max(1, PRODUCTS // len(bins))  # a single text with many languages is scored by blocks of them
+    like = np.concatenate(
+        [np.add.reduceat(n[:, None] * model.log_prob[bins, s : s + width], starts) for s in range(0, len(model.languages), width)], axis=1
+    )
+    size = np.add.reduceat(n, starts)
+    like = like * (np.minimum(100.0, size) / size)[:, None] + model.log_prior
+    best = like.argmax(axis=1)
+    score = 1 / np.exp(like - like.max(axis=1, keepdims=True)).sum(axis=1)
+    found = zip(best.tolist(), score.tolist(), strict=True)
+    for r in rows:
+        if r is None:
+            yield UNKNOWN, 0.0
+        else:
+            k, p = next(found)
+            yield model.languages[k], p
+
+
 def predict_one(text: str | None, model: Model, max_n: int = MAX_N) -> tuple[str, float]:
-    """Most likely language and its posterior probability, with the mean
-    log-likelihood of a character weighed as ``min(length, 100)`` of them, so
-    that the probability of a long text says more than 1.0. Ties go to the
-    first language by code point."""
-    c = counts(text, max_n, len(model.log_prob)) if model.languages else None
-    if c is None:
-        return UNKNOWN, 0.0
-    at = np.flatnonzero(c)
-    n = c[at]
-    like = n @ model.log_prob[at]
-    like = like * (min(100.0, n.sum()) / n.sum()) + model.log_prior
-    p = np.exp(like - like.max())
-    k = int(np.argmax(like))
-    return model.languages[k], float(p[k] / p.sum())
+    """As ``predict_batch``, for one text."""
+    return next(predict_batch([text], model, max_n))
 
 
 def predict(
@@ -164,7 +203,7 @@ def predict(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model(*sent.value)
         for b in batches:
-            yield pd.DataFrame([predict_one(t, own, max_n) for t in b], columns=["lang_pred", "score"])
+            yield pd.DataFrame(list(predict_batch(b, own, max_n)), columns=["lang_pred", "score"])
 
     kept = [column(c) for c in docs.columns if c not in names]
     found = fresh_names(docs, "found")[0]

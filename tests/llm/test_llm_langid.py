@@ -1,4 +1,7 @@
+import math
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,6 +65,54 @@ def test_counts_are_naive_bayes(spark):
     assert model.log_prob[:, 1] == pytest.approx(np.log(total / total.sum()))
 
 
+def plain_bins(text):
+    """Bins of a text by plain integers, one n-gram after another."""
+    words = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower()).split()
+    chars = f" {' '.join(words)} "
+    for n in range(1, langid.MAX_N + 1):
+        for i in range(len(chars) - n + 1):
+            h = 0
+            for c in chars[i : i + n]:
+                h = h * 0x01000193 % 2**32 ^ ord(c)
+            x = (h ^ h >> 15) * (0x2C1B3C6D + 2 * n) % 2**32
+            yield (x ^ x >> 13) % 2**32 % langid.FEATURES
+
+
+def plain_predictions(train, texts):
+    """Language and score by dictionaries and the definition of naive Bayes."""
+    seen, docs = {}, Counter()
+    for lang, t in train:
+        if lang is not None and t is not None and any(c.isalpha() for c in t):
+            docs[lang] += 1
+            seen.setdefault(lang, Counter()).update(plain_bins(t))
+    langs = sorted(seen)
+    whole = {g: sum(seen[g].values()) + langid.SMOOTHING * langid.FEATURES for g in langs}
+    for t in texts:
+        if t is None or not any(c.isalpha() for c in t):
+            yield "und", 0.0
+            continue
+        bins = list(plain_bins(t))
+        like = []
+        for g in langs:
+            s = math.fsum(math.log((seen[g][b] + langid.SMOOTHING) / whole[g]) for b in bins)
+            like.append(s * min(100, len(bins)) / len(bins) + math.log(docs[g] / sum(docs.values())))
+        top = max(like)
+        yield langs[like.index(top)], 1 / math.fsum(math.exp(x - top) for x in like)
+
+
+@pytest.mark.parametrize("products", [1, 3000, langid.PRODUCTS])
+def test_predictions_equal_a_plain_version(spark, monkeypatch, products):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang").limit(60).collect()
+    odd = [None, "", "12 !", "ß", "İ", "a" * 300, "été là-bas", "\u0301", "x\u0301y", "한국어 텍스트", *["the same"] * 3]
+    train, texts = [(r.lang, r.text) for r in docs[:40]], [r.text for r in docs] + odd
+    frame = spark.createDataFrame(train, "lang string, text string")
+    monkeypatch.setattr(langid, "PRODUCTS", products)
+    got = list(langid.predict_batch(texts, langid.fit(frame, F.col("lang"), F.col("text"))))
+    want = list(plain_predictions(train, texts))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-9)
+
+
 def test_ties_go_to_the_first_language(spark):
     rows = [(i, "same text", lang, "", "") for i, lang in enumerate(["fr", "de"] * 4)]
     model = langid.fit(spark.createDataFrame(rows, SCHEMA), F.col("lang"), F.col("text"))
