@@ -2,8 +2,9 @@
 
 Alternating large-star and small-star steps: each step replaces the edges by
 edges towards the smallest neighbour, and ends when nothing changes, with
-every node linked to the smallest node of its component. All state is a
-table in the shared folder; the driver sees two numbers a round.
+every node linked to the smallest node of its component. A node with very
+many neighbours, such as the centre of a star, is never one task's. All state
+is a table in the shared folder; the driver sees two numbers a round.
 """
 
 from __future__ import annotations
@@ -13,20 +14,32 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
 
+#: Parts that the neighbours of one node are dealt into.
+SLICES = 64
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """``edges`` ``(a, b)`` with ``m``, the least ``b`` of their ``a``.
+
+    The neighbours of a node stay dealt over ``SLICES`` tasks: the least of each
+    slice is found first, the least of these is joined back to at most
+    ``SLICES`` rows of a node, and then to the edges of each slice."""
+    dealt = edges.withColumn("slice", F.pmod(F.xxhash64("b"), F.lit(SLICES)))
+    parts = dealt.groupBy("a", "slice").agg(F.min("b").alias("p"))
+    low = parts.groupBy("a").agg(F.min("p").alias("m"))
+    return dealt.join(parts.join(low, "a").select("a", "slice", "m"), ["a", "slice"]).select("a", "b", "m")
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both).where("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    low = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(low, "a")
-    return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-        low.select("a", F.col("m").alias("b"))
-    )
+    low = _with_least(down)
+    onward = low.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return onward.unionByName(low.select("a", F.col("m").alias("b")))
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
