@@ -14,7 +14,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import describe, hierarchy, prepare, standardize
-from tessera.session import materialize
+from tessera.session import materialize, materialize_with
 from tessera.sources import fixture
 
 _LOCK = threading.Lock()
@@ -57,8 +57,15 @@ def clear() -> None:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw observations of the fixture (materialized)."""
-    return _cached(spark, sf_dir, "obs", lambda: fixture.raw_observations(spark, sf_dir))
+    """Raw observations of the fixture, with the gaps of its nation (of materialized cells)."""
+    cells = _cached(
+        spark,
+        sf_dir,
+        "obs",
+        lambda: fixture.municipality_cells(spark, sf_dir),
+        lambda df, name: materialize_with(df, name, fixture.region_cells),
+    )
+    return fixture.observations_of(cells)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

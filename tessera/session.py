@@ -12,6 +12,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_with(df: DataFrame, name: str, more: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """As ``materialize``, with further rows in the same table: ``more`` of the
+    rows as written, so that ``df`` is computed once."""
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/tessera/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    more(df.sparkSession.read.parquet(path)).write.mode("append").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     """As ``materialize``, dealt into ``buckets`` by ``key``: tables of equal
     ``buckets`` are joined on ``key`` as they lie, without an exchange.

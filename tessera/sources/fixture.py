@@ -20,11 +20,11 @@ is used:
   ``NO_NATION`` have no row for the nation, those with ``NO_NATION_BY_SEX`` rows without a value
   but for the total sex; both are filled from the areas (W1).
 
-Plan shape: the lineitem side is joined to ``part`` once and aggregated to the
-finest grain (brand, year, supplier, sex) with map-side partial aggregation;
-names are joined to the cells, and the coarser levels come from one
-grouping-sets aggregate of the cells. Join strategies are left to the planner
-and AQE's runtime sizes.
+Plan shape: the lineitem side is joined to ``part`` once, dealt by brand, year
+and supplier and summed there for every sex and the total; names are joined to
+these cells, which are the municipalities' rows as they are. The coarser levels
+come from one grouping-sets aggregate of the cells, combined map-side. Join
+strategies are left to the planner and AQE's runtime sizes.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.schemas import NATION_NAME
+from tessera.session import materialize
 
 # Fixed values of the fixture (FIXTURES.md).
 REGION_PREFIX = "Region "
@@ -53,74 +54,138 @@ def kpi_code(b):
     return F.concat(F.lit("I"), F.lpad(b.cast("string"), 2, "0"))
 
 
-def _fine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum of amounts in cents and number of returned lines per (brand, year,
-    supplier, sex); cells without a returned line are kept."""
+def municipality_id(nationkey, suppkey):
+    return (nationkey + 1).cast("bigint") * COUNTY_DIVISOR + suppkey
+
+
+#: Codes of the sexes of a line in the cells: not recorded, K, M.
+SEX_OF_CODE = (None, "K", "M")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line: brand, year, supplier, code of the sex, whether returned,
+    and its amount in cents. Lines are cut to numbers before the join."""
+    returned = F.col("l_returnflag") == "R"
+    status = F.when(F.col("l_linestatus") == "F", 1).when(F.col("l_linestatus") == "O", 2)
     li = _t(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"
+        "l_partkey",
+        F.col("l_suppkey").alias("suppkey"),
+        F.year("l_shipdate").alias("year"),
+        F.coalesce(F.when(F.col("l_linenumber") != 7, status), F.lit(0)).alias("code"),
+        F.coalesce(returned, F.lit(False)).alias("returned"),
+        F.when(returned, F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("price"),
+        F.when(returned, F.round(F.col("l_discount") * 100).cast("bigint") - 5).alias("percent"),
     )
     part = _t(spark, sf_dir, "part").select("p_partkey", brand_number(F.col("p_brand")).alias("b"))
-    returned = F.col("l_returnflag") == "R"
-    percent = F.round(F.col("l_discount") * 100).cast("bigint") - 5
-    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    amount = F.when(F.col("b") % 10 == 0, percent * 100).otherwise(price)
-    status = F.when((F.col("l_linenumber") != 7) & (F.col("b") % 6 != 0), F.col("l_linestatus"))
-    return (
-        li.join(part, li.l_partkey == part.p_partkey)
-        .groupBy("b", F.year("l_shipdate").alias("year"), "l_suppkey", status.alias("status"))
-        .agg(F.sum(F.when(returned, amount)).alias("cents"), F.count(F.when(returned, 1)).alias("n"))
+    return li.join(part, li.l_partkey == part.p_partkey).select(
+        "b",
+        "year",
+        "suppkey",
+        F.when(F.col("b") % 6 != 0, F.col("code")).otherwise(0).alias("code"),
+        "returned",
+        F.when(F.col("b") % 10 == 0, F.col("percent") * 100).otherwise(F.col("price")).alias("amount"),
     )
 
 
-def municipality_id(nationkey, suppkey):
-    return (nationkey + 1).cast("bigint") * COUNTY_DIVISOR + suppkey
-
-
-def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long observation table (S3 re-aimed), before any cleaning.
-
-    Columns: kpi, area_id, area_name, area_type, sex, year, value.
-    """
-    fine = _fine_cells(spark, sf_dir)
+def _sums_by_sex(lines: DataFrame) -> DataFrame:
+    """Per (brand, year, supplier): an entry for each sex with a line, and one for
+    the total, of the sum of amounts in cents and the number of returned lines.
+
+    The lines are dealt by brand, year and supplier before they are summed:
+    combining them first would hold a task's lines in memory and save nothing,
+    as hardly two of one cell lie together, and all sexes of a cell meet, so the
+    total needs no further exchange."""
+    keys = ["b", "year", "suppkey"]
+    aggs = []
+    for k in range(len(SEX_OF_CODE)):
+        of_sex = F.col("code") == k
+        aggs += [
+            F.sum(F.when(of_sex, F.col("amount"))).alias(f"cents{k}"),
+            F.count(F.when(of_sex & F.col("returned"), 1)).alias(f"n{k}"),
+            F.count(F.when(of_sex, 1)).alias(f"lines{k}"),
+        ]
+    wide = lines.repartition(*keys).groupBy(*keys).agg(*aggs)
+
+    def entry(sex, cents, n):
+        return F.struct(F.lit(sex).cast("string").alias("sex"), cents.alias("cents"), n.alias("n"))
+
+    codes = range(len(SEX_OF_CODE))
+    some = F.coalesce(*[F.col(f"cents{k}") for k in codes]).isNotNull()
+    cents = F.when(some, sum((F.coalesce(F.col(f"cents{k}"), F.lit(0)) for k in codes), F.lit(0).cast("bigint")))
+    entries = [F.when(F.col(f"lines{k}") > 0, entry(SEX_OF_CODE[k], F.col(f"cents{k}"), F.col(f"n{k}"))) for k in codes]
+    entries.append(entry("T", cents, sum((F.col(f"n{k}") for k in codes), F.lit(0).cast("bigint"))))
+    return wide.select(*keys, F.inline(F.array_compact(F.array(*entries))))
+
+
+def municipality_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of amounts in cents and number of returned lines per (brand, year,
+    municipality, sex); cells without a returned line are kept. A supplier or
+    nation that is listed repeatedly counts as often."""
     supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     places = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-    cells = fine.join(places, fine.l_suppkey == places.s_suppkey)
-    sup = ["s_suppkey", "s_name", "n_nationkey", "n_name"]
-    nat = ["n_nationkey", "n_name"]
-    sets = [["b", "year", *keys, *sex] for keys in (sup, nat, []) for sex in (["status"], [])]
-    agg = cells.groupingSets(sets, "b", "year", *sup, "status").agg(
-        F.sum("cents").alias("cents"),
-        F.sum("n").alias("n"),
-        F.grouping("s_suppkey").alias("g_supplier"),
-        F.grouping("n_nationkey").alias("g_nation"),
-        F.grouping("status").alias("g_status"),
+    # written, so that the planner joins by its real size
+    places = materialize(places.groupBy("s_suppkey", "s_name", "n_nationkey", "n_name").agg(F.count("*").alias("times")), "places")
+    cells = _sums_by_sex(_lines(spark, sf_dir))
+    return cells.join(places, cells.suppkey == places.s_suppkey).select(
+        "b",
+        municipality_id(F.col("n_nationkey"), F.col("s_suppkey")).alias("area_id"),
+        F.col("s_name").alias("area_name"),
+        F.lit("K").alias("area_type"),
+        (F.col("n_nationkey") + 1).cast("bigint").alias("region_id"),
+        F.concat(F.lit(REGION_PREFIX), F.col("n_name")).alias("region_name"),
+        "sex",
+        F.col("year").cast("int").alias("year"),
+        (F.col("cents") * F.col("times")).alias("cents"),
+        (F.col("n") * F.col("times")).alias("n"),
+    )
+
+
+def region_cells(cells: DataFrame) -> DataFrame:
+    """The cells of the regions and of the nation, from those of the municipalities.
+    Only the nation's have no ``region_id``."""
+    sets = [["b", "year", "sex", "region_id", "region_name"], ["b", "year", "sex"]]
+    agg = cells.groupingSets(sets, *sets[0]).agg(
+        F.sum("cents").alias("cents"), F.sum("n").alias("n"), F.grouping("region_id").alias("g_region")
     )
-    is_k = F.col("g_supplier") == 0
-    is_l = (F.col("g_supplier") == 1) & (F.col("g_nation") == 0)
-    tens = F.floor(F.col("b") / 10)
-    agg = agg.where((F.col("g_nation") == 0) | (tens != NO_NATION) | (F.col("b") % 6 == 0))
-    unknown = (F.col("g_nation") == 1) & (F.col("g_status") == 0) & (tens == NO_NATION_BY_SEX)
+    is_nation = F.col("g_region") == 1
     return agg.select(
-        kpi_code(F.col("b")).alias("kpi"),
-        F.when(is_k, municipality_id(F.col("n_nationkey"), F.col("s_suppkey")))
-        .when(is_l, (F.col("n_nationkey") + 1).cast("bigint"))
-        .otherwise(F.lit(0).cast("bigint"))
-        .alias("area_id"),
-        F.when(is_k, F.col("s_name"))
-        .when(is_l, F.concat(F.lit(REGION_PREFIX), F.col("n_name")))
-        .otherwise(F.lit(NATION_NAME))
-        .alias("area_name"),
-        F.when(is_k, F.lit("K")).otherwise(F.lit("L")).alias("area_type"),
-        F.when(F.col("g_status") == 1, F.lit("T"))
-        .when(F.col("status") == "F", F.lit("K"))
-        .when(F.col("status") == "O", F.lit("M"))
-        .alias("sex"),
-        F.col("year").cast("int").alias("year"),
-        F.when((F.col("n") > 0) & ~unknown, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n"))).alias("value"),
+        "b",
+        F.when(is_nation, F.lit(0).cast("bigint")).otherwise(F.col("region_id")).alias("area_id"),
+        F.when(is_nation, F.lit(NATION_NAME)).otherwise(F.col("region_name")).alias("area_name"),
+        F.lit("L").alias("area_type"),
+        "region_id",
+        "region_name",
+        "sex",
+        "year",
+        "cents",
+        "n",
     )
 
 
+def observations_of(cells: DataFrame, gaps: bool = True) -> DataFrame:
+    """The long observation table of the cells of all areas.
+
+    With ``gaps`` the nation lacks the rows and values named above; without,
+    every cell is an observation."""
+    value = F.when(F.col("n") > 0, F.col("cents").cast("double") / (F.lit(100.0) * F.col("n")))
+    if gaps:
+        is_nation, tens = F.col("region_id").isNull(), F.floor(F.col("b") / 10)
+        cells = cells.where(~is_nation | (tens != NO_NATION) | (F.col("b") % 6 == 0))
+        unknown = is_nation & ~F.col("sex").eqNullSafe("T") & (tens == NO_NATION_BY_SEX)
+        value = F.when(~F.coalesce(unknown, F.lit(False)), value)
+    return cells.select(kpi_code(F.col("b")).alias("kpi"), "area_id", "area_name", "area_type", "sex", "year", value.alias("value"))
+
+
+def raw_observations(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """The long observation table (S3 re-aimed), before any cleaning.
+
+    Columns: kpi, area_id, area_name, area_type, sex, year, value.
+    """
+    cells = municipality_cells(spark, sf_dir)
+    return observations_of(cells.unionByName(region_cells(cells)), gaps)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Indicator catalog: kpi, kpi_text, aspect, theme, part, inverted, logged,
     sort_order.
