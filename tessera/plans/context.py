@@ -69,7 +69,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.catalog(spark, sf_dir)
+    """The indicator catalog (materialized). Written, it has its real size of a row
+    per indicator; the planner takes the distinct rows of ``part`` for as large as
+    that table, and shuffles the base table by indicator to join them."""
+    return _cached(spark, sf_dir, "catalog", lambda: fixture.catalog(spark, sf_dir))
 
 
 def imputed(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from tessera.plans import context as ctx
+from tessera.plans import queries as Q
 from tessera.sources import fixture
 from tests.conftest import SF
 
@@ -55,3 +56,11 @@ def test_cells_of_a_supplier_listed_twice(spark, tables):
     assert obs.count() == len(got)
     lazy, written = fixture.raw_observations(spark, tables), ctx.observations(spark, tables)
     assert lazy.exceptAll(written).isEmpty() and written.exceptAll(lazy).isEmpty()
+
+
+def test_base_joins_the_catalog_by_its_real_size(spark, tables):
+    base = Q.REGISTRY["q_catalog"](spark, tables)
+    plan = base._jdf.queryExecution().optimizedPlan().toString()
+    # no distinct rows of the part table, whose size would be taken for the catalog's
+    assert "p_brand" not in plan and "p_type" not in plan
+    assert {r.kpi_text for r in base.collect()} == {"Brand#11", "Brand#21", "Brand#25"}
