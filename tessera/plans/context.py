@@ -56,8 +56,9 @@ def clear() -> None:
         _CACHE.clear()
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw observations of the fixture, with the gaps of its nation (of materialized cells)."""
+def observations(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """Raw observations of the fixture (of materialized cells): all of them, or
+    with the gaps of its nation, which grid and imputation fill."""
     cells = _cached(
         spark,
         sf_dir,
@@ -65,7 +66,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda: fixture.municipality_cells(spark, sf_dir),
         lambda df, name: materialize_with(df, name, fixture.region_cells),
     )
-    return fixture.observations_of(cells)
+    return fixture.observations_of(cells, gaps)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +76,9 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cached(spark, sf_dir, "catalog", lambda: fixture.catalog(spark, sf_dir))
 
 
-def imputed(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:
+def imputed(spark: SparkSession, sf_dir: str, mode: str = "reference", gaps: bool = True) -> DataFrame:
     """Imputed observations, before catalog and logs (not materialized)."""
-    return prepare.impute(observations(spark, sf_dir), mode, divisor=fixture.COUNTY_DIVISOR)
+    return prepare.impute(observations(spark, sf_dir, gaps), mode, divisor=fixture.COUNTY_DIVISOR)
 
 
 def base(spark: SparkSession, sf_dir: str, mode: str = "reference") -> DataFrame:

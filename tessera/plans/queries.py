@@ -104,7 +104,8 @@ SCORED_COLS = [
 # ------------------------------------------------------------- sources / D1–D6
 @query("q_obs")
 def q_obs(spark, sf):
-    return rounded(ctx.observations(spark, sf).select(*OBS_COLS))
+    """All observations, the nation's without gaps."""
+    return rounded(ctx.observations(spark, sf, gaps=False).select(*OBS_COLS))
 
 
 @query("q_catalog")

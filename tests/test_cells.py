@@ -64,3 +64,17 @@ def test_base_joins_the_catalog_by_its_real_size(spark, tables):
     # no distinct rows of the part table, whose size would be taken for the catalog's
     assert "p_brand" not in plan and "p_type" not in plan
     assert {r.kpi_text for r in base.collect()} == {"Brand#11", "Brand#21", "Brand#25"}
+
+
+def test_all_observations_of_the_nation(spark, tables):
+    """Brand 11 has no row of the nation in the observations with gaps, brand 21 no value by sex."""
+
+    def nation(df):
+        return {(r.kpi, r.sex): r.value for r in df.where("area_id = 0").collect()}
+
+    gapped, whole = nation(ctx.observations(spark, tables)), nation(Q.REGISTRY["q_obs"](spark, tables))
+    assert {k for k, _ in gapped} == {"I21", "I25"} and gapped["I21", "K"] is None
+    assert whole == {
+        ("I11", "K"): 10.0, ("I11", "M"): 30.0, ("I11", None): 50.0, ("I11", "T"): 26.0,
+        ("I21", "K"): 20.0, ("I21", "T"): 20.0, ("I25", None): 40.0, ("I25", "T"): 40.0,
+    }
