@@ -110,8 +110,8 @@ def q_obs(spark, sf):
 
 @query("q_catalog")
 def q_catalog(spark, sf):
-    """Imputed rows with the catalog attached (before logs)."""
-    imp = ctx.imputed(spark, sf)
+    """Imputed rows of all observations with the catalog attached (before logs)."""
+    imp = ctx.imputed(spark, sf, gaps=False)
     return rounded(prepare.attach_catalog(imp, ctx.catalog(spark, sf)).select(*BASE_COLS, *CAT_COLS))
 
 

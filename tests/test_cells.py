@@ -78,3 +78,6 @@ def test_all_observations_of_the_nation(spark, tables):
         ("I11", "K"): 10.0, ("I11", "M"): 30.0, ("I11", None): 50.0, ("I11", "T"): 26.0,
         ("I21", "K"): 20.0, ("I21", "T"): 20.0, ("I25", None): 40.0, ("I25", "T"): 40.0,
     }
+    # not the mean of the areas, but what was observed
+    assert nation(Q.REGISTRY["q_catalog"](spark, tables)) == whole
+    assert nation(Q.REGISTRY["q_impute_group"](spark, tables))["I11", "T"] == 32.0
