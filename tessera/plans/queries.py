@@ -524,10 +524,20 @@ def q_file_municipality_codes(spark, sf):
     return files.read_municipality_codes(spark, path)
 
 
+#: Rows of a landed file: compressed files are read whole by one task.
+LANDED_ROWS = 500_000
+
+
+def _land(obs: DataFrame, path: str) -> None:
+    """Adds observations to the landed files, as compressed JSON with all fields."""
+    writer = obs.write.mode("append").option("ignoreNullFields", "false").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", LANDED_ROWS).json(path)
+
+
 @query("q_file_observations")
 def q_file_observations(spark, sf):
     """S3: landed observations, JSON by indicator."""
-    ctx.observations(spark, sf).write.option("ignoreNullFields", "false").json(path := _file(spark, "landed"))
+    _land(ctx.observations(spark, sf), path := _file(spark, "landed"))
     good, _ = files.split_rejected(files.read_observations(spark, path, "json"))
     return rounded(good.select(*OBS_COLS))
 
@@ -539,7 +549,7 @@ def q_file_relanded(spark, sf):
     obs, folder = ctx.observations(spark, sf), _file(spark, "relanded")
     source, log, table = f"{folder}/in", f"{folder}/log", f"{folder}/table"
     for landing in (obs.withColumn("value", F.col("value") * 2 + 1), obs):
-        landing.write.mode("append").option("ignoreNullFields", "false").json(source)
+        _land(landing, source)
         land_observations(spark, source, log).awaitTermination()
         refresh_table(spark, log, table)
     return rounded(files.read_observations(spark, table).select(*OBS_COLS))

@@ -1,6 +1,7 @@
 """Cells of the observation fixture, on hand-made tables."""
 
 import datetime as dt
+import os
 import re
 
 import pytest
@@ -81,3 +82,19 @@ def test_all_observations_of_the_nation(spark, tables):
     # not the mean of the areas, but what was observed
     assert nation(Q.REGISTRY["q_catalog"](spark, tables)) == whole
     assert nation(Q.REGISTRY["q_impute_group"](spark, tables))["I11", "T"] == 32.0
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tables, tmp_dir, monkeypatch):
+    monkeypatch.setattr(Q, "LANDED_ROWS", 3)
+    obs = ctx.observations(spark, tables)
+    for _ in range(2):
+        Q._land(obs, f"{tmp_dir}/landed")
+    files = os.listdir(f"{tmp_dir}/landed")
+    assert all(f.endswith(".json.gz") for f in files if f.startswith("part-"))
+    back = spark.read.schema(obs.schema).json(f"{tmp_dir}/landed")
+    per_file = back.groupBy("_metadata.file_path").count()
+    assert per_file.agg({"count": "max"}).first()[0] <= 3
+    twice = obs.unionAll(obs)
+    assert back.exceptAll(twice).isEmpty() and twice.exceptAll(back).isEmpty()
+    landed = Q.REGISTRY["q_file_relanded"](spark, tables)
+    assert landed.exceptAll(Q.rounded(obs)).isEmpty() and landed.count() == obs.count()
