@@ -104,7 +104,8 @@ def _sums_by_sex(lines: DataFrame) -> DataFrame:
             F.count(F.when(of_sex & F.col("returned"), 1)).alias(f"n{k}"),
             F.count(F.when(of_sex, 1)).alias(f"lines{k}"),
         ]
-    wide = lines.repartition(*keys).groupBy(*keys).agg(*aggs)
+    # by supplier, so that its long id and name lie together in the files written from here on
+    wide = lines.repartition(*keys).groupBy(*keys).agg(*aggs).sortWithinPartitions("suppkey")
 
     def entry(sex, cents, n):
         return F.struct(F.lit(sex).cast("string").alias("sex"), cents.alias("cents"), n.alias("n"))
