@@ -298,8 +298,12 @@ def _impute_documented(o: DataFrame, cells: DataFrame, means: DataFrame, nation_
 
 # ------------------------------------------------------- D5 catalog and log
 def attach_catalog(base: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Left join the indicator catalog by ``kpi``."""
-    return base.join(catalog.select("kpi", *CATALOG_COLUMNS), "kpi", "left")
+    """Left join the indicator catalog by ``kpi``.
+
+    The catalog is written first and has its real size, a row per indicator: the
+    planner takes distinct rows of a table for as large as the table, and would
+    shuffle the base rows by indicator to join them."""
+    return base.join(materialize(catalog.select("kpi", *CATALOG_COLUMNS), "catalog"), "kpi", "left")
 
 
 def log_values(base: DataFrame) -> DataFrame:
