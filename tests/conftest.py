@@ -18,6 +18,13 @@ def spark():
     yield s
 
 
+@pytest.fixture(autouse=True)
+def _whole_paths_in_plans(request):
+    """Plans show the paths of scans whole, however long the shared folder's name has become."""
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.set("spark.sql.maxMetadataStringLength", "1000")
+
+
 @pytest.fixture()
 def tmp_dir():
     return local_scratch("tessera-test-")
